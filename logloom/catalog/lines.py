@@ -77,7 +77,10 @@ def _request(k: str) -> str:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with the parts of a log line as columns."""
-    df = table(spark, sf_dir, "events")
+    return derived(table(spark, sf_dir, "events"))
+
+
+def derived(df: DataFrame) -> DataFrame:
     exprs = {n: F.expr(e) for n, e in _SHARED.items()}
     exprs["k"] = F.expr(_K["spark"])
     exprs["request"] = F.expr(_request(_K["spark"]))
