@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.catalog.registry import table
+from logloom.catalog.registry import spread, table
 
 NOW = 1_700_000_000_000
 
@@ -77,7 +77,7 @@ def _request(k: str) -> str:
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` with the parts of a log line as columns."""
-    return derived(table(spark, sf_dir, "events"))
+    return derived(spread(table(spark, sf_dir, "events")))
 
 
 def derived(df: DataFrame) -> DataFrame:

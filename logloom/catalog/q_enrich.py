@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logloom.catalog import lines
 from logloom.catalog.lines import with_events
-from logloom.catalog.registry import query, table
+from logloom.catalog.registry import query, spread, table
 from logloom.functions import dates
 from logloom.functions.cols import map_text
 from logloom.operators import anomaly, json_fields, split_kv, useragent, xml_fields
@@ -229,7 +229,7 @@ def split_spans(spark, sf_dir):
 def split_spans_words(spark, sf_dir):
     """Word positions of whole documents, summed up per document."""
     spans = split_kv.split_spans(F.col("text"), " ")
-    docs = table(spark, sf_dir, "documents").select("doc_id", spans.alias("s"))
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", spans.alias("s"))
 
     def total(name):
         return F.aggregate("s", F.lit(0).cast("bigint"), lambda a, e: a + e[name])
@@ -274,15 +274,8 @@ def _nested(spark, sf_dir):
     ),
 )
 def json_path(spark, sf_dir):
-    doc = F.col("doc")
-    return _nested(spark, sf_dir).select(
-        "event_id",
-        json_fields.path_text(doc, "$.props.k").alias("k"),
-        json_fields.path_text(doc, "$['user'].name").alias("name"),
-        json_fields.path_text(doc, "$.user.tags[0]").alias("first_tag"),
-        json_fields.path_text(doc, "$.user.tags.length()").alias("tags"),
-        json_fields.path_text(doc, "$.no.such").alias("nothing"),
-    )
+    paths = {"k": "$.props.k", "name": "$['user'].name", "first_tag": "$.user.tags[0]", "tags": "$.user.tags.length()", "nothing": "$.no.such"}
+    return json_fields.json_values("doc", paths)(_nested(spark, sf_dir)).select("event_id", *paths)
 
 
 @query(
@@ -324,13 +317,8 @@ def _xml(spark, sf_dir):
     ),
 )
 def xml_path(spark, sf_dir):
-    doc = F.col("doc")
-    return _xml(spark, sf_dir).select(
-        "event_id",
-        xml_fields.xml_value(doc, "/e/t/text()").alias("t"),
-        xml_fields.xml_value(doc, "//u/text()").alias("u"),
-        xml_fields.xml_value(doc, "/e/v/text()").alias("v"),
-    )
+    paths = {"t": "/e/t/text()", "u": "//u/text()", "v": "/e/v/text()"}
+    return xml_fields.xml_values("doc", paths)(_xml(spark, sf_dir)).select("event_id", *paths)
 
 
 @query(
@@ -340,10 +328,8 @@ def xml_path(spark, sf_dir):
     ),
 )
 def xml_attr(spark, sf_dir):
-    doc = F.col("doc")
-    return _xml(spark, sf_dir).select(
-        "event_id", xml_fields.xml_value(doc, "/e/@id").alias("id"), xml_fields.xml_value(doc, "/e/t/@lang").alias("lang")
-    )
+    paths = {"id": "/e/@id", "lang": "/e/t/@lang"}
+    return xml_fields.xml_values("doc", paths)(_xml(spark, sf_dir)).select("event_id", *paths)
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from logloom.catalog import lines
 from logloom.catalog.lines import with_events
-from logloom.catalog.registry import query, table
+from logloom.catalog.registry import query, spread, table
 from logloom.operators.grok import extract, first_spans, grok, library_with
 
 _ACCESS = (
@@ -237,7 +237,7 @@ def grok_uri(spark, sf_dir):
 )
 def grok_network(spark, sf_dir):
     """First IPv4 address anywhere in a whole text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread(table(spark, sf_dir, "documents")).select("doc_id", "text")
     return extract(docs, "text", "FOUND", library_with({"FOUND": "%{IPV4:ip}"})).select("doc_id", "ip")
 
 

@@ -75,36 +75,33 @@ def map_text(m: Column) -> Column:
     return F.array_join(F.array_sort(pairs), ";")
 
 
-_BLOCK = 64
+_BLOCK = 16
 
 
-def running_starts(lengths: Column) -> Column:
+def running_starts(lengths: Column, levels: int = 2) -> Column:
     """Exclusive prefix sums of an int array.
 
-    Done in blocks, so a row with n entries costs about n * (block + n / block)
-    instead of n squared.
+    Entries are summed up in blocks, the block sums in turn as well, so an entry
+    only adds the few before it in its own block instead of all before it.
     """
 
-    def block_sums(a: Column) -> Column:
-        return F.transform(
-            F.sequence(F.lit(0), F.floor((F.size(a) - 1) / F.lit(_BLOCK)).cast("int")),
-            lambda b: F.aggregate(F.slice(a, b * _BLOCK + 1, F.lit(_BLOCK)), F.lit(0), lambda s, x: s + x),
-        )
+    def total(a: Column, start: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(a, start, n), F.lit(0), lambda s, x: s + x)
+
+    def block(i: Column) -> Column:
+        return F.shiftright(i, _BLOCK.bit_length() - 1)
 
     def starts(a: Column) -> Column:
+        if levels == 0:
+            return F.transform(a, lambda _, i: total(a, F.lit(1), i))
+        sums = F.transform(
+            F.sequence(F.lit(0), block(F.size(a) - 1)), lambda b: total(a, b * _BLOCK + 1, F.lit(_BLOCK))
+        )
         return let(
-            block_sums(a),
-            lambda sums: F.transform(
-                a,
-                lambda _, i: F.aggregate(
-                    F.slice(sums, F.lit(1), F.floor(i / F.lit(_BLOCK)).cast("int")), F.lit(0), lambda s, x: s + x
-                )
-                + F.aggregate(
-                    F.slice(a, F.floor(i / F.lit(_BLOCK)).cast("int") * _BLOCK + 1, i % _BLOCK),
-                    F.lit(0),
-                    lambda s, x: s + x,
-                ),
+            running_starts(sums, levels - 1),
+            lambda base: F.transform(
+                a, lambda _, i: F.get(base, block(i)) + total(a, block(i) * _BLOCK + 1, i % _BLOCK)
             ),
         )
 
-    return F.when(F.size(lengths) > 0, let(lengths, starts))
+    return let(lengths, lambda a: F.when(F.size(a) > 0, starts(a)))

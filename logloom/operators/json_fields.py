@@ -109,9 +109,22 @@ def path_missing(v: Column, path: str) -> Column:
     return v.isNotNull() & (F.size(_walk(v, _tokens(path))) == 0)
 
 
-def path_text(c: Column, path: str) -> Column:
-    """Text of the first value the path selects."""
-    return let(F.get(_walk(parsed(c), _tokens(path)), F.lit(0)), lambda v: F.when(~F.is_variant_null(v), _text(v)))
+def path_text(v: Column, path: str) -> Column:
+    """Text of the first value the path selects in a :func:`parsed` variant."""
+    return let(F.get(_walk(v, _tokens(path)), F.lit(0)), lambda x: F.when(~F.is_variant_null(x), _text(x)))
+
+
+def json_values(target: str, paths: dict[str, str]):
+    """Step that writes the value of each path to its column; the text is parsed once."""
+
+    def step(df: DataFrame, when: Column = ALWAYS) -> DataFrame:
+        df = df.withColumn("_json", parsed(masked(when, optional(df, target))))
+        df = df.withColumns({f"_json_{i}": path_text(F.col("_json"), p) for i, p in enumerate(paths.values())})
+        for i, name in enumerate(paths):
+            df = put(df, {name: F.col(f"_json_{i}")}, F.col(f"_json_{i}").isNotNull())
+        return df.drop("_json", *[f"_json_{i}" for i in range(len(paths))])
+
+    return step
 
 
 def _flat_entries(v: Column, path: str, max_level: int) -> Column:

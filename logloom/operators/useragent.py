@@ -85,9 +85,11 @@ def browser_tag(agent: Column) -> Column:
     return F.coalesce(*[F.when(agent.contains(tag), name) for tag, name in BROWSER_TAGS])
 
 
-def bot_name(agent: Column) -> Column:
-    bot = F.when(agent.contains("bot"), F.regexp_substr(agent, F.lit(BOT_NAME)))
-    spider = F.when(F.lower(agent).contains("spider"), F.regexp_substr(agent, F.lit(SPIDER_NAME)))
+def bot_name(agent: Column, lower: Column | None = None) -> Column:
+    """Name of a crawler: the word around ``bot``, else the word around ``spider``."""
+    lower = F.lower(agent) if lower is None else lower
+    bot = F.regexp_substr(agent, F.lit(BOT_NAME))
+    spider = F.when(lower.contains("spider"), F.regexp_substr(agent, F.lit(SPIDER_NAME)))
     return F.when(agent.contains("bot"), bot).otherwise(spider)
 
 
@@ -96,38 +98,45 @@ def product_token(agent: Column) -> Column:
     return F.coalesce(F.nullif(F.regexp_extract(agent, PRODUCT_TOKEN, 1), F.lit("")), F.lit("UNKNOWN"))
 
 
-def browser_family(agent: Column) -> Column:
-    lower = F.lower(agent)
-    msie = F.nullif(F.regexp_extract(agent, r"MSIE (\d+)", 1), F.lit(""))
+def browser_family(agent: Column, lower: Column | None = None) -> Column:
+    """Browser family, '' when unknown; ``lower`` is the lower-cased agent if at hand."""
+    lower = F.lower(agent) if lower is None else lower
+    msie = F.when(agent.contains("MSIE "), F.nullif(F.regexp_extract(agent, r"MSIE (\d+)", 1), F.lit("")))
     return F.coalesce(
         F.concat(F.lit("IE"), msie), *[F.when(lower.contains(t), name) for t, name in _BROWSER_FAMILIES], F.lit("")
     )
 
 
-def os_family(agent: Column) -> Column:
-    def pick(lower: Column) -> Column:
-        return F.coalesce(*[F.when(lower.contains(t), name) for t, name in _OS_FAMILIES], F.lit("UNKNOWN"))
-
-    return F.when(agent.isNotNull(), pick(F.lower(agent)))
+def os_family(agent: Column, lower: Column | None = None) -> Column:
+    lower = F.lower(agent) if lower is None else lower
+    windows = [F.when(lower.contains(t), name) for t, name in _OS_FAMILIES if t.startswith("windows")]
+    others = [F.when(lower.contains(t), name) for t, name in _OS_FAMILIES if not t.startswith("windows")]
+    return (
+        F.when(lower.contains("windows"), F.coalesce(*windows))
+        .when(agent.isNotNull(), F.coalesce(*others, F.lit("UNKNOWN")))
+    )
 
 
 def upper_first(c: Column) -> Column:
     return F.concat(F.upper(F.substring(c, 1, 1)), F.substr(c, F.lit(2)))
 
 
-def browser(agent: Column) -> Column:
-    """Vendor tag, else family; a crawler gives its own name; else the product token."""
-    family = browser_family(agent)
-    named = F.when(family == "Bot", bot_name(agent)).otherwise(F.nullif(family, F.lit("")))
-    return F.when(agent.isNotNull(), upper_first(F.coalesce(browser_tag(agent), named, product_token(agent))))
-
-
 def user_agent(target: str = "agent"):
-    """Step that adds ``agent_browser`` and ``agent_os``; an absent agent changes nothing."""
+    """Step that adds ``agent_browser`` and ``agent_os``; an absent agent changes nothing.
+
+    The browser is the vendor tag, else the family; a crawler gives its own name;
+    what stays unnamed gives its leading product token.
+    """
 
     def step(df: DataFrame, when: Column = ALWAYS) -> DataFrame:
+        # staged columns, so that every scan of the text happens once per row
+        agent, lower, tag, family = (F.col(c) for c in ("_agent", "_lower", "_tag", "_family"))
         df = df.withColumn("_agent", masked(when, clean_agent(optional(df, target))))
-        values = {"agent_browser": browser(F.col("_agent")), "agent_os": os_family(F.col("_agent"))}
-        return put(df, values, F.col("_agent").isNotNull()).drop("_agent")
+        df = df.withColumns({"_lower": F.lower(agent), "_tag": browser_tag(agent)})
+        df = df.withColumn("_family", F.when(tag.isNull(), browser_family(agent, lower)))
+        named = F.when(family == "Bot", bot_name(agent, lower)).when(family != "", family)
+        df = df.withColumn("_name", F.coalesce(tag, named, product_token(agent)))
+        values = {"agent_browser": upper_first(F.col("_name")), "agent_os": os_family(agent, lower)}
+        return put(df, values, agent.isNotNull()).drop("_agent", "_lower", "_tag", "_family", "_name")
 
     return step

@@ -19,14 +19,28 @@ def well_formed(c: Column) -> Column:
     return F.coalesce((F.trim(c) != "") & probe["_corrupt_record"].isNull(), F.lit(False))
 
 
-def xml_values(c: Column, path: str) -> Column:
-    """Texts of all nodes an XPath selects; NULL for malformed XML."""
-    return F.when(well_formed(c), F.xpath(F.trim(c), F.lit(path)))
+def valid_xml(c: Column) -> Column:
+    """The trimmed text where it is well formed, else NULL. Keep it as a column when several paths are read."""
+    return F.when(well_formed(c), F.trim(c))
 
 
-def xml_value(c: Column, path: str) -> Column:
-    """Trimmed text of the last node an XPath selects; NULL when there is none or it is empty."""
-    return F.nullif(F.trim(F.try_element_at(xml_values(c, path), F.lit(-1))), F.lit(""))
+def xml_value(valid: Column, path: str) -> Column:
+    """Trimmed text of the last node an XPath selects in a :func:`valid_xml`; NULL when none or empty."""
+    return F.nullif(F.trim(F.try_element_at(F.xpath(valid, F.lit(path)), F.lit(-1))), F.lit(""))
+
+
+def xml_values(target: str, paths: dict[str, str]):
+    """Step that writes the value of each XPath to its column; malformed XML changes nothing."""
+
+    def step(df: DataFrame, when: Column = ALWAYS) -> DataFrame:
+        df = df.withColumn("_xml", masked(when, valid_xml(optional(df, target))))
+        found = {name: xml_value(F.col("_xml"), path) for name, path in paths.items()}
+        for name, value in found.items():
+            df = df.withColumn("_value", value)
+            df = put(df, {name: F.col("_value")}, F.col("_value").isNotNull())
+        return df.drop("_xml", "_value")
+
+    return step
 
 
 def _select(nodes: list, steps: list[str]) -> list:
