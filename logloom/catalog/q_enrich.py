@@ -144,7 +144,8 @@ for _name, _fn, _at in (
     @query(_name, _facts_sql(found=_at))
     def _run(spark, sf_dir, fn=_fn):
         ev = _quoted_agents(spark, sf_dir)
-        return ev.select("event_id", fn(useragent.clean_agent(F.col("agent"))).alias("found"))
+        ev = ev.withColumn("agent", useragent.clean_agent(F.col("agent")))
+        return ev.select("event_id", fn("agent").alias("found"))
 
 
 # ---- split and key-value

@@ -12,51 +12,41 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.cols import ALWAYS, let, optional, put
+from logloom.functions.cols import ALWAYS, optional, put
 from logloom.operators.lookup import BROADCAST_ROWS, left_lookup
 
 GEO_FIELDS = ("city", "country", "continent")
-_V4 = r"\A\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}\z"
-_V6 = r"\A[0-9A-Fa-f:]*:[0-9A-Fa-f:]*\z"
-_V4_TAIL = r":(\d{1,3})\.(\d{1,3})\.(\d{1,3})\.(\d{1,3})\z"
 _MAPPED = "00000000000000000000ffff"
 _V4_PREFIX, _V6_PREFIX = 28, 6
 
-
-def _v4_hex(ip: Column) -> Column:
-    octets = F.transform(F.split(ip, r"\."), lambda o: o.try_cast("int"))
-    good = F.forall(octets, lambda o: o.between(0, 255))
-    return F.when(good, F.array_join(F.transform(octets, lambda o: F.lpad(F.lower(F.hex(o)), 2, "0")), ""))
-
-
-def _v6_hex(ip: Column) -> Column:
-    def groups(text: Column) -> Column:
-        return F.filter(F.split(text, ":"), lambda g: g != "")
-
-    def fill(halves: Column) -> Column:
-        left, right = groups(F.get(halves, F.lit(0))), groups(F.coalesce(F.get(halves, F.lit(1)), F.lit("")))
-        missing = F.lit(8) - F.size(left) - F.size(right)
-        shortened = F.size(halves) == 2
-        whole = F.concat(left, F.array_repeat(F.lit("0"), missing), right)
-        fits = (shortened & (missing >= 1)) | (~shortened & (missing == 0))
-        fits &= F.forall(F.concat(left, right), lambda g: F.length(g) <= 4)
-        return F.when(fits, F.lower(F.array_join(F.transform(whole, lambda g: F.lpad(g, 4, "0")), "")))
-
-    return let(F.split(ip, "::", 3), lambda h: F.when(F.size(h) <= 2, fill(h)))
-
-
-def _unmap(ip: Column) -> Column:
-    """``::ffff:1.2.3.4`` with its dotted tail rewritten as two hex groups."""
-    part = [F.hex(F.regexp_extract(ip, _V4_TAIL, i).try_cast("int")) for i in (1, 2, 3, 4)]
-    tail = [F.concat(part[0], F.lpad(part[1], 2, "0")), F.concat(part[2], F.lpad(part[3], 2, "0"))]
-    return F.when(ip.rlike(_V4_TAIL), F.concat(F.regexp_replace(ip, _V4_TAIL, ":"), tail[0], F.lit(":"), tail[1]))
+# the address conversions are SQL texts: one call each instead of some hundred column calls
+_V4_HEX = """
+CASE WHEN {ip} RLIKE '^\\\\d{{1,3}}(\\\\.\\\\d{{1,3}}){{3}}$' AND forall(split({ip}, '[.]'), o -> cast(o AS int) <= 255)
+THEN concat('00000000000000000000ffff', array_join(transform(split({ip}, '[.]'), o -> lpad(lower(hex(cast(o AS int))), 2, '0')), '')) END
+"""
+_DOTTED_TAIL = r"""
+regexp_replace({ip}, ':[0-9.]+$', concat(':', array_join(transform(split(substring_index({ip}, ':', -1), '[.]'),
+(o, i) -> concat(CASE WHEN i = 2 THEN ':' ELSE '' END, lpad(lower(hex(try_cast(o AS int))), 2, '0'))), '')))
+"""
+_V6_HEX = """
+CASE WHEN {ip} RLIKE '^[0-9A-Fa-f:]*:[0-9A-Fa-f:]*$' THEN
+get(transform(array(split({ip}, '::', 3)), h -> CASE WHEN size(h) <= 2 THEN
+get(transform(array(named_struct('l', filter(split(h[0], ':'), g -> g <> ''), 'r', filter(split(coalesce(get(h, 1), ''), ':'), g -> g <> ''))),
+s -> CASE WHEN forall(concat(s.l, s.r), g -> length(g) <= 4)
+AND (size(s.l) + size(s.r) = 8 AND size(h) = 1 OR size(s.l) + size(s.r) < 8 AND size(h) = 2)
+THEN lower(array_join(transform(concat(s.l, array_repeat('0', 8 - size(s.l) - size(s.r)), s.r), g -> lpad(g, 4, '0')), '')) END), 0) END), 0) END
+"""
 
 
-def ip_hex(ip: Column) -> Column:
-    """32 hex digits of an IPv4 or IPv6 address; NULL for any other text."""
-    v4 = F.when(ip.rlike(_V4), F.concat(F.lit(_MAPPED), _v4_hex(ip)))
-    plain = F.coalesce(F.when(ip.contains("."), _unmap(ip)), ip)
-    return F.coalesce(v4, F.when(ip.contains(":") & plain.rlike(_V6), _v6_hex(plain)))
+def ip_hex(ip: str) -> Column:
+    """32 hex digits of the IPv4 or IPv6 address in column ``ip``; NULL for any other text."""
+    name = f"`{ip}`"
+    v6, tail = _V6_HEX.format(ip=name), _DOTTED_TAIL.format(ip=name)
+    mixed = _V6_HEX.format(ip="t")
+    return F.expr(
+        f"CASE WHEN NOT contains({name}, ':') THEN {_V4_HEX.format(ip=name)} "
+        f"WHEN contains({name}, '.') THEN get(transform(array({tail}), t -> {mixed}), 0) ELSE {v6} END"
+    )
 
 
 def _prefix(hex_ip: Column) -> Column:
@@ -66,9 +56,9 @@ def _prefix(hex_ip: Column) -> Column:
 
 def ranges_from_cidr(networks: DataFrame, network: str = "network") -> DataFrame:
     """Add ``lo`` and ``hi`` (32 hex digits) to rows that hold a CIDR block such as ``10.0.0.0/8``."""
-    base = ip_hex(F.split(F.col(network), "/")[0])
+    networks = networks.withColumn("_net", F.split(F.col(network), "/")[0]).withColumn("_base", ip_hex("_net"))
     bits = F.split(F.col(network), "/")[1].cast("int")
-    size = F.when(base.startswith(_MAPPED), bits + 96).otherwise(bits)
+    size = F.when(F.col("_base").startswith(_MAPPED), bits + 96).otherwise(bits)
     nibbles = F.floor(size / F.lit(4)).cast("int")
     rest = size % 4
 
@@ -81,9 +71,9 @@ def ranges_from_cidr(networks: DataFrame, network: str = "network") -> DataFrame
     low = F.when(F.col("_rest") > 0, F.lower(F.hex(digit - digit % span))).otherwise("")
     high = F.when(F.col("_rest") > 0, F.lower(F.hex(digit - digit % span + span - 1))).otherwise("")
     return (
-        networks.withColumns({"_base": base, "_nibbles": nibbles, "_rest": rest})
+        networks.withColumns({"_nibbles": nibbles, "_rest": rest})
         .withColumns({"lo": bound("0", low), "hi": bound("f", high)})
-        .drop("_base", "_nibbles", "_rest")
+        .drop("_net", "_base", "_nibbles", "_rest")
     )
 
 
@@ -117,12 +107,12 @@ def geo(ranges: DataFrame, target: str = "clientip", broadcast_rows: int = BROAD
 
     def step(df: DataFrame, when: Column = ALWAYS) -> DataFrame:
         ip = optional(df, target)
-        keyed = df.withColumn("_ip", F.when(when & (ip != "127.0.0.1"), ip_hex(ip)))
+        keyed = df.withColumn("_address", F.when(when & (ip != "127.0.0.1"), ip)).withColumn("_ip", ip_hex("_address"))
         keyed = keyed.withColumn("_prefix", _prefix(F.col("_ip")))
         inside = F.col("_ip").between(F.col("_lo"), F.col("_hi"))
         joined = left_lookup(keyed, _by_prefix(ranges), ["_prefix"], inside, broadcast_rows)
         found = F.col("_lo").isNotNull()
         values = {f: F.col(f"_{f}") for f in GEO_FIELDS}
-        return put(joined, values, found).drop("_ip", "_prefix", "_lo", "_hi", *[f"_{f}" for f in GEO_FIELDS])
+        return put(joined, values, found).drop("_address", "_ip", "_prefix", "_lo", "_hi", *[f"_{f}" for f in GEO_FIELDS])
 
     return step

@@ -15,7 +15,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.cols import ALWAYS, field, let, masked, optional, put
+from logloom.functions.cols import ALWAYS, field, let, masked, optional
 from logloom.operators.grok_library import EVENT_TYPES, LIBRARY
 
 _SEP = "\u0001"
@@ -76,8 +76,20 @@ def extract(
     names = group_names(regex)
     pieces = f"_grok{tag}_{name}"
     df = df.withColumn(pieces, _pieces(masked(when, optional(df, target)), regex, names))
-    values = {n: F.nullif(F.get(field(pieces), F.lit(i)), F.lit("")) for i, n in enumerate(names, 1)}
-    return put(df, values, _matched(field(pieces))).drop(pieces)
+    return _put_groups(df, pieces, names).drop(pieces)
+
+
+def _put_groups(df: DataFrame, pieces: str, names: Sequence[str]) -> DataFrame:
+    """Write the groups held in array column ``pieces`` where there was a match."""
+    return df.withColumns(
+        {
+            n: F.expr(
+                f"CASE WHEN size(`{pieces}`) > 1 THEN nullif(get(`{pieces}`, {i}), '') "
+                + (f"ELSE `{n}` END" if n in df.columns else "END")
+            )
+            for i, n in enumerate(names, 1)
+        }
+    )
 
 
 def grok(
@@ -118,8 +130,7 @@ def grok(
             free = free & ~_matched(field(at))
         for i, m in enumerate(known):
             names = group_names(expand(library[m], library))
-            values = {n: F.nullif(F.get(field(f"_grok{i}"), F.lit(j)), F.lit("")) for j, n in enumerate(names, 1)}
-            df = put(df, values, _matched(field(f"_grok{i}")))
+            df = _put_groups(df, f"_grok{i}", names)
         return df.drop("_grok_text", *[f"_grok{i}" for i in range(len(known))])
 
     return step

@@ -67,8 +67,9 @@ def merge_mapping(base: Mapping[str, str], extra: Mapping[str, str]) -> dict[str
     return {**base, **extra}
 
 
-def typed(c: Column, dtype: str, kind: str) -> Column:
-    """``c`` (of Spark type ``dtype``) as mapping type ``kind``; NULL where it does not fit."""
+def typed(name: str, dtype: str, kind: str) -> Column:
+    """Column ``name`` (of Spark type ``dtype``) as mapping type ``kind``; NULL where it does not fit."""
+    c = field(name)
     if kind in ("keyword", "text", "message"):
         return c if dtype.startswith("array") else c.cast("string")
     if kind in _NUMBERS:
@@ -79,7 +80,7 @@ def typed(c: Column, dtype: str, kind: str) -> Column:
         millis = parse_first(c, [(f,) for f in DATE_FORMATS]) if dtype == "string" else c.try_cast("bigint")
         return F.timestamp_millis(millis)
     if kind == "ip":
-        return F.when(ip_hex(c).isNotNull(), c)
+        return F.when(ip_hex(name).isNotNull(), c)
     if kind in ("object", "geo_point"):
         return c
     raise ValueError(f"unknown mapping type {kind}")
@@ -94,7 +95,7 @@ def apply_mapping(df: DataFrame, mapping: Mapping[str, str], rejects: str = "rej
     """
     types = dict(df.dtypes)
     declared = [n for n in df.columns if n in mapping]
-    new = {n: typed(field(n), types[n], mapping[n]) for n in declared}
+    new = {n: typed(n, types[n], mapping[n]) for n in declared}
     narrow = {n: f"_typed_{i}" for i, n in enumerate(n for n in declared if mapping[n] in {*_NUMBERS, "date", "ip"})}
     df = df.withColumns({tmp: new[n] for n, tmp in narrow.items()})
     bad = [F.when(field(n).isNotNull() & field(tmp).isNull(), F.struct(F.lit(n).alias("k"), field(n).cast("string").alias("v")))

@@ -38,6 +38,7 @@ BROWSER_TAGS = (
 BOT_NAME = r"[\w-]*[bB]ot[\w-]*"
 SPIDER_NAME = r"[\w-]*[sS]pider[\w-]*"
 PRODUCT_TOKEN = r"^([\w+-]+)/[\w+-]+"
+MSIE_VERSION = r"MSIE (\d+)"
 
 # family rules of our own, in order: substring of the lower-cased text, family
 _BROWSER_FAMILIES = (
@@ -75,45 +76,54 @@ _OS_FAMILIES = (
 )
 
 
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _first_found(text: str, rules) -> str:
+    """SQL CASE over ordered (substring, name) rules. One expression text, so a plan is built quickly."""
+    return "CASE " + " ".join(f"WHEN contains({text}, {_quoted(t)}) THEN {_quoted(n)}" for t, n in rules) + " END"
+
+
 def clean_agent(agent: Column) -> Column:
     """Agent text without the quotes a quoted field keeps; ``-`` means empty."""
     bare = F.btrim(agent, F.lit('"'))
     return F.when(bare == "-", "").otherwise(bare)
 
 
-def browser_tag(agent: Column) -> Column:
-    return F.coalesce(*[F.when(agent.contains(tag), name) for tag, name in BROWSER_TAGS])
+def browser_tag(agent: str) -> Column:
+    """Vendor browser by the first tag found in the text column ``agent``, else NULL."""
+    return F.expr(_first_found(agent, BROWSER_TAGS))
 
 
-def bot_name(agent: Column, lower: Column | None = None) -> Column:
+def bot_name(agent: str, lower: str | None = None) -> Column:
     """Name of a crawler: the word around ``bot``, else the word around ``spider``."""
-    lower = F.lower(agent) if lower is None else lower
-    bot = F.regexp_substr(agent, F.lit(BOT_NAME))
-    spider = F.when(lower.contains("spider"), F.regexp_substr(agent, F.lit(SPIDER_NAME)))
-    return F.when(agent.contains("bot"), bot).otherwise(spider)
+    return F.expr(
+        f"CASE WHEN contains({agent}, 'bot') THEN regexp_substr({agent}, {_quoted(BOT_NAME)}) "
+        f"WHEN contains({lower or f'lower({agent})'}, 'spider') THEN regexp_substr({agent}, {_quoted(SPIDER_NAME)}) END"
+    )
 
 
-def product_token(agent: Column) -> Column:
+def product_token(agent: str) -> Column:
     """Leading ``name`` of ``name/version``, else UNKNOWN."""
-    return F.coalesce(F.nullif(F.regexp_extract(agent, PRODUCT_TOKEN, 1), F.lit("")), F.lit("UNKNOWN"))
+    return F.expr(f"coalesce(nullif(regexp_extract({agent}, {_quoted(PRODUCT_TOKEN)}, 1), ''), 'UNKNOWN')")
 
 
-def browser_family(agent: Column, lower: Column | None = None) -> Column:
-    """Browser family, '' when unknown; ``lower`` is the lower-cased agent if at hand."""
-    lower = F.lower(agent) if lower is None else lower
-    msie = F.when(agent.contains("MSIE "), F.nullif(F.regexp_extract(agent, r"MSIE (\d+)", 1), F.lit("")))
-    return F.coalesce(
-        F.concat(F.lit("IE"), msie), *[F.when(lower.contains(t), name) for t, name in _BROWSER_FAMILIES], F.lit("")
+def browser_family(agent: str, lower: str | None = None) -> Column:
+    """Browser family, '' when unknown."""
+    return F.expr(
+        f"coalesce(CASE WHEN contains({agent}, 'MSIE ') THEN concat('IE', nullif(regexp_extract({agent}, {_quoted(MSIE_VERSION)}, 1), '')) END, "
+        f"{_first_found(lower or f'lower({agent})', _BROWSER_FAMILIES)}, '')"
     )
 
 
-def os_family(agent: Column, lower: Column | None = None) -> Column:
-    lower = F.lower(agent) if lower is None else lower
-    windows = [F.when(lower.contains(t), name) for t, name in _OS_FAMILIES if t.startswith("windows")]
-    others = [F.when(lower.contains(t), name) for t, name in _OS_FAMILIES if not t.startswith("windows")]
-    return (
-        F.when(lower.contains("windows"), F.coalesce(*windows))
-        .when(agent.isNotNull(), F.coalesce(*others, F.lit("UNKNOWN")))
+def os_family(agent: str, lower: str | None = None) -> Column:
+    lower = lower or f"lower({agent})"
+    windows = [r for r in _OS_FAMILIES if r[0].startswith("windows")]
+    others = [r for r in _OS_FAMILIES if not r[0].startswith("windows")]
+    return F.expr(
+        f"CASE WHEN contains({lower}, 'windows') THEN {_first_found(lower, windows)} "
+        f"WHEN {agent} IS NOT NULL THEN coalesce({_first_found(lower, others)}, 'UNKNOWN') END"
     )
 
 
@@ -130,13 +140,13 @@ def user_agent(target: str = "agent"):
 
     def step(df: DataFrame, when: Column = ALWAYS) -> DataFrame:
         # staged columns, so that every scan of the text happens once per row
-        agent, lower, tag, family = (F.col(c) for c in ("_agent", "_lower", "_tag", "_family"))
         df = df.withColumn("_agent", masked(when, clean_agent(optional(df, target))))
-        df = df.withColumns({"_lower": F.lower(agent), "_tag": browser_tag(agent)})
-        df = df.withColumn("_family", F.when(tag.isNull(), browser_family(agent, lower)))
-        named = F.when(family == "Bot", bot_name(agent, lower)).when(family != "", family)
-        df = df.withColumn("_name", F.coalesce(tag, named, product_token(agent)))
-        values = {"agent_browser": upper_first(F.col("_name")), "agent_os": os_family(agent, lower)}
-        return put(df, values, agent.isNotNull()).drop("_agent", "_lower", "_tag", "_family", "_name")
+        df = df.withColumns({"_lower": F.lower("_agent"), "_tag": browser_tag("_agent")})
+        df = df.withColumn("_family", F.when(F.col("_tag").isNull(), browser_family("_agent", "_lower")))
+        family = F.col("_family")
+        named = F.when(family == "Bot", bot_name("_agent", "_lower")).when(family != "", family)
+        df = df.withColumn("_name", F.coalesce(F.col("_tag"), named, product_token("_agent")))
+        values = {"agent_browser": upper_first(F.col("_name")), "agent_os": os_family("_agent", "_lower")}
+        return put(df, values, F.col("_agent").isNotNull()).drop("_agent", "_lower", "_tag", "_family", "_name")
 
     return step
