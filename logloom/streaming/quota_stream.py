@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logloom.operators.quota import check_quota
 from logloom.operators.refdata import usage_totals
@@ -33,8 +34,9 @@ def quota_writer(quotas: DataFrame, root: str, order: list[str], token: str = "t
             "user_id", "limits", (F.col("current_usage") + F.coalesce("used", F.lit(0))).alias("current_usage")
         )
         target = f"{root}/events/batch_id={batch_id}"
+        flagged = T.StructType([*batch.schema.fields, T.StructField("allowed", T.BooleanType())])
         check_quota(batch, current, order, token, size).write.mode("overwrite").parquet(target)
-        checked = spark.read.schema(batch.schema.add("allowed", "boolean")).parquet(target)
+        checked = spark.read.schema(flagged).parquet(target)
         new = usage_totals(checked, token, size).select(
             F.col("token").alias("user_id"), F.col("usage").alias("used"), F.col("drop").alias("dropped")
         )
