@@ -22,7 +22,8 @@ from logloom.operators.lookup import left_lookup
 from logloom.session import cut_lineage
 
 GROUP_ROWS = 200_000
-CHUNK_ROWS = 1_000_000
+CHUNK_ROWS = 2_000_000
+MAX_CHUNKS = 20_000
 
 
 def check_quota(
@@ -117,7 +118,7 @@ def _level_rounds(rows: DataFrame, known: DataFrame, chunk_rows: int, spark) ->
     plus the sums of the chunks before it. A round only yields one row per
     token; which events passed follows from these rows at the end.
     """
-    chunks = max(1, -(-rows.count() // chunk_rows))
+    chunks = min(MAX_CHUNKS, max(1, -(-rows.count() // chunk_rows)))
     ranged = rows.repartitionByRange(chunks, "token", "_ord").withColumn("_chunk", F.spark_partition_id())
     # the written table fixes the chunk numbers, whatever task has to run again
     rows = cut_lineage(ranged, spark, "quota-rows")
@@ -158,9 +159,12 @@ def _level_rounds(rows: DataFrame, known: DataFrame, chunk_rows: int, spark) ->
         if state.limit(1).count() == 0:
             break
 
-    of_round = (F.col("_from").isNull() | (F.col("_ord") > F.col("_from"))) & (
-        F.col("_to").isNull() | (F.col("_ord") <= F.col("_to"))
-    )
-    passes = (F.col("_b") <= F.col("_T")) | F.coalesce(F.col("_ord") == F.col("_to"), F.lit(False))
-    joined = rows.select("token", "_ord", "_b").join(history, "token")
-    return joined.filter(of_round & passes).select("token", "_ord")
+    # a token has at most as many rounds as a size has digits, so its list of rounds is short
+    rounds = history.groupBy("token").agg(F.collect_list(F.struct("_R", "_T", "_from", "_to")).alias("_rounds"))
+
+    def passes(r):
+        inside = (r["_from"].isNull() | (F.col("_ord") > r["_from"])) & (r["_to"].isNull() | (F.col("_ord") <= r["_to"]))
+        ends = F.coalesce(F.col("_ord") == r["_to"], F.lit(False))
+        return inside & (F.col("_b") <= r["_R"]) & ((F.col("_b") <= r["_T"]) | ends)
+
+    return rows.select("token", "_ord", "_b").join(rounds, "token").filter(F.exists("_rounds", passes)).select("token", "_ord")

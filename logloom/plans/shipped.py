@@ -11,8 +11,10 @@ from logloom.operators import anomaly
 from logloom.operators.dates import date
 from logloom.operators.geo import geo
 from logloom.operators.grok import grok
+from logloom.operators.json_fields import json_fields
 from logloom.operators.split_kv import kv, split
 from logloom.operators.useragent import user_agent
+from logloom.operators.xml_fields import xml_fields
 from logloom.plans.steps import Step, run
 
 # fixed values: zone and time formats of the shipped types
@@ -26,6 +28,20 @@ DATE_FORMATS = {
 }
 TYPES = tuple(DATE_FORMATS)
 
+# step factories by the names a configuration table uses
+STEP_TYPES = {
+    "pattern": grok,
+    "geoip": geo,
+    "timestamp": date,
+    "user-agent": user_agent,
+    "split": split,
+    "kv": kv,
+    "json": json_fields,
+    "xml": xml_fields,
+    "regex-based-anomaly-detection": anomaly.regex_anomalies,
+    "random-anomaly-detection": anomaly.weighted_labels,
+}
+
 ANOMALY_RULES = {
     "apache_access": anomaly.WEB_RULES,
     "nginx_access": anomaly.WEB_RULES,

@@ -13,6 +13,7 @@ from logloom.session import shared_dir
 
 # fixed values: micro-batch limits
 MAX_ACTIONS = 15_000
+MAX_BYTES = "5mb"
 TRIGGER = "20 seconds"
 
 Transform = Callable[[DataFrame], DataFrame]
@@ -32,14 +33,25 @@ def kafka_stream(spark: SparkSession, topic: str, servers: str, max_offsets: int
 
 
 def file_stream(
-    spark: SparkSession, path: str, schema=None, fmt: str = "text", max_files: int | None = None, **options
+    spark: SparkSession,
+    path: str,
+    schema=None,
+    fmt: str = "text",
+    max_files: int | None = None,
+    max_bytes: int | str | None = None,
+    **options,
 ) -> DataFrame:
-    """A folder or glob of files as a stream; new files become new rows."""
+    """A folder or glob of files as a stream; new files become new rows.
+
+    ``max_files`` or ``max_bytes`` (such as :data:`MAX_BYTES`) bounds a micro-batch.
+    """
     reader = spark.readStream.format(fmt).options(**options)
     if schema is not None:
         reader = reader.schema(schema)
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    if max_bytes:
+        reader = reader.option("maxBytesPerTrigger", max_bytes)
     return reader.load(path)
 
 
@@ -49,7 +61,7 @@ def open_stream(spark: SparkSession, source: dict) -> DataFrame:
     return {"kafka": kafka_stream, "files": file_stream}[source["kind"]](spark, **arguments)
 
 
-def write_batch(batch: DataFrame, batch_id: int, root: str, fmt: str = "parquet") -> None:
+def write_batch(batch: DataFrame, batch_id: int, root: str, fmt: str = "parquet", max_records: int = 0) -> None:
     """Write one micro-batch below ``batch_id=N``, one folder per outcome and index.
 
     Writing the same batch again replaces its folder, so a replay changes
@@ -65,6 +77,7 @@ def write_batch(batch: DataFrame, batch_id: int, root: str, fmt: str = "parquet"
         batch.withColumn("outcome", outcome)
         .hint("rebalance", *keys)
         .write.mode("overwrite")
+        .option("maxRecordsPerFile", max_records)
         .partitionBy("outcome", "index_name")
         .format(fmt)
         .save(f"{root}/batch_id={batch_id}")
