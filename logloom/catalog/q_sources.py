@@ -54,6 +54,23 @@ def decode_beat_basic(spark, sf_dir):
     )
 
 
+@query(
+    "decode_beat_rejects",
+    with_events(
+        "SELECT event_id, event_id % 15 = 0 AS broken, event_id % 15 <> 0 AND event_id % 37 <> 0 AS typed FROM ev"
+    ),
+)
+def decode_beat_rejects(spark, sf_dir):
+    """Rows cut short: kept as unknown events with their raw text, and listed as rejects."""
+    sent = _beats(spark, sf_dir)
+    cut = F.substr("value", F.lit(1), F.length("value") - 3)
+    sent = sent.withColumn("value", F.when(F.col("event_id") % 15 == 0, cut).otherwise(F.col("value")))
+    rejects = decode.beat_rejects(sent).select(F.col("event_id").alias("bad_id"), "raw")
+    out = decode.beat(sent, now=lines.NOW).join(rejects, F.col("event_id") == F.col("bad_id"), "left")
+    broken = F.coalesce(F.col("raw") == F.col("message"), F.lit(False))
+    return out.select("event_id", broken.alias("broken"), (F.col("type") != "_unknown_").alias("typed"))
+
+
 @query("doc_id", with_events("SELECT event_id, concat('logs.', user_id % 4, '.', event_id) AS doc_id FROM ev"))
 def doc_id(spark, sf_dir):
     return decode.doc_id(_beats(spark, sf_dir)).select("event_id", "doc_id")

@@ -78,7 +78,7 @@ def parse_first(c: Column, formats: list[tuple]) -> Column:
 
 def strict_utc_millis(c: Column) -> Column:
     """``yyyy-MM-dd'T'HH:mm:ss.SSS'Z'`` in UTC, as shippers write it."""
-    return F.unix_millis(F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX")))
+    return F.when(c.endswith("Z"), F.unix_millis(F.try_to_timestamp(c, F.lit("yyyy-MM-dd'T'HH:mm:ss.SSSX"))))
 
 
 def now_millis(now: int | None = None) -> Column:

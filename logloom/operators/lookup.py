@@ -1,6 +1,6 @@
 """Left joins from events to reference tables that stay safe when a key is hot.
 
-The reference side is broadcast only after its row count has been checked. A
+The reference side is broadcast only after its rows and bytes have been counted. A
 larger side is joined by shuffle on (key, salt): event rows draw a salt, the
 reference rows are repeated once per salt, so one hot key is spread over
 ``SALTS`` tasks.
@@ -14,12 +14,16 @@ from pyspark.sql import functions as F
 from logloom.functions.cols import field
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 << 20
 SALTS = 16
 
 
-def fits_broadcast(side: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """True when the static frame ``side`` has at most ``rows`` rows; the count stops there."""
-    return side.limit(rows + 1).count() <= rows
+def fits_broadcast(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """True when the static frame ``side`` is small in rows and text bytes; counting stops at the row limit."""
+    texts = [F.coalesce(F.octet_length(field(c)), F.lit(0)) for c, t in side.dtypes if t == "string"]
+    width = sum(texts, F.lit(16 * len(side.columns)))
+    n, total = side.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
+    return n <= rows and (total or 0) <= size
 
 
 def left_lookup(

@@ -62,6 +62,14 @@ RAW_LIMIT = 256
 _NUMBERS = {"integer": "int", "long": "bigint", "short": "smallint", "byte": "tinyint", "float": "float", "double": "double"}
 
 
+MAPPINGS = {"apache_access": ACCESS_MAPPING}
+
+
+def mapping_for(type_: str) -> dict[str, str]:
+    """Declared mapping of an event type, the default one where none is declared."""
+    return MAPPINGS.get(type_, DEFAULT_MAPPING)
+
+
 def merge_mapping(base: Mapping[str, str], extra: Mapping[str, str]) -> dict[str, str]:
     """``base`` with further field types; an extra type replaces a declared one."""
     return {**base, **extra}

@@ -19,7 +19,8 @@ def split_parts(c: Column, delimiter: str, limit: int = -1) -> Column:
     def trimmed(a: Column) -> Column:
         last = F.aggregate(a, F.struct(F.lit(0).alias("n"), F.lit(0).alias("i")), lambda s, x: F.struct(
             F.when(x != "", s["i"] + 1).otherwise(s["n"]).alias("n"), (s["i"] + 1).alias("i")))["n"]
-        return F.slice(a, F.lit(1), last)
+        # empty text is one empty part
+        return F.when(c == "", a).otherwise(F.slice(a, F.lit(1), last))
 
     return let(parts, trimmed)
 

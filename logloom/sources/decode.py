@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from logloom.functions.cols import field, nz
 from logloom.functions.dates import now_millis, parse_first, strict_utc_millis
+from logloom.operators.split_kv import split_parts
 
 UNKNOWN = "_unknown_"
 ENVELOPE = ("token", "type", "tags", "message", "upload_type", "upload_timestamp")
@@ -23,6 +24,7 @@ BEAT_SCHEMA = (
     "`@timestamp` string, beat struct<hostname:string,name:string,version:string>, fields map<string,string>, "
     "input_type string, message string, offset bigint, source string, tags array<string>, type string"
 )
+_BAD = "_corrupt_record"
 
 
 def _others(df: DataFrame, value: str) -> list[Column]:
@@ -32,10 +34,14 @@ def _others(df: DataFrame, value: str) -> list[Column]:
 
 def beat_json(df: DataFrame, value: str = "value") -> DataFrame:
     """Shipper JSON to typed columns; ``timestamp`` is epoch millis, malformed JSON gives NULLs."""
-    parsed = df.withColumn("_j", F.from_json(field(value).cast("string"), BEAT_SCHEMA))
+    return _beat_fields(df, value).drop(_BAD)
+
+
+def _beat_fields(df: DataFrame, value: str) -> DataFrame:
+    parsed = df.withColumn("_j", F.from_json(field(value).cast("string"), f"{BEAT_SCHEMA}, {_BAD} string"))
     j = F.col("_j")
     return parsed.select(
-        *[c for c in _others(df, value)],
+        *_others(df, value),
         strict_utc_millis(j["@timestamp"]).alias("timestamp"),
         j["beat"].alias("beat"),
         j["fields"].alias("fields"),
@@ -45,18 +51,29 @@ def beat_json(df: DataFrame, value: str = "value") -> DataFrame:
         j["source"].alias("source"),
         j["tags"].alias("tags"),
         j["type"].alias("type"),
+        j[_BAD].alias(_BAD),
     )
 
 
+def beat_rejects(df: DataFrame, value: str = "value") -> DataFrame:
+    """Rows whose value is no shipper JSON."""
+    bad = _beat_fields(df.withColumn("_raw", field(value).cast("string")), value)
+    return bad.filter(F.col(_BAD).isNotNull() | F.col("_raw").isNull()).select(*_others(df, value), F.col("_raw").alias("raw"))
+
+
 def beat(df: DataFrame, value: str = "value", now: int | None = None) -> DataFrame:
-    """Shipper JSON to the envelope, with the defaults for whatever is missing."""
-    j = beat_json(df, value)
+    """Shipper JSON to the envelope, with the defaults for whatever is missing.
+
+    A malformed row becomes an event of unknown type that carries the raw text as
+    its message, so nothing is lost; see :func:`beat_rejects`.
+    """
+    j = _beat_fields(df, value)
     return j.select(
         *_others(df, value),
         nz(F.element_at(F.col("fields"), "token"), UNKNOWN).alias("token"),
         nz(F.col("type"), UNKNOWN).alias("type"),
         F.coalesce(F.col("tags"), F.array().cast("array<string>")).alias("tags"),
-        nz(F.col("message"), "_").alias("message"),
+        nz(F.coalesce(F.col("message"), F.col(_BAD)), "_").alias("message"),
         F.lit("streaming").alias("upload_type"),
         F.coalesce(F.col("timestamp"), now_millis(now)).alias("upload_timestamp"),
     )
@@ -75,7 +92,7 @@ def delimited_line(df: DataFrame, value: str = "value", now: int | None = None)
         *_others(df, value),
         F.get("_head", F.lit(0)).alias("token"),
         F.get("_head", F.lit(1)).alias("type"),
-        F.split(F.get("_head", F.lit(2)), ",").alias("tags"),
+        split_parts(F.get("_head", F.lit(2)), ",", 0).alias("tags"),
         F.get("_halves", F.lit(1)).alias("message"),
         F.get("_head", F.lit(3)).alias("upload_type"),
         now_millis(now).alias("upload_timestamp"),

@@ -44,7 +44,7 @@ def test_split_names_and_limit(rows):
     assert split_kv.split("t", r"\?")(df).first().t_parts == {"0": "a", "1": "b", "2": "c"}
 
 
-@pytest.mark.parametrize("text, size", [("a,b,,", 2), (",,", 0), ("a", 1), ("a,,b", 3)])
+@pytest.mark.parametrize("text, size", [("a,b,,", 2), (",,", 0), ("a", 1), ("a,,b", 3), ("", 1)])
 def test_split_limit_zero(rows, text, size):
     assert one(rows([(text,)], "t string"), F.size(split_kv.split_parts(F.col("t"), ",", 0))) == size
 
