@@ -52,7 +52,7 @@ def check_quota(
     room = quotas.select(F.col("user_id").alias("token"), (F.col("limits") - F.col("current_usage")).alias("_room"))
     totals = (
         rows.groupBy("token")
-        .agg(F.sum("_b").alias("_sum"), F.min("_b").alias("_min"), F.count("*").alias("_n"))
+        .agg(F.sum("_b").alias("_sum"), F.min("_b").alias("_min"), F.max("_b").alias("_top"), F.count("*").alias("_n"))
         .join(room, "token")
     )
     verdict = (
@@ -61,7 +61,7 @@ def check_quota(
         .when(F.col("_n") <= group_rows, "walk")
         .otherwise("rounds")
     )
-    known = cut_lineage(totals.select("token", "_room", verdict.alias("_case")), spark, "quota-totals")
+    known = cut_lineage(totals.select("token", "_room", "_top", verdict.alias("_case")), spark, "quota-totals")
     side = known.select(F.col("token").alias("r_token"), "_room", "_case")
     cases = left_lookup(rows, side, ["token"])
     names = events.columns
@@ -105,9 +105,8 @@ def _walk(group: pd.DataFrame) -> pd.DataFrame:
 def _level_rounds(rows: DataFrame, known: DataFrame, chunk_rows: int, spark) -> DataFrame:
     """Allowed rows of tokens with many events, by rounds of prefix sums.
 
-    In a round a token has some room R and a bar T <= R: the largest size still
-    in play if that is at most the highest power of two within R, else that
-    power. As long as the room stays at T or above, every event of size <= T
+    In a round a token has some room R and a bar T <= R: the largest size of the
+    token or the highest power of two within R, whichever is less. As long as the room stays at T or above, every event of size <= T
     passes, and the room is R minus their prefix sum. The round ends with the
     first event that takes the room below T: either such an event, or a larger
     one that happens to fit. Larger ones before it did not fit and never will.
@@ -123,18 +122,16 @@ def _level_rounds(rows: DataFrame, known: DataFrame, chunk_rows: int, spark) ->
     # the written table fixes the chunk numbers, whatever task has to run again
     rows = cut_lineage(ranged, spark, "quota-rows")
 
+    # highest power of two within R, from its binary digits; without room only size 0 passes
+    power = F.expr("CASE WHEN _R > 0 THEN shiftleft(1L, length(bin(_R)) - 1) ELSE 0 END")
+    bar = F.least(F.col("_top"), power).alias("_T")
+    nowhere = F.lit(None).cast(rows.schema["_ord"].dataType)
     state = known.filter(F.col("_case") == "rounds").select(
-        "token", F.col("_room").alias("_R"), F.lit(None).cast(rows.schema["_ord"].dataType).alias("_from")
+        "token", "_top", F.col("_room").alias("_R"), nowhere.alias("_from")
     )
     history = None
     while True:
-        open_rows = rows.select("token", "_ord", "_b", "_chunk").join(state, "token")
-        open_rows = open_rows.filter((F.col("_from").isNull() | (F.col("_ord") > F.col("_from"))) & (F.col("_b") <= F.col("_R")))
-        top = open_rows.groupBy("token").agg(F.max("_b").alias("_top"))
-        # highest power of two within R, from its binary digits; without room only size 0 passes
-        power = F.when(F.col("_R") > 0, F.expr("shiftleft(1L, length(bin(_R)) - 1)")).otherwise(0)
-        bars = state.join(top, "token").withColumn("_T", F.least(F.col("_top"), power)).drop("_top")
-
+        bars = state.select("*", bar)
         play = rows.select("token", "_ord", "_b", "_chunk").join(bars, "token")
         play = play.filter((F.col("_from").isNull() | (F.col("_ord") > F.col("_from"))) & (F.col("_b") <= F.col("_R")))
         small = F.when(F.col("_b") <= F.col("_T"), F.col("_b")).otherwise(0)
@@ -149,12 +146,12 @@ def _level_rounds(rows: DataFrame, known: DataFrame, chunk_rows: int, spark) ->
             F.min(F.struct("_ord", (room - F.col("_b")).alias("left"))).alias("_end")
         )
         done = bars.join(last, "token", "left").select(
-            "token", "_R", "_T", "_from", F.col("_end._ord").alias("_to"), F.col("_end.left").alias("_left")
+            "token", "_top", "_R", "_T", "_from", F.col("_end._ord").alias("_to"), F.col("_end.left").alias("_left")
         )
         done = cut_lineage(done, spark, "quota-round")
         history = done if history is None else history.unionByName(done)
         state = done.filter(F.col("_to").isNotNull()).select(
-            "token", F.col("_left").alias("_R"), F.col("_to").alias("_from")
+            "token", "_top", F.col("_left").alias("_R"), F.col("_to").alias("_from")
         )
         if state.limit(1).count() == 0:
             break
