@@ -130,6 +130,7 @@ _ALIAS_SQL = (
 
 
 def _alias(spark, sf_dir, **options):
+    """All events against an alias table that knows a third of the tokens; the others must stay, with NULL."""
     aliases = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(
         F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("user"),
         F.concat(F.lit("idx-"), F.lower("c_mktsegment")).alias("indexs"),
@@ -244,6 +245,7 @@ _DELTA_SQL = (
 
 
 def _delta(spark, sf_dir):
+    """Totals of all events against an older snapshot of the totals."""
     sized = sized_events(spark, sf_dir)
     last = sized.filter("event_id % 2 = 0").groupBy("token").agg(F.floor(F.sum("bytes") / 10).cast("bigint").alias("usage"), F.lit(0).alias("drop"))
     current = refdata.usage_totals(sized.withColumn("allowed", F.col("bytes") % 5 != 0))

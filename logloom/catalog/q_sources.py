@@ -151,10 +151,11 @@ def decode_flat_rejects(spark, sf_dir):
     return decode.flat_json_rejects(_flat(spark, sf_dir)).select("event_id")
 
 
-def event_stream(spark, sf_dir):
+def event_stream(spark, sf_dir, partitions=None):
     """The whole ``events`` table as a file stream (the glob also fits a single file)."""
     schema = table(spark, sf_dir, "events").schema
-    return stream.open_stream(spark, {"kind": "files", "path": f"{sf_dir}/events.parque[t]", "schema": schema, "fmt": "parquet"})
+    source = {"kind": "files", "path": f"{sf_dir}/events.parque[t]", "schema": schema, "fmt": "parquet", "partitions": partitions}
+    return stream.open_stream(spark, source)
 
 
 @query("src_event_stream", "SELECT event_id, user_id, event_type, props FROM events")

@@ -23,7 +23,8 @@ _KIND = "apache_access"
 def stream_end_to_end(spark, sf_dir):
     """The ingest of web access lines as a stream into the index sink, read back."""
     ranges = ranges_from_longs(lines.geo_ranges(spark, sf_dir))
-    sink, _ = stream.run_once(event_stream(spark, sf_dir), lambda df: q_ingest.documents(lines.derived(df), ranges, _KIND), "end-to-end")
+    source = event_stream(spark, sf_dir, spark.sparkContext.defaultParallelism)
+    sink, _ = stream.run_once(source, lambda df: q_ingest.documents(lines.derived(df), ranges, _KIND), "end-to-end")
     return q_ingest.shown(stream.read_index(spark, sink), _KIND)
 
 

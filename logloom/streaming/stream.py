@@ -19,8 +19,13 @@ TRIGGER = "20 seconds"
 Transform = Callable[[DataFrame], DataFrame]
 
 
-def kafka_stream(spark: SparkSession, topic: str, servers: str, max_offsets: int = MAX_ACTIONS, **options) -> DataFrame:
-    """One topic as rows of topic, partition, offset and text value, from the earliest offset."""
+def kafka_stream(
+    spark: SparkSession, topic: str, servers: str, max_offsets: int = MAX_ACTIONS, partitions: int | None = None, **options
+) -> DataFrame:
+    """One topic as rows of topic, partition, offset and text value, from the earliest offset.
+
+    ``partitions`` splits the ranges of few or uneven topic partitions over at least so many tasks.
+    """
     reader = (
         spark.readStream.format("kafka")
         .option("kafka.bootstrap.servers", servers)
@@ -29,6 +34,8 @@ def kafka_stream(spark: SparkSession, topic: str, servers: str, max_offsets: int
         .option("maxOffsetsPerTrigger", max_offsets)
         .options(**options)
     )
+    if partitions:
+        reader = reader.option("minPartitions", partitions)
     return reader.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
 
 
@@ -39,11 +46,13 @@ def file_stream(
     fmt: str = "text",
     max_files: int | None = None,
     max_bytes: int | str | None = None,
+    partitions: int | None = None,
     **options,
 ) -> DataFrame:
     """A folder or glob of files as a stream; new files become new rows.
 
     ``max_files`` or ``max_bytes`` (such as :data:`MAX_BYTES`) bounds a micro-batch.
+    ``partitions`` deals the rows of few small files out to so many tasks.
     """
     reader = spark.readStream.format(fmt).options(**options)
     if schema is not None:
@@ -52,7 +61,8 @@ def file_stream(
         reader = reader.option("maxFilesPerTrigger", max_files)
     if max_bytes:
         reader = reader.option("maxBytesPerTrigger", max_bytes)
-    return reader.load(path)
+    rows = reader.load(path)
+    return rows.repartition(partitions) if partitions else rows
 
 
 def open_stream(spark: SparkSession, source: dict) -> DataFrame:
