@@ -69,22 +69,26 @@ def _steps(path: str) -> list[str]:
     return ["//" + p[1:] if p.startswith("\0") else p for p in parts if p]
 
 
-def _collect(found: dict, names: list[str], nodes, level: int, max_level: int) -> None:
-    if level >= max_level:
+def _entries(node, above: tuple, max_level: int) -> Iterator[tuple[str, str]]:
+    """(key, text) pairs of a node and of what lies below it; ``above`` holds the element names passed so far."""
+    if len(above) >= max_level:
         return
-    here = "-".join(names)
-    for node in nodes:
-        text = (node.nodeValue or "").strip()
-        if text:
-            if node.nodeType == Node.TEXT_NODE:
-                found[here] = text
-            elif node.nodeName.startswith("#"):
-                found[here + node.nodeName] = text
-            else:
-                found["-".join([*names, node.nodeName])] = text
-        for name, value in node.attributes.items() if node.attributes else ():
-            found[f"{here}#{name}"] = value
-        _collect(found, [*names, node.nodeName], node.childNodes, level + 1, max_level)
+    prefix = "-".join(above)
+    if node.nodeType == Node.ELEMENT_NODE:
+        for name, value in node.attributes.items():
+            yield f"{prefix}#{name}", value
+        for child in node.childNodes:
+            yield from _entries(child, (*above, node.nodeName), max_level)
+        return
+    text = (node.nodeValue or "").strip()
+    if not text:
+        return
+    if node.nodeType == Node.TEXT_NODE:
+        yield prefix, text
+    elif node.nodeName.startswith("#"):
+        yield prefix + node.nodeName, text
+    else:
+        yield "-".join((*above, node.nodeName)), text
 
 
 def xml_flatten(c: Column, paths: Sequence[str], max_level: int = 10) -> Column:
@@ -105,10 +109,9 @@ def xml_flatten(c: Column, paths: Sequence[str], max_level: int = 10) -> Column:
                 document = minidom.parseString(text.strip().encode("utf-8"))
             except ExpatError:
                 return None
-            found: dict[str, str] = {}
-            for steps in wanted:
-                _collect(found, [], _select([document], steps), 0, max_level)
-            return found
+            nodes = [node for steps in wanted for node in _select([document], steps)]
+            # of equal keys the last wins
+            return dict(pair for node in nodes for pair in _entries(node, (), max_level))
 
         for batch in batches:
             yield batch.map(one, na_action=None)

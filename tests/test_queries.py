@@ -18,6 +18,9 @@ def test_every_query_has_an_oracle():
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, con, name):
-    got = QUERIES[name](spark, SF_DIR).toPandas()
+    df = QUERIES[name](spark, SF_DIR)
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    got = df.toPandas()
     assert compare(got, con.execute(ORACLES[name]).df()) is None
     assert len(got) > 0 or name == "pred_find"
