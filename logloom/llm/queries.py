@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import chat_format, packing, transducer
+from logloom.llm import chat_format, divergence, order_minhash, packing, transducer
 from logloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -32,12 +32,23 @@ def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def op3_js_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.judge(documents(spark, sf_dir))
+
+
 @query
 def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pieces(documents(spark, sf_dir))
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+@query
+def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = order_minhash.edits(documents(spark, sf_dir))
+    return out.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited")
+
+
 @query
 def op10_chat_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
