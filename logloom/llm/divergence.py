@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.bpe import code_points
-from logloom.llm.common import chunks, map_rows
+from logloom.llm.common import chunks, map_rows, saved
 
 LEAST_LANGUAGE, COMMON = 0.01, 0.002
 #: A distance counts from so many letters and signs, or words, on.
@@ -90,7 +90,7 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
         yield out()
 
     counts = map_rows(docs.select(text, F.col(lang).cast("string").alias(lang)), count, "lang string, cls int, word binary, n long")
-    counts = counts.groupBy("lang", "cls", "word").agg(F.sum("n").alias("n"))
+    counts = saved(counts.groupBy("lang", "cls", "word").agg(F.sum("n").alias("n")), "counts")
     totals = {r.lang: r.n for r in _languages(counts).collect()}  # at most 1 / LEAST_LANGUAGE rows
     least = F.lit(None).cast("double")
     for name, n in totals.items():

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import chat_format, divergence, order_minhash, packing, transducer
+from logloom.llm import chat_format, divergence, line_windows, ngram_join, order_minhash, packing, transducer
 from logloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -43,12 +43,41 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+@query
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = ngram_join.near_classes(documents(spark, sf_dir))
+    return out.select(F.col("uid").alias("doc_id"), "class_id", "n_links")
+
+
 @query
 def op7_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = order_minhash.edits(documents(spark, sf_dir))
     return out.withColumn("edited_sha256", F.sha2(F.col("edited").cast("binary"), 256)).drop("edited")
 
 
+@query
+def op8_line_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_windows.dedup_lines(documents(spark, sf_dir)).select("doc_id", "text", "n_lines", "n_removed")
+
+
+ORACLES["op8_line_windows"] = r"""
+WITH d AS (SELECT doc_id, text, string_split(text, chr(10)) AS lines FROM documents),
+w AS (
+  SELECT doc_id, i, [lines[i], lines[i + 1], lines[i + 2]] AS win
+  FROM d, unnest(range(1, len(lines) - 1)) AS r(i)
+  WHERE trim(lines[i] || lines[i + 1] || lines[i + 2]) <> ''
+), later AS (
+  SELECT doc_id, i FROM w QUALIFY row_number() OVER (PARTITION BY win ORDER BY doc_id, i) > 1
+), gone AS (
+  SELECT DISTINCT doc_id, i + k AS i FROM later, unnest([0, 1, 2]) AS r(k)
+), cut AS (SELECT doc_id, list(i) AS cut FROM gone GROUP BY doc_id)
+SELECT doc_id,
+  CASE WHEN cut IS NULL THEN text ELSE array_to_string([x FOR x, i IN lines IF NOT list_contains(cut, i)], chr(10)) END AS text,
+  coalesce(len(lines), 0) AS n_lines, coalesce(len(cut), 0) AS n_removed
+FROM d LEFT JOIN cut USING (doc_id)
+"""
+
+
 @query
 def op10_chat_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")

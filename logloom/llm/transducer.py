@@ -2,7 +2,7 @@
 
 Frequent words are compiled into a minimal subsequential automaton: equal suffixes share states and the ids of
 a word are the joined outputs of its arcs. The automaton is one flat file, fetched once per executor and
-memory-mapped by its workers. Words it does not accept are merged exactly, so the lexicon size changes speed,
+memory-mapped by its workers. Words it does not accept are merged exactly, so its size changes speed,
 never results.
 
 Defined cases: a null or empty text has no ids and decodes to the empty string; repeated rows are encoded each;
@@ -19,10 +19,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.bpe import Bpe, Encoder, code_points, default_vocabulary, word_starts
-from logloom.llm.common import chunks, map_rows, ship_file
+from logloom.llm.common import chunks, map_rows, saved, ship_file
 
-#: Words compiled into the automaton: bounds its size (about 10 MB) and the rows read back for it.
-LEXICON_WORDS = 50_000
+#: A word is compiled into the automaton from this share of all repeated words on; bounds it to 1 / share words.
+LEAST_SHARE = 4e-6
+KEPT_WORDS = 1_000_000
 NONE: tuple[int, ...] = ()
 
 
@@ -147,32 +148,39 @@ class Transducer:
         return out
 
 
-def frequent_words(docs: DataFrame, text: str = "text", n: int = LEXICON_WORDS) -> list[str]:
-    """The ``n`` most frequent words of all texts; counts are combined in the tasks and by one shuffle."""
+def frequent_words(docs: DataFrame, text: str = "text", least: float = LEAST_SHARE) -> list[str]:
+    """Words that make up at least ``least`` of all repeated words: at most 1 / least.
+
+    Counts are combined in the tasks and by one shuffle.
+    """
 
     def count(batches):
+        seen: Counter = Counter()
         for batch in batches:
-            texts = [t or "" for t in batch[text]]
+            texts = [t for t in batch[text] if t]
             for a, b in chunks(texts):
-                some = [t for t in texts[a:b] if t]
-                joined = "".join(some)
-                ends = np.cumsum([len(t) for t in some])
-                starts = word_starts(code_points(joined), np.concatenate([[0], ends[:-1]]).astype(np.int64)) if some else []
-                edges = [*map(int, starts), len(joined)]
-                found = Counter([joined[x:y] for x, y in zip(edges, edges[1:], strict=False)])
-                yield {"word": list(found), "n": list(found.values())}
+                joined = "".join(texts[a:b])
+                size = np.cumsum([len(t) for t in texts[a:b]])
+                edges = [*word_starts(code_points(joined), np.append(0, size[:-1])).tolist(), len(joined)]
+                seen.update([joined[x:y] for x, y in zip(edges, edges[1:], strict=False)])
+            if len(seen) > KEPT_WORDS:
+                yield {"word": list(seen), "n": list(seen.values())}
+                seen.clear()
+        yield {"word": list(seen), "n": list(seen.values())}
 
     counts = map_rows(docs.select(text), count, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
-    return [r.word for r in counts.orderBy(F.desc("n"), "word").limit(n).collect()]
+    counts = saved(counts.where("n > 1"), "words")
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    return [r.word for r in counts.where(F.col("n") >= total * least).select("word").collect()]
 
 
-def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", lexicon_words: int = LEXICON_WORDS) -> DataFrame:
+def encode(docs: DataFrame, vocabulary: str | None = None, text: str = "text", least_share: float = LEAST_SHARE) -> DataFrame:
     """``doc_id, ids binary`` (little-endian unsigned 32-bit) and ``decoded string`` of every text."""
     spark = docs.sparkSession
     with open(vocabulary or default_vocabulary(), encoding="utf-8") as file:
         spec = file.read()
     bpe = Bpe(spec)
-    words = [w.encode("utf-8", "surrogatepass") for w in frequent_words(docs, text, lexicon_words)]
+    words = [w.encode("utf-8", "surrogatepass") for w in frequent_words(docs, text, least_share)]
     entries = {w: np.frombuffer(ids, "<u4").tolist() for w, ids in zip(words, bpe.merge_many(words), strict=True)}
     name = ship_file(spark, compile_lexicon(entries).tobytes(), "lexicon.bin")
     vocab = spark.sparkContext.broadcast(spec)  # a fixed file of about 2 MB
