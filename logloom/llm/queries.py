@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import chat_format, divergence, line_windows, ngram_join, order_minhash, packing, transducer
+from logloom.llm import chat_format, divergence, line_windows, ngram_join, order_minhash, packing, surrogates, transducer
 from logloom.llm.common import documents
 
+#: Key of the registered query; a real run brings its own.
+SURROGATE_KEY = "logloom-sample-key"
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
@@ -43,6 +46,12 @@ def op4_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(pieces.select("doc_id", "piece", "start", "length", F.crc32("ids").alias("ids_crc32")))
 
 
+@query
+def op5_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = surrogates.replace_entities(documents(spark, sf_dir), SURROGATE_KEY)
+    return out.select("doc_id", "text", "n_entities")
+
+
 @query
 def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = ngram_join.near_classes(documents(spark, sf_dir))
