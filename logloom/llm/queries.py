@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import chat_format, divergence, line_windows, ngram_join, order_minhash, packing, surrogates, transducer
+from logloom.llm import chat_format, crf_langid, divergence, line_windows, ngram_join, order_minhash, packing, surrogates, transducer
 from logloom.llm.common import documents
 
 #: Key of the registered query; a real run brings its own.
@@ -24,6 +24,12 @@ def query(fn: Query) -> Query:
     return fn
 
 
+@query
+def op1_crf_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = crf_langid.identify(documents(spark, sf_dir))
+    return out.select("doc_id", crf_langid.held_out().alias("held_out"), "lang_pred", "score", F.size("segments").alias("n_segments"))
+
+
 @query
 def op2_bpe_transducer(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = transducer.encode(documents(spark, sf_dir))
