@@ -261,8 +261,8 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[Crf,
     return model, lexicon
 
 
-def label(docs: DataFrame, learned: tuple[Crf, dict[str, np.ndarray]] | None, text: str = "text") -> DataFrame:
-    """``doc_id, lang_pred, score, segments``: runs of words of one language, as first word, words, language."""
+def label(docs: DataFrame, learned: tuple[Crf, dict[str, np.ndarray]] | None, text: str = "text", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """The columns ``keep`` and ``lang_pred, score, segments``: runs of words of one language, as first word, words, language."""
     shared = docs.sparkSession.sparkContext.broadcast(learned)  # bounded: feature table and lexicon
 
     def run(batches):
@@ -277,7 +277,7 @@ def label(docs: DataFrame, learned: tuple[Crf, dict[str, np.ndarray]] | None, te
             for a, b in chunks(texts):
                 split = [t.split() for t in texts[a:b]]
                 size = np.array([len(s) for s in split], np.int64)
-                out = {"doc_id": batch["doc_id"][a:b], "lang_pred": ["und"] * (b - a), "score": [0.0] * (b - a), "segments": [[] for _ in split]}
+                out = {c: batch[c][a:b] for c in keep} | {"lang_pred": ["und"] * (b - a), "score": [0.0] * (b - a), "segments": [[] for _ in split]}
                 if learned and size.any():
                     words = [w for s in split for w in s]
                     if len(place) > KEPT_WORDS:
@@ -312,10 +312,10 @@ def label(docs: DataFrame, learned: tuple[Crf, dict[str, np.ndarray]] | None, te
                             out["segments"][i] = []
                 yield out
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    return map_rows(docs.select("doc_id", text), run, f"doc_id {kind}, lang_pred string, score double, segments array<struct<start:int,words:int,lang:string>>")
+    kept = "".join(f"`{c}` {docs.schema[c].dataType.simpleString()}, " for c in keep)
+    return map_rows(docs.select(*dict.fromkeys([*keep, text])), run, f"{kept}lang_pred string, score double, segments array<struct<start:int,words:int,lang:string>>")
 
 
-def identify(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
+def identify(docs: DataFrame, text: str = "text", lang: str = "lang", keep: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Labels for all ``docs``; learned from those with a language that are not held out."""
-    return label(docs, learn(docs.where(~held_out()), text, lang), text)
+    return label(docs, learn(docs.where(~held_out()), text, lang), text, keep)

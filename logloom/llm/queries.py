@@ -7,7 +7,18 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from logloom.llm import chat_format, crf_langid, divergence, line_windows, ngram_join, order_minhash, packing, surrogates, transducer
+from logloom.llm import (
+    attention_lm,
+    chat_format,
+    crf_langid,
+    divergence,
+    line_windows,
+    ngram_join,
+    order_minhash,
+    packing,
+    surrogates,
+    transducer,
+)
 from logloom.llm.common import documents
 
 #: Key of the registered query; a real run brings its own.
@@ -93,6 +104,11 @@ FROM d LEFT JOIN cut USING (doc_id)
 """
 
 
+@query
+def op9_attention_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.score_texts(documents(spark, sf_dir))
+
+
 @query
 def op10_chat_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
