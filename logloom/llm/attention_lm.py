@@ -1,8 +1,9 @@
 """Language-model scoring by causal self-attention over subword ids, in numpy.
 
 A text (A to Z in lower case) is encoded with a given vocabulary and ends with an end mark. Frequent ids are classes of
-their own, the others share classes; the attention model predicts the next class from the classes before it, and an id's
-share of its class comes from its count. Long texts are cut into windows that overlap; each token is scored once, in the
+their own, the others share classes, finer ones where they are read than where they are predicted; the attention model
+predicts the next class from those before it, and an id's share of its class comes from its counts, after the id
+before it and at all. Long texts are cut into windows that overlap; each token is scored once, in the
 first window that holds it, with at least ``OVERLAP`` tokens of context after the first window.
 
 Word and id counts cover all training texts. The weights are first fitted on a bounded sample, then refined once on
@@ -29,13 +30,17 @@ from pyspark.sql import functions as F
 from logloom.llm.bpe import Bpe, Encoder, default_vocabulary
 from logloom.llm.common import chunks, map_rows, saved
 
+#: Ids with a class of their own and shared classes: predicted, read.
 OWN, SHARED = 112, 48
 CLASSES = OWN + SHARED
-WINDOW, OVERLAP, WIDTH, HEADS, HIDDEN = 32, 8, 16, 2, 32
+READ_OWN, READ_SHARED = 1984, 64
+WINDOW, OVERLAP, WIDTH, HEADS, HIDDEN = 32, 8, 24, 2, 48
+#: Counts of ids after read classes are used from this share of the tokens on (at most 5,000,000), with so much weight of the plain share.
+PAIR_SHARE, PLAIN = 2e-7, 10.0
 #: Windows scored at once.
 BATCH = 256
-#: Bounds of the first fit; rates of both fits; every STRIDE-th window refines.
-FIT_TEXTS, FIT_WINDOWS, EPOCHS, RATE, REFINE_RATE, STRIDE, SEED = 600, 12_000, 3, 4e-3, 5e-4, 64, 11
+#: Bounds of the first fit (texts, windows a rate); rates of both fits; every STRIDE-th window refines.
+FIT_TEXTS, FIT_WINDOWS, RATES, REFINE_RATE, STRIDE, SEED = 3000, 12_000, (0.02, 0.02, 0.01, 0.004, 0.001), 3e-4, 64, 11
 #: A word is looked up in the tasks from this share of the training tokens on: at most 1,000,000 words.
 FREQUENT = 1e-6
 KEPT_WORDS = 1_000_000
@@ -52,7 +57,7 @@ class Attention:
 
     def __init__(self, weights: dict[str, np.ndarray] | None = None):
         rng = np.random.default_rng(SEED)
-        shapes = {"emb": (CLASSES, WIDTH), "pos": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "o": (WIDTH, WIDTH), "w1": (WIDTH, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, WIDTH), "out": (WIDTH, CLASSES), "bias": (CLASSES,)}
+        shapes = {"emb": (READ_OWN + READ_SHARED, WIDTH), "pos": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "o": (WIDTH, WIDTH), "w1": (WIDTH, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, WIDTH), "out": (WIDTH, CLASSES), "bias": (CLASSES,)}
         self.w = weights or {n: np.zeros(s, np.float32) if n in ("bias", "b1") else (rng.normal(0, 0.3 if n == "emb" else 0.1 if n == "pos" else s[0] ** -0.5, s)).astype(np.float32) for n, s in shapes.items()}
         self.later = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
@@ -127,24 +132,43 @@ class Attention:
                     self.w[n] -= (rate * (m[n] / (1 - 0.9**step)) / (np.sqrt(s[n] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
 
 
+def _grouped(counts: np.ndarray, spaced: np.ndarray, own: int, shared: int) -> np.ndarray:
+    """A class for every id: the ``own`` most frequent have their own; of the rest, by kind (word start or not), ids of like frequency share one."""
+    order = np.lexsort((np.arange(len(counts)), -counts))
+    of = np.empty(len(counts), np.int64)
+    of[order[:own]] = np.arange(min(own, len(counts)))
+    half = shared // 2
+    for kind in (0, 1):
+        ids = order[own:][spaced[order[own:]] == kind]
+        mass = np.cumsum(np.sqrt(counts[ids] + 1.0))
+        if len(ids):
+            of[ids] = own + kind * half + np.minimum((mass / mass[-1] * half).astype(int), half - 1)
+    return of
+
+
 class Classes:
-    """Class of every id and its natural log share of the class, from counts (one is added to each)."""
+    """Classes of every id, predicted (``of``) and read (``read``), and an id's share of its predicted class."""
 
     def __init__(self, counts: np.ndarray, spaced: np.ndarray):
-        n = len(counts)
-        order = np.lexsort((np.arange(n), -counts))
-        self.of = np.empty(n, np.int64)
-        self.of[order[:OWN]] = np.arange(OWN)
-        tail = order[OWN:]
-        # of either kind (word start or not), ids of like frequency share a class
-        half = SHARED // 2
-        for kind in (0, 1):
-            own = tail[spaced[tail] == kind]
-            mass = np.cumsum(np.sqrt(counts[own] + 1.0))
-            self.of[own] = OWN + kind * half + np.minimum((mass / max(mass[-1], 1) * half).astype(int), half - 1) if len(own) else 0
+        self.of = _grouped(counts, spaced, OWN, SHARED)
+        self.read = _grouped(counts, spaced, READ_OWN, READ_SHARED)
         smooth = counts + 1.0
-        total = np.bincount(self.of, smooth, CLASSES)
-        self.share = np.log(smooth / total[self.of])
+        self.plain = smooth / np.bincount(self.of, smooth, CLASSES)[self.of]
+        self.after(np.empty(0, np.int64), np.empty(0, np.int64))
+
+    def after(self, keys: np.ndarray, counts: np.ndarray) -> None:
+        """Counts of ids after read classes; a key is class * ids + id."""
+        order = np.argsort(keys)
+        self.keys, self.counts, n = keys[order], counts[order].astype(np.float64), len(self.of)
+        places = READ_OWN + READ_SHARED
+        self.sums = np.bincount(self.keys // n * CLASSES + self.of[self.keys % n], self.counts, places * CLASSES)
+
+    def log_share(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        key, seen = before * len(self.of) + ids, 0.0
+        if len(self.keys):
+            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+            seen = np.where(self.keys[at] == key, self.counts[at], 0.0)
+        return np.log((seen + PLAIN * self.plain[ids]) / (self.sums[before * CLASSES + self.of[ids]] + PLAIN))
 
 
 def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -160,13 +184,13 @@ def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def joined(ids: list[bytes], classes: Classes, end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Ids to predict of joined texts, the classes before them, and the texts' sizes."""
+    """Ids to predict of joined texts, the read classes before them, and the texts' sizes."""
     mark = np.array([end_id], np.uint16).tobytes()
     wanted = np.frombuffer(b"".join(x + mark for x in ids), np.uint16).astype(np.int64)
     sizes = np.array([len(x) // 2 + 1 for x in ids], np.int64)
     context = np.empty(len(wanted), np.int64)
-    context[1:] = classes.of[wanted[:-1]]
-    context[np.cumsum(sizes) - sizes] = classes.of[end_id]
+    context[1:] = classes.read[wanted[:-1]]
+    context[np.cumsum(sizes) - sizes] = classes.read[end_id]
     return wanted, context, sizes
 
 
@@ -179,7 +203,7 @@ def score(model: Attention, classes: Classes, ids: list[bytes], end_id: int) ->
         rows, mask = place[at : at + BATCH], scored[at : at + BATCH]
         states = model.hidden(context[rows])[mask]
         tokens = rows[mask]
-        value = model.log_probs(states, goal[tokens]) + classes.share[wanted[tokens]]
+        value = model.log_probs(states, goal[tokens]) + classes.log_share(context[tokens], wanted[tokens])
         out += np.bincount(np.broadcast_to(text[at : at + BATCH, None], mask.shape)[mask], value, len(ids))
     return out
 
@@ -244,6 +268,19 @@ def _fit(encoded: DataFrame, bpe: Bpe, end_id: int) -> tuple[Attention, Classes]
     if not counts.any():
         return model, classes
 
+    def pairs(batches):
+        found: dict[int, int] = {}
+        for batch in batches:
+            for a in range(0, len(batch["ids"]), 500):
+                wanted, context, _ = joined(batch["ids"][a : a + 500], classes, end_id)
+                for k, n in zip(*(x.tolist() for x in np.unique(context * size + wanted, return_counts=True)), strict=True):
+                    found[k] = found.get(k, 0) + n
+        yield {"key": list(found), "n": list(found.values())}
+
+    after = map_rows(train, pairs, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    after = after.where(F.col("n") >= max(2.0, PAIR_SHARE * float(counts.sum()))).toArrow()
+    classes.after(after["key"].to_numpy(), after["n"].to_numpy())
+
     def picked(ids: list[bytes], most: int | None, every: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         wanted, context, sizes = joined(ids, classes, end_id)
         place, scored, _ = windows(sizes)
@@ -254,7 +291,10 @@ def _fit(encoded: DataFrame, bpe: Bpe, end_id: int) -> tuple[Attention, Classes]
     sample = encoded.where("NOT held_out").where(part).select("uid", "ids").where(F.length("ids") < 200_000).limit(2 * FIT_TEXTS).collect()
     if sample:
         model.w["bias"] = np.log(np.bincount(classes.of, counts, CLASSES) + 1.0).astype(np.float32)
-        model.train(*picked([bytes(r.ids) for r in sorted(sample, key=lambda r: r.uid)], FIT_WINDOWS, 1), RATE, EPOCHS)
+        some = picked([bytes(r.ids) for r in sorted(sample, key=lambda r: r.uid)], FIT_WINDOWS * len(RATES), 1)
+        for k, rate in enumerate(RATES):  # each rate gets a share of the windows, or all of a small sample
+            part = slice(k, None, len(RATES)) if len(some[0]) > FIT_WINDOWS else slice(None)
+            model.train(*(x[part] for x in some), rate, 1)
     shared = encoded.sparkSession.sparkContext.broadcast((model.w, classes))
     names = list(model.w)
 
