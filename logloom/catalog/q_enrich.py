@@ -293,20 +293,22 @@ def json_flatten(spark, sf_dir):
 @query(
     "json_flatten_paths",
     with_events(
-        "SELECT event_id, CASE WHEN event_id % 12 <> 0 THEN concat('0=', event_type, ';id=', event_id, ';k=', k, ';user-name=', token, ';y=2') END AS fields FROM ev"
+        "SELECT event_id, CASE WHEN event_id % 12 <> 0 THEN concat('0=', event_type, ';2={\"deep\":{\"x\":[1,{\"y\":2}]}};id=', event_id, ';k=', k, ';user-name=', token, ';y=2') END AS fields FROM ev"
     ),
 )
 def json_flatten_paths(spark, sf_dir):
     """Several paths: a scalar takes the joined path names, an object its keys, a wildcard its positions."""
     paths = ["$.id", "$.user.name", "$.props", "$.user.tags[2].deep.x[1]"]
     fields = json_fields.flatten(F.col("doc"), [*paths, "$.user.tags[*]"], 1)
-    return _nested(spark, sf_dir).select("event_id", map_text(F.map_filter(fields, lambda k, v: k != "2")).alias("fields"))
+    return _nested(spark, sf_dir).select("event_id", map_text(fields).alias("fields"))
 
 
 def _xml(spark, sf_dir):
-    """XML of all events; every fourteenth is malformed."""
+    """XML of all events; every fourteenth is malformed, in turn inside the root or after it."""
     text = F.expr("concat('<e id=\"', event_id, '\"><t lang=\"', event_type, '\"> ', token, ' </t><s><u>', user_id, '</u></s><v/></e>')")
-    text = F.when(F.col("event_id") % 14 == 0, F.expr("concat('<e id=\"', event_id, '\"><t>')")).otherwise(text)
+    broken = ["<e><t>", "<e/>junk", "<e/><e/>", "<e>1</e> tail <", "text", "</e>"]
+    turn = (F.floor(F.col("event_id") / 14) % len(broken)).cast("int")
+    text = F.when(F.col("event_id") % 14 == 0, F.get(F.array(*map(F.lit, broken)), turn)).otherwise(text)
     return lines.events(spark, sf_dir).select("event_id", text.alias("doc"))
 
 

@@ -44,7 +44,7 @@ OUTPUT = {
 def documents(ev: DataFrame, ranges: DataFrame, kind: str) -> DataFrame:
     """Derived events through transport, decoder, shipped steps and index naming."""
     sent = lines.transported(ev, lines.beat_json(MESSAGES[kind](), F.lit(kind)))
-    docs = ingest(decode.doc_id(decode.beat(sent, now=lines.NOW)), ranges, [kind])
+    docs = ingest(decode.doc_id(decode.beat(sent, now=lines.NOW)), ranges, [kind], lines.NOW)
     return docs.withColumn("index_name", rotation.index_name(F.col("token"), F.col("type")))
 
 
@@ -101,7 +101,9 @@ def oracle(kind: str) -> str:
     if kind == "apache_error":
         derived = {n: f"CASE WHEN event_id % 3 <> 0 THEN {e} END" for n, e in derived.items()}
     picks = {"event_timestamp": _SECOND, **{f: _PARSED[kind][f] for f in FIELDS[kind]}, **{f: derived[f] for f in OUTPUT[kind]}}
-    columns = ", ".join(f"CASE WHEN {live} THEN {e} END AS {n}" for n, e in picks.items())
+    # a line without a time of its own gets the current one
+    late = {"event_timestamp": f" WHEN event_id % 37 <> 0 THEN '{lines.NOW}'"}
+    columns = ", ".join(f"CASE WHEN {live} THEN {e}{late.get(n, '')} END AS {n}" for n, e in picks.items())
     head = (
         "event_id, concat('logs.', user_id % 4, '.', event_id) AS doc_id, concat(CASE WHEN event_id % 23 <> 0 THEN token ELSE '_unknown_' END, '.', "
         f"CASE WHEN event_id % 37 <> 0 THEN '{kind}' ELSE '_unknown_' END) AS index_name"
@@ -126,8 +128,8 @@ _ALL_SQL = with_events(
     "SELECT event_id, concat(CASE WHEN event_id % 23 <> 0 THEN token ELSE '_unknown_' END, '.', CASE WHEN event_id % 37 <> 0 THEN "
     + _by_type({k: f"'{k}'" for k in MESSAGES}, "'other'")
     + " ELSE '_unknown_' END) AS index_name, "
-    + f"CASE WHEN {_LIVE} THEN "
-    + _by_type({k: f"CASE WHEN is_line THEN {_SECOND} END" if k.endswith("access") else _SECOND for k in MESSAGES})
+    + "CASE WHEN event_id % 37 <> 0 THEN "
+    + _by_type({k: f"CASE WHEN {_LIVE}{' AND is_line' if k.endswith('access') else ''} THEN {_SECOND} ELSE '{lines.NOW}' END" for k in MESSAGES})
     + f" END AS event_timestamp, CASE WHEN {_LIVE} THEN "
     + _by_type({k: _PARSED[k]["loglevel"] for k in ("apache_error", "nginx_error", "mysql_error")})
     + f" END AS loglevel, CASE WHEN {_LIVE} AND is_line THEN "
@@ -161,7 +163,7 @@ def ingest_all(spark, sf_dir):
     # build only the message of the row's own type
     message = F.coalesce(*[F.when(at == i, m()) for i, m in enumerate(MESSAGES.values())], F.lit("plain text"))
     sent = lines.transported(ev, lines.beat_json(message, kind))
-    docs = ingest(decode.doc_id(decode.beat(sent, now=lines.NOW)), ranges_from_longs(lines.geo_ranges(spark, sf_dir)))
+    docs = ingest(decode.doc_id(decode.beat(sent, now=lines.NOW)), ranges_from_longs(lines.geo_ranges(spark, sf_dir)), now=lines.NOW)
     docs = route(docs, {"*": {k: [anomaly.regex_anomalies(rules)] for k, rules in ANOMALY_RULES.items()}})
     docs = docs.withColumn("index_name", rotation.index_name(F.col("token"), F.col("type")))
     stamp = F.col("event_timestamp").cast("string").alias("event_timestamp")

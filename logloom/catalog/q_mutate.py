@@ -62,11 +62,11 @@ for _name, (_steps, _columns, _sql) in _STEPS.items():
     "mut_arith_double",
     with_events(
         "SELECT event_id, round(cast(nbytes AS double) + 0.5, 6) AS sum, round(cast(status AS double) / nullif(cast(k AS double), 0), 6) AS quotient, "
-        "k = '0' AS infinite, round(cast(status AS double) * 1.5 * 2, 6) AS product FROM ev WHERE nbytes IS NOT NULL"
+        "k = '0' AS infinite, round(cast(status AS double) * 1.5 * 2, 6) AS product FROM ev"
     ),
 )
 def mut_arith_double(spark, sf_dir):
-    ev = lines.events(spark, sf_dir).filter("nbytes IS NOT NULL")
+    ev = lines.events(spark, sf_dir)
     ev = mutate.arithmetic("sum", ".+", ["nbytes", 0.5])(ev)
     ev = mutate.arithmetic("quotient", "./", ["status", "k"])(ev)
     ev = mutate.arithmetic("product", ".*", ["status", 1.5, 2])(ev)

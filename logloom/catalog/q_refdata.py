@@ -125,14 +125,14 @@ def config_groups(spark, sf_dir):
 
 _ALIAS_SQL = (
     "SELECT event_id, token, index_alias FROM (SELECT event_id, concat('u', user_id % 40) AS token FROM events) e LEFT JOIN "
-    "(SELECT concat('u', c_custkey) AS user_, concat('idx-', lower(c_mktsegment)) AS index_alias FROM customer WHERE c_custkey % 3 = 0) a ON a.user_ = e.token"
+    "(SELECT concat('u', c_custkey * 3) AS user_, concat('idx-', lower(c_mktsegment)) AS index_alias FROM customer) a ON a.user_ = e.token"
 )
 
 
 def _alias(spark, sf_dir, **options):
     """All events against an alias table that knows a third of the tokens; the others must stay, with NULL."""
-    aliases = table(spark, sf_dir, "customer").filter("c_custkey % 3 = 0").select(
-        F.concat(F.lit("u"), F.col("c_custkey").cast("string")).alias("user"),
+    aliases = table(spark, sf_dir, "customer").select(
+        F.concat(F.lit("u"), (F.col("c_custkey") * 3).cast("string")).alias("user"),
         F.concat(F.lit("idx-"), F.lower("c_mktsegment")).alias("indexs"),
     )
     ev = lines.events(spark, sf_dir).select("event_id", "token")
@@ -153,8 +153,8 @@ def token_alias_shuffled(spark, sf_dir):
 _USER_SQL = (
     "usr AS (SELECT concat('u', c_custkey) AS uuid, concat('u', c_custkey // 3 * 3) AS owner, CASE WHEN c_custkey % 7 = 0 THEN 1 ELSE 0 END AS is_deleted, "
     "CASE WHEN c_custkey % 11 = 0 THEN 1 ELSE 0 END AS stop FROM customer), "
-    "company AS (SELECT concat('co', c_custkey) AS uuid, concat('u', c_custkey) AS owner, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(floor(abs(c_acctbal)) AS bigint) END AS limits, "
-    "CAST(c_nationkey AS bigint) AS current_usage FROM customer WHERE c_custkey % 2 = 0)"
+    "company AS (SELECT concat('co', c_custkey) AS uuid, concat('u', c_custkey * 2) AS owner, CASE WHEN c_custkey % 5 = 0 THEN NULL ELSE CAST(floor(abs(c_acctbal)) AS bigint) END AS limits, "
+    "CAST(c_nationkey AS bigint) AS current_usage FROM customer)"
 )
 _QUOTA_SQL = (
     "quota AS (SELECT usr.uuid AS user_id, own.uuid IS NOT NULL AS owner_active, coalesce(company.uuid, '') AS company_id, coalesce(limits, 0) AS limits, "
@@ -174,8 +174,8 @@ def _quota_info(spark, sf_dir):
         name("u", key).alias("uuid"), name("u", F.floor(key / 3) * 3).alias("owner"),
         F.when(key % 7 == 0, 1).otherwise(0).alias("is_deleted"), F.when(key % 11 == 0, 1).otherwise(0).alias("stop"),
     )
-    companies = c.filter(key % 2 == 0).select(
-        name("co", key).alias("uuid"), name("u", key).alias("owner"),
+    companies = c.select(
+        name("co", key).alias("uuid"), name("u", key * 2).alias("owner"),
         F.when(key % 5 != 0, F.floor(F.abs("c_acctbal")).cast("bigint")).alias("limits"), F.col("c_nationkey").cast("bigint").alias("current_usage"),
     )
     return refdata.user_quota_info(users, companies)

@@ -43,17 +43,23 @@ def _typed(df):
 
 @query(
     "sink_index",
-    with_events("SELECT concat(token, '.', event_type) AS index_name, count(*) AS docs, CAST(sum(status::bigint) AS bigint) AS responses FROM ev WHERE event_id % 15 <> 0 GROUP BY 1"),
+    with_events("SELECT concat(event_id % 8, '.', event_id % 4, '0') AS index_name, count(*) AS docs, CAST(sum(status::bigint) AS bigint) AS responses, "
+        "count(*) FILTER (event_id % 2 = 0) AS late FROM ev WHERE event_id % 15 <> 0 GROUP BY 1"),
 )
 def sink_index(spark, sf_dir):
-    """The same batch written twice, then once more under a later number, still is one set of documents."""
+    """The same batch written twice, then half of it under a later number with one more column, still is one set of documents.
+
+    The index names look like numbers and must come back as they are.
+    """
     root = shared_dir(spark, "sink")
-    batch = _typed(table(spark, sf_dir, "events"))
+    at = F.col("event_id")
+    name = F.concat((at % 8).cast("string"), F.lit("."), (at % 4).cast("string"), F.lit("0"))
+    batch = _typed(table(spark, sf_dir, "events")).withColumn("index_name", name)
     stream.write_batch(batch, 0, root)
     stream.write_batch(batch, 0, root)
-    stream.write_batch(batch.filter("event_id % 2 = 0"), 1, root)
+    stream.write_batch(batch.filter("event_id % 2 = 0").withColumn("late", F.lit(True)), 1, root)
     docs = stream.read_index(spark, root)
-    return docs.groupBy("index_name").agg(F.count("*").alias("docs"), F.sum("response").alias("responses"))
+    return docs.groupBy("index_name").agg(F.count("*").alias("docs"), F.sum("response").alias("responses"), F.count_if(F.col("late")).alias("late"))
 
 
 @query("sink_dead_letter", "SELECT event_id, 'response' AS field, 'n/a' AS raw FROM events WHERE event_id % 15 = 0")
@@ -113,7 +119,7 @@ def quality_metrics(spark, sf_dir):
         F.when(at % 15 == 0, '{"type":').otherwise(F.to_json(F.struct("token"))).alias("sent"),
         lines.access_message().alias("message"),
         json_text.alias("json"),
-        F.when(at % 14 == 0, "<e>").otherwise("<e/>").alias("xml"),
+        F.when(at % 28 == 0, "<e/>junk").when(at % 14 == 0, "<e>").otherwise("<e/>").alias("xml"),
     )
     ev = extract(ev, "message", _KIND)
     decoded = F.from_json("sent", "map<string,string>").isNotNull()

@@ -31,10 +31,5 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for per-row work when the input comes as a few small files.
-
-    Input that already keeps more than half of the cores busy is left alone, so
-    a large table is never shuffled for this.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() * 2 <= cores else df
+    """Rows dealt over all cores: the given tables are one file each, and per-row work should use every core."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

@@ -18,7 +18,8 @@ from pyspark.sql import functions as F
 from logloom.functions.cols import ALWAYS, field, let, masked, optional
 from logloom.operators.grok_library import EVENT_TYPES, LIBRARY
 
-_SEP = "\u0001"
+#: Separators of captures; a text that holds one is taken apart by the next.
+_SEPS = ("\u0001", "\u0002", "\u0003")
 _REFERENCE = re.compile(r"%\{([^}:]+)(?::([^}:]+))?\}")
 _GROUP = re.compile(r"\(\?<([A-Za-z][A-Za-z0-9]*)>")
 
@@ -52,8 +53,18 @@ def group_names(regex: str) -> list[str]:
 def _pieces(c: Column, regex: str, captures: Sequence[str]) -> Column:
     """Array ``['', capture 1, capture 2, ...]`` of the first match; one element without match."""
     whole = rf"\A(?s:.*?)(?:{regex})(?s:.*)\z"
-    joined = "".join(_SEP + "${" + name + "}" for name in captures)
-    return F.split(F.regexp_replace(F.translate(c, _SEP, ""), whole, joined or _SEP), _SEP)
+
+    def by_row(value) -> Column:
+        a, b, last = _SEPS
+        return F.when(~c.contains(a), value(a)).when(~c.contains(b), value(b)).otherwise(value(last))
+
+    joined = by_row(lambda sep: "".join(sep + "${" + name + "}" for name in captures) or sep)
+    return F.split(F.regexp_replace(_unseparated(c), F.lit(whole), joined), by_row(lambda sep: sep))
+
+
+def _unseparated(c: Column) -> Column:
+    """The text as the groups see it: only a text with all separators loses the last one."""
+    return F.when(c.contains(_SEPS[0]) & c.contains(_SEPS[1]), F.translate(c, _SEPS[2], "")).otherwise(c)
 
 
 def _matched(pieces: Column) -> Column:
@@ -150,7 +161,7 @@ def spans(c: Column, name: str, library: Mapping[str, str] = LIBRARY) -> Column:
     names = group_names(regex)
     marked = _GROUP.sub(lambda g: rf"{g.group(0)}(?=(?<{g.group(1)}Zrest>(?s:.*)\z))", regex)
     pieces = _pieces(c, marked, [x for n in names for x in (n, n + "Zrest")])
-    length = F.length(F.translate(c, _SEP, ""))
+    length = F.length(_unseparated(c))
 
     def build(a: Column) -> Column:
         rows = []

@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.functions.cols import ALWAYS, last_wins_map, let, masked, optional, put
@@ -97,7 +97,10 @@ def _text(v: Column) -> Column:
 
 
 def parsed(c: Column) -> Column:
-    """Variant of a JSON text; NULL when empty or malformed."""
+    """Variant of a JSON text; NULL when empty or malformed. Of repeated keys the last wins."""
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return F.try_parse_json(F.nullif(F.trim(c), F.lit("")))
 
 

@@ -13,10 +13,23 @@ from pyspark.sql import functions as F
 from logloom.functions.cols import ALWAYS, masked, optional, put
 
 
+_WRAP = "logloom_root"
+
+
 def well_formed(c: Column) -> Column:
-    """False for empty or malformed text; the native xpath functions raise on those."""
-    probe = F.from_xml(F.trim(c), "_corrupt_record string", {"mode": "PERMISSIVE"})
-    return F.coalesce((F.trim(c) != "") & probe["_corrupt_record"].isNull(), F.lit(False))
+    """False for empty or malformed text; the native xpath functions raise on those.
+
+    The parser stops after the first root element. So the text without its XML declaration is put below a root of our
+    own; it must parse there and have one element and no text beside it. Document types and entities of their own,
+    which could expand without bound, count as malformed.
+    """
+    body = F.regexp_replace(F.trim(c), r"^<\?xml\s[^>]*\?>\s*", "")
+    whole = F.concat(F.lit(f"<{_WRAP}>"), body, F.lit(f"</{_WRAP}>"))
+    probe = F.from_xml(whole, "_corrupt_record string", {"mode": "PERMISSIVE"})
+    plain = ~body.contains(_WRAP) & ~body.contains("<!DOCTYPE") & ~body.rlike("&(?!(?:amp|lt|gt|quot|apos|#[0-9]+|#x[0-9A-Fa-f]+);)|&#0+;|&#x0+;")
+    one = F.xpath_boolean(whole, F.lit(f"count(/{_WRAP}/*) = 1 and not(/{_WRAP}/text()[normalize-space()])"))
+    parses = plain & probe["_corrupt_record"].isNull()
+    return F.coalesce((F.trim(c) != "") & F.when(parses, one).otherwise(False), F.lit(False))
 
 
 def valid_xml(c: Column) -> Column:

@@ -51,26 +51,27 @@ ANOMALY_RULES = {
 }
 
 
-def shipped_steps(ranges: DataFrame, types: Sequence[str] = TYPES) -> list[Step]:
+def shipped_steps(ranges: DataFrame, types: Sequence[str] = TYPES, now: int | None = None) -> list[Step]:
     """Grok, geo, date, user agent, request split and parameter map for events of ``types``.
 
     All types share the list; only pattern and date format differ by type. So
-    the geo join runs once for all of them.
+    the geo join runs once for all of them. A time that is missing or fits no
+    format becomes the current time, or ``now`` (epoch millis) if given.
     """
     return [
         grok("message", types=types),
         geo(ranges, "clientip"),
-        date("timestamp", {t: DATE_FORMATS[t] for t in types}),
+        date("timestamp", {t: DATE_FORMATS[t] for t in types}, fallback_now=True, now=now),
         user_agent("agent"),
         split("request", r"\?", 2, ["request_path", "request_params"]),
         kv("request_params", "&", "="),
     ]
 
 
-def ingest(df: DataFrame, ranges: DataFrame, types: Sequence[str] = TYPES) -> DataFrame:
+def ingest(df: DataFrame, ranges: DataFrame, types: Sequence[str] = TYPES, now: int | None = None) -> DataFrame:
     """Run the shipped steps on the decoded events of ``types``; other events pass through."""
     df = df.withColumn("_shipped", field("type").isin(list(types)))
-    return run(df, shipped_steps(ranges, types), field("_shipped")).drop("_shipped")
+    return run(df, shipped_steps(ranges, types, now), field("_shipped")).drop("_shipped")
 
 
 def anomaly_steps(type_: str) -> list[Step]:

@@ -27,11 +27,13 @@ def local_session(cpus: int = 8, name: str = "logloom", partitions: int | None =
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared folder ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests, single machine) is a local
-    temporary folder used.
+    Without that setting a local master uses a temporary folder. On a cluster that
+    would lose rows without an error, so it is refused there.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="logloom-")
         spark.conf.set("spark.checkpoint.dir", root)
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"

@@ -11,19 +11,24 @@ from pyspark.sql.streaming import StreamingQuery
 from logloom.functions.cols import field
 from logloom.session import shared_dir
 
-# fixed values: micro-batch limits
+# fixed values: limits of one index request, and the trigger
 MAX_ACTIONS = 15_000
 MAX_BYTES = "5mb"
 TRIGGER = "20 seconds"
 
+#: Folders of a batch and outcome in the index sink.
+INDEX_BUCKETS = 64
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
 def kafka_stream(
-    spark: SparkSession, topic: str, servers: str, max_offsets: int = MAX_ACTIONS, partitions: int | None = None, **options
+    spark: SparkSession, topic: str, servers: str, max_offsets: int | None = None, partitions: int | None = None, **options
 ) -> DataFrame:
     """One topic as rows of topic, partition, offset and text value, from the earliest offset.
 
+    ``max_offsets`` bounds a micro-batch; :data:`MAX_ACTIONS` and :data:`MAX_BYTES` are limits of one request
+    to an index and belong to the options of :func:`connector_writer`.
     ``partitions`` splits the ranges of few or uneven topic partitions over at least so many tasks.
     """
     reader = (
@@ -31,9 +36,10 @@ def kafka_stream(
         .option("kafka.bootstrap.servers", servers)
         .option("subscribe", topic)
         .option("startingOffsets", "earliest")
-        .option("maxOffsetsPerTrigger", max_offsets)
         .options(**options)
     )
+    if max_offsets:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets)
     if partitions:
         reader = reader.option("minPartitions", partitions)
     return reader.load().select("topic", "partition", "offset", F.col("value").cast("string").alias("value"))
@@ -72,23 +78,24 @@ def open_stream(spark: SparkSession, source: dict) -> DataFrame:
 
 
 def write_batch(batch: DataFrame, batch_id: int, root: str, fmt: str = "parquet", max_records: int = 0) -> None:
-    """Write one micro-batch below ``batch_id=N``, one folder per outcome and index.
+    """Write one micro-batch below ``batch_id=N``, in folders by outcome and a bounded bucket of the index name.
 
     Writing the same batch again replaces its folder, so a replay changes
-    nothing. Rows with ``reject_fields`` go to ``outcome=rejected`` in the same
-    pass. The rebalance hint splits a dominant index over several files and puts
+    nothing. ``index_name`` stays a column, so its text is kept as it is. Rows with
+    ``reject_fields`` go to ``outcome=rejected`` in the same pass. The rebalance hint splits a dominant index over several files and puts
     small ones together.
     """
     outcome = F.lit("ok")
     if "reject_fields" in batch.columns:
         outcome = F.when(F.size("reject_fields") > 0, "rejected").otherwise("ok")
-    keys = [F.col("index_name"), F.col("outcome")]
+    bucket = F.pmod(F.xxhash64(F.col("index_name").cast("string")), F.lit(INDEX_BUCKETS))
+    keys = [F.col("bucket"), F.col("outcome")]
     (
-        batch.withColumn("outcome", outcome)
+        batch.withColumns({"outcome": outcome, "index_name": F.col("index_name").cast("string"), "bucket": bucket})
         .hint("rebalance", *keys)
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records)
-        .partitionBy("outcome", "index_name")
+        .partitionBy("outcome", "bucket")
         .format(fmt)
         .save(f"{root}/batch_id={batch_id}")
     )
@@ -106,10 +113,10 @@ def connector_writer(fmt: str, **options) -> Callable[[DataFrame, int], None]:
 def read_index(spark: SparkSession, root: str, outcome: str = "ok") -> DataFrame:
     """Documents of the sink: of several versions of a document the one of the latest batch.
 
-    The aggregate combines on the map side, so many versions of one document do not meet in a task.
+    Columns that came with a later batch are NULL in earlier documents. The aggregate combines on the map side, so many versions of one document do not meet in a task.
     """
-    docs = spark.read.option("basePath", root).parquet(f"{root}/batch_id=*").filter(F.col("outcome") == outcome)
-    names = [c for c in docs.columns if c not in ("batch_id", "outcome")]
+    docs = spark.read.options(basePath=root, mergeSchema=True).parquet(f"{root}/batch_id=*").filter(F.col("outcome") == outcome)
+    names = [c for c in docs.columns if c not in ("batch_id", "outcome", "bucket")]
     newest = F.max_by(F.struct(*[field(c) for c in names]), F.col("batch_id"))
     return docs.groupBy(field("doc_id").alias("_id")).agg(newest.alias("_d")).select("_d.*")
 
@@ -153,11 +160,19 @@ def stop(spark: SparkSession, topic: str) -> bool:
 
 
 def drain(spark: SparkSession, topic: str) -> bool:
-    """Let the stream of a topic finish what has arrived, then stop it."""
+    """Let the stream of a topic finish what has arrived by now, then stop it.
+
+    The batch after the running one takes in all that has arrived; later rows are not waited for.
+    """
     query = running(spark).get(topic)
     if query is None:
         return False
-    query.processAllAvailable()
+    last = query.lastProgress
+    until = (last.batchId if last else -1) + (2 if query.status["isTriggerActive"] else 1)
+    while query.isActive and not query.awaitTermination(0.2):
+        last, status = query.lastProgress, query.status
+        if last and (last.batchId >= until or not (status["isTriggerActive"] or status["isDataAvailable"])):
+            break
     query.stop()
     return True
 

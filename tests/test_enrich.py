@@ -237,3 +237,20 @@ def test_later_rule_of_the_same_tag_decides(rows):
     rules = [("t", "a.*", "tag", "info"), ("t", ".*b", "tag", "error")]
     df = rows([("ab",), ("ax",), ("x",), (None,)], "t string")
     assert [r.tag for r in anomaly.regex_anomalies(rules)(df).collect()] == ["error", "info", None, None]
+
+
+def test_xml_with_anything_beside_its_root_is_malformed(rows):
+    from logloom.operators import xml_fields
+
+    texts = ["<a/>junk", "<a/><b/>", "<a>1</a> tail <", "<a>1</a>", '<?xml version="1.0"?>\n<a>1</a>', "<a>&lt;&#65;</a>", "<a>&no;</a>", "<!DOCTYPE a [<!ENTITY e 'x'>]><a>&e;</a>", "", None, "<x:a>1</x:a>", "</a>", "<a>1</a><!-- c -->"]
+    df = rows([(i, t) for i, t in enumerate(texts)], "i int, doc string")
+    got = {r.i: r.v for r in xml_fields.xml_values("doc", {"v": "/a/text()"})(df).collect()}
+    assert [got[i] for i in (3, 4, 5, 12)] == ["1", "1", "<A", "1"]
+    assert [got[i] for i in (0, 1, 2, 6, 7, 8, 9, 11)] == [None] * 8  # a prefix that is not declared is read by its local name
+
+
+def test_the_last_of_repeated_json_keys_wins(rows):
+    from logloom.operators import json_fields
+
+    df = rows([('{"a":1,"b":{"c":1,"c":2},"a":3}',)], "doc string")
+    assert dict(df.select(json_fields.flatten(F.col("doc"), ["$"], 3).alias("m")).first().m) == {"a": "3", "c": "2"}

@@ -62,6 +62,14 @@ def test_separator_in_text_is_harmless(rows):
     assert grok("message", ["N"], {"N": "%{INT:n}"})(df).first().n == "7"
 
 
+def test_separator_is_kept_in_values_and_positions(rows):
+    library = library_with({"S": r"(?<w>[a\x{1}\x{2}b]+) %{INT:n}"})
+    df = rows([("a\u0001b 7",), ("a\u0001\u0002b 7",)], "t string")
+    out = df.select(first_spans(F.col("t"), ["S"], library).alias("s")).orderBy(F.length("t")).collect()
+    assert [tuple(x) for x in out[0].s] == [("w", 0, 3, "a\u0001b"), ("n", 4, 5, "7")]
+    assert [tuple(x) for x in out[1].s] == [("w", 0, 4, "a\u0001\u0002b"), ("n", 5, 6, "7")]
+
+
 def test_multiline_text(rows):
     df = rows([("first\nsecond 9\nthird",)], "message string")
     assert grok("message", ["N"], {"N": "second %{GREEDYDATA:n}"})(df).first().n == "9"
