@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -12,7 +14,8 @@ from logloom.functions import rotation
 from logloom.functions.cols import map_text
 from logloom.operators import anomaly
 from logloom.operators.geo import ranges_from_longs
-from logloom.plans.shipped import ANOMALY_RULES, ingest
+from logloom.plans.config import steps_from_rows
+from logloom.plans.shipped import ANOMALY_RULES, DATE_FORMATS, ingest
 from logloom.plans.steps import route, with_fields
 from logloom.sources import decode
 
@@ -154,17 +157,49 @@ _ALL_SQL = with_events(
 )
 
 
-@query("ingest_all", _ALL_SQL)
-def ingest_all(spark, sf_dir):
-    """All shipped types, and one unknown, in a single pass; the anomaly rules are routed by type."""
+def _mixed(spark, sf_dir) -> DataFrame:
+    """Decoded events of all shipped types and one unknown."""
     ev = lines.events(spark, sf_dir)
     at = (F.col("event_id") % 6).cast("int")
     kind = F.get(F.array(*[F.lit(k) for k in [*MESSAGES, "other"]]), at)
     # build only the message of the row's own type
     message = F.coalesce(*[F.when(at == i, m()) for i, m in enumerate(MESSAGES.values())], F.lit("plain text"))
     sent = lines.transported(ev, lines.beat_json(message, kind))
-    docs = ingest(decode.doc_id(decode.beat(sent, now=lines.NOW)), ranges_from_longs(lines.geo_ranges(spark, sf_dir)), now=lines.NOW)
-    docs = route(docs, {"*": {k: [anomaly.regex_anomalies(rules)] for k, rules in ANOMALY_RULES.items()}})
+    return decode.doc_id(decode.beat(sent, now=lines.NOW))
+
+
+def _mixed_shown(docs: DataFrame) -> DataFrame:
     docs = docs.withColumn("index_name", rotation.index_name(F.col("token"), F.col("type")))
     stamp = F.col("event_timestamp").cast("string").alias("event_timestamp")
     return docs.select("event_id", "index_name", stamp, "loglevel", "agent_browser", "country", "anomaly_denied")
+
+
+@query("ingest_all", _ALL_SQL)
+def ingest_all(spark, sf_dir):
+    """All shipped types, and one unknown, in a single pass; the anomaly rules are routed by type."""
+    docs = ingest(_mixed(spark, sf_dir), ranges_from_longs(lines.geo_ranges(spark, sf_dir)), now=lines.NOW)
+    return _mixed_shown(route(docs, {"*": {k: [anomaly.regex_anomalies(rules)] for k, rules in ANOMALY_RULES.items()}}))
+
+
+def _config_rows() -> list[tuple]:
+    """The shipped steps as configuration rows: name, type, source field, arguments, conditions."""
+    shipped = [f"global.type match {'|'.join(MESSAGES)}"]
+    steps = [
+        ("parse", "pattern", "message", {}, shipped),
+        ("place", "geoip", "clientip", {}, [*shipped, "fields.clientip exist"]),
+        ("time", "timestamp", "timestamp", {"formats": DATE_FORMATS, "fallback_now": True, "now": lines.NOW}, shipped),
+        ("agent", "user-agent", "agent", {}, shipped),
+        ("path", "split", "request", {"delimiter": r"\?", "limit": 2, "names": ["request_path", "request_params"]}, shipped),
+        ("params", "kv", "request_params", {"delimiter": "&", "sub_delimiter": "="}, shipped),
+    ]
+    steps += [(f"rules-{k}", "regex-based-anomaly-detection", "", {"rules": rules}, [f"global.type == {k}"]) for k, rules in ANOMALY_RULES.items()]
+    return [("*", "*", i, name, kind, field, json.dumps(args), needs) for i, (name, kind, field, args, needs) in enumerate(steps)]
+
+
+@query("ingest_from_config", _ALL_SQL)
+def ingest_from_config(spark, sf_dir):
+    """The same from configuration rows."""
+    schema = "token string, record_type string, orders int, name string, type string, source_field string, argument string, requires array<string>"
+    rows = spark.createDataFrame(_config_rows(), schema)
+    steps = steps_from_rows(rows, {"geoip": ranges_from_longs(lines.geo_ranges(spark, sf_dir))})
+    return _mixed_shown(route(_mixed(spark, sf_dir), steps))

@@ -33,6 +33,31 @@ for _name, (_predicate, _sql) in _CASES.items():
     def _run(spark, sf_dir, predicate=_predicate):
         return lines.events(spark, sf_dir).filter(predicate()).select("event_id", "nbytes")
 
+# condition texts, and the same in SQL
+_TEXTS = {
+    "fields.nbytes": "nbytes IS NOT NULL",
+    "fields.nbytes exist": "nbytes IS NOT NULL",
+    "fields.nbytes not exist": "nbytes IS NULL",
+    "global.event_type == view": "event_type = 'view'",
+    "global.event_type=view": "event_type = 'view'",
+    "global.event_type != view": "event_type <> 'view'",
+    r"fields.nbytes match 1|2\d*": r"coalesce(regexp_full_match(nbytes, '1|2\d*'), false)",
+    r"fields.nbytes contain 1|2\d*": r"coalesce(regexp_full_match(nbytes, '1|2\d*'), false)",
+    r"fields.nbytes not match 1|2\d*": r"NOT coalesce(regexp_full_match(nbytes, '1|2\d*'), false)",
+    "fields.request find uid=1": "contains(request, 'uid=1')",
+    "fields.request not find uid=1": "NOT contains(request, 'uid=1')",
+    "fields.nbytes > 20": "coalesce(try_cast(nbytes AS double) > 20, false)",
+    "fields.nbytes<20": "coalesce(try_cast(nbytes AS double) < 20, false)",
+    "fields.nbytes >= 20": "coalesce(try_cast(nbytes AS double) >= 20, false)",
+    "fields.nbytes <= 20.5": "coalesce(try_cast(nbytes AS double) <= 20.5, false)",
+}
+
+
+@query("pred_from_text", with_events("SELECT event_id, " + ", ".join(f"{sql} AS c{i}" for i, sql in enumerate(_TEXTS.values())) + " FROM ev"))
+def pred_from_text(spark, sf_dir):
+    """Condition texts of configurations, one column each."""
+    return lines.events(spark, sf_dir).select("event_id", *[p.from_text(t).alias(f"c{i}") for i, t in enumerate(_TEXTS)])
+
 
 @query("pred_find", f"SELECT doc_id, n_chars FROM documents WHERE regexp_matches(coalesce(text, ''), '{_MAIL}')")
 def pred_find(spark, sf_dir):

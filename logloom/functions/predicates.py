@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import operator
+import re
 from functools import reduce
 
 from pyspark.sql import Column
@@ -70,3 +71,43 @@ def never() -> Column:
 def all_of(*conditions: Column) -> Column:
     """AND of a requirement list; an empty list is true."""
     return reduce(operator.and_, conditions, F.lit(True))
+
+
+#: A condition text: a pool, a dot and a field, then nothing, a comparison sign with a value, or words.
+_CONDITION = re.compile(
+    r"\s*\w+\.(?P<key>[^\s=!<>]+)\s*"
+    r"(?:(?P<sign>==|!=|>=|<=|=|>|<)\s*(?P<operand>.+?)"
+    r"|(?P<verb>not match|match|contain|not find|find) (?P<regex>.+)"
+    r"|(?P<state>not exist|exist)?)\s*"
+)
+_VERBS = {"match": match, "contain": contain, "not match": not_match, "find": find, "not find": not_find}
+_STATES = {None: exist, "exist": exist, "not exist": not_exist}
+
+
+def from_text(text: str) -> Column:
+    """The predicate of a condition such as ``global.type match apache_.*``, ``fields.code >= 500`` or ``fields.agent``.
+
+    Values follow a sign with or without blanks; a regex takes all that follows its word. The pool before the dot does not matter
+    here, since all fields are columns. Unknown texts raise an error.
+    """
+    found = _CONDITION.fullmatch(text)
+    if not found:
+        raise ValueError(f"not a condition: {text}")
+    key, sign, operand = found["key"], found["sign"], found["operand"]
+    if sign in ("=", "=="):
+        return equal(key, operand)
+    if sign == "!=":
+        return not_equal(key, operand)
+    if sign:
+        return math(key, sign, float(operand))
+    if found["verb"]:
+        return _VERBS[found["verb"]](key, found["regex"])
+    return _STATES[found["state"]](key)
+
+
+def field_of(text: str) -> str:
+    """The field that a condition text reads."""
+    found = _CONDITION.fullmatch(text)
+    if not found:
+        raise ValueError(f"not a condition: {text}")
+    return found["key"]
