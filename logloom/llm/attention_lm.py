@@ -31,14 +31,17 @@ from logloom.llm.bpe import Bpe, Encoder, default_vocabulary
 from logloom.llm.common import chunks, map_rows, saved
 
 #: Ids with a class of their own and shared classes: predicted, read.
-OWN, SHARED = 112, 48
+OWN, SHARED = 88, 40
 CLASSES = OWN + SHARED
 READ_OWN, READ_SHARED = 1984, 64
-WINDOW, OVERLAP, WIDTH, HEADS, HIDDEN = 32, 8, 24, 2, 48
+WINDOW, OVERLAP, WIDTH, HIDDEN = 24, 6, 24, 48
+SCALE = np.float32(WIDTH**-0.5)
+#: Exponents stay below this, so sums stay finite.
+LARGEST = np.float32(60)
 #: Counts of ids after read classes are used from this share of the tokens on (at most 5,000,000), with so much weight of the plain share.
 PAIR_SHARE, PLAIN = 2e-7, 10.0
 #: Windows scored at once.
-BATCH = 256
+BATCH = 32
 #: Bounds of the first fit (texts, windows a rate); rates of both fits; every STRIDE-th window refines.
 FIT_TEXTS, FIT_WINDOWS, RATES, REFINE_RATE, STRIDE, SEED = 3000, 12_000, (0.02, 0.02, 0.01, 0.004, 0.001), 3e-4, 64, 11
 #: A word is looked up in the tasks from this share of the training tokens on: at most 1,000,000 words.
@@ -59,36 +62,52 @@ class Attention:
         rng = np.random.default_rng(SEED)
         shapes = {"emb": (READ_OWN + READ_SHARED, WIDTH), "pos": (WINDOW, WIDTH), "q": (WIDTH, WIDTH), "k": (WIDTH, WIDTH), "v": (WIDTH, WIDTH), "o": (WIDTH, WIDTH), "w1": (WIDTH, HIDDEN), "b1": (HIDDEN,), "w2": (HIDDEN, WIDTH), "out": (WIDTH, CLASSES), "bias": (CLASSES,)}
         self.w = weights or {n: np.zeros(s, np.float32) if n in ("bias", "b1") else (rng.normal(0, 0.3 if n == "emb" else 0.1 if n == "pos" else s[0] ** -0.5, s)).astype(np.float32) for n, s in shapes.items()}
+        self.scratch = np.empty((0, CLASSES), np.float32)
         self.later = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
-    def _heads(self, x: np.ndarray) -> np.ndarray:
-        return x.reshape(len(x), WINDOW, HEADS, -1).transpose(0, 2, 1, 3)
-
-    def hidden(self, context: np.ndarray, keep: bool = False):
+    def _attend(self, context: np.ndarray) -> tuple[np.ndarray, ...]:
+        w = self.w
+        x = w["emb"][context]
+        x += w["pos"]
+        flat = x.reshape(-1, WIDTH)  # one large product is faster than one a window
+        q, k, v = ((flat @ m).reshape(x.shape) for m in (w["q"] * SCALE, w["k"], w["v"]))
+        a = q @ k.transpose(0, 2, 1)
+        a += self.later
+        np.minimum(a, LARGEST, out=a)
+        np.exp(a, out=a)
+        return x, q, k, v, a
+
+    def hidden(self, context: np.ndarray) -> np.ndarray:
         """States (windows, WINDOW, WIDTH) of class windows."""
         w = self.w
-        x = w["emb"][context] + w["pos"]
-        q, k, v = (self._heads(x @ w[n]) for n in "qkv")
-        a = q @ k.transpose(0, 1, 3, 2) * np.float32((WIDTH // HEADS) ** -0.5) + self.later
-        a = np.exp(a - a.max(3, keepdims=True))
-        a /= a.sum(3, keepdims=True)
-        z = (a @ v).transpose(0, 2, 1, 3).reshape(len(x), WINDOW, WIDTH)
-        h = x + z @ w["o"]
-        r = np.maximum(h @ w["w1"] + w["b1"], 0)
-        g = h + r @ w["w2"]
-        return (g, (x, q, k, v, a, z, h, r)) if keep else g
+        x, _, _, v, a = self._attend(context)
+        z = a @ np.concatenate([v, np.ones((*v.shape[:2], 1), v.dtype)], 2)  # the last column sums the weights
+        flat = x.reshape(-1, WIDTH)
+        flat += (z[:, :, :-1] / z[:, :, -1:]).reshape(-1, WIDTH) @ w["o"]
+        r = flat @ w["w1"]
+        r += w["b1"]
+        np.maximum(r, 0, out=r)
+        flat += r @ w["w2"]
+        return flat.reshape(x.shape)
 
     def log_probs(self, states: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each wanted class."""
-        logits = states @ self.w["out"] + self.w["bias"]
-        top = logits.max(1)
-        np.subtract(logits, top[:, None], out=logits)
+        if len(self.scratch) < len(states):  # memory that is used again needs no new pages
+            self.scratch = np.empty((len(states), CLASSES), states.dtype)
+        logits = np.matmul(states, self.w["out"].astype(states.dtype, copy=False), out=self.scratch[: len(states)])
+        logits += self.w["bias"]
+        np.minimum(logits, LARGEST, out=logits)
         own = logits[np.arange(len(wanted)), wanted].astype(np.float64)
-        return own - np.log(np.exp(logits, out=logits).sum(1, dtype=np.float64))
+        return own - np.log((np.exp(logits, out=logits) @ np.ones(CLASSES, logits.dtype)).astype(np.float64))
 
     def gradient(self, context: np.ndarray, wanted: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
         w = self.w
-        g, (x, q, k, v, a, z, h, r) = self.hidden(context, True)
+        x, q, k, v, a = self._attend(context)
+        a /= a.sum(2, keepdims=True)
+        z = a @ v
+        h = x + z @ w["o"]
+        r = np.maximum(h @ w["w1"] + w["b1"], 0)
+        g = h + r @ w["w2"]
         logits = g @ w["out"] + w["bias"]
         p = np.exp(logits - logits.max(2, keepdims=True))
         p /= p.sum(2, keepdims=True)
@@ -102,14 +121,13 @@ class Attention:
         d |= {"w2": flat(r).T @ flat(dg), "w1": flat(h).T @ flat(dr), "b1": flat(dr).sum(0)}
         dh = dg + dr @ w["w1"].T
         d["o"] = flat(z).T @ flat(dh)
-        dz = self._heads(dh @ w["o"].T)
-        da = dz @ v.transpose(0, 1, 3, 2)
-        dv = a.transpose(0, 1, 3, 2) @ dz
-        ds = a * (da - (da * a).sum(3, keepdims=True)) * np.float32((WIDTH // HEADS) ** -0.5)
-        dq, dk = ds @ k, ds.transpose(0, 1, 3, 2) @ q
+        dz = dh @ w["o"].T
+        da = dz @ v.transpose(0, 2, 1)
+        dv = a.transpose(0, 2, 1) @ dz
+        ds = a * (da - (da * a).sum(2, keepdims=True))
+        dq, dk = ds @ k * SCALE, ds.transpose(0, 2, 1) @ q
         dx = dh.copy()
         for name, y in (("q", dq), ("k", dk), ("v", dv)):
-            y = y.transpose(0, 2, 1, 3).reshape(x.shape)
             d[name] = flat(x).T @ flat(y)
             dx += y @ w[name].T
         d["pos"] = dx.sum(0)
@@ -159,16 +177,22 @@ class Classes:
     def after(self, keys: np.ndarray, counts: np.ndarray) -> None:
         """Counts of ids after read classes; a key is class * ids + id."""
         order = np.argsort(keys)
-        self.keys, self.counts, n = keys[order], counts[order].astype(np.float64), len(self.of)
+        self.keys, n = keys[order], len(self.of)
         places = READ_OWN + READ_SHARED
-        self.sums = np.bincount(self.keys // n * CLASSES + self.of[self.keys % n], self.counts, places * CLASSES)
+        known = self.keys % n
+        self.logs = np.log(counts[order] + PLAIN * self.plain[known])
+        self.unseen = np.log(PLAIN * self.plain)
+        self.whole = np.log(np.bincount(self.keys // n * CLASSES + self.of[known], counts[order], places * CLASSES) + PLAIN)
 
     def log_share(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        key, seen = before * len(self.of) + ids, 0.0
+        """Natural log of each id's share of its class after a read class."""
+        share = self.unseen[ids]
         if len(self.keys):
+            key = before * len(self.of) + ids
             at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            seen = np.where(self.keys[at] == key, self.counts[at], 0.0)
-        return np.log((seen + PLAIN * self.plain[ids]) / (self.sums[before * CLASSES + self.of[ids]] + PLAIN))
+            hit = self.keys[at] == key
+            share[hit] = self.logs[at[hit]]
+        return share - self.whole[before * CLASSES + self.of[ids]]
 
 
 def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -198,22 +222,21 @@ def score(model: Attention, classes: Classes, ids: list[bytes], end_id: int) ->
     """Natural log probability of each text."""
     wanted, context, sizes = joined(ids, classes, end_id)
     place, scored, text = windows(sizes)
-    goal, out = classes.of[wanted], np.zeros(len(ids))
+    goal, share, out = classes.of[wanted], classes.log_share(context, wanted), np.zeros(len(ids))
     for at in range(0, len(place), BATCH):
         rows, mask = place[at : at + BATCH], scored[at : at + BATCH]
         states = model.hidden(context[rows])[mask]
         tokens = rows[mask]
-        value = model.log_probs(states, goal[tokens]) + classes.log_share(context[tokens], wanted[tokens])
+        value = model.log_probs(states, goal[tokens]) + share[tokens]
         out += np.bincount(np.broadcast_to(text[at : at + BATCH, None], mask.shape)[mask], value, len(ids))
     return out
 
 
 def lowered(text: str | None) -> str:
     """A to Z in lower case, all else as it is."""
-    return text.translate(_LOWER) if text else ""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass") if text else ""  # of bytes, lower() changes A to Z only
 
 
-_LOWER = {c: c + 32 for c in range(65, 91)}
 _ENCODERS: dict[int, Encoder] = {}
 _HASHES: dict[bytes, int] = {}
 
