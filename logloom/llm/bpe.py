@@ -179,7 +179,7 @@ def pack_ids(ids: list[int]) -> bytes:
 class Encoder:
     """Encodes texts word by word. ``resolve`` gives the ids of new words; a bounded table keeps them."""
 
-    def __init__(self, bpe: Bpe, resolve: Callable[[list[str]], list[bytes]] | None = None, keep: int = 600_000):
+    def __init__(self, bpe: Bpe, resolve: Callable[[list[str]], list[bytes]] | None = None, keep: int = 250_000):
         self.bpe, self.keep, self.known = bpe, keep, {}
         self.resolve = resolve or self.merged
 

@@ -13,7 +13,7 @@ from pyspark.sql.types import StructType, _parse_datatype_string
 from logloom.session import shared_dir
 
 #: Characters of text that one Python step works on; bounds memory, not results.
-CHUNK_CHARS = 4_000_000
+CHUNK_CHARS = 1_500_000
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,7 +29,7 @@ LANGUAGES, SAMPLE_TEXTS, RUNS, RUN_WORDS = 100, 400, 6, 32
 LEXICON_SHARE = 2e-5
 TABLE_BITS, AFFIXES = 17, (1, 2, 3, 4)
 SEQUENCES, LENGTH, BATCH, EPOCHS, RATE, SEED = 1600, 48, 40, 2, 0.15, 7
-KEPT_WORDS, KEPT_COUNTS = 400_000, 1_000_000
+KEPT_WORDS, KEPT_COUNTS = 200_000, 400_000
 EPS = 1e-6
 STRIP = ".,;:!?'\"()[]{}<>*#$%&|-_=+/\\«»„“”…"
 

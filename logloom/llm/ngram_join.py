@@ -26,7 +26,7 @@ from logloom.llm.order_minhash import GOLD, MOST, U, _mix
 N, THRESHOLD, RECALL, ROWS = 5, 0.8, 0.9999, 8
 #: A block holds at most about so many classes and n-grams.
 BLOCK_CLASSES, BLOCK_NGRAMS = 400, 400_000
-KEPT_WORDS = 500_000
+KEPT_WORDS = 200_000
 COLUMNS = 4096
 
 
