@@ -78,13 +78,13 @@ def test_kv_spans(rows):
 @pytest.mark.parametrize(
     "text, fmt, tz, millis",
     [
-        ("06/Jul/2015:09:01:36 +0800", "dd/MMM/yyyy:HH:mm:ss Z", "UTC", 1436144496000),
-        ("6/Jul/2015:9:01:36 +08:00", "dd/MMM/yyyy:HH:mm:ss Z", "UTC", 1436144496000),
-        ("06/Jul/2015:01:01:36 Z", "dd/MMM/yyyy:HH:mm:ss Z", "UTC", 1436144496000),
-        ("Mon Jul 06 09:01:36 2015", "E MMM dd HH:mm:ss YYYY", "Asia/Shanghai", 1436144496000),
-        ("2015/07/06 09:01:36", "yyyy/MM/dd HH:mm:ss", "Asia/Shanghai", 1436144496000),
-        ("20150706090136", "yyyyMMddHHmmss", "Asia/Shanghai", 1436144496000),
-        ("1436144496000", "epoch_millis", "UTC", 1436144496000),
+        ("03/Nov/2029:08:45:09 +0800", "dd/MMM/yyyy:HH:mm:ss Z", "UTC", 1888361109000),
+        ("3/Nov/2029:8:45:09 +08:00", "dd/MMM/yyyy:HH:mm:ss Z", "UTC", 1888361109000),
+        ("03/Nov/2029:00:45:09 Z", "dd/MMM/yyyy:HH:mm:ss Z", "UTC", 1888361109000),
+        ("Sat Nov 03 08:45:09 2029", "E MMM dd HH:mm:ss YYYY", "Asia/Shanghai", 1888361109000),
+        ("2029/11/03 08:45:09", "yyyy/MM/dd HH:mm:ss", "Asia/Shanghai", 1888361109000),
+        ("20291103084509", "yyyyMMddHHmmss", "Asia/Shanghai", 1888361109000),
+        ("1888361109000", "epoch_millis", "UTC", 1888361109000),
         ("junk", "dd/MMM/yyyy:HH:mm:ss Z", "UTC", None),
         (None, "dd/MMM/yyyy:HH:mm:ss Z", "UTC", None),
     ],
@@ -97,8 +97,8 @@ def test_dates_do_not_depend_on_session_zone(spark, rows):
     old = spark.conf.get("spark.sql.session.timeZone")
     try:
         spark.conf.set("spark.sql.session.timeZone", "America/New_York")
-        df = rows([("2015/07/06 09:01:36",)], "t string")
-        assert one(df, dates.parse_millis(F.col("t"), "yyyy/MM/dd HH:mm:ss", "Asia/Shanghai")) == 1436144496000
+        df = rows([("2029/11/03 08:45:09",)], "t string")
+        assert one(df, dates.parse_millis(F.col("t"), "yyyy/MM/dd HH:mm:ss", "Asia/Shanghai")) == 1888361109000
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
 

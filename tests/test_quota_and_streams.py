@@ -124,3 +124,24 @@ def test_rotation_without_time_and_validation(spark, rows):
 def test_escape(rows):
     df = rows([("Añ_b-1.C/d",)], "t string")
     assert df.select(rotation.escape_index(F.col("t")).alias("s")).first().s == "añ_b-1-c-d"
+
+
+def test_reported_bytes_do_not_count_twice(spark, rows, tmp_path):
+    """Two batches with the totals written back between them: the room is what is left of the limit."""
+    from logloom.streaming.quota_stream import quota_writer
+
+    stored = {"u": 10}
+
+    def quotas():
+        return rows([("u", 100, stored["u"])], "user_id string, limits long, current_usage long")
+
+    def report(change, batch_id):
+        for r in change.collect():
+            stored[r.token] += r.usage
+
+    write = quota_writer(quotas, str(tmp_path), ["n"], report=report)
+    write(rows([(1, "u", 40), (2, "u", 60)], "n int, token string, bytes long"), 0)
+    assert stored == {"u": 50}
+    write(rows([(3, "u", 50), (4, "u", 1)], "n int, token string, bytes long"), 1)
+    allowed = {r.n: r.allowed for r in spark.read.parquet(f"{tmp_path}/events/batch_id=*").collect()}
+    assert allowed == {1: True, 2: False, 3: True, 4: False} and stored == {"u": 100}
