@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.bpe import Bpe, Encoder, default_vocabulary
-from logloom.llm.common import chunks, map_rows, saved
+from logloom.llm.common import chunks, claim, map_rows, saved
 
 #: Ids with a class of their own and shared classes: predicted, read.
 OWN, SHARED = 88, 40
@@ -241,6 +241,11 @@ _ENCODERS: dict[int, Encoder] = {}
 _HASHES: dict[bytes, int] = {}
 
 
+def _forget() -> None:
+    _ENCODERS.clear()
+    _HASHES.clear()
+
+
 def word_hash(word: bytes) -> int:
     return int.from_bytes(hashlib.blake2b(word, digest_size=8).digest(), "little", signed=True)
 
@@ -256,6 +261,7 @@ def _encoded(rows: DataFrame, vocabulary: str) -> DataFrame:
     vocab = rows.sparkSession.sparkContext.broadcast(vocabulary)  # a fixed file of about 2 MB
 
     def run(batches):
+        claim("attention", _forget)
         key = hash(vocab.value)
         if key not in _ENCODERS:
             _ENCODERS.clear()

@@ -55,6 +55,16 @@ def map_rows(df: DataFrame, fn: Callable[[Iterator[dict]], Iterator[dict]], sche
     return df.mapInArrow(run, kind)
 
 
+_KEPT: dict[str, Callable[[], None]] = {}
+
+
+def claim(owner: str, clear: Callable[[], None] = lambda: None) -> None:
+    """Called by an operator in a worker process that is used again: frees what other operators keep there."""
+    for other in [k for k in _KEPT if k != owner]:
+        _KEPT.pop(other)()
+    _KEPT[owner] = clear
+
+
 def chunks(texts: list[str], limit: int = CHUNK_CHARS) -> Iterator[tuple[int, int]]:
     """Ranges of rows of about ``limit`` characters; a longer text is a range of its own."""
     at, size = 0, 0

@@ -20,7 +20,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import chunks, map_rows, saved
+from logloom.llm.common import chunks, claim, map_rows, saved
 from logloom.llm.order_minhash import GOLD, U, _mix
 
 #: Bounds of the fit: languages, labelled texts a language, runs a text and words a run.
@@ -195,6 +195,7 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[Crf,
     labels = sorted(sizes)
 
     def count(batches):
+        claim("languages")
         counts: dict[str, Counter] = {}
 
         def out():
@@ -266,6 +267,7 @@ def label(docs: DataFrame, learned: tuple[Crf, dict[str, np.ndarray]] | None, te
     shared = docs.sparkSession.sparkContext.broadcast(learned)  # bounded: feature table and lexicon
 
     def run(batches):
+        claim("languages")
         learned = shared.value
         if learned:
             model, lexicon = learned

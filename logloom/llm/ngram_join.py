@@ -19,7 +19,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import map_rows, saved
+from logloom.llm.common import claim, map_rows, saved
 from logloom.llm.components import components
 from logloom.llm.order_minhash import GOLD, MOST, U, _mix
 
@@ -71,6 +71,7 @@ def signatures(docs: DataFrame, text: str, n: int, rows: int, bands: int) -> Dat
     factors = _mix(np.arange(1, rows * bands + 1, dtype=np.uint64) * GOLD) | U(1)
 
     def run(batches):
+        claim("ngrams", _WORDS.clear)
         for batch in batches:
             out = {"uid": batch["uid"], "text_hash": batch["text_hash"], "k1": [], "k2": [], "size": [], "bands": []}
             for t in batch["text"]:
@@ -157,6 +158,7 @@ def near_classes(docs: DataFrame, text: str = "text", n: int = N, threshold: flo
     units = units.repartition("grp", "i", "j").sortWithinPartitions("grp", "i", "j")
 
     def run(batches):
+        claim("ngrams", _WORDS.clear)
         held: list[tuple] = []
 
         def done():

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from logloom.llm.bpe import Bpe, Encoder, default_vocabulary, pack_ids
-from logloom.llm.common import chunks, map_rows, saved
+from logloom.llm.common import chunks, claim, map_rows, saved
 
 CAPACITY = 1024
 END_ID = 2
@@ -205,6 +205,7 @@ _ENCODERS: dict[int, Encoder] = {}
 
 def _encoder(vocab) -> Encoder:
     """One encoder per worker process; a worker that is used again keeps its words."""
+    claim("packing", _ENCODERS.clear)
     key = hash(vocab.value)
     if key not in _ENCODERS:
         _ENCODERS.clear()

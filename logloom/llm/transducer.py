@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from logloom.llm.bpe import Bpe, Encoder, code_points, default_vocabulary, word_starts
-from logloom.llm.common import chunks, map_rows, saved, ship_file
+from logloom.llm.common import chunks, claim, map_rows, saved, ship_file
 
 #: A word is compiled into the automaton from this share of all repeated words on; bounds it to 1 / share words.
 LEAST_SHARE = 4e-6
@@ -201,6 +201,7 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def _encoder(name: str, vocab) -> Encoder:
     """One encoder per worker process and lexicon; a worker that is used again keeps its words."""
+    claim("transducer", _ENCODERS.clear)
     if name not in _ENCODERS:
         _ENCODERS.clear()
         bpe = Bpe(vocab.value)
