@@ -148,7 +148,8 @@ def with_next(docs: DataFrame, text: str = "text") -> DataFrame:
         return pd.Series([[{"bucket": b, "donor": False}] + ([{"bucket": g, "donor": True}] if g >= 0 else []) for b, g in zip(own, goal, strict=True)])
 
     dealt = rows.select("doc_id", "key", "text", F.explode(places("key")).alias("at")).select("at.bucket", "at.donor", "doc_id", "key", "text")
-    dealt = dealt.repartition(parts, "bucket").sortWithinPartitions("bucket", "donor", F.desc("key"), "text")
+    # ranges hold like numbers of rows; neighbours go to one partition
+    dealt = dealt.repartitionById(parts, (F.col("bucket") * parts / (len(bounds) + 1)).cast("int")).sortWithinPartitions("bucket", "donor", F.desc("key"), "text")
     return dealt.select("bucket", "donor", "doc_id", "text")
 
 
