@@ -6,10 +6,11 @@ predicts the next class from those before it, and an id's share of its class com
 before it and at all. Long texts are cut into windows that overlap; each token is scored once, in the
 first window that holds it, with at least ``OVERLAP`` tokens of context after the first window.
 
-Word and id counts cover all training texts. The weights are first fitted on a bounded sample, then refined once on
-every ``STRIDE``-th window of all training texts: each task trains on its own and the weights are averaged.
+Word, id and pair counts cover all training texts. The weights start from a fit on windows drawn evenly from all training
+texts and are then trained on every window of every training text, in rounds whose number grows with the tokens: in a
+round each task trains on its own, then the weights are averaged and the next round starts from them.
 
-The base score is a smoothed word unigram. Frequent words (a bounded list) are looked up in the tasks; counts of all other
+Frequent pairs (a bounded list) are looked up in the tasks; the counts of all other pairs come back by a join. The base score is a smoothed word unigram. Frequent words (a bounded list) are looked up in the tasks; counts of all other
 words come back by a join on word hashes.
 
 Defined cases: a null text is empty and is scored as its end mark; a null doc_id belongs to the training texts; repeated
@@ -29,6 +30,7 @@ from pyspark.sql import functions as F
 
 from logloom.llm.bpe import Bpe, Encoder, default_vocabulary
 from logloom.llm.common import chunks, claim, map_rows, saved
+from logloom.llm.order_minhash import GOLD, U, _mix
 
 #: Ids with a class of their own and shared classes: predicted, read.
 OWN, SHARED = 88, 40
@@ -38,12 +40,18 @@ WINDOW, OVERLAP, WIDTH, HIDDEN = 24, 6, 24, 48
 SCALE = np.float32(WIDTH**-0.5)
 #: Exponents stay below this, so sums stay finite.
 LARGEST = np.float32(60)
-#: Counts of ids after read classes are used from this share of the tokens on (at most 5,000,000), with so much weight of the plain share.
+#: A pair (id after a read class) is looked up in the tasks from this share of the tokens on (at most 5,000,000); weight of the plain share.
 PAIR_SHARE, PLAIN = 2e-7, 10.0
 #: Windows scored at once.
 BATCH = 32
-#: Bounds of the first fit (texts, windows a rate); rates of both fits; every STRIDE-th window refines.
-FIT_TEXTS, FIT_WINDOWS, RATES, REFINE_RATE, STRIDE, SEED = 3000, 12_000, (0.02, 0.02, 0.01, 0.004, 0.001), 3e-4, 64, 11
+#: Windows a rate of the first fit, and rates of both fits.
+FIT_WINDOWS, RATES, REFINE_RATE, SEED = 12_000, (0.02, 0.02, 0.01, 0.004, 0.001), 3e-4, 11
+#: Tokens of the files of a group, and rounds that deal out the texts of a group.
+GROUP_TOKENS, ROUNDS = 100_000_000, 4
+#: Tokens worked on at once.
+STEP_TOKENS = 200_000
+#: Pairs counted in a task before they are put out.
+KEPT_PAIRS = 1_000_000
 #: A word is looked up in the tasks from this share of the training tokens on: at most 1,000,000 words.
 FREQUENT = 1e-6
 KEPT_WORDS = 1_000_000
@@ -135,11 +143,10 @@ class Attention:
         np.add.at(d["emb"], context.ravel(), flat(dx))
         return d
 
-    def train(self, context: np.ndarray, wanted: np.ndarray, counted: np.ndarray, rate: float, epochs: int, batch: int = 64) -> None:
-        """Adam on windows."""
-        m = {n: np.zeros_like(x) for n, x in self.w.items()}
-        s = {n: np.zeros_like(x) for n, x in self.w.items()}
-        rng, step = np.random.default_rng(SEED), 0
+    def train(self, context: np.ndarray, wanted: np.ndarray, counted: np.ndarray, rate: float, epochs: int, batch: int = 64, moments: tuple | None = None) -> tuple:
+        """Adam on windows; returns its moments and step, from which a later call goes on."""
+        m, s, step = moments or ({n: np.zeros_like(x) for n, x in self.w.items()}, {n: np.zeros_like(x) for n, x in self.w.items()}, 0)
+        rng = np.random.default_rng(SEED)
         for _ in range(epochs):
             order = rng.permutation(len(context))
             for at in range(0, len(order), batch):
@@ -148,6 +155,7 @@ class Attention:
                     m[n] += 0.1 * (d - m[n])
                     s[n] += 0.01 * (d * d - s[n])
                     self.w[n] -= (rate * (m[n] / (1 - 0.9**step)) / (np.sqrt(s[n] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+        return m, s, step
 
 
 def _grouped(counts: np.ndarray, spaced: np.ndarray, own: int, shared: int) -> np.ndarray:
@@ -172,26 +180,29 @@ class Classes:
         self.read = _grouped(counts, spaced, READ_OWN, READ_SHARED)
         smooth = counts + 1.0
         self.plain = smooth / np.bincount(self.of, smooth, CLASSES)[self.of]
-        self.after(np.empty(0, np.int64), np.empty(0, np.int64))
+        none = np.empty(0, np.int64)
+        self.after(none, none, none, none)
 
-    def after(self, keys: np.ndarray, counts: np.ndarray) -> None:
-        """Counts of ids after read classes; a key is class * ids + id."""
+    def after(self, keys: np.ndarray, counts: np.ndarray, cells: np.ndarray, totals: np.ndarray) -> None:
+        """Counts of frequent pairs (a key is read class * ids + id), and totals of all pairs by cell (read class * CLASSES + class)."""
         order = np.argsort(keys)
-        self.keys, n = keys[order], len(self.of)
-        places = READ_OWN + READ_SHARED
-        known = self.keys % n
-        self.logs = np.log(counts[order] + PLAIN * self.plain[known])
+        self.keys = keys[order]
+        self.logs = np.log(counts[order] + PLAIN * self.plain[self.keys % len(self.of)])
         self.unseen = np.log(PLAIN * self.plain)
-        self.whole = np.log(np.bincount(self.keys // n * CLASSES + self.of[known], counts[order], places * CLASSES) + PLAIN)
+        self.whole = np.log(np.bincount(cells, totals, (READ_OWN + READ_SHARED) * CLASSES) + PLAIN)
+
+    def looked_up(self, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Place of each key among the frequent pairs, and whether it is one."""
+        if not len(self.keys):
+            return np.zeros(len(key), np.int64), np.zeros(len(key), bool)
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        return at, self.keys[at] == key
 
     def log_share(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-        """Natural log of each id's share of its class after a read class."""
+        """Natural log of each id's share of its class after a read class; a pair that is not looked up counts as unseen."""
         share = self.unseen[ids]
-        if len(self.keys):
-            key = before * len(self.of) + ids
-            at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
-            hit = self.keys[at] == key
-            share[hit] = self.logs[at[hit]]
+        at, hit = self.looked_up(before * len(self.of) + ids)
+        share[hit] = self.logs[at[hit]]
         return share - self.whole[before * CLASSES + self.of[ids]]
 
 
@@ -218,8 +229,29 @@ def joined(ids: list[bytes], classes: Classes, end_id: int) -> tuple[np.ndarray,
     return wanted, context, sizes
 
 
+def steps_of(sizes: list[int]):
+    """Ranges of texts of about ``STEP_TOKENS`` tokens; a longer text is a range of its own."""
+    at, held = 0, 0
+    for i, n in enumerate(sizes):
+        if i > at and held + n > STEP_TOKENS:
+            yield at, i
+            at, held = i, 0
+        held += n
+    if at < len(sizes):
+        yield at, len(sizes)
+
+
+def other_pairs(classes: Classes, ids: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs that are not looked up: text, key, times."""
+    wanted, context, sizes = joined(ids, classes, end_id)
+    key = context * len(classes.of) + wanted
+    rest = np.flatnonzero(~classes.looked_up(key)[1])
+    both, times = np.unique(np.repeat(np.arange(len(ids)), sizes)[rest] << 32 | key[rest], return_counts=True)
+    return both >> 32, both & 0xFFFFFFFF, times
+
+
 def score(model: Attention, classes: Classes, ids: list[bytes], end_id: int) -> np.ndarray:
-    """Natural log probability of each text."""
+    """Natural log probability of each text, without what its other pairs add."""
     wanted, context, sizes = joined(ids, classes, end_id)
     place, scored, text = windows(sizes)
     goal, share, out = classes.of[wanted], classes.log_share(context, wanted), np.zeros(len(ids))
@@ -275,8 +307,9 @@ def _encoded(rows: DataFrame, vocabulary: str) -> DataFrame:
     return saved(map_rows(rows.select("uid", "held_out", "text"), run, "uid long, held_out boolean, ids binary"), "ids")
 
 
-def _fit(encoded: DataFrame, bpe: Bpe, end_id: int) -> tuple[Attention, Classes]:
-    train = encoded.where("NOT held_out").select("ids")
+def _fit(encoded: DataFrame, bpe: Bpe, end_id: int) -> tuple[Attention, Classes, DataFrame | None]:
+    """Weights, classes, and what each other pair adds to a score (``key, gain``); ``trained`` of the model counts its windows."""
+    train = encoded.where("NOT held_out").select("uid", "ids")
     size = max(bpe.tokens) + 1
 
     def count(batches):
@@ -290,50 +323,81 @@ def _fit(encoded: DataFrame, bpe: Bpe, end_id: int) -> tuple[Attention, Classes]
         yield {"id": some, "n": total[some]}
 
     counts = np.zeros(size, np.int64)
-    for r in map_rows(train, count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most one row an id
+    for r in map_rows(train.select("ids"), count, "id int, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # at most one row an id
         counts[r["id"]] = r["n"]
     spaced = np.array([int(bpe.tokens.get(i, b"")[:1] in (b" ", b"\n")) for i in range(size)])
     classes, model = Classes(counts, spaced), Attention()
+    model.trained = 0
     if not counts.any():
-        return model, classes
+        return model, classes, None
+    tokens = int(counts.sum())
 
     def pairs(batches):
         found: dict[int, int] = {}
+
+        def out():
+            key = np.fromiter(found, np.int64, len(found))
+            return {"key": key, "cell": key // size * CLASSES + classes.of[key % size], "n": list(found.values())}
+
         for batch in batches:
-            for a in range(0, len(batch["ids"]), 500):
-                wanted, context, _ = joined(batch["ids"][a : a + 500], classes, end_id)
+            for a, b in steps_of([len(x) // 2 + 1 for x in batch["ids"]]):
+                wanted, context, _ = joined(batch["ids"][a:b], classes, end_id)
                 for k, n in zip(*(x.tolist() for x in np.unique(context * size + wanted, return_counts=True)), strict=True):
                     found[k] = found.get(k, 0) + n
-        yield {"key": list(found), "n": list(found.values())}
-
-    after = map_rows(train, pairs, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
-    after = after.where(F.col("n") >= max(2.0, PAIR_SHARE * float(counts.sum()))).toArrow()
-    classes.after(after["key"].to_numpy(), after["n"].to_numpy())
-
-    def picked(ids: list[bytes], most: int | None, every: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        wanted, context, sizes = joined(ids, classes, end_id)
-        place, scored, _ = windows(sizes)
-        keep = np.random.default_rng(SEED).permutation(len(place))[: len(place) // every + 1][:most]
-        return context[place[keep]], classes.of[wanted[place[keep]]], scored[keep]
-
-    part = F.pmod(F.xxhash64("uid"), F.lit(1_000_000)) < int(1e6 * min(1.0, FIT_TEXTS / max(1, int(counts[end_id]))))
-    sample = encoded.where("NOT held_out").where(part).select("uid", "ids").where(F.length("ids") < 200_000).limit(2 * FIT_TEXTS).collect()
-    if sample:
-        model.w["bias"] = np.log(np.bincount(classes.of, counts, CLASSES) + 1.0).astype(np.float32)
-        some = picked([bytes(r.ids) for r in sorted(sample, key=lambda r: r.uid)], FIT_WINDOWS * len(RATES), 1)
-        for k, rate in enumerate(RATES):  # each rate gets a share of the windows, or all of a small sample
-            part = slice(k, None, len(RATES)) if len(some[0]) > FIT_WINDOWS else slice(None)
-            model.train(*(x[part] for x in some), rate, 1)
-    shared = encoded.sparkSession.sparkContext.broadcast((model.w, classes))
+                if len(found) > KEPT_PAIRS:
+                    yield out()
+                    found = {}
+        yield out()
+
+    plain = classes.plain
+
+    def gains(batches):
+        for batch in batches:
+            key = np.array(batch["key"], np.int64)
+            yield {"key": key, "gain": np.log1p(np.array(batch["n"]) / (PLAIN * plain[key % size]))}
+
+    after = map_rows(train.select("ids"), pairs, "key long, cell int, n long").groupBy("key", "cell").agg(F.sum("n").alias("n"))
+    after = saved(after, "pairs")
+    often = F.col("n") >= max(2.0, PAIR_SHARE * tokens)
+    cells = after.groupBy("cell").agg(F.sum("n").alias("n")).toArrow()  # at most read classes x classes
+    known = after.where(often).select("key", "n").toArrow()  # at most 1 / PAIR_SHARE
+    classes.after(*(x[c].to_numpy() for x, c in ((known, "key"), (known, "n"), (cells, "cell"), (cells, "n"))))
+    rare = map_rows(after.where(~often).select("key", "n"), gains, "key long, gain double")
+
+    placed = encoded.sparkSession.sparkContext.broadcast(classes)
+    share = min(1.0, FIT_WINDOWS * len(RATES) * (WINDOW - OVERLAP) / tokens)
+
+    def drawn(batches):
+        """Windows whose hash is below the share; no text is left out."""
+        classes = placed.value
+        for batch in batches:
+            for a, b in steps_of([len(x) // 2 + 1 for x in batch["ids"]]):
+                wanted, context, sizes = joined(batch["ids"][a:b], classes, end_id)
+                place, scored, text = windows(sizes)
+                number = np.arange(len(place)) - np.searchsorted(text, text)
+                hashed = _mix(np.array(batch["uid"][a:b], np.int64).astype(np.uint64)[text] + number.astype(np.uint64) * GOLD)
+                keep = np.flatnonzero((hashed >> U(11)) < share * 2.0**53)
+                yield {"h": hashed[keep].astype(np.int64), "context": [x.tobytes() for x in context[place[keep]]], "wanted": [x.tobytes() for x in classes.of[wanted[place[keep]]]], "scored": [x.tobytes() for x in scored[keep]]}
+
+    some = map_rows(train, drawn, "h long, context binary, wanted binary, scored binary").collect()  # about FIT_WINDOWS a rate, from all texts
+    some.sort(key=tuple)
+    table = lambda i, kind: np.frombuffer(b"".join(r[i] for r in some), kind).reshape(-1, WINDOW)
+    start = table(1, np.int64), table(2, np.int64), table(3, bool)
+    model.w["bias"] = np.log(np.bincount(classes.of, counts, CLASSES) + 1.0).astype(np.float32)
+    for k, rate in enumerate(RATES):  # each rate gets a share of the windows, or all of a small table
+        part = slice(k, None, len(RATES)) if len(some) > FIT_WINDOWS else slice(None)
+        model.train(*(x[part] for x in start), rate, 1)
     names = list(model.w)
 
     def refine(batches):
-        weights, classes = shared.value
-        own, n = Attention({k: v.copy() for k, v in weights.items()}), 0
+        classes = placed.value
+        own, moments, n = Attention({k: v.copy() for k, v in shared.value.items()}), None, 0
         for batch in batches:
-            context, wanted, scored = picked(batch["ids"], None, STRIDE)
-            own.train(context, wanted, scored, REFINE_RATE, 1)
-            n += len(context)
+            for a, b in steps_of([len(x) // 2 + 1 for x in batch["ids"]]):
+                wanted, context, sizes = joined(batch["ids"][a:b], classes, end_id)
+                place, scored, _ = windows(sizes)
+                moments = own.train(context[place], classes.of[wanted[place]], scored, REFINE_RATE, 1, moments=moments)
+                n += len(place)
         if n:
             yield {"n": [n], "w": [np.concatenate([own.w[k].ravel() for k in names]).tobytes()]}
 
@@ -345,15 +409,24 @@ def _fit(encoded: DataFrame, bpe: Bpe, end_id: int) -> tuple[Attention, Classes]
         if n:
             yield {"n": [n], "w": [(total / n).astype(np.float32).tobytes()]}
 
-    refined = map_rows(train, refine, "n long, w binary").repartition(GROUPS)
-    found = map_rows(refined, average, "n long, w binary").collect()  # one set of weights a group
-    if found:
+    files = np.random.default_rng(SEED).permutation(sorted(encoded.inputFiles())).tolist()
+    groups = min(len(files), -(-tokens // GROUP_TOKENS))
+    for group, k in ((g, k) for g in range(groups) for k in range(ROUNDS)):
+        shared = encoded.sparkSession.sparkContext.broadcast(model.w)
+        some = encoded.sparkSession.read.schema(encoded.schema).parquet(*files[group::groups])
+        some = some.where("NOT held_out").where(F.pmod(F.xxhash64("uid", F.lit(SEED)), F.lit(ROUNDS)) == k).select("ids")
+        refined = map_rows(some, refine, "n long, w binary").repartition(GROUPS)
+        found = map_rows(refined, average, "n long, w binary").collect()  # one set of weights a group
+        if not found:
+            continue
         flat = np.average([np.frombuffer(r.w, np.float32) for r in found], axis=0, weights=[r.n for r in found])
-        at = 0
-        for k in names:
-            model.w[k] = flat[at : at + model.w[k].size].reshape(model.w[k].shape).astype(np.float32)
-            at += model.w[k].size
-    return model, classes
+        at, weights = 0, {}
+        for name in names:
+            weights[name] = flat[at : at + model.w[name].size].reshape(model.w[name].shape).astype(np.float32)
+            at += model.w[name].size
+        model.w = weights
+        model.trained += sum(r.n for r in found)
+    return model, classes, rare
 
 
 def base_scores(rows: DataFrame) -> DataFrame:
@@ -426,21 +499,31 @@ def score_texts(docs: DataFrame, vocabulary: str | None = None, text: str = "tex
     # rows that repeat both doc_id and text share a uid and get the same scores
     rows = docs.select("doc_id", F.col(text).alias("text"), held_out().alias("held_out")).withColumn("uid", F.xxhash64("doc_id", text))
     encoded = _encoded(rows, spec)
-    model, classes = _fit(encoded, bpe, end_id)
+    model, classes, rare = _fit(encoded, bpe, end_id)
     shared = docs.sparkSession.sparkContext.broadcast((model.w, classes))
 
     def run(batches):
+        """The score of each text, and a row for each other pair of it (key, times)."""
         weights, classes = shared.value
         model = Attention(weights)
         for batch in batches:
-            values, sizes = [], [len(x) // 2 + 1 for x in batch["ids"]]
-            at, held = 0, 0
-            for i, n in enumerate([*sizes, 0]):  # about 200,000 tokens at once
-                if held and (i == len(sizes) or held + n > 200_000):
-                    values += score(model, classes, batch["ids"][at:i], end_id).tolist()
-                    at, held = i, 0
-                held += n
-            yield {"uid": batch["uid"], "n_subwords": sizes, "score": [v / math.log(10) for v in values]}
-
-    scored = map_rows(encoded.select("uid", "ids"), run, "uid long, n_subwords long, score double").dropDuplicates(["uid"])
+            sizes = [len(x) // 2 + 1 for x in batch["ids"]]
+            for a, b in steps_of(sizes):
+                uid, values = batch["uid"][a:b], score(model, classes, batch["ids"][a:b], end_id)
+                text, key, times = (x.tolist() for x in other_pairs(classes, batch["ids"][a:b], end_id))
+                pad, tail = [None] * len(key), [None] * len(uid)
+                yield {"uid": uid + [uid[i] for i in text], "n_subwords": sizes[a:b] + pad, "value": values.tolist() + pad, "key": tail + key, "k": tail + times}
+
+    found = map_rows(encoded.select("uid", "ids"), run, "uid long, n_subwords long, value double, key long, k long")
+    if rare is None:
+        scored = found.where("key IS NULL").groupBy("uid").agg(F.max("n_subwords").alias("n_subwords"), F.max("value").alias("value"))
+        log = F.col("value")
+    else:
+        found = saved(found, "scored")
+        other = found.where("key IS NOT NULL").select("uid", "key", "k").join(rare, "key").groupBy("uid").agg(F.sum(F.col("k") * F.col("gain")).alias("other"))
+        # rows that repeat have one uid, so the sum of their other pairs holds each as often as the row
+        scored = found.where("key IS NULL").groupBy("uid").agg(F.max("n_subwords").alias("n_subwords"), F.max("value").alias("value"), F.count(F.lit(1)).alias("times"))
+        scored = scored.join(other, "uid", "left")
+        log = F.col("value") + F.coalesce(F.col("other") / F.col("times"), F.lit(0.0))
+    scored = scored.select("uid", "n_subwords", (log / F.lit(math.log(10))).alias("score"))
     return rows.select("doc_id", "held_out", "uid").join(base_scores(rows), "uid").join(scored, "uid").drop("uid")

@@ -370,6 +370,40 @@ def test_language_model(docs, plain, empty):
     assert attention_lm.score_texts(empty).collect() == []
 
 
+def test_language_model_learns_from_all_windows_and_pairs(spark):
+    words = ["alpha", "beta", "gamma", "delta", "omega"]
+    texts = {1: " ".join(words[i * i % 5] for i in range(110_000)), 2: "one two three one two", 7: "quick brown fox"}
+    assert not any(zlib.crc32(str(d).encode()) % 10 == 0 for d in texts)
+    docs = spark.createDataFrame([*texts.items(), (7, texts[7])], "doc_id long, text string")
+    vocabulary = open(bpe.default_vocabulary(), encoding="utf-8").read()
+    rows = docs.selectExpr("doc_id", "text", "false AS held_out", "xxhash64(doc_id, text) AS uid")
+    encoded = attention_lm._encoded(rows, vocabulary)
+    spec = bpe.Bpe(vocabulary)
+    end_id = next(iter(spec.special.values()))
+    model, classes, rare = attention_lm._fit(encoded, spec, end_id)
+    ids = {r.uid: bytes(r.ids) for r in encoded.collect()}
+    assert max(map(len, ids.values())) > 200_000  # more than 100,000 ids
+    every = [*ids.values(), ids[next(r.uid for r in rows.collect() if r.doc_id == 7)]]
+    wanted, context, sizes = attention_lm.joined(every, classes, end_id)
+    assert model.trained == len(attention_lm.windows(sizes)[0])
+    pairs = Counter(zip(context.tolist(), wanted.tolist(), strict=True))
+    inside = Counter()
+    for (c, w), n in pairs.items():
+        inside[c, classes.of[w]] += n
+    assert rare.count() == sum(n == 1 for n in pairs.values()) > 0  # the pair table ends at 2 here
+    unseen = {c: classes.log_share(np.array([c[0]]), np.array([c[1]]))[0] for c in pairs}
+    gain = {r.key: r.gain for r in rare.collect()}
+    for (c, w), n in pairs.items():
+        exact = math.log((n + attention_lm.PLAIN * classes.plain[w]) / (inside[c, classes.of[w]] + attention_lm.PLAIN))
+        assert abs(unseen[c, w] + gain.get(c * len(classes.of) + w, 0.0) - exact) < 1e-9
+    got = {r.doc_id: r.score for r in attention_lm.score_texts(docs).collect()}
+    for r in rows.dropDuplicates().collect():
+        w, c, _ = attention_lm.joined([ids[r.uid]], classes, end_id)
+        more = sum(gain.get(k, 0.0) for k in (c * len(classes.of) + w).tolist())
+        want = (attention_lm.score(model, classes, [ids[r.uid]], end_id)[0] + more) / math.log(10)
+        assert abs(got[r.doc_id] - want) < 1e-3 * abs(want), r.doc_id
+
+
 def test_attention_is_causal_and_its_gradient_right():
     rng = np.random.default_rng(2)
     model = attention_lm.Attention()
