@@ -5,15 +5,19 @@ texts. A document is held against every reference by the Jensen-Shannon distance
 if some language is near enough in both. Histograms of short texts are noise, so each distance counts only from
 a minimum length on.
 
-Defined cases: a null or empty text has no words and fails the base rule; a language counts from 1 % of all
-words on and a word is common from 0.2 % of its language on, so there are at most 100 x 500 reference entries;
-without any reference (no languages, an empty table) only the base rule decides; repeated rows are judged each;
-other columns are ignored.
+References are held in blocks of languages: one block is read in one pass over the documents; with more blocks each
+has a pass of its own and the nearest of all passes counts, so memory does not grow with the number of languages.
+
+Defined cases: a null or empty text has no words and fails the base rule; a language counts from ``MIN_WORDS`` words
+of its own on, whatever the others have, and a word is common from 0.2 % of its language on, so there are at most 500
+a language; a document whose own language has no reference passes on the base rule; without any reference (no
+languages, an empty table) only the base rule decides; repeated rows are judged each; other columns are ignored.
 """
 
 from __future__ import annotations
 
 from collections import Counter
+from functools import reduce
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -22,7 +26,7 @@ from pyspark.sql import functions as F
 from logloom.llm.bpe import code_points
 from logloom.llm.common import chunks, map_rows, saved
 
-LEAST_LANGUAGE, COMMON = 0.01, 0.002
+COMMON = 0.002
 #: A distance counts from so many letters and signs, or words, on.
 MIN_CHARS, MIN_WORDS = 250, 25
 #: Largest Jensen-Shannon distances (base 2, 0 to 1) of a kept document.
@@ -32,6 +36,8 @@ BLANKS = " \t\n\v\f\r"
 #: Character classes: other, lower, upper, other letter, digit, blank, sentence mark, symbol.
 CLASSES = 8
 KEPT_ENTRIES = 1_000_000
+#: About so many languages make a block; documents judged at once.
+BLOCK, ROWS = 50, 500
 
 
 def class_table() -> np.ndarray:
@@ -64,8 +70,8 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split()
 
 
-def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[str, tuple[np.ndarray, dict[bytes, float]]]:
-    """For each language its class shares and the shares of its common words."""
+def word_counts(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[DataFrame, DataFrame]:
+    """Counts by language and class or word (``lang, cls, word, n``), and the words of each language that counts (``lang, total``)."""
 
     def count(batches):
         seen: Counter = Counter()
@@ -91,25 +97,23 @@ def references(docs: DataFrame, text: str = "text", lang: str = "lang") -> dict[
 
     counts = map_rows(docs.select(text, F.col(lang).cast("string").alias(lang)), count, "lang string, cls int, word binary, n long")
     counts = saved(counts.groupBy("lang", "cls", "word").agg(F.sum("n").alias("n")), "counts")
-    totals = {r.lang: r.n for r in _languages(counts).collect()}  # at most 1 / LEAST_LANGUAGE rows
-    least = F.lit(None).cast("double")
-    for name, n in totals.items():
-        least = F.when(F.col("lang") == name, F.lit(COMMON * n)).otherwise(least)
-    rows = counts.where((F.col("n") >= least) | (F.col("cls").isNotNull() & least.isNotNull())).collect()  # at most 1 / COMMON words a language
-    found: dict[str, tuple[np.ndarray, dict[bytes, float]]] = {name: (np.zeros(CLASSES), {}) for name in totals}
-    for r in rows:
+    each = counts.where("word IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("total"))
+    return counts, saved(each.where(F.col("total") >= MIN_WORDS), "languages")
+
+
+def references(counts: DataFrame, languages: DataFrame) -> dict[str, tuple[np.ndarray, dict[bytes, float]]]:
+    """For each of a block's ``languages`` its class shares and the shares of its common words."""
+    rows = counts.join(F.broadcast(languages), "lang").where((F.col("n") >= COMMON * F.col("total")) | F.col("cls").isNotNull())
+    found: dict[str, tuple[np.ndarray, dict[bytes, float]]] = {}
+    for r in rows.collect():  # at most 1 / COMMON words and CLASSES a language
+        own = found.setdefault(r.lang, (np.zeros(CLASSES), {}))
         if r.cls is not None:
-            found[r.lang][0][r.cls] = r.n
+            own[0][r.cls] = r.n
         else:
-            found[r.lang][1][bytes(r.word)] = r.n / totals[r.lang]
+            own[1][bytes(r.word)] = r.n / r.total
     return {name: (c / max(c.sum(), 1), w) for name, (c, w) in found.items()}
 
 
-def _languages(counts: DataFrame) -> DataFrame:
-    each = counts.where("word IS NOT NULL").groupBy("lang").agg(F.sum("n").alias("n"))
-    return each.join(F.broadcast(each.agg(F.sum("n").alias("all"))), F.col("n") >= F.col("all") * LEAST_LANGUAGE).select("lang", "n")
-
-
 def js_distance(p: np.ndarray, q: np.ndarray) -> np.ndarray:
     """Jensen-Shannon distance (base 2) of each row of ``p`` to ``q``."""
     m = (p + q) / 2
@@ -156,20 +160,41 @@ def duplicate_lines(text: str) -> int:
 
 def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
     """``doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, nearest, js_chars, js_words, kept``."""
-    refs = references(docs, text, lang)
+    counts, languages = word_counts(docs, text, lang)
+    blocks = max(1, -(-languages.count() // BLOCK))
+    rows = docs.select("doc_id", F.col(text).alias("text"), F.col(lang).cast("string").alias("lang"))
+    rows = rows.withColumn("uid", F.xxhash64("doc_id", F.col("text").isNull(), "text", F.col("lang").isNull(), "lang"))
+    passes = []
+    for k in range(blocks):
+        some = languages.where(F.pmod(F.xxhash64("lang"), F.lit(blocks)) == k)
+        done = _judged(rows, references(counts, some))
+        passes.append(done if blocks == 1 else saved(done, "judged"))
+    measures = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
+    out = passes[0]
+    if blocks > 1:
+        best = F.min(F.when(F.col("nearest").isNotNull(), F.struct("worst", "js_words", "nearest", "js_chars"))).alias("best")
+        every = reduce(DataFrame.unionByName, passes).groupBy("uid").agg(*[F.first(c).alias(c) for c in ["doc_id", *measures]], F.max("own").alias("own"), best, F.count(F.lit(1)).alias("times"))
+        every = every.withColumn("again", F.explode(F.sequence(F.lit(1), F.expr(f"int(times DIV {blocks})"))))  # rows that repeat
+        out = every.select("doc_id", *measures, "own", "best.*")
+    kept = ~F.col("base_failed") & (~F.col("own") | (F.col("worst") <= 1))
+    return out.select("doc_id", *measures, "nearest", "js_chars", "js_words", kept.alias("kept"))
+
+
+def _judged(rows: DataFrame, refs: dict[str, tuple[np.ndarray, dict[bytes, float]]]) -> DataFrame:
+    """Measures of each row, its nearest language of ``refs``, and whether its own language is null or one of them."""
     names = sorted(refs)
     union = {w: i for i, w in enumerate(sorted({w for _, ws in refs.values() for w in ws}))}
     columns = [np.array([union[w] for w in refs[k][1]], np.int64) for k in names]
     shares = [np.array([*refs[k][1].values(), max(0.0, 1 - sum(refs[k][1].values()))]) for k in names]
     classes = [refs[k][0] for k in names]
-    shared = docs.sparkSession.sparkContext.broadcast((names, union, columns, shares, classes))  # bounded, see above
+    shared = rows.sparkSession.sparkContext.broadcast((names, union, columns, shares, classes))  # a block
 
     def run(batches):
         names, union, columns, shares, classes = shared.value
-        find = union.get
+        find, known = union.get, {None, *names}
         for batch in batches:
-            texts = [t or "" for t in batch[text]]
-            for a, b in chunks(texts):
+            texts = [t or "" for t in batch["text"]]
+            for a, b in ((x, min(x + ROWS, b)) for a, b in chunks(texts) for x in range(a, b, ROWS)):
                 out = {k: [] for k in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")}
                 chars, common = np.zeros((b - a, CLASSES)), np.zeros((b - a, len(union)))
                 for i, t in enumerate(texts[a:b]):
@@ -194,12 +219,13 @@ def judge(docs: DataFrame, text: str = "text", lang: str = "lang") -> DataFrame:
                 worst = np.maximum(np.where(total >= MIN_CHARS, js[0] / MAX_CHARS, 0), np.where(n >= MIN_WORDS, js[1] / MAX_WORDS, 0))
                 near = np.lexsort((js[1], worst), axis=0)[0] if names else np.zeros(b - a, int)
                 row = np.arange(b - a)
-                out["doc_id"] = batch["doc_id"][a:b]
+                out["uid"], out["doc_id"] = batch["uid"][a:b], batch["doc_id"][a:b]
+                out["own"] = [x in known for x in batch["lang"][a:b]]
                 out["nearest"] = [names[k] if names else None for k in near]
                 out["js_chars"], out["js_words"] = js[0, near, row], js[1, near, row]
-                out["kept"] = ~np.array(out["base_failed"], bool) & (worst[near, row] <= 1)
+                out["worst"] = worst[near, row]
                 yield out
 
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    schema = f"doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, nearest string, js_chars double, js_words double, kept boolean"
-    return map_rows(docs.select("doc_id", text), run, schema)
+    kind = rows.schema["doc_id"].dataType.simpleString()
+    schema = f"uid long, doc_id {kind}, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, base_failed boolean, nearest string, js_chars double, js_words double, worst double, own boolean"
+    return map_rows(rows, run, schema)

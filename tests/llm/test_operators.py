@@ -191,6 +191,23 @@ def test_quality_verdict(spark, docs, empty):
     assert divergence.judge(empty).collect() == []
 
 
+def test_quality_of_minor_languages(spark, monkeypatch):
+    rng = np.random.default_rng(3)
+    major, minor = [f"word{i}" for i in range(40)], [f"mot{i}" for i in range(40)]
+    text = lambda words: " ".join(rng.choice(words, 120))
+    rows = [(i, text(major), "en") for i in range(200)] + [(900, text(minor), "br"), (901, "a b c d e f g h i j k", "xx")]
+    rows += [(900, rows[200][1], "br")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    one = rows_sorted(divergence.judge(df).collect())
+    assert all(r.kept for r in one) and {r.nearest for r in one if r.doc_id == 900} == {"br"}
+    assert 240 * 100 < sum(len(t.split()) for _, t, _ in rows)  # br has under 1 % of the words
+    monkeypatch.setattr(divergence, "BLOCK", 1)
+    assert rows_sorted(divergence.judge(df).collect()) == one
+    alone = spark.createDataFrame([*rows[:200], (902, text(minor)[: len("mot11 ") * 4], "yy"), (903, " ".join(minor[:24]), "zz")], df.schema)
+    out = {r.doc_id: r for r in divergence.judge(alone).collect()}
+    assert out[903].kept and not out[902].kept  # no reference: the base rule decides
+
+
 def test_js_distance_bounds():
     p = np.array([[1.0, 0.0], [0.5, 0.5], [0.0, 1.0]])
     assert divergence.js_distance(p, np.array([1.0, 0.0])).round(6).tolist() == [0.0, 0.557923, 1.0]
