@@ -30,9 +30,18 @@ OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
 IP = rf"(?<![\d.])(?:{OCTET}\.){{3}}{OCTET}(?!\.?\d)"
 SSN = r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])"
 PHONE = r"(?<![\d+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{3}\)[ .-]?|\d{3}[ .-])\d{3}[ .-]\d{4}(?!\d)"
+#: Phone numbers with a country code; national ones with a trunk zero or in groups of nine digits; ten or eleven plain digits.
+COUNTRY = r"(?:1|7|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3})"
+ABROAD = r"(?<![\p{L}\p{N}+])(?:\+|00(?=[1-9]\d{0,2}[ .-]))[1-9](?:[ ./-]{0,2}\(?\d\)?){6,14}(?!\d)"
+TRUNK = r"(?<![\p{L}\p{N}+.,/:_-])\(?0[1-9](?:\)?[ ./-]?\d){7,10}(?![\d:]|[./-]\d)"
+GROUPS = r"(?<![\p{N}+.,/:_-])(?<!\p{N} )(?:[6-9]\d{2}[ -]\d{3}[ -]\d{3}|[689]\d[ .-]\d{3}[ .-]\d{2}[ .-]\d{2}|[6-9]\d{2}[ .-]\d{2}[ .-]\d{2}[ .-]\d{2})(?!\d|[ .:-]\d)"
+PLAIN = r"(?<![\p{L}\p{N}+.,_/:#-])(?:1?[2-9]\d{9}|0[1-9]\d{8,9})(?![\p{L}\p{N}]|[.,_-]\d)"
+NUMBER = f"{ABROAD}|{TRUNK}|{GROUPS}|{PLAIN}"
+HEX = "[0-9A-Fa-f]{1,4}"
+IP6 = rf"(?<![\p{{L}}\p{{N}}:.])(?=[0-9A-Fa-f:]*\d)(?:(?:{HEX}:){{7}}{HEX}|(?:{HEX}(?::{HEX}){{0,6}})?::(?:{HEX}(?::{HEX}){{0,6}})?)(?![\p{{L}}\p{{N}}:])"
 CARD = r"(?<![\d.])\d(?:[ -]?\d){12,18}(?!\d)"
 NAME = rf"(?<![\p{{L}}\p{{N}}])(?:{MALE}|{FEMALE}|{EITHER})\.? \p{{Lu}}[\p{{L}}'-]++(?: \p{{Lu}}[\p{{L}}'-]++)?"
-ENTITY = "|".join([EMAIL, KEYED + r"""[^\s"']{6,}+""", SECRET, IBAN, IP, SSN, PHONE, CARD, NAME])
+ENTITY = "|".join([EMAIL, KEYED + r"""[^\s"']{6,}+""", SECRET, IBAN, IP6, IP, SSN, PHONE, NUMBER, CARD, NAME])
 
 #: Every entity holds a digit, an at sign or one of these; most texts hold none and are done after a cheap look.
 SIGNS, MARKS = "[0-9@]", ["AKIA", "ghp_", "gho_", "ghu_", "ghs_", "ghr_", "sk-", "xox"]
@@ -66,12 +75,15 @@ def _letter(alphabet: str, n: Column) -> Column:
 
 
 def _by_class(key: str, text: Column, keep: int = 0) -> Column:
-    """Each digit and letter replaced by one of its class; the first ``keep`` characters and all signs stay."""
+    """Each digit and letter replaced by one of its class, letters of other scripts and their marks by Latin ones; the first ``keep`` characters and all signs stay."""
 
     def one(c: Column, i: Column) -> Column:
         out = F.when(i < keep, c).when(c.rlike(r"^\d$"), _draw(key, i, 10).cast("string"))
         for pattern, alphabet in (("[a-zà-öø-ÿ]", LATIN), ("[A-ZÀ-ÖØ-Þ]", LATIN.upper()), ("[а-яё]", CYRILLIC), ("[А-ЯЁ]", CYRILLIC.upper())):
             out = out.when(c.rlike(f"^{pattern}$"), _letter(alphabet, _draw(key, i, len(alphabet))))
+        out = out.when(c.rlike(r"^\p{N}$"), _draw(key, i, 10).cast("string"))
+        for pattern, alphabet in ((r"\p{Lu}", LATIN.upper()), (r"[\p{L}\p{M}]", LATIN)):
+            out = out.when(c.rlike(f"^{pattern}$"), _letter(alphabet, _draw(key, i, 26)))
         return out.otherwise(c)
 
     return F.array_join(F.transform(F.split(text, ""), one), "")
@@ -109,7 +121,9 @@ def surrogate(key: str) -> Column:
     out = F.when(F.col("kind") == "local", F.concat(_by_class(key, c), longer))
     out = out.when(F.col("kind") == "domain", F.concat(_by_class(key, host), longer, F.lit(".example")))
     out = out.when(F.col("kind") == "phone", F.concat(lead(0), *rest(1, 3), lead(3), *rest(4, 10)))
+    out = out.when(F.col("kind") == "number", F.concat(lead(0), _by_class(key, F.substring(c, F.lit(2), F.length(c)))))
     out = out.when(F.col("kind") == "card", card)
+    out = out.when(F.col("kind") == "ip6", F.concat(F.lit("2001:db8:"), F.concat_ws(":", *[F.lower(F.hex(_draw(key, i, 65536))) for i in range(6)])))
     out = out.when(F.col("kind") == "ip", F.concat_ws(".", *[(_draw(key, i, 254) + 1).cast("string") for i in range(4)]))
     out = out.when(F.col("kind") == "iban", _by_class(key, c, keep=2))
     out = out.when(F.col("kind") == "secret", F.concat(_by_class(key, c), longer))
@@ -143,9 +157,15 @@ def parts_of(e: Column) -> Column:
     out = out.when(e.contains("@"), F.array(_part("local", F.lower(local), "", local), _part("domain", F.lower(domain), "@", domain)))
     out = out.when(title != "", F.when(F.size(names) > 1, F.array(given(names[0]), family(names[1], " "))).otherwise(F.array(family(names[0], title))))
     out = out.when(e.rlike(f"^{IP}$"), F.array(_part("ip", e, "", e)))
+    out = out.when(e.rlike(f"^{IP6}$"), F.array(_part("ip6", F.lower(e), "", e)))
     out = out.when(e.rlike(f"^{IBAN}$"), F.array(_part("iban", F.replace(e, F.lit(" ")), "", e)))
     out = out.when(e.rlike(f"^{SSN}$"), F.array(_part("ssn", digits, "", e)))
     out = out.when(e.rlike(f"^{PHONE}$"), F.array(_part("phone", F.substring(digits, -10, 10), "", e)))
+    out = out.when(e.rlike(rf"^(?:\+1|1)?[2-9]\d{{9}}$"), F.array(_part("phone", F.substring(digits, -10, 10), "", e)))
+    abroad = e.rlike(f"^(?:{ABROAD})$")
+    # without country code and trunk zero, so both forms of a number are one part
+    own = F.regexp_replace(digits, F.when(abroad, F.lit(f"^(?:00)?{COUNTRY}0?")).otherwise(F.lit("^0")), "")
+    out = out.when(e.rlike(f"^(?:{NUMBER})$"), F.array(_part("number", own, "", e)))
     return out.otherwise(F.array(_part("card", digits, "", e)))
 
 
@@ -158,7 +178,7 @@ def rendered(kind: Column, raw: Column, made: Column) -> Column:
     numbers = F.concat(slots[0], F.array_join(F.transform(F.slice(slots, F.lit(2), F.size(slots)), lambda s, i: F.concat(F.get(fill, i), s)), ""))
     spaced = F.array_join(F.transform(F.split(raw, ""), lambda c, i: F.when(c == " ", " ").otherwise(F.substring(made, i + 1 - F.length(F.regexp_replace(F.substring(raw, F.lit(1), i), "[^ ]", "")), F.lit(1)))), "")
     cased = F.when((raw == F.upper(raw)) & (F.length(raw) > 1), F.upper(made)).when(raw.rlike(r"^\p{Lu}"), F.concat(F.upper(F.substring(made, 1, 1)), F.substring(made, F.lit(2), F.length(made)))).otherwise(made)
-    return F.when(kind.isin("phone", "card", "ssn"), numbers).when(kind == "iban", spaced).when(kind.isin("ip", "secret"), made).otherwise(cased)
+    return F.when(kind.isin("phone", "number", "card", "ssn"), numbers).when(kind == "iban", spaced).when(kind.isin("ip", "ip6", "secret"), made).otherwise(cased)
 
 
 def assign(parts: DataFrame, key: str) -> DataFrame:

@@ -251,6 +251,29 @@ def test_surrogates_keep_type_and_identity(spark, empty):
     assert surrogates.replace_entities(empty, "k").collect() == []
 
 
+def test_surrogates_of_other_forms_and_scripts(spark):
+    phones = ["+33 1 23 45 67 89", "01 23 45 67 89", "+49 30 1234567", "020 7946 0958", "5551234567", "+44 (0)20 7946 0958", "912 345 678", "0033 1 23 45 67 89"]
+    other = ["2001:0db8:85a3:0000:0000:8a2e:0370:7334", "fe80::1ff:fe23:4567:890a", "李小龍@例子.com", "δοκιμή@παράδειγμα.gr", "łukasz@poczta.pl"]
+    plain = ["on 01.02.2024 12:30 or 2024-01-02 10:11:12", "std::vector a::b", "10 000 of 1 250 000", "at 1700000000 s"]
+    texts = [f"x {v} y" for v in [*phones, *other]] + ["password=пароль密碼ギリシャ"] + plain
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: r for r in surrogates.replace_entities(df, "k").collect()}
+    got = [out[i].text for i in range(len(texts))]
+    assert [out[i].n_entities for i in range(len(texts))] == [1] * 14 + [0] * 4 and got[14:] == plain
+    digits = ["".join(filter(str.isdigit, t)) for t in got]
+    for i, p in enumerate(phones):
+        assert "".join(filter(str.isdigit, p))[-7:] not in digits[i] and [c for c in got[i] if not c.isdigit()] == [c for c in texts[i] if not c.isdigit()]
+    assert digits[0][2:] == digits[1][1:] == digits[7][4:] and digits[3][1:] == digits[5][3:]
+    for i, v in enumerate(other[:2], 8):
+        assert v not in got[i]
+    for i in range(10, 14):
+        letters = set(filter(str.isalpha, texts[i].split("=")[-1].removeprefix("x ").removesuffix(" y"))) - set(surrogates.LATIN + surrogates.CYRILLIC)
+        assert not letters & set(got[i].split("=")[-1]), got[i]
+    many = spark.createDataFrame([("local", "小𠮷e\u0301", 5), ("secret", "密碼密碼密碼", 9)], "kind string, canonical string, attempt int")
+    for r in many.withColumn("made", surrogates.surrogate("k")).collect():
+        assert r.made.isascii() and len(r.made) > len(r.canonical) - 1
+
+
 def test_surrogates_never_meet(spark):
     parts = spark.createDataFrame([("local", c) for c in "abcdefghijklmnopqrstuvwxyz"] + [("ip", f"1.1.{i}.{j}") for i in range(9) for j in range(9)], "kind string, canonical string")
     made = surrogates.assign(parts, "k").collect()
