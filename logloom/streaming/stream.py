@@ -19,6 +19,9 @@ TRIGGER = "20 seconds"
 #: Folders of a batch and outcome in the index sink.
 INDEX_BUCKETS = 64
 
+#: By topic: the last run that was started here and what it was started with.
+_STARTED: dict[str, tuple] = {}
+
 Transform = Callable[[DataFrame], DataFrame]
 
 
@@ -135,7 +138,7 @@ def start(
     checkpoint only after the batch is written; a batch that fails is run again.
     """
     write = writer or (lambda batch, batch_id: write_batch(batch, batch_id, f"{root}/index"))
-    return (
+    query = (
         transform(stream)
         .writeStream.queryName(topic)
         .foreachBatch(write)
@@ -143,6 +146,8 @@ def start(
         .trigger(**(trigger or {"processingTime": TRIGGER}))
         .start()
     )
+    _STARTED[topic] = str(query.runId), (stream, transform, root, topic), writer
+    return query
 
 
 def running(spark: SparkSession) -> dict[str, StreamingQuery]:
@@ -162,18 +167,20 @@ def stop(spark: SparkSession, topic: str) -> bool:
 def drain(spark: SparkSession, topic: str) -> bool:
     """Let the stream of a topic finish what has arrived by now, then stop it.
 
-    The batch after the running one takes in all that has arrived; later rows are not waited for.
+    The stream goes on from its checkpoint as a run over what is available at its start, in as many batches as the source's
+    limits ask for; a batch that was cut off is run again. Later rows are not waited for. A stream that was not started
+    by :func:`start` in this process runs on until no row is left.
     """
     query = running(spark).get(topic)
     if query is None:
         return False
-    last = query.lastProgress
-    until = (last.batchId if last else -1) + (2 if query.status["isTriggerActive"] else 1)
-    while query.isActive and not query.awaitTermination(0.2):
-        last, status = query.lastProgress, query.status
-        if last and (last.batchId >= until or not (status["isTriggerActive"] or status["isDataAvailable"])):
-            break
+    run_id, arguments, writer = _STARTED.get(topic, (None, None, None))
+    if run_id != str(query.runId):
+        query.processAllAvailable()
+        query.stop()
+        return True
     query.stop()
+    start(*arguments, {"availableNow": True}, writer).awaitTermination()
     return True
 
 

@@ -82,6 +82,28 @@ def test_observed_counters(spark, rows):
     assert seen.get == {"events": 2, "missing": 1}
 
 
+def test_drain_takes_all_that_had_arrived(spark, tmp_path):
+    folder, root = tmp_path / "in", str(tmp_path / "out")
+    folder.mkdir()
+
+    def put(a, b):
+        for i in range(a, b):
+            (folder / f"{i}.txt").write_text(f"{i}\n")
+
+    def docs(df):
+        return df.select(F.col("value").alias("doc_id"), F.lit("all").alias("index_name"))
+
+    put(0, 2)
+    source = stream.file_stream(spark, str(folder), max_files=1)
+    query = stream.start(source, docs, root, "drained", {"processingTime": "1 hour"})
+    while not query.lastProgress or query.status["isTriggerActive"]:
+        query.awaitTermination(0.2)
+    put(2, 7)  # the trigger is idle, and a batch takes one file
+    assert stream.drain(spark, "drained") and "drained" not in stream.running(spark)
+    got = stream.read_index(spark, f"{root}/index")
+    assert sorted(r.doc_id for r in got.collect()) == [str(i) for i in range(7)]
+
+
 def test_stop_of_unknown_topic(spark):
     assert stream.stop(spark, "no-such-topic") is False and stream.drain(spark, "no-such-topic") is False
 
