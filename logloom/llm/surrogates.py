@@ -3,7 +3,8 @@
 One pattern finds the entities of a text. Each is cut into parts (an email into local part and domain, a titled name
 into given and family name), and every distinct part of the whole corpus gets one keyed surrogate of its kind: digits
 stay digits, letters keep case and script, card numbers keep issuer digit and checksum state, names follow the title's
-gender. A surrogate that meets another one or a real part is drawn again, so different parts stay different and equal
+gender. Names, local parts, domains and secrets get one more syllable or letter every four draws, so there are enough for
+any number of parts; numbers and addresses keep the size of their format. A surrogate that meets another one or a real part is drawn again, so different parts stay different and equal
 parts stay equal everywhere.
 
 Only DataFrame functions are used. Texts without an entity are not shuffled. Defined cases: a null or empty text has no
@@ -89,6 +90,12 @@ def _by_class(key: str, text: Column, keep: int = 0) -> Column:
     return F.array_join(F.transform(F.split(text, ""), one), "")
 
 
+def _more(pick) -> Column:
+    """One more piece of text after every four attempts: ``pick(i)`` for i from 0 on."""
+    n = F.expr("int(attempt DIV 4)")
+    return F.when(n > 0, F.array_join(F.transform(F.sequence(F.lit(0), n - 1), pick), "")).otherwise(F.lit(""))
+
+
 def _luhn(digits: Column) -> Column:
     def value(c: Column, i: Column) -> Column:
         d = c.cast("int")
@@ -100,7 +107,7 @@ def _luhn(digits: Column) -> Column:
 def _name(key: str, script: str, gender: str | None) -> Column:
     parts = F.array(*map(F.lit, SYLLABLES[script]))
     drawn = [F.get(parts, _draw(key, i, len(SYLLABLES[script]))) for i in range(3)]
-    more = F.when(F.col("attempt") > 3, F.get(parts, _draw(key, 3, len(SYLLABLES[script])))).otherwise(F.lit(""))
+    more = _more(lambda i: F.get(parts, _draw(key, F.when(i == 0, 3).otherwise(i + 100), len(SYLLABLES[script]))))
     if gender is None:
         return F.concat(*drawn, more)
     ends = ENDINGS[script, gender]
@@ -110,8 +117,7 @@ def _name(key: str, script: str, gender: str | None) -> Column:
 def surrogate(key: str) -> Column:
     """The surrogate of (kind, canonical, attempt)."""
     c = F.col("canonical")
-    longer = F.when(F.col("attempt") > 3, _letter(LATIN, _draw(key, 1000, 26))).otherwise(F.lit(""))
-    longer = F.concat(longer, F.when(F.col("attempt") > 7, _letter(LATIN, _draw(key, 1001, 26))).otherwise(F.lit("")))
+    longer = _more(lambda i: _letter(LATIN, _draw(key, i + 1000, 26)))
     labels = F.split(c, r"\.")
     host = F.array_join(F.slice(labels, F.lit(1), F.size(labels) - 1), ".")
     card = _by_class(key, F.substring(c, F.lit(1), F.length(c) - 1), keep=1)
@@ -184,20 +190,22 @@ def rendered(kind: Column, raw: Column, made: Column) -> Column:
 def assign(parts: DataFrame, key: str) -> DataFrame:
     """``kind, canonical, made`` for the distinct parts: no two alike, none equal to a real part of its kind.
 
-    The losers of a round (all but the first of those that meet, and those that meet a real part) draw again.
+    The losers of a round (all but the first of those that meet, and those that meet a real or settled part) draw again;
+    only they are written again.
     """
     real = saved(parts.select("kind", "canonical").distinct(), "parts")
-    state = real.withColumn("attempt", F.lit(0))
+    taken = real.withColumnRenamed("canonical", "made")
+    state, settled = real.withColumn("attempt", F.lit(0)), []
     while True:
         drawn = saved(state.withColumn("made", surrogate(key)), "drawn")
-        first = drawn.groupBy("kind", "made").agg(F.min("canonical").alias("owner"), F.count(F.lit(1)).alias("n")).where("n > 1")
-        met = drawn.join(first, ["kind", "made"]).where("canonical != owner").select("kind", "canonical")
-        taken = drawn.join(real.withColumnRenamed("canonical", "made"), ["kind", "made"], "left_semi").select("kind", "canonical")
-        again = saved(met.union(taken).distinct().withColumn("lost", F.lit(1)), "again")
-        if again.isEmpty():
-            return drawn.select("kind", "canonical", "made")
-        state = drawn.join(again, ["kind", "canonical"], "left")
-        state = state.select("kind", "canonical", (F.col("attempt") + F.coalesce("lost", F.lit(0))).alias("attempt"))
+        free = drawn.join(taken, ["kind", "made"], "left_anti")
+        for done in settled:
+            free = free.join(done, ["kind", "made"], "left_anti")
+        won = saved(free.groupBy("kind", "made").agg(F.min("canonical").alias("canonical")).select("kind", "canonical", "made"), "settled")
+        settled.append(won)
+        state = saved(drawn.join(won, ["kind", "canonical"], "left_anti").select("kind", "canonical", (F.col("attempt") + 1).alias("attempt")), "again")
+        if state.isEmpty():
+            return reduce(DataFrame.unionByName, settled)
 
 
 def _may_have(text: Column) -> Column:

@@ -281,6 +281,13 @@ def test_surrogates_never_meet(spark):
     assert not {(r.kind, r.made) for r in made} & {(r.kind, r.canonical) for r in made}
 
 
+def test_surrogates_suffice_for_any_number_of_names(spark, monkeypatch):
+    monkeypatch.setattr(surrogates, "SYLLABLES", {"latin": ["ba", "be"], "cyrillic": ["ба"]})
+    names = [("given_latin_f", f"name{i}") for i in range(150)]  # 2 x 2 x 2 x 4 = 32 forms with one more syllable
+    made = surrogates.assign(spark.createDataFrame(names, "kind string, canonical string"), "k").collect()
+    assert len({r.made for r in made}) == len({r.canonical for r in made}) == 150
+
+
 def shingles(text):
     words = text.lower().encode().split()
     n = min(5, len(words))
