@@ -20,11 +20,13 @@ import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.llm.common import chunks, claim, map_rows, saved
+from logloom.llm.common import CHUNK_CHARS, chunks, claim, map_rows, saved
 from logloom.llm.order_minhash import GOLD, U, _mix
 
-#: Bounds of the fit: languages, labelled texts a language, runs a text and words a run.
-LANGUAGES, SAMPLE_TEXTS, RUNS, RUN_WORDS = 100, 400, 6, 32
+#: Bounds of the fit: labelled texts a language, runs a text and words a run. All languages are learned.
+SAMPLE_TEXTS, RUNS, RUN_WORDS = 400, 6, 32
+#: Up to so many languages the sizes below hold; with more, steps get smaller and sequences more.
+LANGUAGES = 100
 #: A word enters the lexicon from this share of its language on: at most 50,000 a language.
 LEXICON_SHARE = 2e-5
 TABLE_BITS, AFFIXES = 17, (1, 2, 3, 4)
@@ -103,7 +105,7 @@ class Crf:
         n, labels = emit.shape
         e = np.exp(emit - emit.max(1, keepdims=True)).astype(np.float64) + 1e-12
         move, prior = np.exp(self.move.astype(np.float64)), np.exp(self.start.astype(np.float64))
-        steps = max(1, int(np.sqrt(n)))
+        steps = max(1, int(np.sqrt(n)), -(-n // max(1, 8_000_000 // labels**2)))  # bounds the matrices' memory
         blocks = -(-n // steps)
         reset = np.zeros(blocks * steps, bool)
         reset[begins] = True
@@ -185,11 +187,16 @@ class Crf:
         return hot - post, grad_move, (hot[:, 0] - post[:, 0]).sum(0)
 
 
+def hash_bound(texts: int) -> int:
+    """Texts whose 63-bit hash is below are sampled; above 0 for any number of texts."""
+    return min(2**63 - 1, SAMPLE_TEXTS * 2**63 // texts)
+
+
 def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[Crf, dict[str, np.ndarray]] | None:
     """A model from labelled texts, or None without any."""
     rows = docs.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col("doc_id").isNotNull())
     rows = rows.select("doc_id", F.col(lang).cast("string").alias("lang"), F.col(text).alias("text"))
-    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(LANGUAGES).collect()}
+    sizes = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     if not sizes:
         return None
     labels = sorted(sizes)
@@ -215,20 +222,15 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[Crf,
         yield out()
 
     counts = map_rows(rows.select("lang", "text"), count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
-    counts = saved(counts.where(F.col("lang").isin(labels)), "lexicon")
+    counts = saved(counts, "lexicon")
     totals = {r["lang"]: r.n for r in counts.groupBy("lang").agg(F.sum("n").alias("n")).collect()}
-    least = F.lit(None).cast("double")
-    for name, n in totals.items():
-        least = F.when(F.col("lang") == name, F.lit(LEXICON_SHARE * n)).otherwise(least)
     shares: dict[str, np.ndarray] = {}
-    for r in counts.where(F.col("n") >= least).collect():
-        shares.setdefault(r.word, np.zeros(len(labels)))[labels.index(r["lang"])] = r.n / totals[r["lang"]]
+    place, spark = {name: i for i, name in enumerate(labels)}, docs.sparkSession
+    least = spark.createDataFrame([(k, LEXICON_SHARE * n) for k, n in totals.items()], "lang string, least double")
+    for r in counts.join(F.broadcast(least), "lang").where("n >= least").collect():
+        shares.setdefault(r.word, np.zeros(len(labels)))[place[r["lang"]]] = r.n / totals[r["lang"]]
     lexicon = {w: (np.log(p + EPS) - np.log(p + EPS).mean()).astype(np.float32) for w, p in shares.items()}
 
-    part = F.lit(0)
-    for name, n in sizes.items():
-        part = F.when(F.col("lang") == name, F.lit(int(min(1.0, SAMPLE_TEXTS / n) * 1_000_000))).otherwise(part)
-
     def runs(batches):
         for batch in batches:
             out = {"lang": [], "key": [], "words": []}
@@ -241,21 +243,24 @@ def learn(docs: DataFrame, text: str = "text", lang: str = "lang") -> tuple[Crf,
                     out["words"].append(words[at : at + RUN_WORDS])
             yield out
 
-    chosen = rows.where(F.pmod(F.xxhash64("doc_id", F.lit(SEED)), F.lit(1_000_000)) < part)
+    bounds = spark.createDataFrame([(k, hash_bound(n)) for k, n in sizes.items()], "lang string, bound long")
+    chosen = rows.join(F.broadcast(bounds), "lang").where(F.shiftrightunsigned(F.xxhash64("doc_id", F.lit(SEED)), 1) <= F.col("bound"))
     sample = map_rows(chosen.limit(2 * SAMPLE_TEXTS * len(labels)), runs, "lang string, key double, words array<string>")
     by_lang: dict[str, list[list[str]]] = {}
     for r in sorted(sample.collect(), key=lambda r: (r["lang"], r.key, r.words)):
         by_lang.setdefault(r["lang"], []).append(r.words)
     by_lang = {k: v[: SAMPLE_TEXTS * RUNS] for k, v in by_lang.items()}
-    model, rng = Crf(labels), random.Random(SEED)
+    if not by_lang:
+        return None
+    model, rng, names = Crf(labels), random.Random(SEED), sorted(by_lang)
     sequences, truth = [], []
-    for _ in range(SEQUENCES if by_lang else 0):
+    for _ in range(SEQUENCES * max(LANGUAGES, len(labels)) // LANGUAGES):
         words, marks = [], []
         while len(words) < LENGTH:
-            name = rng.choice(sorted(by_lang))
+            name = rng.choice(names)
             run = rng.choice(by_lang[name])[: rng.randint(4, RUN_WORDS)]
             words += run
-            marks += [labels.index(name)] * len(run)
+            marks += [place[name]] * len(run)
         sequences.append(words[:LENGTH])
         truth.append(marks[:LENGTH])
     model.fit(Features(lexicon, len(labels)), sequences, truth)
@@ -272,17 +277,19 @@ def label(docs: DataFrame, learned: tuple[Crf, dict[str, np.ndarray]] | None, te
         if learned:
             model, lexicon = learned
             features = Features(lexicon, len(model.labels))
+        many = max(LANGUAGES, len(learned[0].labels) if learned else 0)
+        if learned:
             place: dict[str, int] = {}
             scores, solid = np.zeros((0, len(model.labels)), np.float32), np.zeros(0, bool)
         for batch in batches:
             texts = [t or "" for t in batch[text]]
-            for a, b in chunks(texts):
+            for a, b in chunks(texts, CHUNK_CHARS * LANGUAGES // many):
                 split = [t.split() for t in texts[a:b]]
                 size = np.array([len(s) for s in split], np.int64)
                 out = {c: batch[c][a:b] for c in keep} | {"lang_pred": ["und"] * (b - a), "score": [0.0] * (b - a), "segments": [[] for _ in split]}
                 if learned and size.any():
                     words = [w for s in split for w in s]
-                    if len(place) > KEPT_WORDS:
+                    if len(place) > KEPT_WORDS * LANGUAGES // many:
                         place.clear()
                         scores, solid = scores[:0], solid[:0]
                     if new := [w for w in dict.fromkeys(words) if w not in place]:

@@ -388,6 +388,16 @@ def test_langid(spark, docs, empty):
     assert crf_langid.identify(empty).collect() == []
 
 
+def test_langid_of_large_blank_and_many_languages(spark):
+    schema = "doc_id long, text string, lang string"
+    assert all(crf_langid.hash_bound(n) * n // 2**63 in (399, 400) for n in (10**9, 10**11)) and crf_langid.hash_bound(1) == 2**63 - 1
+    blank = spark.createDataFrame([(1, "", "en")], schema)
+    assert crf_langid.learn(blank) is None and crf_langid.identify(blank).first().lang_pred == "und"
+    many = spark.createDataFrame([(i, f"word{i} other{i} third{i}", f"l{i:03}") for i in range(105)], schema)
+    model, _ = crf_langid.learn(many)
+    assert model.labels == [f"l{i:03}" for i in range(105)]
+
+
 def test_forward_backward_equals_enumeration():
     rng = np.random.default_rng(1)
     model = crf_langid.Crf(["a", "b", "c"])
