@@ -16,8 +16,11 @@ from logloom.llm import (
     ngram_join,
     order_minhash,
     packing,
+    query_sharing,
+    source_audit,
     surrogates,
     transducer,
+    whole_tokens,
 )
 from logloom.llm.common import documents
 
@@ -146,3 +149,73 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(role || chr(10) || text |
   CAST(sum(chars) AS BIGINT) AS formatted_chars
 FROM e GROUP BY conv_id
 """
+
+
+@query
+def op11_query_sharing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return query_sharing.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+ORACLES["op11_query_sharing"] = r"""
+WITH folded AS (
+  SELECT 0 AS kind, doc_id AS id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text FROM documents
+  UNION ALL SELECT 1, item_id, translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') FROM benchmark
+), parts AS (
+  SELECT kind, id, row_number() OVER () AS k, regexp_extract_all(text, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS terms FROM folded
+), docs AS (SELECT k, id AS doc_id, terms, len(terms) AS n FROM parts WHERE kind = 0 AND len(terms) > 0),
+items AS (SELECT DISTINCT id AS item_id, unnest(terms) AS term FROM parts WHERE kind = 1),
+size AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_all FROM docs),
+seen AS (SELECT k, unnest(terms) AS term FROM docs),
+tf AS (SELECT k, term, count(*) AS tf FROM seen SEMI JOIN items USING (term) GROUP BY k, term),
+weight AS (SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, size GROUP BY term, n_docs),
+part AS (
+  SELECT k, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_all))) AS score
+  FROM tf JOIN docs USING (k) JOIN weight USING (term), size
+), total AS (SELECT item_id, k, doc_id, CAST(sum(score) AS BIGINT) AS score FROM part JOIN items USING (term) GROUP BY item_id, k, doc_id)
+SELECT item_id, CAST(row_number() OVER best AS INTEGER) AS rank, doc_id, score FROM total WHERE score > 0
+WINDOW best AS (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) QUALIFY row_number() OVER best <= 10
+"""
+
+
+@query
+def op12_whole_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whole_tokens.count_tokens(documents(spark, sf_dir))
+
+
+@query
+def op13_chunk_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_audit.audit(documents(spark, sf_dir))
+
+
+ORACLES["op13_chunk_audit"] = r"""
+WITH d AS (
+  SELECT row_number() OVER () AS k, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), t AS (SELECT k, lang, source, unnest(regexp_extract_all(text, '[^\x00-\x40\x5B-\x60\x7B-\x7F]+')) AS term FROM d),
+kept AS (SELECT lang, term, count(*) AS total FROM t GROUP BY lang, term HAVING count(DISTINCT k) >= 3),
+langs AS (SELECT lang, count(*) AS n_terms, sum(total) AS lang_n FROM kept GROUP BY lang),
+groups AS (SELECT DISTINCT lang, source FROM d),
+uses AS (SELECT lang, source, term, count(*) AS n FROM t SEMI JOIN kept USING (lang, term) GROUP BY lang, source, term),
+sums AS (SELECT g.lang, g.source, coalesce(sum(n), 0) AS group_n FROM groups g LEFT JOIN uses u ON g.lang = u.lang AND g.source = u.source GROUP BY g.lang, g.source),
+p AS (
+  SELECT s.lang, s.source, kept.term, coalesce(u.n, 0) AS n,
+    CAST(1 + (1000000000::HUGEINT * (coalesce(u.n, 0) + 1)) // (group_n + n_terms) AS BIGINT) AS p,
+    CAST(1 + (1000000000::HUGEINT * (total + 1)) // (lang_n + n_terms) AS BIGINT) AS q
+  FROM sums s JOIN kept ON s.lang = kept.lang JOIN langs ON s.lang = langs.lang
+    LEFT JOIN uses u ON s.lang = u.lang AND s.source = u.source AND kept.term = u.term
+), pair AS (
+  SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p) AS value
+  FROM p a JOIN p b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY a.lang, a.source, b.source
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0) AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+    LEFT JOIN pair ON pair.lang = a.lang AND pair.source = a.source AND pair.item = b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, ((p - q) * (p - q)) // q FROM p WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, CAST(value AS BIGINT) AS value,
+  CAST(row_number() OVER best AS INTEGER) AS rank
+FROM found WINDOW best AS (PARTITION BY lang, source, part ORDER BY value DESC, item)
+QUALIFY part = 'pair' OR row_number() OVER best <= 200
+"""

@@ -14,8 +14,8 @@ def test_query_equals_sql(spark, name):
     assert compare(QUERIES[name](spark, SF_DIR).toPandas(), con.execute(ORACLES[name]).df()) is None
 
 
-def test_ten_operators():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+def test_thirteen_operators():
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
 
 
 def test_pipeline(spark, tmp_path):
