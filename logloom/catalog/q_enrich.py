@@ -113,6 +113,46 @@ def geo_enrich_v6(spark, sf_dir):
     return geo(ranges_from_cidr(blocks))(ev).select("event_id", "city", "country", "continent")
 
 
+_NESTED_SQL = with_events(
+    "SELECT event_id, clientip, CASE WHEN event_id % 11 <> 0 AND second = n_regionkey THEN concat('City ', n_nationkey) END AS city, "
+    "CASE WHEN event_id % 11 <> 0 THEN CASE WHEN n_name IS NULL THEN 'World' WHEN second >= 8 THEN concat('East ', n_name) ELSE n_name END END AS country, "
+    "CASE WHEN event_id % 11 <> 0 THEN coalesce(r_name, 'EARTH') END AS continent "
+    "FROM (SELECT *, TRY_CAST(split_part(clientip, '.', 2) AS int) AS second FROM ev) LEFT JOIN (SELECT n_nationkey, n_regionkey, n_name, r_name FROM nation "
+    "JOIN region ON n_regionkey = r_regionkey) ON n_nationkey = user_id % 32"
+)
+
+
+def nested_ranges(spark, sf_dir):
+    """All addresses, inside them a /8 a nation, inside that a /16 and a half that is no CIDR block; as hex bounds."""
+    nation, region = table(spark, sf_dir, "nation"), table(spark, sf_dir, "region")
+    first = (F.col("n_nationkey").cast("bigint") + 16) * (1 << 24)
+    city = F.concat(F.lit("City "), F.col("n_nationkey").cast("string"))
+    rows = nation.join(region, F.col("n_regionkey") == F.col("r_regionkey"))
+    second = F.col("n_regionkey").cast("bigint") * (1 << 16)
+
+    def part(lo, hi, city, country):
+        return rows.select(lo.alias("lo"), hi.alias("hi"), city.alias("city"), country.alias("country"), F.col("r_name").alias("continent"))
+
+    none = F.lit(None).cast("string")
+    whole = part(first, first + (1 << 24) - 1, none, F.col("n_name"))
+    inner = part(first + second, first + second + (1 << 16) - 1, city, F.col("n_name"))
+    half = part(first + 8 * (1 << 16), first + (1 << 24) - 2, none, F.concat(F.lit("East "), "n_name"))
+    earth = spark.range(1).selectExpr("0L AS lo", "4294967295L AS hi", "cast(null AS string) AS city", "'World' AS country", "'EARTH' AS continent")
+    return ranges_from_longs(whole.unionByName(inner).unionByName(half).unionByName(earth))
+
+
+@query("geo_enrich_nested", _NESTED_SQL)
+def geo_enrich_nested(spark, sf_dir):
+    """Ranges inside ranges: the most specific one gives the place."""
+    return _geo(spark, sf_dir, nested_ranges(spark, sf_dir))
+
+
+@query("geo_enrich_nested_shuffled", _NESTED_SQL)
+def geo_enrich_nested_shuffled(spark, sf_dir):
+    """The same by way of the distinct addresses, as for a table too large to broadcast."""
+    return _geo(spark, sf_dir, nested_ranges(spark, sf_dir), broadcast_rows=0)
+
+
 # ---- user agent
 
 
@@ -342,7 +382,7 @@ def xml_attr(spark, sf_dir):
     ),
 )
 def xml_flatten(spark, sf_dir):
-    return _xml(spark, sf_dir).select("event_id", map_text(xml_fields.xml_flatten(F.col("doc"), ["/e"])).alias("fields"))
+    return _xml(spark, sf_dir).select("event_id", map_text(xml_fields.xml_flatten("doc", ["/e"])).alias("fields"))
 
 
 # ---- anomalies and labels

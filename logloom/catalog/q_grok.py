@@ -256,7 +256,25 @@ def grok_spans(spark, sf_dir):
     """Group positions; a group that took no part gets the span of the whole text."""
     library = library_with({"REQ": r"^%{WORD:verb} %{URIPATH:path}%{URIPARAM:params}? ..$"})
     ev = lines.events(spark, sf_dir)
-    found = first_spans(F.concat("verb", F.lit(" "), "request", F.lit(" ok")), ["NONE", "REQ"], library)
-    return ev.select("event_id", F.inline(found)).select(
+    ev = ev.select("event_id", F.concat("verb", F.lit(" "), "request", F.lit(" ok")).alias("text"))
+    return ev.select("event_id", F.inline(first_spans("text", ["NONE", "REQ"], library))).select(
         "event_id", "name", "value", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end")
     )
+
+
+_MARKS_SQL = "CASE WHEN event_id % 3 = 0 THEN concat(chr(1), chr(2), chr(3)) WHEN event_id % 3 = 1 THEN concat(chr(3), chr(1), chr(2)) ELSE chr(1) END"
+
+
+@query(
+    "grok_control_characters",
+    f"SELECT event_id, concat({_MARKS_SQL}, 'w') AS word, concat('', user_id) AS num, concat('tail', {_MARKS_SQL}) AS rest, "
+    f"length({_MARKS_SQL}) + 2 AS num_start FROM events",
+)
+def grok_control_characters(spark, sf_dir):
+    """Texts that hold the characters captures are kept apart by come back whole, with their positions."""
+    marks = F.expr(_MARKS_SQL.replace("chr(", "char("))
+    text = F.concat(marks, F.lit("w "), "user_id", F.lit(" tail"), marks)
+    library = library_with({"MARKED": r"(?<word>[^ ]+) %{INT:num} (?<rest>.*)"})
+    ev = extract(table(spark, sf_dir, "events").select("event_id", text.alias("text")), "text", "MARKED", library)
+    found = F.filter(first_spans("text", ["MARKED"], library), lambda s: s["name"] == "num")
+    return ev.select("event_id", "word", "num", "rest", found[0]["start"].cast("bigint").alias("num_start"))

@@ -232,8 +232,8 @@ def quota_check(spark, sf_dir):
 
 @query("quota_check_rounds", _CHECK_SQL)
 def quota_check_rounds(spark, sf_dir):
-    """The way of a token with very many events, taken for every contended token."""
-    return quota.check_quota(sized_events(spark, sf_dir), limits(spark, sf_dir), ["event_id"], group_rows=0, chunk_rows=500)
+    """The way of a token with very many events: chunks and spans so small that most tokens have several."""
+    return quota.check_quota(sized_events(spark, sf_dir), limits(spark, sf_dir), ["event_id"], chunk_rows=50, span_parts=1)
 
 
 _LAST_SQL = "last AS (SELECT token, sum(bytes) // 10 AS usage, CAST(0 AS bigint) AS drop FROM sized WHERE event_id % 2 = 0 GROUP BY token)"

@@ -54,21 +54,26 @@ def decode_beat_basic(spark, sf_dir):
     )
 
 
+def broken_beats(df, every=15):
+    """Shipper JSON of web access lines; every fifteenth is cut short, every forty-fifth is empty."""
+    sent = lines.transported(df, lines.beat_json(lines.access_message(), F.lit("apache_access")))
+    cut = F.substr("value", F.lit(1), F.length("value") - 3)
+    at = F.col("event_id")
+    return sent.withColumn("value", F.when(at % (3 * every) == 0, "").when(at % every == 0, cut).otherwise(F.col("value")))
+
+
 @query(
     "decode_beat_rejects",
     with_events(
-        "SELECT event_id, event_id % 15 = 0 AS broken, event_id % 15 <> 0 AND event_id % 37 <> 0 AS typed FROM ev"
+        "SELECT event_id, CASE WHEN event_id % 45 = 0 THEN 'empty' WHEN event_id % 15 = 0 THEN 'malformed JSON' END AS reason, "
+        "event_id % 15 = 0 AND event_id % 45 <> 0 AS same_text, event_id % 15 <> 0 AND event_id % 37 <> 0 AS typed FROM ev"
     ),
 )
 def decode_beat_rejects(spark, sf_dir):
-    """Rows cut short: kept as unknown events with their raw text, and listed as rejects."""
-    sent = _beats(spark, sf_dir)
-    cut = F.substr("value", F.lit(1), F.length("value") - 3)
-    sent = sent.withColumn("value", F.when(F.col("event_id") % 15 == 0, cut).otherwise(F.col("value")))
-    rejects = decode.beat_rejects(sent).select(F.col("event_id").alias("bad_id"), "raw")
-    out = decode.beat(sent, now=lines.NOW).join(rejects, F.col("event_id") == F.col("bad_id"), "left")
-    broken = F.coalesce(F.col("raw") == F.col("message"), F.lit(False))
-    return out.select("event_id", broken.alias("broken"), (F.col("type") != "_unknown_").alias("typed"))
+    """Rows cut short: kept as unknown events with their raw text, and tagged with a reason in the same pass."""
+    out = decode.beat(broken_beats(lines.events(spark, sf_dir)), now=lines.NOW, tagged=True)
+    same = F.coalesce(F.col("raw") == F.col("message"), F.lit(False))
+    return out.select("event_id", F.col("reject_reason").alias("reason"), same.alias("same_text"), (F.col("type") != "_unknown_").alias("typed"))
 
 
 @query("doc_id", with_events("SELECT event_id, concat('logs.', user_id % 4, '.', event_id) AS doc_id FROM ev"))
@@ -101,11 +106,13 @@ def decode_delimited_line(spark, sf_dir):
 
 @query(
     "decode_rejects",
-    "SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 7 = 0 THEN 'no body' ELSE 'short header' END AS reason "
+    r"SELECT conv_id, turn, CASE WHEN (conv_id + turn) % 7 = 0 THEN concat('no body ', conv_id) "
+    r"ELSE concat('short ', role, ' || ', regexp_replace(text, '\s+', ' ', 'g')) END AS raw, "
+    "CASE WHEN (conv_id + turn) % 7 = 0 THEN 'no body' ELSE 'short header' END AS reject_reason "
     "FROM conversations WHERE (conv_id + turn) % 7 = 0 OR (conv_id + turn) % 11 = 0",
 )
 def decode_rejects(spark, sf_dir):
-    return decode.delimited_rejects(_turns(spark, sf_dir)).select("conv_id", "turn", "reason")
+    return decode.delimited_rejects(_turns(spark, sf_dir))
 
 
 @query(
@@ -146,9 +153,18 @@ def decode_flat_json(spark, sf_dir):
     return out.select("event_id", "token", "type", "message", "upload_timestamp", F.element_at("fields", "uid").alias("uid"))
 
 
-@query("decode_flat_rejects", "SELECT event_id FROM events WHERE event_id % 15 = 0")
+@query(
+    "decode_flat_rejects",
+    with_events(
+        "SELECT event_id, event_id % 15 = 0 AS rejected, CASE WHEN event_id % 15 = 0 THEN concat('{', CASE WHEN event_id % 4 <> 0 THEN "
+        "concat('\"@timestamp\":\"', strftime(ts, '%Y-%m-%dT%H:%M:%S.%g'), 'Z\",') ELSE '' END, CASE WHEN event_id % 3 <> 0 THEN concat('\"token\":\"', token, '\",') "
+        "ELSE '' END, '\"type\":\"', event_type, '\",\"message\":\"', request, '\",\"uid\":', user_id) END AS raw FROM ev"
+    ),
+)
 def decode_flat_rejects(spark, sf_dir):
-    return decode.flat_json_rejects(_flat(spark, sf_dir)).select("event_id")
+    """Both sides of a tagged decode: what could not be read comes with its text."""
+    out = decode.flat_json(_flat(spark, sf_dir), now=lines.NOW, tagged=True)
+    return out.select("event_id", F.col("reject_reason").isNotNull().alias("rejected"), "raw")
 
 
 def event_stream(spark, sf_dir, partitions=None):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from logloom.catalog import lines, q_ingest
+from logloom.catalog import lines, q_ingest, q_sources
 from logloom.catalog.lines import with_events
 from logloom.catalog.q_refdata import _CHECK_SQL, limits
 from logloom.catalog.q_sources import event_stream
@@ -14,6 +14,7 @@ from logloom.operators import json_fields, mapping, xml_fields
 from logloom.operators.geo import ranges_from_longs
 from logloom.operators.grok import extract
 from logloom.session import shared_dir
+from logloom.sources import decode
 from logloom.streaming import quota_stream, stream
 
 _KIND = "apache_access"
@@ -62,11 +63,33 @@ def sink_index(spark, sf_dir):
     return docs.groupBy("index_name").agg(F.count("*").alias("docs"), F.sum("response").alias("responses"), F.count_if(F.col("late")).alias("late"))
 
 
-@query("sink_dead_letter", "SELECT event_id, 'response' AS field, 'n/a' AS raw FROM events WHERE event_id % 15 = 0")
+@query(
+    "sink_dead_letter",
+    "SELECT event_id, CASE WHEN event_id % 45 = 0 THEN 'empty' WHEN event_id % 15 = 0 THEN 'malformed JSON' END AS reason, "
+    "CASE WHEN event_id % 15 <> 0 THEN 'upload_type' END AS field, CASE WHEN event_id % 15 <> 0 THEN 'streaming' END AS field_raw, "
+    "event_id % 15 = 0 AND event_id % 45 <> 0 AS has_raw FROM events WHERE event_id % 15 = 0 OR event_id % 4 = 0",
+)
 def sink_dead_letter(spark, sf_dir):
-    sink, _ = stream.run_once(event_stream(spark, sf_dir), _typed, "dead-letter")
+    """A stream whose rejects are rows that could not be decoded and rows with a value that does not fit, written in one pass."""
+
+    def docs(df):
+        sent = q_sources.broken_beats(lines.derived(df))
+        out = decode.doc_id(decode.beat(sent, now=lines.NOW, tagged=True))
+        # every fourth document declares a field as a number that is none
+        out = out.withColumns({"index_name": F.lit("logs"), "upload_type": F.when(F.col("event_id") % 4 == 0, F.col("upload_type"))})
+        return mapping.apply_mapping(out, {"upload_type": "integer"})
+
+    sink, _ = stream.run_once(event_stream(spark, sf_dir), docs, "dead-letter")
     rows = stream.read_index(spark, sink, "rejected")
-    return rows.select("event_id", F.array_join("reject_fields", ",").alias("field"), F.element_at("reject_fields_raw", "response").alias("raw"))
+    raw = F.element_at("reject_fields_raw", "upload_type")
+    decoded = F.col("reject_reason").isNull()
+    return rows.select(
+        "event_id",
+        F.col("reject_reason").alias("reason"),
+        F.when(decoded, F.array_join("reject_fields", ",")).alias("field"),
+        F.when(decoded, raw).alias("field_raw"),
+        F.coalesce(F.length("raw") > 0, F.lit(False)).alias("has_raw"),
+    )
 
 
 @query("stream_control", "SELECT event_type AS type, count(*) AS events, true AS ran, false AS runs FROM events GROUP BY event_type")
@@ -130,6 +153,6 @@ def quality_metrics(spark, sf_dir):
         "pattern_ok": F.col("clientip").isNotNull(),
         "json_parse_error": json_fields.parse_failed(F.col("json")),
         "json_path_missing": json_fields.path_missing(json_fields.parsed(F.col("json")), "$.k"),
-        "xml_parse_error": ~xml_fields.well_formed(F.col("xml")),
+        "xml_parse_error": ~xml_fields.well_formed("xml"),
     }
     return stream.outcome_report(ev, "kind", outcomes)

@@ -1,23 +1,26 @@
 """IP address to city, country and continent by a table of address ranges.
 
-Addresses of both families are written as 32 hex digits (IPv4 in its mapped
-form), so a range test is a text comparison. The join runs on a coarse prefix
-(the /16 of an IPv4 address, the /24 of an IPv6 address) with the range test as
-the rest of the join condition. A range wider than a prefix is repeated once per
-prefix; ranges do not overlap, so at most one repeated row per prefix comes of it.
+Addresses of both families are written as 32 hex digits (IPv4 in its mapped form). Every range is split into aligned
+blocks, each named by the hex digits that its addresses share: a prefix trie laid flat. An address is in a range exactly
+when one of its prefixes is the name of a block, so lookups are joins on equal keys, one for each prefix length that
+occurs, and no range is tested. Ranges may nest; the longest prefix, and so the most specific range, wins.
+
+A small table is broadcast and looked up from the events as they pass. For a large one the distinct addresses are found
+first, looked up once each, and joined back by address.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from logloom.functions.cols import ALWAYS, optional, put
-from logloom.operators.lookup import BROADCAST_ROWS, left_lookup
+from logloom.operators.lookup import BROADCAST_BYTES, BROADCAST_ROWS, left_lookup, measured
+from logloom.session import cut_lineage
 
 GEO_FIELDS = ("city", "country", "continent")
 _MAPPED = "00000000000000000000ffff"
-_V4_PREFIX, _V6_PREFIX = 28, 6
 
 # the address conversions are SQL texts: one call each instead of some hundred column calls
 _V4_HEX = """
@@ -49,11 +52,6 @@ def ip_hex(ip: str) -> Column:
     )
 
 
-def _prefix(hex_ip: Column) -> Column:
-    v4 = hex_ip.startswith(_MAPPED)
-    return F.when(v4, F.substring(hex_ip, 1, _V4_PREFIX)).otherwise(F.substring(hex_ip, 1, _V6_PREFIX))
-
-
 def ranges_from_cidr(networks: DataFrame, network: str = "network") -> DataFrame:
     """Add ``lo`` and ``hi`` (32 hex digits) to rows that hold a CIDR block such as ``10.0.0.0/8``."""
     networks = networks.withColumn("_net", F.split(F.col(network), "/")[0]).withColumn("_base", ip_hex("_net"))
@@ -84,23 +82,93 @@ def ranges_from_longs(ranges: DataFrame, lo: str = "lo", hi: str = "hi") -> Data
     )
 
 
-def _by_prefix(ranges: DataFrame) -> DataFrame:
-    v4 = F.col("lo").startswith(_MAPPED)
-    # IPv4 prefixes differ in their last four hex digits only
-    lo, hi = (
-        F.conv(F.when(v4, F.substring(c, 25, 4)).otherwise(F.substring(c, 1, _V6_PREFIX)), 16, 10).cast("bigint")
-        for c in (F.col("lo"), F.col("hi"))
-    )
-    digits = F.lower(F.hex(F.col("_n")))
-    prefix = F.when(v4, F.concat(F.lit(_MAPPED), F.lpad(digits, 4, "0"))).otherwise(F.lpad(digits, _V6_PREFIX, "0"))
-    return ranges.withColumn("_n", F.explode(F.sequence(lo, hi))).select(
-        prefix.alias("r__prefix"), F.col("lo").alias("_lo"), F.col("hi").alias("_hi"),
-        *[F.col(f).alias(f"_{f}") for f in GEO_FIELDS],
-    )
+# the digits in which a bound goes beyond the shared prefix; a bound that ends in 0s (lo) or fs (hi) needs fewer blocks
+_SHARED = "array_position(transform(sequence(1, 32), i -> substr(lo, i, 1) = substr(hi, i, 1)), false) - 1"
+_DIGIT = "cast(conv(substr({of}, {at} + 1, 1), 16, 10) AS int)"
+_SPLIT = f"""
+CASE WHEN lo = hi THEN array(named_struct('head', substr(lo, 1, 31), 'first', {_DIGIT.format(of="lo", at="31")}, 'last', {_DIGIT.format(of="lo", at="31")}))
+WHEN below <= shared AND above <= shared AND shared > 0
+THEN array(named_struct('head', substr(lo, 1, shared - 1), 'first', {_DIGIT.format(of="lo", at="(shared - 1)")}, 'last', {_DIGIT.format(of="lo", at="(shared - 1)")}))
+ELSE concat(
+array(named_struct('head', substr(lo, 1, shared), 'first', {_DIGIT.format(of="lo", at="shared")} + int(below > shared + 1), 'last', {_DIGIT.format(of="hi", at="shared")} - int(above > shared + 1))),
+CASE WHEN below > shared + 1 THEN transform(sequence(shared + 1, below - 1), i ->
+named_struct('head', substr(lo, 1, i), 'first', {_DIGIT.format(of="lo", at="i")} + int(i < below - 1), 'last', 15)) ELSE array() END,
+CASE WHEN above > shared + 1 THEN transform(sequence(shared + 1, above - 1), i ->
+named_struct('head', substr(hi, 1, i), 'first', 0, 'last', {_DIGIT.format(of="hi", at="i")} - int(i < above - 1))) ELSE array() END)
+END
+"""
+
+
+def prefix_blocks(ranges: DataFrame) -> DataFrame:
+    """``key`` and the geo fields: every range as aligned blocks, named by the hex digits their addresses share.
+
+    Of several ranges with one block the one inside the others gives the fields. Rows without a bound, or whose bounds
+    are the wrong way round, hold no address.
+    """
+    rows = ranges.select("lo", "hi", *GEO_FIELDS).where("lo <= hi")
+    rows = rows.withColumn("shared", F.expr(f"CASE WHEN lo = hi THEN 32 ELSE {_SHARED} END"))
+    rows = rows.withColumns({"below": F.expr("length(trim(TRAILING '0' FROM lo))"), "above": F.expr("length(trim(TRAILING 'f' FROM hi))")})
+    rows = rows.select("lo", "hi", *GEO_FIELDS, F.inline(F.expr(_SPLIT))).where("first <= last")
+    rows = rows.withColumn("digit", F.explode(F.sequence("first", "last")))
+    # the whole address space is the one block that has no digits
+    key = F.when((F.col("head") == "") & (F.col("first") == 0) & (F.col("last") == 15), "")
+    rows = rows.withColumn("key", F.coalesce(key, F.concat("head", F.lower(F.hex("digit")))))
+    inner = F.struct(F.col("lo"), F.translate("hi", "0123456789abcdef", "fedcba9876543210").alias("hi"), *GEO_FIELDS)
+    return rows.groupBy("key").agg(F.max_by(F.struct(*GEO_FIELDS), inner).alias("found")).select("key", "found.*")
+
+
+#: Digits of an address's prefix after those of its family up to which blocks are few: at most 16^0 + .. + 16^4 a family.
+SHORT_DIGITS = 4
+
+
+def _in_family(length: str, ip: str) -> str:
+    """SQL: blocks of this prefix length concern the address; those of the mapped form go with IPv4 only."""
+    return f"({length} >= {len(_MAPPED)} OR NOT startswith({ip}, '{_MAPPED}'))"
+
+
+def _is_short(key: str) -> str:
+    low = len(_MAPPED)
+    return f"(length({key}) <= {SHORT_DIGITS} OR startswith({key}, '{_MAPPED}') AND length({key}) <= {low + SHORT_DIGITS})"
+
+
+def _chained(events: DataFrame, blocks: DataFrame, lengths: list[int], small: bool, broadcast_rows: int) -> DataFrame:
+    """``_found``: one lookup for each prefix length, the longest that hits."""
+    hits = []
+    for n in sorted(lengths, reverse=True):
+        hit = f"_hit{n}"
+        side = blocks.where(F.length("key") == n).select(F.col("key").alias("r__key"), F.struct(*GEO_FIELDS).alias(hit))
+        events = events.withColumn("_key", F.expr(f"CASE WHEN {_in_family(str(n), '_ip')} THEN substr(_ip, 1, {n}) END"))
+        if small or n <= SHORT_DIGITS:
+            events = events.join(F.broadcast(side), F.col("_key") == F.col("r__key"), "left").drop("r__key")
+        else:
+            events = left_lookup(events, side, ["_key"], broadcast_rows=broadcast_rows)
+        hits.append(hit)
+    return events.withColumn("_found", F.coalesce(*[F.col(h) for h in hits])).drop("_key", *hits)
+
+
+def _by_address(events: DataFrame, blocks: DataFrame, lengths: list[int], broadcast_rows: int) -> DataFrame:
+    """``_found`` by way of the distinct addresses, which are looked up once each."""
+    spark = events.sparkSession
+    addresses = cut_lineage(events.select("_ip").where("_ip IS NOT NULL").distinct(), spark, "addresses")
+    own = f"transform(filter(array({', '.join(map(str, lengths))}), n -> {_in_family('n', '_ip')}), n -> substr(_ip, 1, n))"
+    keys = addresses.select("_ip", F.explode(F.expr(own)).alias("key"))
+    facts = F.struct(*GEO_FIELDS).alias("_fact")
+    few = F.broadcast(blocks.where(_is_short("key")).select("key", facts))  # at most 2 x 69,905 rows
+    parts = [keys.where(_is_short("key")).join(few, "key")]
+    # a longer IPv4 block has at most 65,536 addresses; an IPv6 block may have any number, so its keys are salted
+    v4 = F.startswith("key", F.lit(_MAPPED))
+    long = blocks.where(f"NOT {_is_short('key')}").select("key", facts)
+    many = keys.where(f"NOT {_is_short('key')}")
+    parts.append(many.where(v4).join(long.where(v4), "key"))
+    salted = left_lookup(many.where(~v4), long.where(~v4).withColumnRenamed("key", "r_key"), ["key"], broadcast_rows=broadcast_rows)
+    parts.append(salted.where("_fact IS NOT NULL").select("key", "_ip", "_fact"))
+    hits = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    found = hits.groupBy(F.col("_ip").alias("r__ip")).agg(F.max_by("_fact", F.length("key")).alias("_found"))
+    return left_lookup(events, cut_lineage(found, spark, "found"), ["_ip"], broadcast_rows=broadcast_rows)
 
 
 def geo(ranges: DataFrame, target: str = "clientip", broadcast_rows: int = BROADCAST_ROWS):
-    """Step that adds city, country and continent. ``ranges`` has disjoint hex ``lo``..``hi`` rows.
+    """Step that adds city, country and continent. ``ranges`` has rows of hex bounds ``lo``..``hi``; they may nest.
 
     127.0.0.1 is left alone; an unknown or malformed address changes nothing.
     """
@@ -108,11 +176,18 @@ def geo(ranges: DataFrame, target: str = "clientip", broadcast_rows: int = BROAD
     def step(df: DataFrame, when: Column = ALWAYS) -> DataFrame:
         ip = optional(df, target)
         keyed = df.withColumn("_address", F.when(when & (ip != "127.0.0.1"), ip)).withColumn("_ip", ip_hex("_address"))
-        keyed = keyed.withColumn("_prefix", _prefix(F.col("_ip")))
-        inside = F.col("_ip").between(F.col("_lo"), F.col("_hi"))
-        joined = left_lookup(keyed, _by_prefix(ranges), ["_prefix"], inside, broadcast_rows)
-        found = F.col("_lo").isNotNull()
-        values = {f: F.col(f"_{f}") for f in GEO_FIELDS}
-        return put(joined, values, found).drop("_address", "_ip", "_prefix", "_lo", "_hi", *[f"_{f}" for f in GEO_FIELDS])
+        blocks = prefix_blocks(ranges)
+        small, [lengths] = measured(blocks, broadcast_rows, BROADCAST_BYTES, F.collect_set(F.length("key")))
+        if not small:
+            blocks = cut_lineage(blocks, df.sparkSession, "geo-blocks")
+            lengths = [r[0] for r in blocks.select(F.length("key")).distinct().collect()]  # at most 33
+        if not lengths:
+            joined = keyed.withColumn("_found", F.lit(None).cast(T.StructType([T.StructField(f, T.StringType()) for f in GEO_FIELDS])))
+        elif small or df.isStreaming:
+            joined = _chained(keyed, blocks, lengths, small, broadcast_rows)
+        else:
+            joined = _by_address(keyed, blocks, lengths, broadcast_rows)
+        found = F.col("_found").isNotNull()
+        return put(joined, {f: F.col(f"_found.{f}") for f in GEO_FIELDS}, found).drop("_address", "_ip", "_found")
 
     return step

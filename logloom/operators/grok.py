@@ -4,7 +4,8 @@ The expanded pattern is wrapped so that a single ``regexp_replace`` turns a
 matching text into its groups joined by a separator, which ``split`` takes
 apart again. Running one ``regexp_extract`` per group would scan the text once
 per group. A text without match keeps no separator, which tells the two apart
-without a second ``rlike`` pass.
+without a second ``rlike`` pass. The separator is one constant; the rare text that
+holds it is taken apart by its numbered groups instead, so it comes back whole.
 """
 
 from __future__ import annotations
@@ -18,8 +19,8 @@ from pyspark.sql import functions as F
 from logloom.functions.cols import ALWAYS, field, let, masked, optional
 from logloom.operators.grok_library import EVENT_TYPES, LIBRARY
 
-#: Separators of captures; a text that holds one is taken apart by the next.
-_SEPS = ("\u0001", "\u0002", "\u0003")
+#: Between captures. No end of it is its start, so it is found where it was put, also beside its own characters.
+_SEP = "\u0001\u0002\u0003"
 _REFERENCE = re.compile(r"%\{([^}:]+)(?::([^}:]+))?\}")
 _GROUP = re.compile(r"\(\?<([A-Za-z][A-Za-z0-9]*)>")
 
@@ -50,21 +51,39 @@ def group_names(regex: str) -> list[str]:
     return list(dict.fromkeys(_GROUP.findall(regex)))
 
 
-def _pieces(c: Column, regex: str, captures: Sequence[str]) -> Column:
-    """Array ``['', capture 1, capture 2, ...]`` of the first match; one element without match."""
-    whole = rf"\A(?s:.*?)(?:{regex})(?s:.*)\z"
-
-    def by_row(value) -> Column:
-        a, b, last = _SEPS
-        return F.when(~c.contains(a), value(a)).when(~c.contains(b), value(b)).otherwise(value(last))
-
-    joined = by_row(lambda sep: "".join(sep + "${" + name + "}" for name in captures) or sep)
-    return F.split(F.regexp_replace(_unseparated(c), F.lit(whole), joined), by_row(lambda sep: sep))
-
-
-def _unseparated(c: Column) -> Column:
-    """The text as the groups see it: only a text with all separators loses the last one."""
-    return F.when(c.contains(_SEPS[0]) & c.contains(_SEPS[1]), F.translate(c, _SEPS[2], "")).otherwise(c)
+def group_numbers(regex: str) -> dict[str, int]:
+    """Number of each named group; all capturing groups count, from left to right."""
+    numbers: dict[str, int] = {}
+    n, at, in_class = 0, 0, 0
+    while at < len(regex):
+        if regex.startswith(r"\Q", at):
+            at = regex.find(r"\E", at) + 1 or len(regex)
+        elif regex[at] == "\\":
+            at += 1
+        elif regex[at] == "[":
+            in_class += 1
+        elif regex[at] == "]" and in_class:
+            in_class -= 1
+        elif regex[at] == "(" and not in_class:
+            named = _GROUP.match(regex, at)
+            if named or not regex.startswith("(?", at):
+                n += 1
+            if named:
+                numbers.setdefault(named.group(1), n)
+        at += 1
+    return numbers
+
+
+def _pieces(text: str, regex: str, captures: Sequence[str]) -> Column:
+    """Array ``['', capture 1, capture 2, ...]`` of the first match in column ``text``; one element without match."""
+    whole = F.lit(rf"\A(?s:.*?)(?:{regex})(?s:.*)\z")
+    c, sep, at = field(text), F.lit(_SEP), group_numbers(regex)
+    joined = F.lit("".join(_SEP + "${" + name + "}" for name in captures) or _SEP)
+    numbers = F.lit([0, *(at[name] for name in captures)])
+    by_number = F.transform(numbers, lambda i: F.when(i == 0, "").otherwise(F.call_function("regexp_extract", c, F.lit(regex), i)))
+    return F.when(F.contains(c, sep), F.when(F.rlike(c, F.lit(regex)), by_number).otherwise(F.array(c))).otherwise(
+        F.split(F.regexp_replace(c, whole, joined), _SEP)
+    )
 
 
 def _matched(pieces: Column) -> Column:
@@ -85,9 +104,9 @@ def extract(
     """
     regex = expand(library[name], library)
     names = group_names(regex)
-    pieces = f"_grok{tag}_{name}"
-    df = df.withColumn(pieces, _pieces(masked(when, optional(df, target)), regex, names))
-    return _put_groups(df, pieces, names).drop(pieces)
+    pieces, text = f"_grok{tag}_{name}", f"_text{tag}_{name}"
+    df = df.withColumn(text, masked(when, optional(df, target))).withColumn(pieces, _pieces(text, regex, names))
+    return _put_groups(df, pieces, names).drop(pieces, text)
 
 
 def _put_groups(df: DataFrame, pieces: str, names: Sequence[str]) -> DataFrame:
@@ -136,13 +155,13 @@ def grok(
         for i, m in enumerate(known):
             regex = expand(library[m], library)
             names = group_names(regex)
-            at = f"_grok{i}"
-            df = df.withColumn(at, _pieces(masked(free, field("_grok_text")), regex, names))
+            at, text = f"_grok{i}", f"_text{i}"
+            df = df.withColumn(text, masked(free, field("_grok_text"))).withColumn(at, _pieces(text, regex, names))
             free = free & ~_matched(field(at))
         for i, m in enumerate(known):
             names = group_names(expand(library[m], library))
             df = _put_groups(df, f"_grok{i}", names)
-        return df.drop("_grok_text", *[f"_grok{i}" for i in range(len(known))])
+        return df.drop("_grok_text", *[f"_{kind}{i}" for kind in ("grok", "text") for i in range(len(known))])
 
     return step
 
@@ -150,8 +169,8 @@ def grok(
 SPAN_TYPE = "array<struct<name:string,start:int,end:int,value:string>>"
 
 
-def spans(c: Column, name: str, library: Mapping[str, str] = LIBRARY) -> Column:
-    """Groups of the first match with their character positions, NULL without match.
+def spans(text: str, name: str, library: Mapping[str, str] = LIBRARY) -> Column:
+    """Groups of the first match in column ``text`` with their character positions, NULL without match.
 
     At the head of every named group a look-ahead captures the rest of the text,
     whose length gives the start of the group; this stays in the same regex engine
@@ -160,8 +179,8 @@ def spans(c: Column, name: str, library: Mapping[str, str] = LIBRARY) -> Column:
     regex = expand(library[name], library)
     names = group_names(regex)
     marked = _GROUP.sub(lambda g: rf"{g.group(0)}(?=(?<{g.group(1)}Zrest>(?s:.*)\z))", regex)
-    pieces = _pieces(c, marked, [x for n in names for x in (n, n + "Zrest")])
-    length = F.length(_unseparated(c))
+    pieces = _pieces(text, marked, [x for n in names for x in (n, n + "Zrest")])
+    length = F.length(field(text))
 
     def build(a: Column) -> Column:
         rows = []
@@ -184,6 +203,6 @@ def spans(c: Column, name: str, library: Mapping[str, str] = LIBRARY) -> Column:
     return found.cast(SPAN_TYPE)
 
 
-def first_spans(c: Column, names: Sequence[str], library: Mapping[str, str] = LIBRARY) -> Column:
-    """Spans of the first listed pattern that fits."""
-    return F.coalesce(*[spans(c, n, library) for n in names if n in library])
+def first_spans(text: str, names: Sequence[str], library: Mapping[str, str] = LIBRARY) -> Column:
+    """Spans of the first listed pattern that fits column ``text``."""
+    return F.coalesce(*[spans(text, n, library) for n in names if n in library])

@@ -18,12 +18,24 @@ BROADCAST_BYTES = 64 << 20
 SALTS = 16
 
 
+def measured(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES, *more: Column):
+    """(True when the static frame ``side`` is small in rows and bytes, the aggregates ``more`` over it); one job.
+
+    Reading stops at the row limit, so ``more`` covers all rows of a small side only.
+    """
+    width = F.lit(16 * len(side.columns))
+    for c, t in side.dtypes:
+        if t == "string":
+            width = width + F.coalesce(F.octet_length(field(c)), F.lit(0))
+        elif t.startswith(("array<", "map<", "struct<")):
+            width = width + F.coalesce(F.octet_length(F.to_json(field(c))), F.lit(0))
+    n, total, *found = side.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("bigint")), *more).first()
+    return n <= rows and (total or 0) <= size, found
+
+
 def fits_broadcast(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """True when the static frame ``side`` is small in rows and text bytes; counting stops at the row limit."""
-    texts = [F.coalesce(F.octet_length(field(c)), F.lit(0)) for c, t in side.dtypes if t == "string"]
-    width = sum(texts, F.lit(16 * len(side.columns)))
-    n, total = side.limit(rows + 1).agg(F.count(F.lit(1)), F.sum(width.cast("bigint"))).first()
-    return n <= rows and (total or 0) <= size
+    """True when the static frame ``side`` is small in rows and bytes; counting stops at the row limit."""
+    return measured(side, rows, size)[0]
 
 
 def left_lookup(

@@ -3,6 +3,10 @@
 All are projections of their input, so they run unchanged on batch and
 streaming frames. Envelope: token, type, tags, message, upload_type,
 upload_timestamp.
+
+With ``tagged`` a decoder keeps every row and adds ``reject_reason`` (NULL where the row is fine) and ``raw`` (the
+transported text of a row that is not). So a malformed row travels through the same plan as the others and the sink
+writes both sides in one pass over the input; :func:`accepted` and :func:`rejects` are filters on that one output.
 """
 
 from __future__ import annotations
@@ -25,6 +29,7 @@ BEAT_SCHEMA = (
     "input_type string, message string, offset bigint, source string, tags array<string>, type string"
 )
 _BAD = "_corrupt_record"
+REASON, RAW = "reject_reason", "raw"
 
 
 def _others(df: DataFrame, value: str) -> list[Column]:
@@ -55,20 +60,42 @@ def _beat_fields(df: DataFrame, value: str) -> DataFrame:
     )
 
 
+def _tagged(df: DataFrame, reason: Column, text: Column, columns: list[Column], tagged: bool) -> DataFrame:
+    """The decoded ``columns`` of all rows with reason and raw text, or of the rows without a reason."""
+    df = df.withColumn("_reason", reason)
+    if not tagged:
+        return df.filter(F.col("_reason").isNull()).select(*columns)
+    return df.select(*columns, F.col("_reason").alias(REASON), F.when(F.col("_reason").isNotNull(), text).alias(RAW))
+
+
+def accepted(tagged: DataFrame) -> DataFrame:
+    """The rows of a tagged output that were decoded."""
+    return tagged.filter(F.col(REASON).isNull()).drop(REASON, RAW)
+
+
+def rejects(tagged: DataFrame) -> DataFrame:
+    """The rows of a tagged output that were not: transport columns, raw text and reason."""
+    lost = {*ENVELOPE, "fields"}
+    return tagged.filter(F.col(REASON).isNotNull()).select(*[field(c) for c in tagged.columns if c not in lost])
+
+
+def _json_reason(text: Column, malformed: Column) -> Column:
+    return F.when(text.isNull() | (F.trim(text) == ""), "empty").when(malformed, "malformed JSON")
+
+
 def beat_rejects(df: DataFrame, value: str = "value") -> DataFrame:
     """Rows whose value is no shipper JSON."""
-    bad = _beat_fields(df.withColumn("_raw", field(value).cast("string")), value)
-    return bad.filter(F.col(_BAD).isNotNull() | F.col("_raw").isNull()).select(*_others(df, value), F.col("_raw").alias("raw"))
+    return rejects(beat(df, value, tagged=True)).drop(REASON)
 
 
-def beat(df: DataFrame, value: str = "value", now: int | None = None) -> DataFrame:
+def beat(df: DataFrame, value: str = "value", now: int | None = None, tagged: bool = False) -> DataFrame:
     """Shipper JSON to the envelope, with the defaults for whatever is missing.
 
     A malformed row becomes an event of unknown type that carries the raw text as
-    its message, so nothing is lost; see :func:`beat_rejects`.
+    its message, so nothing is lost; with ``tagged`` it also has a reason.
     """
-    j = _beat_fields(df, value)
-    return j.select(
+    j = _beat_fields(df.withColumn("_raw", field(value).cast("string")), value)
+    columns = [
         *_others(df, value),
         nz(F.element_at(F.col("fields"), "token"), UNKNOWN).alias("token"),
         nz(F.col("type"), UNKNOWN).alias("type"),
@@ -76,19 +103,20 @@ def beat(df: DataFrame, value: str = "value", now: int | None = None) -> DataFra
         nz(F.coalesce(F.col("message"), F.col(_BAD)), "_").alias("message"),
         F.lit("streaming").alias("upload_type"),
         F.coalesce(F.col("timestamp"), now_millis(now)).alias("upload_timestamp"),
-    )
+    ]
+    if not tagged:
+        return j.select(*columns)
+    return _tagged(j, _json_reason(F.col("_raw"), F.col(_BAD).isNotNull()), F.col("_raw"), columns, True)
 
 
-def _line_parts(df: DataFrame, value: str) -> DataFrame:
+def delimited_line(df: DataFrame, value: str = "value", now: int | None = None, tagged: bool = False) -> DataFrame:
+    """``token type tag,tag upload_type || message`` lines; malformed ones are tagged, or left out."""
     parts = df.withColumn("_halves", F.split(field(value), r" \|\| ", 2))
     parts = parts.withColumn("_head", F.split(F.get("_halves", F.lit(0)), " ", 4))
-    good = (F.size("_halves") == 2) & (F.size("_head") == 4)
-    return parts.withColumn("_good", F.coalesce(good, F.lit(False)))
-
-
-def delimited_line(df: DataFrame, value: str = "value", now: int | None = None) -> DataFrame:
-    """``token type tag,tag upload_type || message`` lines; malformed ones are left out."""
-    return _line_parts(df, value).filter("_good").select(
+    reason = (
+        F.when(F.col("_halves").isNull(), "empty").when(F.size("_halves") < 2, "no body").when(F.size("_head") < 4, "short header")
+    )
+    columns = [
         *_others(df, value),
         F.get("_head", F.lit(0)).alias("token"),
         F.get("_head", F.lit(1)).alias("type"),
@@ -96,15 +124,13 @@ def delimited_line(df: DataFrame, value: str = "value", now: int | None = None)
         F.get("_halves", F.lit(1)).alias("message"),
         F.get("_head", F.lit(3)).alias("upload_type"),
         now_millis(now).alias("upload_timestamp"),
-    )
+    ]
+    return _tagged(parts, reason, field(value).cast("string"), columns, tagged)
 
 
 def delimited_rejects(df: DataFrame, value: str = "value") -> DataFrame:
-    """The lines :func:`delimited_line` leaves out, with the reason."""
-    reason = F.when(F.col("_halves").isNull(), "empty").when(F.size("_halves") < 2, "no body").otherwise("short header")
-    return _line_parts(df, value).filter(~F.col("_good")).select(
-        *_others(df, value), field(value).alias("raw"), reason.alias("reason")
-    )
+    """The lines that are no delimited lines, with the reason."""
+    return rejects(delimited_line(df, value, tagged=True))
 
 
 def raw_line(
@@ -122,17 +148,16 @@ def raw_line(
     )
 
 
-def flat_json(df: DataFrame, value: str = "value", now: int | None = None) -> DataFrame:
+def flat_json(df: DataFrame, value: str = "value", now: int | None = None, tagged: bool = False) -> DataFrame:
     """Flat JSON object to a map column ``fields`` plus the lifted message, token and type.
 
-    Malformed rows are left out, see :func:`flat_json_rejects`.
+    Malformed rows are tagged, or left out.
     """
-    parsed = df.withColumn("_m", F.from_json(field(value).cast("string"), "map<string,string>")).filter(
-        F.col("_m").isNotNull()
-    )
+    text = field(value).cast("string")
+    parsed = df.withColumn("_m", F.from_json(text, "map<string,string>"))
     stamp = F.element_at(F.col("_m"), "@timestamp")
     millis = parse_first(stamp, [("yyyy-MM-dd'T'HH:mm:ss.SSSZ",), ("yyyy-MM-dd'T'HH:mm:ssZ",)])
-    return parsed.select(
+    columns = [
         *_others(df, value),
         nz(F.element_at(F.col("_m"), "token")).alias("token"),
         nz(F.element_at(F.col("_m"), "type")).alias("type"),
@@ -141,12 +166,12 @@ def flat_json(df: DataFrame, value: str = "value", now: int | None = None) -> Da
         F.lit("streaming").alias("upload_type"),
         F.coalesce(millis, now_millis(now)).alias("upload_timestamp"),
         F.col("_m").alias("fields"),
-    )
+    ]
+    return _tagged(parsed, _json_reason(text, F.col("_m").isNull()), text, columns, tagged)
 
 
 def flat_json_rejects(df: DataFrame, value: str = "value") -> DataFrame:
-    bad = F.from_json(field(value).cast("string"), "map<string,string>").isNull()
-    return df.filter(bad).select(*_others(df, value), field(value).cast("string").alias("raw"))
+    return rejects(flat_json(df, value, tagged=True)).drop(REASON)
 
 
 def doc_id(df: DataFrame, name: str = "doc_id") -> DataFrame:
@@ -154,9 +179,19 @@ def doc_id(df: DataFrame, name: str = "doc_id") -> DataFrame:
     return df.withColumn(name, F.concat_ws(".", "topic", "partition", "offset"))
 
 
+# fixed values: the names decoders go by in a configuration
 DECODERS = {
-    "filebeat": beat,
+    "json": flat_json,
+    "xyz-json": flat_json,
+    "xyz-line": delimited_line,
     "line": delimited_line,
     "raw-line": raw_line,
-    "json": flat_json,
+    "filebeat": beat,
 }
+
+
+def decode(df: DataFrame, name: str, **arguments) -> DataFrame:
+    """Decode with the decoder of this configured name; further arguments are the decoder's."""
+    if name not in DECODERS:
+        raise ValueError(f"unknown decoder {name}; known are {', '.join(DECODERS)}")
+    return DECODERS[name](df, **arguments)

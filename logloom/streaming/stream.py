@@ -84,13 +84,17 @@ def write_batch(batch: DataFrame, batch_id: int, root: str, fmt: str = "parquet"
     """Write one micro-batch below ``batch_id=N``, in folders by outcome and a bounded bucket of the index name.
 
     Writing the same batch again replaces its folder, so a replay changes
-    nothing. ``index_name`` stays a column, so its text is kept as it is. Rows with
-    ``reject_fields`` go to ``outcome=rejected`` in the same pass. The rebalance hint splits a dominant index over several files and puts
+    nothing. ``index_name`` stays a column, so its text is kept as it is. Rows with ``reject_fields`` (values that do not
+    fit the mapping) or a ``reject_reason`` (rows that a tagged decoder could not read) go to ``outcome=rejected`` in the
+    same pass. The rebalance hint splits a dominant index over several files and puts
     small ones together.
     """
-    outcome = F.lit("ok")
+    bad = F.lit(False)
     if "reject_fields" in batch.columns:
-        outcome = F.when(F.size("reject_fields") > 0, "rejected").otherwise("ok")
+        bad = F.coalesce(F.size("reject_fields") > 0, bad)
+    if "reject_reason" in batch.columns:
+        bad = bad | F.col("reject_reason").isNotNull()
+    outcome = F.when(bad, "rejected").otherwise("ok")
     bucket = F.pmod(F.xxhash64(F.col("index_name").cast("string")), F.lit(INDEX_BUCKETS))
     keys = [F.col("bucket"), F.col("outcome")]
     (

@@ -1,3 +1,4 @@
+import pytest
 from pyspark.sql import functions as F
 
 from logloom.operators import mapping
@@ -30,7 +31,21 @@ def test_delimited(rows):
     df = rows([(v,) for v in lines], "value string")
     out = decode.delimited_line(df, now=1).collect()
     assert [(r.token, r.tags, r.message) for r in out] == [("t", ["a", "b"], "body || more"), ("t", [""], "x")]
-    assert [r.reason for r in decode.delimited_rejects(df).collect()] == ["short header", "no body", "empty"]
+    assert [r.reject_reason for r in decode.delimited_rejects(df).collect()] == ["short header", "no body", "empty"]
+
+
+def test_tagged_output_keeps_every_row_in_one_pass(rows, spark, tmp_path):
+    texts = [SAMPLE, '{"type": ', "", None, "{}"]
+    rows([(i, t) for i, t in enumerate(texts)], "n int, value string").write.parquet(f"{tmp_path}/in")
+    df = spark.read.parquet(f"{tmp_path}/in")
+    for decoder in (decode.beat, decode.flat_json, decode.delimited_line):
+        out = decoder(df, now=1, tagged=True)
+        both = decode.accepted(out).select("n").collect() + decode.rejects(out).select("n").collect()
+        assert sorted(r.n for r in both) == [0, 1, 2, 3, 4]
+        assert out._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1
+    got = {r.n: (r.reject_reason, r.raw) for r in decode.beat(df, tagged=True).collect()}
+    assert got == {0: (None, None), 1: ("malformed JSON", '{"type": '), 2: ("empty", ""), 3: ("empty", None), 4: (None, None)}
+    assert decode.rejects(decode.beat(df, tagged=True)).columns == ["n", "reject_reason", "raw"]
 
 
 def test_mapping_rejects_keep_the_raw_value(rows):
@@ -55,3 +70,11 @@ def test_lookup_keeps_every_event_either_way(rows):
         assert out.count() == 60 and out.filter(F.col("v") == 1).count() == 40
         plan = out._jdf.queryExecution().optimizedPlan().toString()
         assert ("strategy=broadcast" in plan) == (limit == 10)
+
+
+def test_decoders_by_configured_name(rows):
+    df = rows([('{"message":"m","type":"t"}',)], "value string")
+    assert decode.decode(df, "xyz-json", now=1).first().message == "m"
+    assert decode.decode(df, "raw-line", token="a", type_="b", tags=["c"], upload_type="d", now=1).first().type == "b"
+    with pytest.raises(ValueError):
+        decode.decode(df, "no-such")

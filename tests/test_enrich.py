@@ -185,13 +185,65 @@ def test_unsupported_json_path_is_refused():
 def test_xml_flatten(rows):
     text = '<a id="1"><b x="y"> t </b><c><![CDATA[ raw ]]></c><!-- note --></a>'
     df = rows([(text,), ("<a>",), (None,)], "t string")
-    got = [r.x for r in df.select(xml_fields.xml_flatten(F.col("t"), ["/a"]).alias("x")).collect()]
+    got = [r.x for r in df.select(xml_fields.xml_flatten("t", ["/a"]).alias("x")).collect()]
     assert got[0] == {"#id": "1", "a#x": "y", "a-b": "t", "a-c#cdata-section": "raw", "a#comment": "note"}
     assert got[1:] == [None, None]
-    attr = df.select(xml_fields.xml_flatten(F.col("t"), ["/a/@id", "//b/text()"], 1).alias("x")).first().x
+    attr = df.select(xml_fields.xml_flatten("t", ["/a/@id", "//b/text()"], 1).alias("x")).first().x
     assert attr == {"id": "1", "": "t"}
 
 
+def test_xml_paths_with_positions_tests_and_depth(rows):
+    text = "<a><b k='x'>1</b><b k='y'>2<c> 3 </c></b><d><b>4</b><b>&#x41;&amp;lt;&#8364;</b></d></a>"
+    paths = {
+        "first": "/a/b[1]/text()", "second": "/a/b[2]/text()", "tested": "/a/b[@k='y']/c/text()", "deep": "//b/text()", "inner": "/a//b[2]/text()",
+        "star": "/a/*/c/text()", "attr": "//@k", "none": "/a/b[3]/text()", "both": "/a/d/b[1]/text()",
+    }
+    got = xml_fields.xml_values("t", paths)(rows([(text,)], "t string")).first()
+    want = {"first": "1", "second": "2", "tested": "3", "deep": "A&lt;€", "inner": "A&lt;€", "star": "3", "attr": "y", "none": None, "both": "4"}
+    assert {k: got[k] for k in paths} == want
+    with pytest.raises(ValueError):
+        xml_fields.xml_values("t", {"x": "/a/b[position()=1]"})(rows([(text,)], "t string"))
+
+
+def test_xml_flatten_against_a_document_tree(rows):
+    """The fold against a DOM of the standard library, on generated documents and on broken ones."""
+    import random
+    from xml.dom import Node, minidom
+    from xml.parsers.expat import ExpatError
+
+    def entries(node, above=()):
+        if node.nodeType == Node.ELEMENT_NODE:
+            for k, v in node.attributes.items():
+                yield "-".join(above) + "#" + k, v
+            for child in node.childNodes:
+                yield from entries(child, (*above, node.nodeName))
+        elif (node.nodeValue or "").strip():
+            tail = {Node.TEXT_NODE: "", Node.PROCESSING_INSTRUCTION_NODE: "-" + node.nodeName}.get(node.nodeType, node.nodeName)
+            yield "-".join(above) + tail, node.nodeValue.strip()
+
+    rng = random.Random(3)
+
+    def element(depth):
+        name = rng.choice(["a", "b", "x:c", "é"])
+        attrs = "".join(f" {k}={q}v&lt;{i}'{q}".replace("''", "'") if q == '"' else f" {k} = 'w{i}'" for i, (k, q) in enumerate(zip(rng.sample(["i", "j", "k-l"], rng.randint(0, 2)), ['"', "'"])))
+        parts = [rng.choice(["t", " ", "&amp;&#65;", "<!-- n -->", "<![CDATA[ <raw> ]]>", "<?go now?>", "\n", "é"]) for _ in range(rng.randint(0, 3))]
+        parts += [element(depth - 1) for _ in range(rng.randint(0, 3) if depth else 0)]
+        rng.shuffle(parts)
+        return f"<{name}{attrs}>{''.join(parts)}</{name} >" if parts else f"<{name}{attrs}/>"
+
+    texts = [f"<r xmlns:x='u'>{element(3)}{element(2)}</r>" for _ in range(60)]
+    texts += [t[: rng.randint(1, len(t) - 1)] for t in texts[:30]] + [t.replace("</", "<", 1) for t in texts[:10]]
+    texts += ["<a i='1' i='2'/>", "<a><b></a></b>", "<a>&nbsp;</a>", "<a>]]></a>", "<a>&#0;</a>", "<a b=c/>", "<1a/>", "<a><!-- x -- y --></a>", " <a/> ", "<a", "<a/><?xml version='1.0'?>"]
+    texts.append("<a>" + "<b><c>1</c></b>" * 3000 + "</a>")
+    got = rows(list(enumerate(texts)), "i int, t string").select("i", xml_fields.xml_flatten("t", ["/*"], 99).alias("x")).collect()
+    for r in got:
+        try:
+            want = dict(entries(minidom.parseString(texts[r.i].strip().encode()).documentElement))
+        except ExpatError:
+            want = None
+        assert r.x == want, texts[r.i]
+
+
 def test_xml_values(rows):
     df = xml_fields.xml_values("t", {"b": "/a/b/text()", "i": "/a/@i"})(rows([("<a i='1'><b>x</b></a>",), ("<a><b>",), ("",)], "t string"))
     assert [(r.b, r.i) for r in df.collect()] == [("x", "1"), (None, None), (None, None)]

@@ -3,7 +3,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from logloom.operators.grok import expand, extract, first_spans, grok, group_names, library_with
+from logloom.operators.grok import expand, extract, first_spans, grok, group_names, group_numbers, library_with
 from logloom.operators.grok_library import EVENT_TYPES, LIBRARY
 
 
@@ -65,11 +65,36 @@ def test_separator_in_text_is_harmless(rows):
 def test_separator_is_kept_in_values_and_positions(rows):
     library = library_with({"S": r"(?<w>[a\x{1}\x{2}b]+) %{INT:n}"})
     df = rows([("a\u0001b 7",), ("a\u0001\u0002b 7",)], "t string")
-    out = df.select(first_spans(F.col("t"), ["S"], library).alias("s")).orderBy(F.length("t")).collect()
+    out = df.select(first_spans("t", ["S"], library).alias("s")).orderBy(F.length("t")).collect()
     assert [tuple(x) for x in out[0].s] == [("w", 0, 3, "a\u0001b"), ("n", 4, 5, "7")]
     assert [tuple(x) for x in out[1].s] == [("w", 0, 4, "a\u0001\u0002b"), ("n", 5, 6, "7")]
 
 
+@pytest.mark.parametrize("marks", ["\u0001\u0002\u0003", "\u0001\u0002\u0003\u0001\u0002\u0003", "\u0003\u0002\u0001", "\u0001\u0002", "\u0002\u0003", "\u0003"])
+def test_text_with_separators_comes_back_whole(rows, marks):
+    library = library_with({"S": r"^(?<w>[^ ]+) (?:(x)|%{INT:n})(?<no>#)?(?<end>.*)$"})
+    df = rows([(f"a{marks}b 7{marks}",), (f"{marks} x{marks}",), (f"none{marks}",), (None,)], "t string")
+    out = extract(df, "t", "S", library).collect()
+    assert [(r.w, r.n, r.no, r.end) for r in out] == [(f"a{marks}b", "7", None, marks), (marks, None, None, marks), (None,) * 4, (None,) * 4]
+    size = len(marks)
+    spans = df.select(first_spans("t", ["S"], library).alias("s")).collect()
+    assert [tuple(x) for x in spans[0].s] == [
+        ("w", 0, size + 2, f"a{marks}b"), ("n", size + 3, size + 4, "7"), ("no", 0, 2 * size + 4, None), ("end", size + 4, 2 * size + 4, marks),
+    ]
+    assert spans[2].s is None
+
+
+def test_group_numbers_count_all_capturing_groups(spark):
+    regex = r"(a)(?<b>[(\]]x)\((?:y)(?<c>(z)(?=q))(?<!w)\Q(\E(?<d>.)"
+    assert group_numbers(regex) == {"b": 2, "c": 3, "d": 5}
+    line = '10.0.0.1 - u [03/Nov/2029:08:45:09 +0800] "GET /a?b=c HTTP/1.1" 200 5 "-" "agent"'
+    full = expand(LIBRARY["apache_access"])
+    m = spark._jvm.java.util.regex.Pattern.compile(full).matcher(line)
+    assert m.find() and m.group("verb") == "GET"
+    for name, number in group_numbers(full).items():
+        assert (m.start(name), m.end(name)) == (m.start(number), m.end(number))
+
+
 def test_multiline_text(rows):
     df = rows([("first\nsecond 9\nthird",)], "message string")
     assert grok("message", ["N"], {"N": "second %{GREEDYDATA:n}"})(df).first().n == "9"
@@ -89,6 +114,6 @@ def test_one_regex_pass_per_pattern(spark, rows):
 def test_spans(rows):
     df = rows([("ab 12 cd",), ("zz",)], "t string")
     library = library_with({"S": "(?<w>[a-z]+)(?<no>#)? %{INT:n}"})
-    out = df.select(first_spans(F.col("t"), ["S"], library).alias("s")).collect()
+    out = df.select(first_spans("t", ["S"], library).alias("s")).collect()
     assert [tuple(x) for x in out[0].s] == [("w", 0, 2, "ab"), ("no", 0, 8, None), ("n", 3, 5, "12")]
     assert out[1].s is None

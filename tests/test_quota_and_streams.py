@@ -22,8 +22,8 @@ def brute_force(events, limits):
     return out
 
 
-@pytest.mark.parametrize("seed, group_rows, chunk_rows", [(1, 10**6, 10**6), (2, 0, 37), (3, 20, 10), (4, 0, 10**6)])
-def test_quota_matches_brute_force(rows, seed, group_rows, chunk_rows):
+@pytest.mark.parametrize("seed, chunk_rows, span_parts", [(1, 10**6, 25), (2, 37, 25), (3, 10, 1), (4, 3, 1), (5, 60, 1), (6, 2, 2)])
+def test_quota_matches_brute_force(rows, seed, chunk_rows, span_parts):
     rng = random.Random(seed)
     tokens = ["hot"] * 6 + ["a", "b", "c", "d", "free"]
     sizes = [0, 1, 2, 3, 5, 8, 64, 65, 100, 1000, 1023, 1024, None]
@@ -31,15 +31,34 @@ def test_quota_matches_brute_force(rows, seed, group_rows, chunk_rows):
     limits = {"hot": rng.randint(500, 20000), "a": 0, "b": 1500, "c": 10**9, "d": 63}
     quotas = rows([(t, v + 3, 3) for t, v in limits.items()], "user_id string, limits bigint, current_usage bigint")
     df = rows(events, "seq bigint, token string, bytes bigint").repartition(3)
-    got = {r.seq: r.allowed for r in check_quota(df, quotas, ["seq"], group_rows=group_rows, chunk_rows=chunk_rows).collect()}
+    got = {r.seq: r.allowed for r in check_quota(df, quotas, ["seq"], chunk_rows=chunk_rows, span_parts=span_parts).collect()}
     assert got == brute_force(events, limits)
 
 
+def test_quota_plans_run_no_python_and_join_no_token_alone(rows):
+    df = rows([(i, "t", 7 * i % 13) for i in range(300)], "seq bigint, token string, bytes bigint")
+    quotas = rows([("t", 700, 0)], "user_id string, limits bigint, current_usage bigint")
+    out = check_quota(df, quotas, ["seq"], chunk_rows=20, span_parts=1)
+    plan = out._jdf.queryExecution().toString()
+    assert "Python" not in plan and "InPandas" not in plan
+    assert {r.seq: r.allowed for r in out.collect()} == brute_force([(i, "t", 7 * i % 13) for i in range(300)], {"t": 700})
+
+
+def test_a_chunk_of_many_events_is_folded_whole(rows, spark):
+    """More events in one chunk than a block of the fold has."""
+    df = spark.range(3000).selectExpr("id AS seq", "'t' AS token", "(id * 7919) % 1000 AS bytes")
+    quotas = rows([("t", 300_000, 5)], "user_id string, limits bigint, current_usage bigint")
+    events = [(i, "t", i * 7919 % 1000) for i in range(3000)]
+    for chunk_rows in (3000, 1000):
+        got = {r.seq: r.allowed for r in check_quota(df, quotas, ["seq"], chunk_rows=chunk_rows).collect()}
+        assert got == brute_force(events, {"t": 299_995})
+
+
 def test_quota_without_room_lets_empty_events_pass(rows):
     df = rows([(1, "t", 5), (2, "t", 0), (3, "t", 1)], "seq bigint, token string, bytes bigint")
     quotas = rows([("t", 2, 3)], "user_id string, limits bigint, current_usage bigint")
-    for group_rows in (0, 10):
-        got = check_quota(df, quotas, ["seq"], group_rows=group_rows).orderBy("seq").collect()
+    for chunk_rows in (1, 10):
+        got = check_quota(df, quotas, ["seq"], chunk_rows=chunk_rows).orderBy("seq").collect()
         # the use so far exceeds the limit, so not even an empty event fits
         assert [r.allowed for r in got] == [False, False, False]
 
