@@ -1,10 +1,12 @@
 """How sources of a language differ in their words, by chunk factorization.
 
-Words never cross white space, so white-space chunks are counted first: each task counts the chunks of its documents and
-combines them by language, source and chunk. A chunk that occurs anywhere is split into terms once; its terms are joined
-back to its counts. Occurrences add up. Distinct documents do not, as a document may hold a term in several chunks: a
-chunk of three documents or more decides its terms; a chunk of one or two names its documents by the least and the
-greatest row number, so the documents of all rarer chunks of a term are counted exactly by distinct names.
+Words never cross white space, so white-space chunks are counted first: a task counts the chunks of its documents and
+combines them by language and chunk, with the occurrences of each source. One shuffle brings the counts of a chunk
+together; there it is split into terms, once, and its counts go to each of them. A second shuffle brings the terms of a
+language together. Occurrences add up. Distinct documents do not, as a document may hold a term in several chunks: a
+chunk of three documents or more decides its terms; a chunk of one or two names them by row number, and a term of such
+chunks only counts distinct names, of which three suffice. All counts are sums of parts, so a task may pass on what it
+holds at any time: memory is bounded, and a frequent chunk has one row for each part, not for each occurrence.
 
 Each kept term has a smoothed probability in every source and language, in exact integers (p, at most 1e9 + 1); the
 divergence of p from q is the sum of (p - q)^2 div q over the language's terms. Sources of one language are compared in
@@ -18,184 +20,359 @@ Rows are numbered by their place in the input files, so ``docs`` should come fro
 
 from __future__ import annotations
 
-from collections import Counter
+from collections import defaultdict
+from collections.abc import Iterator
+from itertools import chain, count
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from logloom.llm.common import map_rows, saved
+from logloom.llm.common import saved
 from logloom.operators.lookup import left_lookup
 
-#: A term is kept from this number of documents on; two row numbers name the documents of any rarer chunk.
+#: A term is kept from this number of documents on.
 LEAST_DOCUMENTS = 3
 TOP_TERMS = 200
 SCALE = 1_000_000_000
-#: Distinct chunks, and bytes of them, that a task holds before it passes its counts on.
-HELD_CHUNKS, HELD_BYTES = 400_000, 32 << 20
+#: Occurrences, bytes and rows that a task holds before it passes its counts on.
+HELD_WORDS, HELD_BYTES, HELD_ROWS = 4_000_000, 48 << 20, 400_000
 #: Sums of a block of pairs of sources, and probabilities compared at a time.
 PAIR_CELLS, TERM_CELLS = 1_000_000, 500_000
 #: Groups up to this number (some 100 bytes each) are broadcast; more are joined by shuffle.
 BROADCAST_GROUPS = 200_000
-_FOLD = "translate(chunk, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
-_TERMS = rf"regexp_extract_all({_FOLD}, r'[^\x00-\x40\x5B-\x60\x7B-\x7F]+', 0)"
-
-
-def chunk_counts(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``lang, source, chunk, n, docs, lo, hi``: occurrences, documents, and the least and greatest row number of them."""
-
-    def run(batches):
-        held: dict[tuple[str, str], dict[bytes, list[int]]] = {}
-        size = chars = 0
-
-        def out():
-            for (lang, source), seen in held.items():
-                if not seen:
-                    continue
-                chunks, counts = list(seen), list(zip(*seen.values(), strict=True))
-                k = len(chunks)
-                yield {"lang": [lang] * k, "source": [source] * k, "chunk": chunks} | dict(zip(("n", "docs", "lo", "hi"), counts, strict=True))
-
+#: Letters beyond ASCII stay, A-Z become small, all else separates terms.
+_FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else 32 for b in range(256))
+
+Sums = tuple[np.ndarray, np.ndarray, np.ndarray]  # key, place, n; sorted and unique by (key, place)
+
+
+def _summed(key: np.ndarray, place: np.ndarray, n: np.ndarray) -> Sums:
+    code = key.astype(np.int64) << 32 | place
+    order = np.argsort(code, kind="stable")
+    code = code[order]
+    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.empty(0, np.int64)
+    total = np.add.reduceat(n[order], first) if len(first) else n
+    return code[first] >> 32, code[first] & 0xFFFFFFFF, total
+
+
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """Numbers start, start + 1, .. of each run."""
+    ends = np.cumsum(sizes)
+    return np.repeat(starts - ends + sizes, sizes) + np.arange(ends[-1] if len(ends) else 0)
+
+
+def _binary(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """Each run of the rows of ``values`` as one binary value."""
+    width = values.itemsize * (values.shape[1] if values.ndim > 1 else 1)
+    data = pa.py_buffer(np.ascontiguousarray(values).tobytes())
+    return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * width).astype(np.int32).tobytes()), data])
+
+
+def _packed(sums: Sums, n_keys: int, kind: np.dtype) -> pa.Array:
+    """(place, n) pairs of each key; a number too large for its type is several pairs."""
+    key, place, n = sums
+    top = np.iinfo(kind).max
+    times = -(-n // top)
+    at = np.repeat(np.arange(len(n)), times)
+    last = np.append(at[1:] != at[:-1], True)[: len(at)]
+    part = np.where(last, n[at] - (times[at] - 1) * top, top)
+    return _binary(np.column_stack([place[at], part]).astype(kind), np.searchsorted(key[at], np.arange(n_keys + 1)))
+
+
+def _names(key: np.ndarray, name: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct names of each key, sorted; ``many`` also where there are enough of them, whose names go."""
+    order = np.lexsort((name, key))
+    key, name = key[order], name[order]
+    new = np.append(True, (key[1:] != key[:-1]) | (name[1:] != name[:-1]))[: len(key)]
+    key, name = key[new], name[new]
+    many = many | (np.bincount(key, minlength=len(many)) >= LEAST_DOCUMENTS)
+    few = ~many[key]
+    return key[few], name[few], many
+
+
+def _batches(columns: dict[str, pa.Array], rows: int = 50_000) -> Iterator[pa.RecordBatch]:
+    batch = pa.RecordBatch.from_arrays(list(columns.values()), names=list(columns))
+    for at in range(0, batch.num_rows, rows):
+        yield batch.slice(at, rows)
+
+
+def _texts(values: list[bytes], kind=pa.binary()) -> pa.Array:
+    return pa.array(values, kind)
+
+
+def chunk_counts(docs: DataFrame, kind: np.dtype) -> DataFrame:
+    """``lang, chunk, names, uses`` of rows ``lang, place, row, raw``: partial counts of each task."""
+
+    def reduced(vocab: dict[bytes, int], ids: list[int], sizes: list[int], langs: list[str], places: list[int], rows: list[int]):
+        names = sorted(set(langs))
+        lang = np.searchsorted(np.array(names, object), np.array(langs, object)) if names else np.empty(0, np.int64)
+        doc = np.repeat(np.arange(len(sizes)), sizes)
+        key = np.array(ids, np.int64) * len(names) + lang[doc]
+        found, key = np.unique(key, return_inverse=True)
+        held = np.unique(key * len(sizes) + doc)  # each chunk once a document
+        owner, rownum = held // len(sizes), np.array(rows, np.int64)[held % len(sizes)]
+        many = np.bincount(owner, minlength=len(found)) >= LEAST_DOCUMENTS
+        few = ~many[owner]
+        cuts = np.searchsorted(owner[few], np.arange(len(found) + 1))
+        place = np.array(places, np.int64)[doc]
+        yield from _batches(
+            {
+                "lang": pa.array(names, pa.string()).take(pa.array(found % len(names))),
+                "chunk": _texts(list(vocab)).take(pa.array(found // len(names))),
+                "names": _binary(rownum[few], cuts),
+                "uses": _packed(_summed(key, place, np.ones(len(key), np.int64)), len(found), kind),
+            }
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def fresh():
+            return defaultdict(count().__next__), [], [], [], [], []
+
+        held, size = fresh(), 0
         for batch in batches:
-            for lang, source, row, raw in zip(batch["lang"], batch["source"], batch["row"], batch["raw"], strict=True):
-                if not raw:
+            for lang, place, row, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+                words = raw.split() if raw else ()  # bytes are split at ASCII white space only
+                if not words:
                     continue
-                seen = held.setdefault((lang, source), {})
-                before = len(seen)
-                for chunk, n in Counter(raw.split()).items():  # bytes split at ASCII white space only
-                    entry = seen.get(chunk)
-                    if entry is None:
-                        seen[chunk] = [n, 1, row, row]
-                        chars += len(chunk)
-                    else:
-                        entry[0] += n
-                        entry[1] += 1
-                        entry[3] = row
-                size += len(seen) - before
-                if size > HELD_CHUNKS or chars > HELD_BYTES:
-                    yield from out()
-                    held, size, chars = {}, 0, 0
-        yield from out()
+                vocab, ids, sizes, *facts = held
+                ids.extend(map(vocab.__getitem__, words))
+                sizes.append(len(words))
+                for to, value in zip(facts, (lang, place, row), strict=True):
+                    to.append(value)
+                size += len(raw)
+                if len(ids) > HELD_WORDS or size > HELD_BYTES or len(vocab) > HELD_ROWS:
+                    yield from reduced(*held)
+                    held, size = fresh(), 0
+        if held[1]:
+            yield from reduced(*held)
+
+    return docs.mapInArrow(run, "lang string, chunk binary, names binary, uses binary")
+
+
+def _gathered(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[list[list]]:
+    """Columns lang, word, names, uses of many rows at a time; with ``whole``, sorted rows of one word stay together."""
+    held, size = [[], [], [], []], 0
+    for batch in batches:
+        new = [batch.column(i).to_pylist() for i in range(4)]
+        for to, values in zip(held, new, strict=True):
+            to += values
+        size += batch.nbytes
+        if len(held[0]) > HELD_ROWS or size > HELD_BYTES:
+            end = len(held[0])
+            while whole and end and (held[0][end - 1], held[1][end - 1]) == (held[0][-1], held[1][-1]):
+                end -= 1
+            if end:
+                yield [x[:end] for x in held]
+                held = [x[end:] for x in held]
+                size = sum(map(len, held[3]))
+    if held[0]:
+        yield held
+
+
+def _numbered(langs: list[str], words: list[bytes]) -> tuple[np.ndarray, list[tuple[str, bytes]]]:
+    numbers: dict = defaultdict(count().__next__)
+    ids = np.fromiter(map(numbers.__getitem__, zip(langs, words, strict=True)), np.int64, len(words))
+    return ids, list(numbers)
+
+
+def _merged(key: np.ndarray, n_keys: int, names: list[bytes], uses: list[bytes], kind: np.dtype):
+    """Sums, distinct names and ``many`` of the rows' keys."""
+    pairs = np.frombuffer(b"".join(uses), kind).reshape(-1, 2).astype(np.int64)
+    sums = _summed(np.repeat(key, [len(u) // (2 * kind.itemsize) for u in uses]), pairs[:, 0], pairs[:, 1])
+    many = np.zeros(n_keys, bool)
+    sizes = np.array([len(x) // 8 for x in names], np.int64)
+    many[key[sizes == 0]] = True  # no names: enough documents in one part
+    return sums, *_names(np.repeat(key, sizes), np.frombuffer(b"".join(names), np.int64), many)
+
+
+def term_counts(counts: DataFrame, kind: np.dtype) -> DataFrame:
+    """``lang, term, names, uses`` from counts of chunks that are together: each chunk is split into terms once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for langs, chunks, names, uses in _gathered(batches, False):
+            key, found = _numbered(langs, chunks)
+            (owner, place, n), named, name, many = _merged(key, len(found), names, uses, kind)
+            parts = [chunk.translate(_FOLD).split() for _, chunk in found]
+            of = np.repeat(np.arange(len(found)), [len(p) for p in parts])  # the chunk of each term occurrence
+            if not len(of):
+                continue
+            term, terms = _numbered([found[k][0] for k in of.tolist()], list(chain.from_iterable(parts)))
+
+            def handed(keys: np.ndarray, of=of) -> tuple[np.ndarray, np.ndarray]:
+                """Of entries sorted by chunk: which entry, and the term occurrence it goes to."""
+                start = np.searchsorted(keys, of)
+                size = np.searchsorted(keys, of, "right") - start
+                return _spread(start, size), np.repeat(np.arange(len(of)), size)
+
+            entry, to = handed(owner)
+            sums = _summed(term[to], place[entry], n[entry])
+            entry, to = handed(named)
+            enough = np.zeros(len(terms), bool)
+            enough[term[many[of]]] = True
+            named, name, enough = _names(term[to], name[entry], enough)
+            yield from _batches(
+                {
+                    "lang": pa.array([x[0] for x in terms], pa.string()),
+                    "term": _texts([x[1] for x in terms]),
+                    "names": _binary(name, np.searchsorted(named, np.arange(len(terms) + 1))),
+                    "uses": _packed(sums, len(terms), kind),
+                }
+            )
 
-    rows = docs.select(_named("lang"), _named("source"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("binary").alias("raw"))
-    counted = map_rows(rows, run, "lang string, source string, chunk string, n long, docs long, lo long, hi long")
-    return counted.groupBy("lang", "source", "chunk").agg(
-        F.sum("n").alias("n"), F.sum("docs").alias("docs"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
-    )
+    return counts.mapInArrow(run, "lang string, term binary, names binary, uses binary")
+
+
+def kept_terms(terms: DataFrame, kind: np.dtype) -> DataFrame:
+    """``lang, term, total, places, ns`` of the terms in enough documents, from rows that are together and sorted by term."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for langs, words, names, uses in _gathered(batches, True):
+            key, found = _numbered(langs, words)
+            (owner, place, n), _, _, many = _merged(key, len(found), names, uses, kind)
+            kept = np.flatnonzero(many)
+            mine = many[owner]
+            cuts = np.searchsorted(owner[mine], np.append(kept, len(found))).astype(np.int32)
+            total = np.bincount(owner[mine], minlength=len(found)) * 0
+            np.add.at(total, owner[mine], n[mine])
+            yield from _batches(
+                {
+                    "lang": pa.array([found[k][0] for k in kept.tolist()], pa.string()),
+                    "term": pa.array([found[k][1].decode() for k in kept.tolist()], pa.string()),
+                    "total": pa.array(total[kept]),
+                    "places": pa.ListArray.from_arrays(pa.array(cuts), pa.array(place[mine].astype(np.int32))),
+                    "ns": pa.ListArray.from_arrays(pa.array(cuts), pa.array(n[mine])),
+                }
+            )
+
+    return terms.mapInArrow(run, "lang string, term string, total long, places array<int>, ns array<long>")
 
 
 def _named(column: str) -> Column:
     return F.coalesce(F.col(column), F.lit("")).alias(column)
 
 
-def kept_terms(counts: DataFrame) -> DataFrame:
-    """``lang, term, total, sources array<struct<source, n>>`` of the terms in enough documents of the language."""
-    split = counts.select("chunk").distinct().select("chunk", F.expr(_TERMS).alias("terms")).where(F.size("terms") > 0)
-    found = counts.join(split, "chunk").select("lang", "source", F.explode("terms").alias("term"), "n", "docs", "lo", "hi")
-    # the occurrences go with the first name; the second name of a chunk of two documents brings none
-    named = F.expr(
-        f"CASE WHEN docs >= {LEAST_DOCUMENTS} THEN array(named_struct('name', cast(null AS long), 'n', n)) "
-        "WHEN docs = 1 THEN array(named_struct('name', lo, 'n', n)) "
-        "ELSE array(named_struct('name', lo, 'n', n), named_struct('name', hi, 'n', 0L)) END"
-    )
-    rows = found.select("lang", "source", "term", F.inline(named))
-    rows = rows.groupBy("lang", "source", "term", "name").agg(F.sum("n").alias("n"))
-    rows = rows.groupBy("lang", "source", "term").agg(
-        F.sum("n").alias("n"), F.count("name").alias("names"), F.bool_or(F.isnull("name")).alias("many")
-    )
-    # at most one entry a source
-    terms = rows.groupBy("lang", "term").agg(
-        F.sum("n").alias("total"), F.sum("names").alias("names"), F.bool_or("many").alias("many"), F.collect_list(F.struct("source", "n")).alias("sources")
-    )
-    return terms.where(F.col("many") | (F.col("names") >= LEAST_DOCUMENTS)).select("lang", "term", "total", "sources")
-
-
-def _probability(count: str, total: str) -> Column:
-    return F.expr(f"1 + (cast({SCALE} AS decimal(20, 0)) * ({count} + 1)) DIV cast({total} + n_terms AS decimal(20, 0))")
+def _probability(n: np.ndarray, total: np.ndarray) -> np.ndarray:
+    if n.max(initial=0) < 9_000_000_000:
+        return 1 + SCALE * (n + 1) // total
+    return np.array([1 + SCALE * (a + 1) // b for a, b in zip(n.tolist(), np.broadcast_to(total, n.shape).tolist(), strict=True)], np.int64)
+
+
+class _Comparison:
+    """Sums and best terms of the sources ``low .. low + height`` of one language."""
+
+    def __init__(self, lang: str, low: int, height: int, group_n: list[int], n_terms: int, lang_n: int, top: int):
+        self.lang, self.low, self.top = lang, low, top
+        self.group_n, self.n_terms, self.lang_n = np.array(group_n, np.int64), n_terms, lang_n
+        self.none = _probability(np.zeros(len(group_n), np.int64), self.group_n + n_terms)
+        self.sums = np.zeros((min(height, len(group_n) - low), len(group_n)), np.int64)
+        self.best: tuple = (np.empty(0, np.int64), np.empty(0, np.int64), [])
+        self.rows: list[tuple] = []
+
+    def add(self, *row) -> None:
+        self.rows.append(row)
+        if len(self.rows) * len(self.none) >= TERM_CELLS:
+            self.work()
+
+    def work(self) -> None:
+        if not self.rows:
+            return
+        words, totals, places, ns = zip(*self.rows, strict=True)
+        self.rows = []
+        place, n = (np.fromiter(chain.from_iterable(x), np.int64) for x in (places, ns))
+        line = np.repeat(np.arange(len(words)), [len(x) for x in places])
+        p = _probability(n, self.group_n[place] + self.n_terms)
+        table = np.tile(self.none, (len(words), 1))
+        table[line, place] = p
+        for k in range(len(self.sums)):
+            off = table[:, self.low + k, None] - table
+            self.sums[k] += (off * off // table).sum(0)
+        q = _probability(np.array(totals, np.int64), np.int64(self.lang_n + self.n_terms))[line]
+        more = (p > q) & (place >= self.low) & (place < self.low + len(self.sums))
+        place, value, line = place[more], ((p - q) ** 2 // q)[more], line[more]
+        # rows come in the order of the terms, so what was there before goes first among equals
+        at = np.append(np.arange(len(self.best[2])), len(self.best[2]) + line)
+        place, value = np.append(self.best[0], place), np.append(self.best[1], value)
+        known = self.best[2] + list(words)
+        order = np.lexsort((np.arange(len(at)), -value, place))
+        rank = np.arange(len(order)) - np.searchsorted(place[order], place[order])
+        order = order[rank < self.top]
+        self.best = place[order], value[order], [known[k] for k in at[order].tolist()]
+
+    def out(self) -> pa.RecordBatch:
+        self.work()
+        a, b = (x.ravel() for x in np.indices(self.sums.shape))
+        place, value, words = self.best
+        columns = [
+            pa.array([self.lang] * (len(a) + len(place)), pa.string()),
+            pa.array(np.append(a + self.low, place)),
+            pa.array(np.append(b, np.zeros(len(place), np.int64)), mask=np.append(np.zeros(len(a), bool), np.ones(len(place), bool))),
+            pa.array([None] * len(a) + words, pa.string()),
+            pa.array(np.append(self.sums.ravel(), value)),
+        ]
+        return pa.RecordBatch.from_arrays(columns, names=["lang", "a", "b", "term", "value"])
+
+
+def _compared(kept: DataFrame, langs: DataFrame, limit: int, top: int) -> DataFrame:
+    """``lang, a, b, term, value``: parts of the sums of pairs of sources (b), and the best terms of each source (term)."""
+    rows = left_lookup(kept, langs.withColumnRenamed("lang", "r_lang"), ["lang"], broadcast_rows=limit)
+    # a block of sources against all sources of the language has a bounded number of sums
+    rows = rows.withColumn("height", F.expr(f"greatest(1, {PAIR_CELLS} DIV size(group_n))"))
+    rows = rows.withColumn("block", F.explode(F.expr("sequence(0L, (size(group_n) - 1) DIV height)")))
+    rows = rows.select("lang", "block", "term", "height", "total", "places", "ns", "group_n", "n_terms", "lang_n")
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, work = None, None
+        for batch in batches:
+            for row in zip(*(batch.column(i).to_pylist() for i in range(10)), strict=True):
+                lang, block, term, height, total, places, ns, group_n, n_terms, lang_n = row
+                if now != (lang, block):
+                    if work is not None:
+                        yield work.out()
+                    now, work = (lang, block), _Comparison(lang, block * height, height, group_n, n_terms, lang_n, top)
+                work.add(term, total, places, ns)
+        if work is not None:
+            yield work.out()
 
-def _divergence(p: str, q: str) -> Column:
-    return F.expr(f"(({p} - {q}) * ({p} - {q})) DIV {q}")
+    rows = rows.sortWithinPartitions("lang", "block", "term")
+    return rows.mapInArrow(run, "lang string, a long, b long, term string, value long")
 
 
-def _ranked(rows: DataFrame, part: str, item: str) -> DataFrame:
-    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc(item))
-    return rows.select("lang", "source", F.lit(part).alias("part"), F.col(item).alias("item"), "value", F.row_number().over(order).alias("rank"))
+def _ranked(rows: DataFrame, part: str) -> DataFrame:
+    order = Window.partitionBy("lang", "source").orderBy(F.desc("value"), F.asc("item"))
+    return rows.select("lang", "source", F.lit(part).alias("part"), "item", "value", F.row_number().over(order).alias("rank"))
 
 
 def audit(docs: DataFrame, text: str = "text", top: int = TOP_TERMS) -> DataFrame:
     """``lang, source, part, item, value, rank``. Part ``pair``: divergence from every other source of the language.
     Part ``term``: the ``top`` terms that a source uses more than its language does."""
-    counts = saved(chunk_counts(docs, text), "chunks")
-    kept = saved(kept_terms(counts), "terms")
-    uses = kept.select("lang", "term", "total", F.inline("sources"))
-
-    sums = uses.groupBy("lang", "source").agg(F.sum("n").alias("group_n"))
-    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("total").alias("lang_n"))
-    groups = docs.select(_named("lang"), _named("source")).distinct().join(sums, ["lang", "source"], "left").join(langs, "lang", "left")
-    number = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
-    groups = groups.na.fill(0, ["group_n", "n_terms", "lang_n"]).withColumn("place", number)
-    groups = saved(groups, "groups")
+    groups = docs.select(_named("lang"), _named("source")).distinct()
+    place = F.row_number().over(Window.partitionBy("lang").orderBy("source")) - 1
+    groups = saved(groups.withColumn("place", place), "groups")
     n_groups = groups.count()
     limit = BROADCAST_GROUPS if n_groups <= BROADCAST_GROUPS else 0
-    side = groups.select(F.col("lang").alias("r_lang"), F.col("source").alias("r_source"), "group_n", "n_terms", "lang_n", "place")
-    uses = left_lookup(uses, side, ["lang", "source"], broadcast_rows=limit)
-    uses = uses.withColumns({"p": _probability("n", "group_n"), "q": _probability("total", "lang_n")})
-
-    terms = _ranked(uses.where("p > q").withColumn("value", _divergence("p", "q")), "term", "term").where(F.col("rank") <= top)
-    return _ranked(_pairs(uses, groups, limit), "pair", "item").unionByName(terms)
-
-
-def _pairs(uses: DataFrame, groups: DataFrame, limit: int) -> DataFrame:
-    """``lang, source, item, value`` of every pair of sources of a language."""
-    zero = groups.where("n_terms > 0").withColumn("none", F.expr(f"1 + {SCALE} DIV (group_n + n_terms)"))
-    zero = zero.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "none"))).alias("_zero"))  # one entry a source
-    zero = zero.select(F.col("lang").alias("r_lang"), F.col("_zero.none").alias("zero"))
-    rows = uses.groupBy("lang", "term").agg(F.collect_list(F.struct("place", "p")).alias("_p"))
-    rows = rows.select("lang", F.col("_p.p").alias("ps"), F.col("_p.place").alias("at"))
-    rows = left_lookup(rows, zero, ["lang"], broadcast_rows=limit)
-    # a block of sources against all sources of the language has a bounded number of sums
-    rows = rows.withColumn("height", F.expr(f"greatest(1, {PAIR_CELLS} DIV size(zero))"))
-    rows = rows.withColumn("block", F.explode(F.expr("sequence(0L, (size(zero) - 1) DIV height)")))
-    rows = rows.select("lang", "block", "height", "at", "ps", "zero").sortWithinPartitions("lang", "block")
-
-    def run(batches):
-        now, dense, sums, low = None, [], None, 0
-
-        def add():
-            if not dense:
-                return
-            table = np.array(dense)
-            for k in range(len(sums)):
-                off = table[:, low + k : low + k + 1] - table
-                sums[k] += (off * off // table).sum(0)
-            dense.clear()
-
-        def out():
-            add()
-            a, b = (x.ravel() for x in np.indices(sums.shape))
-            return pa.RecordBatch.from_arrays(
-                [pa.array([now[0]] * a.size, pa.string()), pa.array(a + low), pa.array(b), pa.array(sums.ravel())], names=["lang", "a", "b", "value"]
-            )
+    kind = np.dtype("<u2" if n_groups <= 1 << 16 else "<u4")
 
-        for batch in batches:
-            for lang, block, height, at, ps, zero in zip(*(batch.column(i).to_pylist() for i in range(6)), strict=True):
-                if now != (lang, block):
-                    if now is not None:
-                        yield out()
-                    now, low, none = (lang, block), block * height, np.array(zero, np.int64)
-                    sums = np.zeros((min(height, len(none) - low), len(none)), np.int64)
-                line = none.copy()
-                line[at] = ps
-                dense.append(line)
-                if len(dense) * len(none) >= TERM_CELLS:
-                    add()
-        if now is not None:
-            yield out()
-
-    sums = rows.mapInArrow(run, "lang string, a long, b long, value long").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
-    one = groups.select("lang", "source", F.col("place").cast("long").alias("a"))
-    other = groups.select("lang", F.col("source").alias("item"), F.col("place").cast("long").alias("b"))
-    grid = one.join(other, "lang").where("a <> b")  # the rows asked for: every other source of the language
-    return grid.join(sums, ["lang", "a", "b"], "left").select("lang", "source", "item", F.coalesce("value", F.lit(0).cast("long")).alias("value"))
+    side = groups.select(F.col("lang").alias("r_lang"), F.col("source").alias("r_source"), "place")
+    rows = docs.select(_named("lang"), _named("source"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("binary").alias("raw"))
+    rows = left_lookup(rows, side, ["lang", "source"], broadcast_rows=limit).select("lang", "place", "row", "raw")
+    terms = term_counts(chunk_counts(rows, kind).repartition("lang", "chunk"), kind)
+    kept = saved(kept_terms(terms.repartition("lang", "term").sortWithinPartitions("lang", "term"), kind), "terms")
+
+    uses = kept.select("lang", F.inline(F.arrays_zip(F.col("places").alias("place"), F.col("ns").alias("n"))))
+    sums = uses.groupBy("lang", "place").agg(F.sum("n").alias("group_n"))
+    all_ = groups.join(sums, ["lang", "place"], "left").groupBy("lang")
+    # one entry a source
+    all_ = all_.agg(F.array_sort(F.collect_list(F.struct("place", F.coalesce("group_n", F.lit(0)).alias("n")))).alias("_n"))
+    langs = kept.groupBy("lang").agg(F.count(F.lit(1)).alias("n_terms"), F.sum("total").alias("lang_n"))
+    langs = saved(langs.join(all_.select("lang", F.col("_n.n").alias("group_n")), "lang"), "langs")
+
+    found = saved(_compared(kept, langs, limit, top), "compared")
+    sources = groups.select("lang", "source", F.col("place").cast("long").alias("a"))
+    others = groups.select("lang", F.col("source").alias("item"), F.col("place").cast("long").alias("b"))
+    sums = found.where("b IS NOT NULL").groupBy("lang", "a", "b").agg(F.sum("value").alias("value"))
+    grid = sources.join(others, "lang").where("a <> b")  # the rows asked for: every other source of the language
+    pairs = grid.join(sums, ["lang", "a", "b"], "left").select("lang", "source", "item", F.coalesce("value", F.lit(0).cast("long")).alias("value"))
+    terms = found.where("term IS NOT NULL").withColumnRenamed("term", "item").join(sources, ["lang", "a"])
+    return _ranked(pairs, "pair").unionByName(_ranked(terms, "term").where(F.col("rank") <= top))

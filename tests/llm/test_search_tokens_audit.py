@@ -185,7 +185,7 @@ def test_audit_equals_brute_force(docs):
 
 
 def test_audit_in_small_blocks(docs, monkeypatch):
-    for name, value in {"PAIR_CELLS": 5, "TERM_CELLS": 60, "HELD_CHUNKS": 40, "BROADCAST_GROUPS": 0}.items():
+    for name, value in {"PAIR_CELLS": 5, "TERM_CELLS": 60, "HELD_WORDS": 400, "HELD_ROWS": 30, "BROADCAST_GROUPS": 0}.items():
         monkeypatch.setattr(source_audit, name, value)
     assert sorted(tuple(r) for r in source_audit.audit(docs, top=7).collect()) == brute_audit(docs, 7)
 
@@ -194,8 +194,24 @@ def test_audit_counts_distinct_documents(spark, tmp_path):
     # 'a' is in three documents by rare chunks only, 'b' twice in one and once in another, 'c' in three equal rows
     rows = [(1, "a-a a, 11", "l", "s"), (2, "(a b b- 22", "l", "s"), (3, "a; b. 33", "l", "t"), (4, "c", "l", "t"), (4, "c", "l", "t"), (4, "c", "l", "t")]
     spark.createDataFrame(rows, "doc_id long, text string, lang string, source string").repartition(4).write.parquet(f"{tmp_path}/d")
-    counts = source_audit.chunk_counts(spark.read.parquet(f"{tmp_path}/d"))
-    assert {(r.term, r.total) for r in source_audit.kept_terms(counts).collect()} == {("a", 5), ("c", 3)}
+    out = source_audit.audit(spark.read.parquet(f"{tmp_path}/d")).collect()
+    docs = spark.read.parquet(f"{tmp_path}/d")
+    assert sorted(tuple(r) for r in out) == brute_audit(docs, 200)
+    assert {r.item for r in out if r.part == "term"} <= {"a", "c"}
+
+
+def test_audit_packs_large_counts():
+    kind = np.dtype("<u2")
+    key, place, n = np.array([0, 0, 2]), np.array([3, 9, 3]), np.array([200_000, 1, 65_535])
+    packed = source_audit._packed((key, place, n), 3, kind).to_pylist()
+    sums = source_audit._merged(np.arange(3), 3, [b""] * 3, packed, kind)[0]
+    assert [x.tolist() for x in sums] == [key.tolist(), place.tolist(), n.tolist()]
+
+
+def test_probability_of_counts_beyond_64_bits():
+    n = np.array([0, 5, 10**12])
+    want = [1 + 10**9 * (x + 1) // (10**13 + 7) for x in n.tolist()]
+    assert source_audit._probability(n, np.array([10**13 + 7] * 3)).tolist() == want
 
 
 def test_audit_empty_table(empty):
