@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from collections import defaultdict
 from collections.abc import Iterator
-from itertools import chain, count
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -48,13 +48,24 @@ _FOLD = bytes(b + 32 if 65 <= b <= 90 else b if b >= 128 or 97 <= b <= 122 else
 Sums = tuple[np.ndarray, np.ndarray, np.ndarray]  # key, place, n; sorted and unique by (key, place)
 
 
+def _starts(*sorted_columns: np.ndarray) -> np.ndarray:
+    """Where a run of equal values of the columns begins."""
+    n = len(sorted_columns[0])
+    if not n:
+        return np.empty(0, np.int64)
+    new = np.zeros(n, bool)
+    new[0] = True
+    for column in sorted_columns:
+        new[1:] |= column[1:] != column[:-1]
+    return np.flatnonzero(new)
+
+
 def _summed(key: np.ndarray, place: np.ndarray, n: np.ndarray) -> Sums:
     code = key.astype(np.int64) << 32 | place
-    order = np.argsort(code, kind="stable")
+    order = np.argsort(code)
     code = code[order]
-    first = np.flatnonzero(np.append(True, code[1:] != code[:-1])) if len(code) else np.empty(0, np.int64)
-    total = np.add.reduceat(n[order], first) if len(first) else n
-    return code[first] >> 32, code[first] & 0xFFFFFFFF, total
+    first = _starts(code)
+    return code[first] >> 32, code[first] & 0xFFFFFFFF, np.add.reduceat(n[order], first) if len(first) else n
 
 
 def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
@@ -70,6 +81,15 @@ def _binary(values: np.ndarray, cuts: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(cuts) - 1, [None, pa.py_buffer((cuts * width).astype(np.int32).tobytes()), data])
 
 
+def _values(column: pa.Array, kind: np.dtype, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of entries of ``width`` values in each binary value of a column, and all its values."""
+    _, offsets, data = column.buffers()
+    cuts = np.frombuffer(offsets, np.int32, len(column) + 1, 4 * column.offset)
+    n = int(cuts[-1] - cuts[0]) // kind.itemsize
+    values = np.frombuffer(data, kind, n, int(cuts[0])) if n else np.empty(0, kind)
+    return np.diff(cuts) // (width * kind.itemsize), values
+
+
 def _packed(sums: Sums, n_keys: int, kind: np.dtype) -> pa.Array:
     """(place, n) pairs of each key; a number too large for its type is several pairs."""
     key, place, n = sums
@@ -82,10 +102,12 @@ def _packed(sums: Sums, n_keys: int, kind: np.dtype) -> pa.Array:
 
 
 def _names(key: np.ndarray, name: np.ndarray, many: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct names of each key, sorted; ``many`` also where there are enough of them, whose names go."""
+    """Distinct names of each key, sorted by key; ``many`` also where there are enough of them, whose names go."""
+    few = ~many[key]
+    key, name = key[few], name[few]
     order = np.lexsort((name, key))
     key, name = key[order], name[order]
-    new = np.append(True, (key[1:] != key[:-1]) | (name[1:] != name[:-1]))[: len(key)]
+    new = _starts(key, name)
     key, name = key[new], name[new]
     many = many | (np.bincount(key, minlength=len(many)) >= LEAST_DOCUMENTS)
     few = ~many[key]
@@ -98,113 +120,130 @@ def _batches(columns: dict[str, pa.Array], rows: int = 50_000) -> Iterator[pa.Re
         yield batch.slice(at, rows)
 
 
-def _texts(values: list[bytes], kind=pa.binary()) -> pa.Array:
-    return pa.array(values, kind)
-
-
 def chunk_counts(docs: DataFrame, kind: np.dtype) -> DataFrame:
-    """``lang, chunk, names, uses`` of rows ``lang, place, row, raw``: partial counts of each task."""
+    """``word, names, uses`` of rows ``lang, place, row, raw``: partial counts of each task. A word is a language, a blank and a chunk."""
 
-    def reduced(vocab: dict[bytes, int], ids: list[int], sizes: list[int], langs: list[str], places: list[int], rows: list[int]):
+    def reduced(vocab: dict[bytes, int], ids: list[np.ndarray], langs: list[str], places: list[int], rows: list[int]):
         names = sorted(set(langs))
-        lang = np.searchsorted(np.array(names, object), np.array(langs, object)) if names else np.empty(0, np.int64)
-        doc = np.repeat(np.arange(len(sizes)), sizes)
-        key = np.array(ids, np.int64) * len(names) + lang[doc]
-        found, key = np.unique(key, return_inverse=True)
-        held = np.unique(key * len(sizes) + doc)  # each chunk once a document
-        owner, rownum = held // len(sizes), np.array(rows, np.int64)[held % len(sizes)]
-        many = np.bincount(owner, minlength=len(found)) >= LEAST_DOCUMENTS
-        few = ~many[owner]
-        cuts = np.searchsorted(owner[few], np.arange(len(found) + 1))
-        place = np.array(places, np.int64)[doc]
+        number = {lang: i for i, lang in enumerate(names)}
+        lang, place, row = np.array([number[x] for x in langs]), np.array(places, np.int64), np.array(rows, np.int64)
+        n_docs, rank = len(ids), np.argsort(place, kind="stable")  # documents in the order of their sources
+        at = np.empty(n_docs, np.int64)
+        at[rank] = np.arange(n_docs)
+        doc = np.repeat(np.arange(n_docs), [len(x) for x in ids])
+        code = np.concatenate(ids).astype(np.int64) * len(names) + lang[doc]
+        code *= n_docs
+        code += at[doc]
+        code.sort()  # by word, then source, then document
+        key, doc = np.divmod(code, n_docs)
+        held = _starts(code)  # each chunk once a document
+        key_of, doc_of = key[held], rank[doc[held]]
+        place = place[rank][doc]
+        used = _starts(key, place)
+        uses = key[used], place[used], np.diff(np.append(used, len(key)))
+        first = _starts(key_of)
+        found, times = key_of[first], np.diff(np.append(first, len(key_of)))
+        few = np.repeat(times < LEAST_DOCUMENTS, times)
+        cuts = np.append(0, np.cumsum(np.where(times < LEAST_DOCUMENTS, times, 0)))
+        own = np.searchsorted(found, uses[0])
+        heads = [lang.encode() + b" " for lang in names]
+        chunks = list(vocab)
+        words = [heads[k % len(names)] + chunks[k // len(names)] for k in found.tolist()]
         yield from _batches(
-            {
-                "lang": pa.array(names, pa.string()).take(pa.array(found % len(names))),
-                "chunk": _texts(list(vocab)).take(pa.array(found // len(names))),
-                "names": _binary(rownum[few], cuts),
-                "uses": _packed(_summed(key, place, np.ones(len(key), np.int64)), len(found), kind),
-            }
+            {"word": pa.array(words, pa.binary()), "names": _binary(row[doc_of[few]], cuts), "uses": _packed((own, *uses[1:]), len(found), kind)}
         )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def fresh():
-            return defaultdict(count().__next__), [], [], [], [], []
+            return defaultdict(count().__next__), [], [], [], []
 
-        held, size = fresh(), 0
+        held, size, n = fresh(), 0, 0
         for batch in batches:
-            for lang, place, row, raw in zip(*(batch.column(i).to_pylist() for i in range(4)), strict=True):
+            for raw, *values in zip(*(batch.column(i).to_pylist() for i in (3, 0, 1, 2)), strict=True):
                 words = raw.split() if raw else ()  # bytes are split at ASCII white space only
                 if not words:
                     continue
-                vocab, ids, sizes, *facts = held
-                ids.extend(map(vocab.__getitem__, words))
-                sizes.append(len(words))
-                for to, value in zip(facts, (lang, place, row), strict=True):
+                vocab, ids, *facts = held
+                ids.append(np.fromiter(map(vocab.__getitem__, words), np.int32, len(words)))
+                for to, value in zip(facts, values, strict=True):
                     to.append(value)
+                n += len(words)
                 size += len(raw)
-                if len(ids) > HELD_WORDS or size > HELD_BYTES or len(vocab) > HELD_ROWS:
+                if n > HELD_WORDS or size > HELD_BYTES or len(vocab) > HELD_ROWS:
                     yield from reduced(*held)
-                    held, size = fresh(), 0
+                    held, size, n = fresh(), 0, 0
         if held[1]:
             yield from reduced(*held)
 
-    return docs.mapInArrow(run, "lang string, chunk binary, names binary, uses binary")
+    return docs.mapInArrow(run, "word binary, names binary, uses binary")
+
 
+def _gathered(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[list[pa.Array]]:
+    """Columns word, names, uses of many rows at a time; with ``whole``, sorted rows of one word stay together."""
+    held, rows, size = [], 0, 0
+
+    def columns() -> list[pa.Array]:
+        return [x.chunk(0) for x in pa.Table.from_batches(held).combine_chunks().columns]
 
-def _gathered(batches: Iterator[pa.RecordBatch], whole: bool) -> Iterator[list[list]]:
-    """Columns lang, word, names, uses of many rows at a time; with ``whole``, sorted rows of one word stay together."""
-    held, size = [[], [], [], []], 0
     for batch in batches:
-        new = [batch.column(i).to_pylist() for i in range(4)]
-        for to, values in zip(held, new, strict=True):
-            to += values
+        held.append(batch)
+        rows += batch.num_rows
         size += batch.nbytes
-        if len(held[0]) > HELD_ROWS or size > HELD_BYTES:
-            end = len(held[0])
-            while whole and end and (held[0][end - 1], held[1][end - 1]) == (held[0][-1], held[1][-1]):
-                end -= 1
+        if rows > HELD_ROWS or size > HELD_BYTES:
+            found = columns()
+            end = rows
+            if whole:
+                last = found[0][rows - 1]
+                while end and found[0][end - 1].equals(last):
+                    end -= 1
             if end:
-                yield [x[:end] for x in held]
-                held = [x[end:] for x in held]
-                size = sum(map(len, held[3]))
-    if held[0]:
-        yield held
-
-
-def _numbered(langs: list[str], words: list[bytes]) -> tuple[np.ndarray, list[tuple[str, bytes]]]:
-    numbers: dict = defaultdict(count().__next__)
-    ids = np.fromiter(map(numbers.__getitem__, zip(langs, words, strict=True)), np.int64, len(words))
-    return ids, list(numbers)
-
-
-def _merged(key: np.ndarray, n_keys: int, names: list[bytes], uses: list[bytes], kind: np.dtype):
-    """Sums, distinct names and ``many`` of the rows' keys."""
-    pairs = np.frombuffer(b"".join(uses), kind).reshape(-1, 2).astype(np.int64)
-    sums = _summed(np.repeat(key, [len(u) // (2 * kind.itemsize) for u in uses]), pairs[:, 0], pairs[:, 1])
-    many = np.zeros(n_keys, bool)
-    sizes = np.array([len(x) // 8 for x in names], np.int64)
+                yield [x.slice(0, end) for x in found]
+                held = [pa.RecordBatch.from_arrays([x.slice(end) for x in found], schema=batch.schema)] if end < rows else []
+                rows, size = rows - end, sum(x.nbytes for x in held)
+    if rows:
+        yield columns()
+
+
+def _merged(words: pa.Array, names: pa.Array, uses: pa.Array, kind: np.dtype):
+    """The distinct words, and the rows' key, sums, names with their keys, and words of enough documents in one part."""
+    coded = words.dictionary_encode()
+    key, found = coded.indices.to_numpy().astype(np.int64), coded.dictionary
+    sizes, pairs = _values(uses, kind, 2)
+    sums = _summed(np.repeat(key, sizes), pairs[::2].astype(np.int64), pairs[1::2].astype(np.int64))
+    many = np.zeros(len(found), bool)
+    sizes, name = _values(names, np.dtype(np.int64), 1)
     many[key[sizes == 0]] = True  # no names: enough documents in one part
-    return sums, *_names(np.repeat(key, sizes), np.frombuffer(b"".join(names), np.int64), many)
+    return found, sums, np.repeat(key, sizes), name, many
 
 
 def term_counts(counts: DataFrame, kind: np.dtype) -> DataFrame:
-    """``lang, term, names, uses`` from counts of chunks that are together: each chunk is split into terms once."""
+    """``word, names, uses`` of terms from counts of chunks that are together: each chunk is split into terms once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, chunks, names, uses in _gathered(batches, False):
-            key, found = _numbered(langs, chunks)
-            (owner, place, n), named, name, many = _merged(key, len(found), names, uses, kind)
-            parts = [chunk.translate(_FOLD).split() for _, chunk in found]
-            of = np.repeat(np.arange(len(found)), [len(p) for p in parts])  # the chunk of each term occurrence
-            if not len(of):
+        for columns in _gathered(batches, False):
+            found, (owner, place, n), named, name, many = _merged(*columns, kind)
+            # parts of a chunk have different documents, so its names are distinct as they are
+            order = np.argsort(named, kind="stable")
+            named, name = named[order], name[order]
+            many |= np.bincount(named, minlength=len(many)) >= LEAST_DOCUMENTS
+            parts: list[bytes] = []
+            sizes = np.empty(len(found), np.int64)
+            for k, word in enumerate(found.to_pylist()):
+                at = word.rindex(b" ") + 1
+                own = word[at:].translate(_FOLD).split()
+                sizes[k] = len(own)
+                parts += [word[:at] + term for term in own]
+            if not parts:
                 continue
-            term, terms = _numbered([found[k][0] for k in of.tolist()], list(chain.from_iterable(parts)))
+            of = np.repeat(np.arange(len(found)), sizes)  # the chunk of each term occurrence
+            coded = pa.array(parts, pa.binary()).dictionary_encode()
+            term, terms = coded.indices.to_numpy().astype(np.int64), coded.dictionary
 
             def handed(keys: np.ndarray, of=of) -> tuple[np.ndarray, np.ndarray]:
                 """Of entries sorted by chunk: which entry, and the term occurrence it goes to."""
-                start = np.searchsorted(keys, of)
-                size = np.searchsorted(keys, of, "right") - start
-                return _spread(start, size), np.repeat(np.arange(len(of)), size)
+                ends = np.cumsum(np.bincount(keys, minlength=int(of.max()) + 1))
+                size = np.diff(ends, prepend=0)
+                return _spread((ends - size)[of], size[of]), np.repeat(np.arange(len(of)), size[of])
 
             entry, to = handed(owner)
             sums = _summed(term[to], place[entry], n[entry])
@@ -212,37 +251,34 @@ def term_counts(counts: DataFrame, kind: np.dtype) -> DataFrame:
             enough = np.zeros(len(terms), bool)
             enough[term[many[of]]] = True
             named, name, enough = _names(term[to], name[entry], enough)
-            yield from _batches(
-                {
-                    "lang": pa.array([x[0] for x in terms], pa.string()),
-                    "term": _texts([x[1] for x in terms]),
-                    "names": _binary(name, np.searchsorted(named, np.arange(len(terms) + 1))),
-                    "uses": _packed(sums, len(terms), kind),
-                }
-            )
+            cuts = np.append(0, np.cumsum(np.bincount(named, minlength=len(terms))))
+            yield from _batches({"word": terms, "names": _binary(name, cuts), "uses": _packed(sums, len(terms), kind)})
 
-    return counts.mapInArrow(run, "lang string, term binary, names binary, uses binary")
+    return counts.mapInArrow(run, "word binary, names binary, uses binary")
 
 
 def kept_terms(terms: DataFrame, kind: np.dtype) -> DataFrame:
-    """``lang, term, total, places, ns`` of the terms in enough documents, from rows that are together and sorted by term."""
+    """``lang, term, total, places, ns`` of the terms in enough documents, from rows that are together and sorted by word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for langs, words, names, uses in _gathered(batches, True):
-            key, found = _numbered(langs, words)
-            (owner, place, n), _, _, many = _merged(key, len(found), names, uses, kind)
+        for columns in _gathered(batches, True):
+            found, (owner, place, n), named, name, many = _merged(*columns, kind)
+            _, _, many = _names(named, name, many)
             kept = np.flatnonzero(many)
+            if not len(kept):
+                continue
             mine = many[owner]
-            cuts = np.searchsorted(owner[mine], np.append(kept, len(found))).astype(np.int32)
-            total = np.bincount(owner[mine], minlength=len(found)) * 0
-            np.add.at(total, owner[mine], n[mine])
+            owner, place, n = owner[mine], place[mine], n[mine]
+            first = _starts(owner)  # every kept term has uses
+            cuts = pa.array(np.append(first, len(owner)).astype(np.int32))
+            words = [w.rsplit(b" ", 1) for w in found.take(pa.array(kept)).to_pylist()]
             yield from _batches(
                 {
-                    "lang": pa.array([found[k][0] for k in kept.tolist()], pa.string()),
-                    "term": pa.array([found[k][1].decode() for k in kept.tolist()], pa.string()),
-                    "total": pa.array(total[kept]),
-                    "places": pa.ListArray.from_arrays(pa.array(cuts), pa.array(place[mine].astype(np.int32))),
-                    "ns": pa.ListArray.from_arrays(pa.array(cuts), pa.array(n[mine])),
+                    "lang": pa.array([w[0].decode() for w in words], pa.string()),
+                    "term": pa.array([w[1].decode() for w in words], pa.string()),
+                    "total": pa.array(np.add.reduceat(n, first)),
+                    "places": pa.ListArray.from_arrays(cuts, pa.array(place.astype(np.int32))),
+                    "ns": pa.ListArray.from_arrays(cuts, pa.array(n)),
                 }
             )
 
@@ -268,40 +304,37 @@ class _Comparison:
         self.none = _probability(np.zeros(len(group_n), np.int64), self.group_n + n_terms)
         self.sums = np.zeros((min(height, len(group_n) - low), len(group_n)), np.int64)
         self.best: tuple = (np.empty(0, np.int64), np.empty(0, np.int64), [])
-        self.rows: list[tuple] = []
-
-    def add(self, *row) -> None:
-        self.rows.append(row)
-        if len(self.rows) * len(self.none) >= TERM_CELLS:
-            self.work()
-
-    def work(self) -> None:
-        if not self.rows:
-            return
-        words, totals, places, ns = zip(*self.rows, strict=True)
-        self.rows = []
-        place, n = (np.fromiter(chain.from_iterable(x), np.int64) for x in (places, ns))
-        line = np.repeat(np.arange(len(words)), [len(x) for x in places])
+
+    def add(self, words: pa.Array, total: pa.Array, places: pa.ListArray, ns: pa.ListArray) -> None:
+        """Terms of the language, in order, with their uses."""
+        step = max(1, TERM_CELLS // len(self.none))
+        for at in range(0, len(words), step):
+            self._add(*(x.slice(at, step) for x in (words, total, places, ns)))
+
+    def _add(self, words: pa.Array, total: pa.Array, places: pa.ListArray, ns: pa.ListArray) -> None:
+        place, n = (x.flatten().to_numpy().astype(np.int64) for x in (places, ns))
+        line = np.repeat(np.arange(len(words)), places.value_lengths().to_numpy())
         p = _probability(n, self.group_n[place] + self.n_terms)
         table = np.tile(self.none, (len(words), 1))
         table[line, place] = p
         for k in range(len(self.sums)):
             off = table[:, self.low + k, None] - table
             self.sums[k] += (off * off // table).sum(0)
-        q = _probability(np.array(totals, np.int64), np.int64(self.lang_n + self.n_terms))[line]
+        q = _probability(total.to_numpy().astype(np.int64), np.int64(self.lang_n + self.n_terms))[line]
         more = (p > q) & (place >= self.low) & (place < self.low + len(self.sums))
         place, value, line = place[more], ((p - q) ** 2 // q)[more], line[more]
         # rows come in the order of the terms, so what was there before goes first among equals
-        at = np.append(np.arange(len(self.best[2])), len(self.best[2]) + line)
+        old = len(self.best[2])
+        at = np.append(np.arange(old), old + line)
         place, value = np.append(self.best[0], place), np.append(self.best[1], value)
-        known = self.best[2] + list(words)
         order = np.lexsort((np.arange(len(at)), -value, place))
         rank = np.arange(len(order)) - np.searchsorted(place[order], place[order])
         order = order[rank < self.top]
-        self.best = place[order], value[order], [known[k] for k in at[order].tolist()]
+        at = at[order]
+        new = dict(zip((lines := np.unique(at[at >= old] - old)).tolist(), words.take(pa.array(lines)).to_pylist(), strict=True))
+        self.best = place[order], value[order], [self.best[2][k] if k < old else new[k - old] for k in at.tolist()]
 
     def out(self) -> pa.RecordBatch:
-        self.work()
         a, b = (x.ravel() for x in np.indices(self.sums.shape))
         place, value, words = self.best
         columns = [
@@ -325,13 +358,15 @@ def _compared(kept: DataFrame, langs: DataFrame, limit: int, top: int) -> DataFr
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, work = None, None
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(10)), strict=True):
-                lang, block, term, height, total, places, ns, group_n, n_terms, lang_n = row
+            columns = [batch.column(i) for i in range(10)]
+            runs = _starts(columns[0].dictionary_encode().indices.to_numpy(), columns[1].to_numpy())
+            for a, b in zip(runs.tolist(), [*runs[1:].tolist(), batch.num_rows], strict=True):
+                lang, block, height, group_n, n_terms, lang_n = (columns[i][a].as_py() for i in (0, 1, 3, 7, 8, 9))
                 if now != (lang, block):
                     if work is not None:
                         yield work.out()
                     now, work = (lang, block), _Comparison(lang, block * height, height, group_n, n_terms, lang_n, top)
-                work.add(term, total, places, ns)
+                work.add(*(columns[i].slice(a, b - a) for i in (2, 4, 5, 6)))
         if work is not None:
             yield work.out()
 
@@ -357,8 +392,8 @@ def audit(docs: DataFrame, text: str = "text", top: int = TOP_TERMS) -> DataFram
     side = groups.select(F.col("lang").alias("r_lang"), F.col("source").alias("r_source"), "place")
     rows = docs.select(_named("lang"), _named("source"), F.monotonically_increasing_id().alias("row"), F.col(text).cast("binary").alias("raw"))
     rows = left_lookup(rows, side, ["lang", "source"], broadcast_rows=limit).select("lang", "place", "row", "raw")
-    terms = term_counts(chunk_counts(rows, kind).repartition("lang", "chunk"), kind)
-    kept = saved(kept_terms(terms.repartition("lang", "term").sortWithinPartitions("lang", "term"), kind), "terms")
+    terms = term_counts(chunk_counts(rows, kind).repartition("word"), kind)
+    kept = saved(kept_terms(terms.repartition("word").sortWithinPartitions("word"), kind), "terms")
 
     uses = kept.select("lang", F.inline(F.arrays_zip(F.col("places").alias("place"), F.col("ns").alias("n"))))
     sums = uses.groupBy("lang", "place").agg(F.sum("n").alias("group_n"))

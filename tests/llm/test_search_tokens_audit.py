@@ -5,6 +5,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import SF_DIR
 from tokenizers import Tokenizer
@@ -203,8 +204,9 @@ def test_audit_counts_distinct_documents(spark, tmp_path):
 def test_audit_packs_large_counts():
     kind = np.dtype("<u2")
     key, place, n = np.array([0, 0, 2]), np.array([3, 9, 3]), np.array([200_000, 1, 65_535])
-    packed = source_audit._packed((key, place, n), 3, kind).to_pylist()
-    sums = source_audit._merged(np.arange(3), 3, [b""] * 3, packed, kind)[0]
+    packed = source_audit._packed((key, place, n), 3, kind)
+    words, names = pa.array([b"l a", b"l b", b"l c"]), pa.array([b""] * 3)
+    sums = source_audit._merged(words, names, packed, kind)[1]
     assert [x.tolist() for x in sums] == [key.tolist(), place.tolist(), n.tolist()]
 
 
