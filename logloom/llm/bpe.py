@@ -177,10 +177,13 @@ def pack_ids(ids: list[int]) -> bytes:
 
 
 class Encoder:
-    """Encodes texts word by word. ``resolve`` gives the ids of new words; a bounded table keeps them."""
+    """Encodes texts word by word. ``resolve`` gives the ids of new words; two bounded tables keep them.
 
-    def __init__(self, bpe: Bpe, resolve: Callable[[list[str]], list[bytes]] | None = None, keep: int = 250_000):
-        self.bpe, self.keep, self.known = bpe, keep, {}
+    When the newer table is full it becomes the older one, and words that are met again move back, so frequent words stay.
+    """
+
+    def __init__(self, bpe: Bpe, resolve: Callable[[list[str]], list[bytes]] | None = None, keep: int = 200_000):
+        self.bpe, self.keep, self.known, self.older = bpe, keep, {}, {}
         self.resolve = resolve or self.merged
 
     def merged(self, words: list[str]) -> list[bytes]:
@@ -214,13 +217,18 @@ class Encoder:
         starts = word_starts(code_points(joined), np.unique(bounds[:-1][bounds[:-1] < bounds[1:]]))
         edges = [*starts.tolist(), len(joined)]
         words = [joined[a:b] for a, b in zip(edges, edges[1:], strict=False)]
-        known = self.known
-        if len(known) > self.keep:
-            known.clear()
+        if len(self.known) > self.keep:
+            self.older, self.known = self.known, {}
+        known, older = self.known, self.older
         ids = list(map(known.get, words))
-        if None in ids:
-            new = list({w for w, found in zip(words, ids, strict=True) if found is None})
+        missing = [i for i, found in enumerate(ids) if found is None]
+        if missing:
+            fresh = {words[i] for i in missing}
+            again = {w: older[w] for w in fresh if w in older}
+            new = [w for w in fresh if w not in again]
+            known.update(again)
             known.update(zip(new, self.resolve(new), strict=True))
-            ids = list(map(known.__getitem__, words))
+            for i in missing:
+                ids[i] = known[words[i]]
         cuts = np.searchsorted(starts, bounds).tolist()
         return [b"".join(ids[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
