@@ -4,8 +4,11 @@ One pattern finds the entities of a text. Each is cut into parts (an email into
 into given and family name), and every distinct part of the whole corpus gets one keyed surrogate of its kind: digits
 stay digits, letters keep case and script, card numbers keep issuer digit and checksum state, names follow the title's
 gender. Names, local parts, domains and secrets get one more syllable or letter every four draws, so there are enough for
-any number of parts; numbers and addresses keep the size of their format. A surrogate that meets another one or a real part is drawn again, so different parts stay different and equal
-parts stay equal everywhere.
+any number of parts; a surrogate of these that meets another one or a real part is drawn again. Numbers and IPv4 addresses
+keep the size of their format, whose whole space may be in use. They go through a keyed permutation of that space
+without fixed points: different numbers have different surrogates by construction, no number stays as it is, and no draw
+is repeated. Such a surrogate may be a number that stands elsewhere in the corpus; there it is replaced as well. So
+different parts stay different and equal parts stay equal everywhere.
 
 Only DataFrame functions are used. Texts without an entity are not shuffled. Defined cases: a null or empty text has no
 entity; rows that repeat both doc_id and text are treated alike; an empty table gives no rows; other columns stay.
@@ -18,6 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from logloom.functions.cols import let
 from logloom.llm.common import saved
 
 MALE = "Mr|Mister|Sir|Herr|Monsieur|Señor|Sr|господин|Господин"
@@ -114,24 +118,83 @@ def _name(key: str, script: str, gender: str | None) -> Column:
     return F.concat(drawn[0], drawn[1], more, F.get(F.array(*map(F.lit, ends)), _draw(key, 4, len(ends))))
 
 
+#: Kinds whose surrogates keep the size of the format.
+PERMUTED = ("phone", "number", "ssn", "card", "ip", "iban")
+
+
+def permuted(key: str) -> Column:
+    """The surrogate of (kind, canonical) of a kind of :data:`PERMUTED`.
+
+    A value is an array of places, each with a base: digits 10, a first digit 9 (8 at the heads of a phone number in groups),
+    letters 26, octets 254; places of base 1 stay, which are leading zeros, the issuer digit of a card, a country, and octets
+    0 and 255. Twice every place but one is shifted by a keyed hash of all others; the one that is left is shifted last,
+    by at least one. Each shift can be undone as the others are known, so the whole is a permutation of the values with
+    the same bases, and its last shift leaves no value as it is.
+    """
+    kind, c = F.col("kind"), F.col("canonical")
+    # the check digit of a card is no place: it follows from the others and the checksum state
+    body = F.when(kind == "card", F.substring(c, F.lit(1), F.length(c) - 1)).otherwise(c)
+    values = F.when(kind == "ip", F.split(c, r"\.")).otherwise(F.filter(F.split(body, ""), lambda x: x != ""))
+    grouped = c.rlike(r"^[2-9]\d\d[2-9]\d{6}$") & (kind == "phone")
+    zeros = F.length(F.regexp_extract(c, "^0*", 0))
+    numeric = kind.isin("phone", "number", "ssn")
+
+    def place(x: Column, i: Column) -> Column:
+        letter = x.rlike("^[A-Z]$")
+        base = (
+            F.when(kind == "ip", F.when(x.isin("0", "255"), 1).otherwise(254))
+            .when((kind == "iban") & (i < 2) | (kind == "card") & (i == 0), 1)
+            .when(grouped & i.isin(0, 3), 8)
+            .when(numeric & (i < zeros), 1)
+            .when(numeric & (i == zeros), 9)
+            .when(letter, 26)
+            .otherwise(F.when(x.rlike(r"^\d$"), 10).otherwise(1))
+        )
+        low = F.when((kind == "ip") & (base == 254), 1).when(base == 8, 2).when(base == 9, 1).when(letter, 65).otherwise(0)
+        value = F.when(letter, F.ascii(x)).when(x.rlike(r"^\d+$"), x.try_cast("int")).otherwise(F.ascii(x))
+        return F.struct((value - F.when(base == 1, 0).otherwise(low)).alias("v"), base.alias("b"), F.when(base == 1, 0).otherwise(low).alias("low"), x.alias("x"))
+
+    def mixed(places: Column) -> Column:
+        last = F.array_position(F.transform(places, lambda p: p["b"] > 1), F.lit(True)).cast("int") - 1
+        every = F.sequence(F.lit(0), F.size(places) - 1)
+        others = F.filter(every, lambda i: (i != last) & (F.get(places, i)["b"] > 1))
+        turns = F.concat(
+            F.transform(others, lambda i: F.struct(F.lit(0).alias("turn"), i.alias("at"))),
+            F.transform(others, lambda i: F.struct(F.lit(1).alias("turn"), i.alias("at"))),
+            F.when(last >= 0, F.array(F.struct(F.lit(2).alias("turn"), last.alias("at")))).otherwise(F.array().cast("array<struct<turn:int,at:int>>")),
+        )
+
+        def turn(state: Column, t: Column) -> Column:
+            base = F.get(places, t["at"])["b"]
+            seen = F.array_join(F.transform(state, lambda v, i: F.when(i == t["at"], "-").otherwise(v.cast("string"))), ",")
+            digest = F.sha2(F.concat_ws("\u0001", F.lit(key), kind, t["turn"].cast("string"), t["at"].cast("string"), seen), 256)
+            drawn = F.conv(F.substring(digest, 1, 12), 16, 10).cast("long")
+            shift = F.when(t["turn"] == 2, 1 + drawn % (base - 1)).otherwise(drawn % base).cast("int")
+            return let(shift, lambda n: F.transform(state, lambda v, i: F.when(i == t["at"], (v + n) % base).otherwise(v)))
+
+        made = F.aggregate(turns, F.transform(places, lambda p: p["v"]), turn)
+
+        def shown(v: Column, i: Column) -> Column:
+            p = F.get(places, i)
+            n = v + p["low"]
+            return F.when(p["b"] == 1, p["x"]).when(p["b"] == 26, F.char(n)).otherwise(n.cast("string"))
+
+        return let(let(made, lambda m: F.transform(m, shown)), lambda a: F.when(kind == "ip", F.array_join(a, ".")).otherwise(F.array_join(a, "")))
+
+    out = let(F.transform(values, place), mixed)
+    check = lambda card: F.concat(card, F.pmod(_luhn(c) - _luhn(F.concat(card, F.lit("0"))), F.lit(10)).cast("string"))
+    return let(out, lambda v: F.when(kind == "card", check(v)).otherwise(v))
+
+
 def surrogate(key: str) -> Column:
-    """The surrogate of (kind, canonical, attempt)."""
+    """The surrogate of (kind, canonical, attempt) of a kind that has one of any size."""
     c = F.col("canonical")
     longer = _more(lambda i: _letter(LATIN, _draw(key, i + 1000, 26)))
     labels = F.split(c, r"\.")
     host = F.array_join(F.slice(labels, F.lit(1), F.size(labels) - 1), ".")
-    card = _by_class(key, F.substring(c, F.lit(1), F.length(c) - 1), keep=1)
-    card = F.concat(card, F.pmod(_luhn(c) - _luhn(F.concat(card, F.lit("0"))), F.lit(10)).cast("string"))
-    lead = lambda i: (_draw(key, i, 8) + 2).cast("string")
-    rest = lambda a, b: [_draw(key, i, 10).cast("string") for i in range(a, b)]
     out = F.when(F.col("kind") == "local", F.concat(_by_class(key, c), longer))
     out = out.when(F.col("kind") == "domain", F.concat(_by_class(key, host), longer, F.lit(".example")))
-    out = out.when(F.col("kind") == "phone", F.concat(lead(0), *rest(1, 3), lead(3), *rest(4, 10)))
-    out = out.when(F.col("kind") == "number", F.concat(lead(0), _by_class(key, F.substring(c, F.lit(2), F.length(c)))))
-    out = out.when(F.col("kind") == "card", card)
     out = out.when(F.col("kind") == "ip6", F.concat(F.lit("2001:db8:"), F.concat_ws(":", *[F.lower(F.hex(_draw(key, i, 65536))) for i in range(6)])))
-    out = out.when(F.col("kind") == "ip", F.concat_ws(".", *[(_draw(key, i, 254) + 1).cast("string") for i in range(4)]))
-    out = out.when(F.col("kind") == "iban", _by_class(key, c, keep=2))
     out = out.when(F.col("kind") == "secret", F.concat(_by_class(key, c), longer))
     for script in SYLLABLES:
         out = out.when(F.col("kind") == f"family_{script}", _name(key, script, None))
@@ -162,7 +225,8 @@ def parts_of(e: Column) -> Column:
     out = out.when(e.rlike(f"^(?:{SECRET})"), F.array(_part("secret", e, "", e)))
     out = out.when(e.contains("@"), F.array(_part("local", F.lower(local), "", local), _part("domain", F.lower(domain), "@", domain)))
     out = out.when(title != "", F.when(F.size(names) > 1, F.array(given(names[0]), family(names[1], " "))).otherwise(F.array(family(names[0], title))))
-    out = out.when(e.rlike(f"^{IP}$"), F.array(_part("ip", e, "", e)))
+    plain = F.array_join(F.transform(F.split(e, r"\."), lambda o: o.try_cast("int").cast("string")), ".")
+    out = out.when(e.rlike(f"^{IP}$"), F.array(_part("ip", plain, "", e)))
     out = out.when(e.rlike(f"^{IP6}$"), F.array(_part("ip6", F.lower(e), "", e)))
     out = out.when(e.rlike(f"^{IBAN}$"), F.array(_part("iban", F.replace(e, F.lit(" ")), "", e)))
     out = out.when(e.rlike(f"^{SSN}$"), F.array(_part("ssn", digits, "", e)))
@@ -188,24 +252,27 @@ def rendered(kind: Column, raw: Column, made: Column) -> Column:
 
 
 def assign(parts: DataFrame, key: str) -> DataFrame:
-    """``kind, canonical, made`` for the distinct parts: no two alike, none equal to a real part of its kind.
+    """``kind, canonical, made`` for the distinct parts: no two alike; those of any size equal to no real part of their kind.
 
-    The losers of a round (all but the first of those that meet, and those that meet a real or settled part) draw again;
-    only they are written again.
+    The losers of a round of draws (all but the first of those that meet, and those that meet a real or settled part)
+    draw again, with a longer surrogate every four rounds; only they are written again.
     """
-    real = saved(parts.select("kind", "canonical").distinct(), "parts")
+    all_parts = saved(parts.select("kind", "canonical").distinct(), "parts")
+    fixed = F.col("kind").isin(*PERMUTED)
+    done = [all_parts.where(fixed).select("kind", "canonical", permuted(key).alias("made"))]
+    real = all_parts.where(~fixed)
     taken = real.withColumnRenamed("canonical", "made")
     state, settled = real.withColumn("attempt", F.lit(0)), []
     while True:
         drawn = saved(state.withColumn("made", surrogate(key)), "drawn")
         free = drawn.join(taken, ["kind", "made"], "left_anti")
-        for done in settled:
-            free = free.join(done, ["kind", "made"], "left_anti")
+        for won in settled:
+            free = free.join(won, ["kind", "made"], "left_anti")
         won = saved(free.groupBy("kind", "made").agg(F.min("canonical").alias("canonical")).select("kind", "canonical", "made"), "settled")
         settled.append(won)
         state = saved(drawn.join(won, ["kind", "canonical"], "left_anti").select("kind", "canonical", (F.col("attempt") + 1).alias("attempt")), "again")
         if state.isEmpty():
-            return reduce(DataFrame.unionByName, settled)
+            return reduce(DataFrame.unionByName, done + settled)
 
 
 def _may_have(text: Column) -> Column:
@@ -219,7 +286,8 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     spare = [c for c in docs.columns if c != "n_entities"]
     rows = docs.select(*spare)
     has = F.coalesce(_may_have(F.col(text)) & F.col(text).rlike(ENTITY), F.lit(False))
-    found = rows.where(has).select("doc_id", F.xxhash64(text).alias("__hash"), F.posexplode(F.expr(f"regexp_extract_all({text}, {_quoted(ENTITY)}, 0)")).alias("at", "entity"))
+    entities = F.expr(f"regexp_extract_all({_name_of(text)}, {_quoted(ENTITY)}, 0)")  # one pass of the pattern; a text without entity gives no row
+    found = rows.where(_may_have(F.col(text))).select("doc_id", F.xxhash64(text).alias("__hash"), F.posexplode(entities).alias("at", "entity"))
     found = found.select("doc_id", "__hash", "at", F.posexplode(parts_of(F.col("entity"))).alias("k", "p")).select("doc_id", "__hash", "at", "k", "p.*")
     found = saved(found, "entities")
     made = found.join(assign(found, key), ["kind", "canonical"])
@@ -238,5 +306,9 @@ def replace_entities(docs: DataFrame, key: str, text: str = "text") -> DataFrame
     return rows.where(~has).withColumn("n_entities", F.lit(0)).select(*spare, "n_entities").unionByName(touched)
 
 
+def _name_of(column: str) -> str:
+    return "`" + column.replace("`", "``") + "`"
+
+
 def _quoted(pattern: str) -> str:
     return "r'" + pattern.replace("'", r"\x27") + "'"

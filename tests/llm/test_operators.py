@@ -274,11 +274,67 @@ def test_surrogates_of_other_forms_and_scripts(spark):
         assert r.made.isascii() and len(r.made) > len(r.canonical) - 1
 
 
+def test_surrogates_of_whole_spaces_are_permutations(spark):
+    """All numbers of a length, so that every surrogate is a real part of another document: the loop of draws never ended there."""
+    numbers = [("number", f"{i:04d}") for i in range(10000)] + [("ssn", f"0{i:02d}") for i in range(100)] + [("ip", f"{a}.1.255.{b}") for a in range(256) for b in (0, 9)]
+    numbers += [("card", f"4{i:03d}{c}") for i in range(1000) for c in range(10)] + [("iban", f"DE{i:02d}X{chr(65 + k)}") for i in range(100) for k in range(26)]
+    numbers += [("phone", f"2{i:02d}55500{k:02d}") for i in range(100) for k in range(0, 100, 7)]
+    parts = spark.createDataFrame(numbers, "kind string, canonical string")
+    made = {(r.kind, r.canonical): r.made for r in surrogates.assign(parts, "k").collect()}
+    assert set(made) == set(numbers)
+    for kind in {k for k, _ in numbers}:
+        own = [m for (k, _), m in made.items() if k == kind]
+        assert len(set(own)) == len(own)
+    # what may change always does; a run of zeros and an address of 0 and 255 have nothing to change
+    assert [x for x in numbers if made[x] == x[1] and x[1].strip("0")] == []
+    assert {made["number", f"{i:04d}"] for i in range(10000)} == {f"{i:04d}" for i in range(10000)}
+
+    def luhn(text):
+        return sum(int(c) if i % 2 == 0 else sum(divmod(2 * int(c), 10)) for i, c in enumerate(reversed(text))) % 10
+
+    for (kind, c), m in made.items():
+        assert len(m) == len(c) or kind == "ip"
+        if kind == "card":
+            assert m[0] == c[0] and luhn(m) == luhn(c)
+        if kind == "iban":
+            assert m[:2] == c[:2] and m[2:4].isdigit() and m[4:].isalpha()
+        if kind == "phone":
+            assert m[0] in "23456789" and m[3] in "23456789"
+        if kind == "number":
+            assert len(m) - len(m.lstrip("0")) == len(c) - len(c.lstrip("0"))
+    again = {(r.kind, r.canonical): r.made for r in surrogates.assign(parts.limit(50), "k").collect()}
+    assert all(made[x] == m for x, m in again.items())
+
+
+def brute_permuted(key, kind, canonical):
+    """The permutation in plain Python, for numbers and grouped phone numbers."""
+    zeros = len(canonical) - len(canonical.lstrip("0"))
+    grouped = kind == "phone" and len(canonical) == 10 and canonical[0] > "1" and canonical[3] > "1"
+    bases = [8 if grouped and i in (0, 3) else 1 if i < zeros else 9 if i == zeros else 10 for i in range(len(canonical))]
+    low = {8: 2, 9: 1}
+    state = [int(c) - low.get(b, 0) for c, b in zip(canonical, bases)]
+    free = [i for i, b in enumerate(bases) if b > 1]
+    turns = [(t, i) for t in (0, 1) for i in free[1:]] + [(2, i) for i in free[:1]]
+    for t, at in turns:
+        seen = ",".join("-" if i == at else str(v) for i, v in enumerate(state))
+        n = int(hashlib.sha256("\x01".join([key, kind, str(t), str(at), seen]).encode()).hexdigest()[:12], 16)
+        state[at] = (state[at] + (1 + n % (bases[at] - 1) if t == 2 else n % bases[at])) % bases[at]
+    return "".join(str(v + low.get(b, 0)) for v, b in zip(state, bases))
+
+
+def test_permuted_surrogates_equal_plain_python(spark):
+    rng = np.random.default_rng(2)
+    parts = [("number", "".join(map(str, rng.integers(0, 10, n)))) for n in (1, 2, 5, 9, 14) for _ in range(20)] + [("number", "0007"), ("phone", "7365552678"), ("phone", "1365550678")]
+    rows = spark.createDataFrame(parts, "kind string, canonical string").select("*", surrogates.permuted("k").alias("made")).collect()
+    assert [r.made for r in rows] == [brute_permuted("k", k, c) for k, c in parts]
+
+
 def test_surrogates_never_meet(spark):
     parts = spark.createDataFrame([("local", c) for c in "abcdefghijklmnopqrstuvwxyz"] + [("ip", f"1.1.{i}.{j}") for i in range(9) for j in range(9)], "kind string, canonical string")
     made = surrogates.assign(parts, "k").collect()
     assert len(made) == 26 + 81 == len({(r.kind, r.made) for r in made})
-    assert not {(r.kind, r.made) for r in made} & {(r.kind, r.canonical) for r in made}
+    real = {(r.kind, r.canonical) for r in made}
+    assert not {(r.kind, r.made) for r in made if r.kind == "local"} & real and all(r.made != r.canonical for r in made)
 
 
 def test_surrogates_suffice_for_any_number_of_names(spark, monkeypatch):
@@ -327,6 +383,28 @@ def test_ngram_join_equals_all_pairs(spark, docs, monkeypatch):
     assert kept - {None} == {c if isinstance(c, int) else c for c in {got[d][0] for d in got}} and None in kept
 
 
+@pytest.mark.parametrize("g", [60, 180])
+def test_edges_of_a_group_of_near_copies_stay_few(spark, docs, monkeypatch, g):
+    """What is left of a group is a spanning set over labels: one edge at most for two blocks of one label each."""
+    base = docs.where("length(text) between 800 and 2000").select("text").first()[0].split()
+    near = [(i, " ".join(w + "x" * (k == 40 + i % 90) + str(i) * (k == 10) for k, w in enumerate(base))) for i in range(g)]
+    monkeypatch.setattr(ngram_join, "BLOCK_CLASSES", 20)
+    seen = []
+    plain = ngram_join.components
+    monkeypatch.setattr(ngram_join, "components", lambda edges: seen.append(edges.count()) or plain(edges))
+    out = ngram_join.near_classes(spark.createDataFrame(near, "doc_id long, text string"), counts=False).collect()
+    assert {r.class_id for r in out} == {0} and len(out) == g and {r.n_links for r in out} == {None}
+    blocks = g // 20
+    assert seen[1] <= blocks * (blocks + 1) // 2
+
+
+def test_rows_of_one_id_with_different_texts_are_looked_at_each(spark):
+    words = [f"w{i}" for i in range(60)]
+    rows = [(1, " ".join(words)), (1, "other text of the same row id in some words"), (2, " ".join(words[:-1])), (3, "other text of the same row id in some words")]
+    out = ngram_join.near_classes(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.uid, r.class_id) for r in out) == [(1, 1), (1, 1), (2, 1), (3, 1)]
+
+
 def test_ngram_join_empty(empty):
     assert ngram_join.near_classes(empty).collect() == []
 
