@@ -6,6 +6,8 @@ parsed line must give back.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -204,10 +206,11 @@ def beat_json(message: Column, type_: Column) -> Column:
     )
 
 
-def transported(df: DataFrame, value: Column) -> DataFrame:
-    """Rows as a topic delivers them: topic, partition, offset, value (and the event id to compare by)."""
+def transported(df: DataFrame, value: Column, keep: Sequence[str] = ()) -> DataFrame:
+    """Rows as a topic delivers them: topic, partition, offset, value (and the event id and columns to compare by)."""
     return df.select(
         "event_id",
+        *keep,
         F.lit("logs").alias("topic"),
         (F.col("user_id") % 4).cast("int").alias("partition"),
         F.col("event_id").alias("offset"),

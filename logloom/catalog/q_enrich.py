@@ -343,6 +343,29 @@ def json_flatten_paths(spark, sf_dir):
     return _nested(spark, sf_dir).select("event_id", map_text(fields).alias("fields"))
 
 
+_DEEP_SQL = with_events(
+    "SELECT event_id, CASE WHEN event_id % 12 <> 0 THEN token END AS deep_name, CASE WHEN event_id % 12 <> 0 THEN '2' END AS deep_y, "
+    "CASE WHEN event_id % 12 <> 0 THEN k END AS deep_k, CASE WHEN event_id % 12 <> 0 THEN event_type END AS first_of_two, "
+    "CASE WHEN event_id % 12 <> 0 THEN '{\"deep\":{\"x\":[1,{\"y\":2}]}}' END AS last_tag, "
+    "CASE WHEN event_id % 12 <> 0 AND event_id % 10 >= 5 THEN concat('i', event_id % 10) END AS large, "
+    "CASE WHEN event_id % 12 <> 0 THEN concat('0={\"v\":1};1={\"v\":', event_id % 10, ',\"w\":\"i', event_id % 10, '\"};c=z;id=', event_id) END AS fields FROM ev"
+)
+
+
+@query("json_paths_deep", _DEEP_SQL)
+def json_paths_deep(spark, sf_dir):
+    """Recursive steps, several indexes, positions from the end, slices, several names and tests."""
+    items = F.expr("concat(',\"items\":[{\"v\":1},{\"v\":', event_id % 10, ',\"w\":\"i', event_id % 10, '\"},{\"c\":\"z\"}]}')")
+    docs = _nested(spark, sf_dir).withColumn("doc", F.when(F.col("event_id") % 12 == 0, F.col("doc")).otherwise(F.concat(F.expr("substr(doc, 1, length(doc) - 1)"), items)))
+    paths = {
+        "deep_name": "$..name", "deep_y": "$.user..y", "deep_k": "$..['k']", "first_of_two": "$.user.tags[0,1]", "last_tag": "$.user.tags[-1]",
+        "large": "$.items[?(@.v >= 5 && @.w)].w",
+    }
+    out = json_fields.json_values("doc", paths)(docs)
+    flat = json_fields.flatten(F.col("doc"), ["$['id','none']", "$.items[2]", "$.items[0:2]"], 1)
+    return out.select("event_id", *paths, map_text(flat).alias("fields"))
+
+
 def _xml(spark, sf_dir):
     """XML of all events; every fourteenth is malformed, in turn inside the root or after it."""
     text = F.expr("concat('<e id=\"', event_id, '\"><t lang=\"', event_type, '\"> ', token, ' </t><s><u>', user_id, '</u></s><v/></e>')")

@@ -251,3 +251,72 @@ def mapping_raw(spark, sf_dir):
     """Raw copies of text fields, left out where the text is long."""
     out = mapping.with_raw(table(spark, sf_dir, "documents"), ["lang", "text"])
     return out.select("doc_id", "lang_raw", F.md5("text_raw").alias("text_raw"))
+
+
+_DYNAMIC_SQL = with_events(
+    "SELECT * FROM (SELECT 'uid' AS field, CASE WHEN min(user_id) >= -128 AND max(user_id) < 128 THEN 'byte' WHEN max(user_id) < 32768 THEN 'short' "
+    "WHEN max(user_id) < 2147483648 THEN 'integer' ELSE 'long' END AS kind, false AS raw FROM ev "
+    "UNION ALL SELECT 'far', CASE WHEN max(event_id) * 1000003 < 2147483648 THEN 'integer' ELSE 'long' END, false FROM ev "
+    "UNION ALL SELECT unnest(['type', 'ratio', 'seen', 'flag', 'mixed', 'where', 'response', 'message', 'gone']), "
+    "unnest(['text', 'double', 'date', 'boolean', 'text', 'geo_point', 'integer', 'message', 'text']), unnest([true, false, false, false, true, false, false, false, true]))"
+)
+
+
+def _loose_fields(spark, sf_dir):
+    """Events with a map of text fields, as flat JSON leaves them."""
+    at = F.col("event_id")
+    values = {
+        "uid": F.col("user_id").cast("string"),
+        "far": (at * 1000003).cast("string"),
+        "type": F.col("event_type"),
+        "ratio": F.when(at % 2 == 0, (at % 7).cast("string")).otherwise(F.concat((at % 7).cast("string"), F.lit(".25"))),
+        "seen": F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'"),
+        "flag": F.when(at % 3 == 0, "true").when(at % 3 == 1, "false"),
+        "mixed": F.when(at % 97 == 0, "none").otherwise((at % 5).cast("string")),
+        "where": F.concat((at % 90).cast("string"), F.lit(".5,-"), (at % 180).cast("string")),
+        "response": F.col("status"),
+        "message": F.lit("1"),
+        "gone": F.lit(None).cast("string"),
+    }
+    fields = F.create_map(*[x for k, v in values.items() for x in (F.lit(k), v)])
+    return lines.events(spark, sf_dir).select("event_id", fields.alias("fields"))
+
+
+def _templates(rows):
+    evidence = [mapping.field_evidence(rows.filter(F.col("event_id") % 2 == k).select(F.explode("fields"))) for k in (0, 1)]
+    return mapping.choose_templates(mapping.merge_evidence(*evidence))
+
+
+@query("mapping_dynamic", _DYNAMIC_SQL)
+def mapping_dynamic(spark, sf_dir):
+    """Templates by the types of all values, from the evidence of two batches."""
+    return _templates(_loose_fields(spark, sf_dir))
+
+
+@query(
+    "mapping_dynamic_applied",
+    "SELECT event_id, user_id AS uid, CASE WHEN event_id % 2 = 0 THEN event_id % 7 ELSE event_id % 7 + 0.25 END::double AS ratio, "
+    "epoch_us(ts) // 1000 AS seen, CASE event_id % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'false' END AS flag, "
+    "CASE WHEN event_id % 97 = 0 THEN 'none' ELSE concat('', event_id % 5) END AS mixed_raw, event_id % 4 <> 0 AS located, "
+    "CASE WHEN event_id % 4 = 0 THEN 'geoip.latitude' ELSE '' END AS rejected FROM events",
+)
+def mapping_dynamic_applied(spark, sf_dir):
+    """Documents typed by the chosen templates, and an object whose fields have types of their own."""
+    rows = _loose_fields(spark, sf_dir)
+    chosen = _templates(rows)
+    kinds = mapping.dynamic_mapping(chosen)
+    raw = [r.field for r in chosen.filter("raw").collect() if r.field != "gone"]
+    at = F.col("event_id")
+    place = F.struct(
+        F.lit("10.0.0.1").alias("ip"), F.lit("1.5,2.5").alias("location"),
+        F.when(at % 4 == 0, "north").otherwise("1.5").alias("latitude"), F.lit("2.5").alias("longitude"), F.lit("x").alias("name"),
+    )
+    docs = rows.select("event_id", *[F.col("fields")[k].alias(k) for k in kinds], place.alias("geoip"))
+    out = mapping.apply_mapping(docs, mapping.merge_mapping(mapping.DEFAULT_MAPPING, kinds))
+    out = mapping.with_raw(out, raw)
+    types = dict(out.dtypes)
+    assert (types["ratio"], types["flag"], types["geoip"]) == ("double", "boolean", "struct<ip:string,location:string,latitude:float,longitude:float,name:string>")
+    return out.select(
+        "event_id", F.col("uid").cast("bigint").alias("uid"), "ratio", F.unix_millis("seen").alias("seen"), F.col("flag").cast("string").alias("flag"), "mixed_raw",
+        F.col("geoip.latitude").isNotNull().alias("located"), F.array_join("reject_fields", ",").alias("rejected"),
+    )

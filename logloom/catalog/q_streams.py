@@ -15,7 +15,7 @@ from logloom.operators.geo import ranges_from_longs
 from logloom.operators.grok import extract
 from logloom.session import shared_dir
 from logloom.sources import decode
-from logloom.streaming import quota_stream, stream
+from logloom.streaming import counters, quota_state, quota_stream, stream
 
 _KIND = "apache_access"
 
@@ -122,6 +122,63 @@ def quota_stream_check(spark, sf_dir):
     return spark.read.parquet(f"{root}/events/batch_id=*")
 
 
+@query("quota_stream_state", _CHECK_SQL)
+def quota_stream_state(spark, sf_dir):
+    """The quota check as a stream with the use of each token in the state store."""
+    root = shared_dir(spark, "quota-state")
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting)
+    sized = event_stream(spark, sf_dir).select(
+        "event_id",
+        F.when(F.col("event_id") % 3 == 0, "hot").otherwise(F.concat(F.lit("u"), (F.col("user_id") % 40).cast("string"))).alias("token"),
+        F.floor("value").cast("bigint").alias("bytes"),
+    )
+    checked = quota_state.check_stream(sized, limits(spark, sf_dir), ["event_id"])
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{root}/events/batch_id={batch_id}")
+
+    spark.conf.set(setting, quota_state.PROVIDER)
+    try:
+        stream.start(checked, lambda df: df, root, shared_dir(spark, "quota-state")[-12:], {"availableNow": True}, write).awaitTermination()
+    finally:
+        spark.conf.set(setting, before)
+    return spark.read.schema("event_id bigint, token string, bytes bigint, allowed boolean").parquet(f"{root}/events/batch_id=*")
+
+
+@query(
+    "stream_counters",
+    "SELECT unnest(['events', 'decode_fail', 'decode_ok', 'sink_reject', 'usage_drop', 'sink_success']) AS outcome, unnest([count(*), "
+    "count(*) FILTER (event_id % 15 = 0), count(*) FILTER (event_id % 15 <> 0), count(*) FILTER (event_id % 4 = 0), "
+    "count(*) FILTER (floor(value) > 50), count(*) FILTER (event_id % 15 <> 0 AND event_id % 4 <> 0 AND floor(value) <= 50)]) AS events FROM events",
+)
+def stream_counters(spark, sf_dir):
+    """Outcomes of a stream that is stopped after half of its files and started again, with batches that are run twice."""
+    root = shared_dir(spark, "counters")
+    rows = table(spark, sf_dir, "events")
+    source = stream.file_stream(spark, f"{root}/in/*", rows.schema, "parquet", max_files=1)
+
+    def transform(df):
+        sent = q_sources.broken_beats(lines.derived(df).withColumn("kept", F.floor("value") <= 50), keep=["kept"])
+        out = decode.doc_id(decode.beat(sent, now=lines.NOW, tagged=True)).withColumnRenamed("kept", "allowed")
+        out = out.withColumns({"index_name": F.lit("logs"), "upload_type": F.when(F.col("event_id") % 4 == 0, F.col("upload_type"))})
+        return mapping.apply_mapping(out, {"upload_type": "integer"})
+
+    write = counters.counting(lambda batch, batch_id: stream.write_batch(batch, batch_id, f"{root}/index"), root)
+
+    def twice(batch, batch_id):
+        write(batch, batch_id)
+        if batch_id % 2:
+            write(batch, batch_id)
+
+    for part in (0, 1):
+        half = rows.filter(F.col("event_id") % 2 == part)
+        half.repartitionByRange(2, "event_id").write.parquet(f"{root}/in/{part}")
+        topic = f"counters-{root[-8:]}-{part}"
+        stream.start(source, transform, root, topic, {"availableNow": True}, twice).awaitTermination()
+    return counters.read_counters(spark, root)
+
+
 _COUNTS_SQL = with_events(
     "SELECT type, outcome, count(*) AS events FROM (SELECT event_type AS type, unnest(list_filter(["
     "CASE WHEN event_id % 15 = 0 THEN 'decode_fail' END, CASE WHEN event_id % 15 <> 0 THEN 'decode_ok' END, "

@@ -3,42 +3,97 @@
 A found value is opened level by level inside the row: objects give one entry
 per key, arrays one per index, scalars stay. The key of an entry is its leaf
 name, or the path's names joined by ``-`` when the path itself hits a scalar.
+Paths have names, indexes, wildcards, recursive steps, slices, unions and tests.
 """
 
 from __future__ import annotations
 
 import re
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from logloom.functions.cols import ALWAYS, last_wins_map, let, masked, optional, put
 
-_PATH_TOKEN = re.compile(r"\.length\(\)|\[\*\]|\.\*|\.(?P<dot>[^.\[\]()*]+)|\['(?P<quoted>[^']*)'\]|\[(?P<index>\d+)\]")
+REPEATED_KEYS = "spark.sql.variant.allowDuplicateKeys"
+#: Containers inside containers that a recursive step ``..`` looks into.
+MAX_DEPTH = 10
+_PATH_TOKEN = re.compile(
+    r"\.length\(\)|\[\*\]|(?P<deep>\.\.)(?=[^.])|\.\*|\.(?P<dot>[^.\[\]()*]+)|\['(?P<quoted>[^',]*)'\]|\[(?P<index>-?\d+)\]"
+    r"|\[(?P<slice>-?\d*:-?\d*)\]|\[(?P<many>-?\d+(?:\s*,\s*-?\d+)+)\]|\[(?P<names>'[^']*'(?:\s*,\s*'[^']*')+)\]|\[\?\((?P<test>(?:'[^']*'|[^'])*?)\)\]"
+)
+_TEST = re.compile(
+    r"\s*(?P<left>@(?:\.[^.\[\]()*\s=!<>&|]+|\['[^']*'\])*)\s*(?:(?P<op>==|!=|<=|>=|<|>)\s*(?P<right>'[^']*'|-?\d+(?:\.\d+)?|true|false|null))?\s*"
+)
 
 
-def _tokens(path: str) -> list[str]:
-    """``$.a['b'][0][*].length()`` to ``['a', 'b', 0, '*', 'length()']``, kept as path pieces."""
+def _tokens(path: str) -> list[tuple]:
+    """``$.a['b'][0][*].length()`` as steps (kind, value).
+
+    Kinds: name, index, any, deep (``..``), length, slice, many (several indexes), names, test.
+    """
     if not path.startswith("$"):
         raise ValueError(f"a JSON path starts with $: {path}")
-    pieces, at = [], 1
+    steps: list[tuple] = []
+    at, deep = 1, False
     while at < len(path):
-        m = _PATH_TOKEN.match(path, at)
-        if not m:
+        # after '..' a name stands without its dot
+        m = _PATH_TOKEN.match(path, at) if not deep or path[at] == "[" else _PATH_TOKEN.match(f".{path[at:]}")
+        if not m or deep and m["deep"]:
             raise ValueError(f"unsupported JSON path: {path}")
-        if m["dot"] or m["quoted"] is not None:
-            pieces.append(f"['{m['dot'] or m['quoted']}']")
+        at += m.end() - m.start() - (1 if deep and path[at] != "[" else 0)
+        deep = bool(m["deep"])
+        if m["deep"]:
+            steps.append(("deep", None))
+        elif m["dot"] or m["quoted"] is not None:
+            steps.append(("name", m["dot"] or m["quoted"]))
         elif m["index"]:
-            pieces.append(f"[{m['index']}]")
+            steps.append(("index", int(m["index"])))
+        elif m["slice"]:
+            steps.append(("slice", tuple(int(x) if x else None for x in m["slice"].split(":"))))
+        elif m["many"]:
+            steps.append(("many", [int(x) for x in m["many"].split(",")]))
+        elif m["names"]:
+            steps.append(("names", re.findall(r"'([^']*)'", m["names"])))
+        elif m["test"]:
+            steps.append(("test", _tests(m["test"], path)))
         else:
-            pieces.append("length()" if m[0] == ".length()" else "*")
+            steps.append(("length" if m[0] == ".length()" else "any", None))
+    if deep:
+        raise ValueError(f"unsupported JSON path: {path}")
+    return steps
+
+
+def _tests(text: str, path: str) -> list[list[tuple]]:
+    """``@.a > 1 && @.b || @.c == 'x'`` as alternatives of conditions (path pieces, operator, literal)."""
+    out, at = [[]], 0
+    while True:
+        m = _TEST.match(text, at)
+        if not m:
+            raise ValueError(f"unsupported JSON path: {path}")
+        pieces = [a or b for a, b in re.findall(r"\.([^.\[\]()*\s=!<>&|]+)|\['([^']*)'\]", m["left"])]
+        out[-1].append((pieces, m["op"], m["right"]))
         at = m.end()
-    return pieces
+        if at == len(text):
+            return out
+        if text[at : at + 2] not in ("&&", "||"):
+            raise ValueError(f"unsupported JSON path: {path}")
+        if text[at : at + 2] == "||":
+            out.append([])
+        at += 2
+
+
+def _one_value(steps: list[tuple]) -> bool:
+    """True for a path that selects at most one value."""
+    return all(kind in ("name", "index", "length", "names") for kind, _ in steps)
 
 
 def path_name(path: str) -> str:
-    return "-".join(p.strip("[]'").removesuffix("()") for p in _tokens(path) if p != "*")
+    """Names and indexes of the path; a function goes by its name, a choice of several by nothing."""
+    named = {"name", "index", "length"}
+    return "-".join("length" if kind == "length" else str(value) for kind, value in _tokens(path) if kind in named)
 
 
 def _as_map(v: Column) -> Column:
@@ -49,24 +104,117 @@ def _as_array(v: Column) -> Column:
     return v.try_cast("array<variant>")
 
 
-def _walk(v: Column, pieces: list[str]) -> Column:
+def _no_variants() -> Column:
+    return F.array().cast("array<variant>")
+
+
+def _children(v: Column) -> Column:
+    return F.coalesce(_as_array(v), F.map_values(_as_map(v)), _no_variants())
+
+
+def _below(v: Column, depth: int = MAX_DEPTH) -> Column:
+    """``v`` and the containers in it, each before what it holds."""
+    if depth == 0:
+        return F.array(v)
+    inner = F.filter(_children(v), lambda c: F.schema_of_variant(c).startswith("OBJECT") | F.schema_of_variant(c).startswith("ARRAY"))
+    return F.concat(F.array(v), F.flatten(F.transform(inner, lambda c: _below(c, depth - 1))))
+
+
+def _quoted(name: str) -> str:
+    return f"['{name}']"
+
+
+def _at(array: Column, i: int) -> Column:
+    """Element ``i``, from the end where negative; NULL outside."""
+    return F.get(array, F.lit(i)) if i >= 0 else F.get(array, F.size(array) + i)
+
+
+def _part(array: Column, low: int | None, high: int | None) -> Column:
+    n = F.size(array)
+
+    def bound(x: int) -> Column:
+        return F.least(n, F.lit(x)) if x >= 0 else F.greatest(F.lit(0), n + x)
+
+    start = F.lit(0) if low is None else bound(low)
+    end = n if high is None else bound(high)
+    return F.slice(array, start + 1, F.greatest(F.lit(0), end - start))
+
+
+def _holds(v: Column, tests: list[list[tuple]]) -> Column:
+    def one(pieces: list[str], op: str | None, right: str | None) -> Column:
+        left = F.try_variant_get(v, "$" + "".join(map(_quoted, pieces)), "variant") if pieces else v
+        if op is None:
+            return left.isNotNull()
+        if right == "null":
+            same = F.coalesce(F.is_variant_null(left), F.lit(False))
+            return same if op == "==" else left.isNotNull() & ~same
+        kind = F.schema_of_variant(left)
+        if right.startswith("'"):
+            value, literal, fits = left.try_cast("string"), F.lit(right[1:-1]), kind == "STRING"
+        elif right in ("true", "false"):
+            value, literal, fits = left.try_cast("boolean"), F.lit(right == "true"), kind == "BOOLEAN"
+        else:
+            value, literal, fits = left.try_cast("double"), F.lit(float(right)), (kind == "BIGINT") | (kind == "DOUBLE") | kind.startswith("DECIMAL")
+        hit = {
+            "==": value == literal, "!=": value != literal, "<": value < literal, "<=": value <= literal, ">": value > literal, ">=": value >= literal,
+        }[op]
+        # values of another type are never equal or ordered
+        return F.when(left.isNotNull(), F.when(fits, hit).otherwise(op == "!="))
+
+    def all_of(conditions: list[tuple]) -> Column:
+        return reduce(lambda a, b: a & b, [F.coalesce(one(*c), F.lit(False)) for c in conditions])
+
+    return reduce(lambda a, b: a | b, [all_of(c) for c in tests])
+
+
+def _reached(here: Column, kind: str, value) -> Column:
+    """Values that one step reaches from a value."""
+    if kind == "any":
+        return _children(here)
+    if kind == "deep":
+        return _below(here)
+    if kind == "length":
+        size = F.coalesce(F.size(_as_array(here)), F.size(_as_map(here)))
+        return F.array(F.try_parse_json(size.cast("string")))
+    if kind == "index":
+        return F.array(_at(_as_array(here), value))
+    if kind == "many":
+        return let(_as_array(here), lambda a: F.array(*[_at(a, i) for i in value]))
+    if kind == "slice":
+        return let(_as_array(here), lambda a: F.coalesce(_part(a, *value), _no_variants()))
+    if kind == "names":
+        # several names make one object of them
+        own = F.map_filter(_as_map(here), lambda k, _: k.isin(*value))
+        return F.array(F.when(F.size(own) > 0, F.try_parse_json(F.to_json(own))))
+    if kind == "test":
+        # a test looks at the elements of an array, or at an object itself
+        return F.filter(F.coalesce(_as_array(here), F.array(here)), lambda e: _holds(e, value))
+    return F.array(F.try_variant_get(here, "$" + _quoted(value), "variant"))
+
+
+def _walk(v: Column, steps: list[tuple]) -> Column:
     """All values a path selects below ``v``, as ``array<variant>``."""
-    plain = []
-    for piece in pieces:
-        if piece in ("*", "length()"):
+    plain = ""
+    for k, (kind, value) in enumerate(steps):
+        if kind == "name":
+            plain += _quoted(value)
+        elif kind == "index" and value >= 0:
+            plain += f"[{value}]"
+        else:
+            rest = steps[k:]
             break
-        plain.append(piece)
-    here = F.try_variant_get(v, "$" + "".join(plain), "variant") if plain else v
-    rest = pieces[len(plain) :]
+    else:
+        rest = []
+    here = F.try_variant_get(v, "$" + plain, "variant") if plain else v
     if not rest:
         return F.filter(F.array(here), lambda x: x.isNotNull())
-    if rest[0] == "length()":
-        return let(
-            F.coalesce(F.size(_as_array(here)), F.size(_as_map(here))),
-            lambda n: F.filter(F.array(F.try_parse_json(n.cast("string"))), lambda x: x.isNotNull()),
-        )
-    children = F.coalesce(_as_array(here), F.map_values(_as_map(here)), F.array().cast("array<variant>"))
-    return F.flatten(F.transform(children, lambda e: _walk(e, rest[1:])))
+    (kind, value), rest = rest[0], rest[1:]
+
+    def go(here: Column) -> Column:
+        found = F.filter(_reached(here, kind, value), lambda x: x.isNotNull())
+        return F.flatten(F.transform(found, lambda e: _walk(e, rest))) if rest else found
+
+    return F.coalesce(let(here, go), _no_variants())
 
 
 def _entry(k: Column, v: Column) -> Column:
@@ -97,10 +245,13 @@ def _text(v: Column) -> Column:
 
 
 def parsed(c: Column) -> Column:
-    """Variant of a JSON text; NULL when empty or malformed. Of repeated keys the last wins."""
+    """Variant of a JSON text; NULL when empty or malformed.
+
+    Of repeated keys the last wins: for that the session setting :data:`REPEATED_KEYS` is turned on here.
+    """
     session = SparkSession.getActiveSession()
     if session is not None:
-        session.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
+        session.conf.set(REPEATED_KEYS, "true")
     return F.try_parse_json(F.nullif(F.trim(c), F.lit("")))
 
 
@@ -131,9 +282,9 @@ def json_values(target: str, paths: dict[str, str]):
 
 
 def _flat_entries(v: Column, path: str, max_level: int) -> Column:
-    pieces = _tokens(path)
-    found = _walk(v, pieces)
-    if "*" in pieces:
+    steps = _tokens(path)
+    found = _walk(v, steps)
+    if not _one_value(steps):
         # the selected values form one array, which uses up a level
         entries, levels = F.transform(found, lambda x, i: _entry(i.cast("string"), x)), max_level - 1
     else:

@@ -24,18 +24,24 @@ def local_session(cpus: int = 8, name: str = "logloom", partitions: int | None =
     )
 
 
+#: The folder of this process where no shared one is set, on a local master only.
+_LOCAL_DIR: str | None = None
+
+
 def shared_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh folder below the cluster's shared folder ``spark.checkpoint.dir``.
 
-    Without that setting a local master uses a temporary folder. On a cluster that
-    would lose rows without an error, so it is refused there.
+    Without that setting a local master uses one temporary folder of this process; the session is not changed. On a
+    cluster that would lose rows without an error, so it is refused there.
     """
+    global _LOCAL_DIR
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local["):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
-        root = tempfile.mkdtemp(prefix="logloom-")
-        spark.conf.set("spark.checkpoint.dir", root)
+        _LOCAL_DIR = _LOCAL_DIR or tempfile.mkdtemp(prefix="logloom-")
+        root = _LOCAL_DIR
     return f"{root.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
 
 

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from logloom.functions.cols import field
-from logloom.session import shared_dir
+from logloom.operators.lookup import left_lookup
+from logloom.session import cut_lineage, shared_dir
 
 # fixed values: limits of one index request, and the trigger
 MAX_ACTIONS = 15_000
@@ -117,15 +118,65 @@ def connector_writer(fmt: str, **options) -> Callable[[DataFrame, int], None]:
     return write
 
 
+def _bases(spark: SparkSession, root: str) -> list[int]:
+    """Numbers of the batches up to which a complete compacted base was written."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(root)
+    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(path):
+        return []
+    names = [f.getPath().getName() for f in files.listStatus(path)]
+    done = [n for n in names if n.startswith("base_upto=") and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{n}/_SUCCESS"))]
+    return sorted(int(n.split("=")[1]) for n in done)
+
+
+def _versions(spark: SparkSession, root: str, outcome: str | None = None, upto: int | None = None) -> DataFrame:
+    """All stored versions of documents: the newest base and the batches after it, with ``_place`` (batch, file, row)."""
+    bases = [b for b in _bases(spark, root) if upto is None or b <= upto]
+    place = F.struct(F.col("batch_id").cast("bigint").alias("batch"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    reader = spark.read.options(basePath=root, mergeSchema=True)
+    rows = reader.parquet(f"{root}/batch_id=*")
+    names = [field(c) for c in rows.columns if c not in ("bucket",)]
+    rows = rows.select(*names, place.alias("_place"))
+    if upto is not None:
+        rows = rows.filter(F.col("batch_id") <= upto)
+    if bases:
+        base = spark.read.parquet(f"{root}/base_upto={bases[-1]}")
+        rows = rows.filter(F.col("batch_id") > bases[-1])
+        rows = base.drop("bucket").select(*[field(c) for c in base.columns if c != "bucket"], place.alias("_place")).unionByName(rows, allowMissingColumns=True)
+    return rows if outcome is None else rows.filter(F.col("outcome") == outcome)
+
+
+def _newest(spark: SparkSession, versions: DataFrame, keys: list[str]) -> DataFrame:
+    """The newest version of each document. Only ids and places are shuffled; ids that occur once are never joined on."""
+    narrow = versions.select(*[field(k) for k in keys], "_place")
+    repeated = narrow.groupBy(*[field(k).alias(f"r_{k}") for k in keys]).agg(F.max("_place").alias("_top"), F.count(F.lit(1)).alias("_n"))
+    repeated = cut_lineage(repeated.filter("_n > 1").drop("_n"), spark, "repeated-ids")
+    if repeated.limit(1).count() == 0:
+        return versions.drop("_place")
+    found = left_lookup(versions, repeated, keys)
+    return found.filter(F.col("_top").isNull() | (F.col("_top") == F.col("_place"))).drop("_top", "_place")
+
+
 def read_index(spark: SparkSession, root: str, outcome: str = "ok") -> DataFrame:
     """Documents of the sink: of several versions of a document the one of the latest batch.
 
-    Columns that came with a later batch are NULL in earlier documents. The aggregate combines on the map side, so many versions of one document do not meet in a task.
+    Columns that came with a later batch are NULL in earlier documents. Repeated ids are found on (doc_id, place) alone;
+    without any, whole documents are neither sorted nor shuffled.
+    """
+    return _newest(spark, _versions(spark, root, outcome), ["doc_id"]).drop("batch_id", "outcome")
+
+
+def compact(spark: SparkSession, root: str, upto: int) -> str:
+    """Write the newest versions up to batch ``upto`` as a base that later reads start from; returns its folder.
+
+    Batches after it are untouched, and a base that was cut off is not read. The batches it holds can be removed when no
+    reader uses them any more.
     """
-    docs = spark.read.options(basePath=root, mergeSchema=True).parquet(f"{root}/batch_id=*").filter(F.col("outcome") == outcome)
-    names = [c for c in docs.columns if c not in ("batch_id", "outcome", "bucket")]
-    newest = F.max_by(F.struct(*[field(c) for c in names]), F.col("batch_id"))
-    return docs.groupBy(field("doc_id").alias("_id")).agg(newest.alias("_d")).select("_d.*")
+    docs = _newest(spark, _versions(spark, root, upto=upto), ["doc_id", "outcome"])
+    docs = docs.withColumn("bucket", F.pmod(F.xxhash64(F.col("index_name")), F.lit(INDEX_BUCKETS)))
+    target = f"{root}/base_upto={upto}"
+    docs.hint("rebalance", F.col("bucket"), F.col("outcome")).write.mode("overwrite").partitionBy("outcome", "bucket").parquet(target)
+    return target
 
 
 def start(

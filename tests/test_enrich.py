@@ -178,8 +178,31 @@ def test_json_flatten(rows, text, paths, level, expected):
 
 
 def test_unsupported_json_path_is_refused():
-    with pytest.raises(ValueError):
-        json_fields.path_name("$..x")
+    for path in ("$..", "$...x", "x", "$[?(@.a =~ 'b')]", "$.a[1,'b']", "$.a[?]"):
+        with pytest.raises(ValueError):
+            json_fields.path_name(path)
+    assert json_fields.path_name("$.a..b[0]['c'][*][1:2].length()") == "a-b-0-c-length"
+
+
+@pytest.mark.parametrize(
+    "path, expected",
+    [
+        ("$..b", ["1", "[5,6]", "2"]), ("$.a..b", ["1"]), ("$..b[0]", ["5"]), ("$..*.b", ["1", "2", "[5,6]"]), ("$.l[0,2]", ["10", "30"]),
+        ("$.l[1:]", ["20", "30", "40"]), ("$.l[:2]", ["10", "20"]), ("$.l[-2:]", ["30", "40"]), ("$.l[1:-1]", ["20", "30"]), ("$.l[9:]", []),
+        ("$.l[-1]", ["40"]), ("$.l[-9]", []), ("$.l[5,0]", ["10"]), ("$['k','none']", ['{"k":"v"}']), ("$.o[?(@.n > 1)].t", ["y", "z"]),
+        ("$.o[?(@.t == 'x')].n", ["1"]), ("$.o[?(@.n >= 2 && @.t != 'z')].t", ["y"]), ("$.o[?(@.n == 1 || @.t == 'z')].n", ["1", "3"]),
+        ("$.o[?(@.f)].n", ["3"]), ("$.o[?(@.f == true)].n", ["3"]), ("$.o[?(@['n'] == '1')].n", []), ("$.l[?(@ > 25)]", ["30", "40"]), ("$.a[?(@.b == 1)].c.d", ["0"]),
+        ("$..length()", ["7", "2", "1", "1", "1", "2", "2", "4", "3", "2", "2", "3"]), ("$.no..x", []), ("$.o[*].t", ["x", "y", "z"]),
+    ],
+)
+def test_json_paths_that_select_several(rows, path, expected):
+    text = (
+        '{"a":{"b":1,"c":{"d":0}},"e":[{"b":[5,6]}],"h":{"b":2,"g":null},"k":"v","l":[10,20,30,40],'
+        '"o":[{"n":1,"t":"x"},{"n":2,"t":"y"},{"n":3,"t":"z","f":true}],"z":null}'
+    )
+    found = json_fields._walk(json_fields.parsed(F.col("t")), json_fields._tokens(path))
+    got = one(rows([(text,)], "t string"), F.transform(found, json_fields._text))
+    assert got == expected
 
 
 def test_xml_flatten(rows):

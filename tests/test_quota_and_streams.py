@@ -186,3 +186,112 @@ def test_reported_bytes_do_not_count_twice(spark, rows, tmp_path):
     write(rows([(3, "u", 50), (4, "u", 1)], "n int, token string, bytes long"), 1)
     allowed = {r.n: r.allowed for r in spark.read.parquet(f"{tmp_path}/events/batch_id=*").collect()}
     assert allowed == {1: True, 2: False, 3: True, 4: False} and stored == {"u": 100}
+
+
+@pytest.fixture
+def rocks(spark):
+    from logloom.streaming import quota_state
+
+    name = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(name)
+    spark.conf.set(name, quota_state.PROVIDER)
+    yield quota_state
+    spark.conf.set(name, before)
+
+
+def test_greedy_equals_a_walk():
+    import numpy as np
+
+    from logloom.streaming.quota_state import greedy
+
+    rng = random.Random(5)
+    for _ in range(300):
+        sizes = [rng.choice([0, 1, 2, 3, 5, 8, 64, 100, 1000]) for _ in range(rng.randint(0, 40))]
+        room, want = rng.randint(-2, 3000), []
+        left = room
+        for s in sizes:
+            want.append(s <= left)
+            left -= s if s <= left else 0
+        assert greedy(np.array(sizes, np.int64), room).tolist() == want
+
+
+def test_quota_state_survives_a_restart(spark, rows, rocks, tmp_path):
+    schema = "seq bigint, token string, bytes bigint"
+    events = [(i, "t" if i % 3 else "u", i % 11 if i % 7 else None) for i in range(120)]
+    quotas = rows([("t", 150, 20), ("u", 10**6, 0)], "user_id string, limits bigint, current_usage bigint")
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{tmp_path}/out/batch_id={batch_id}")
+
+    for part in range(3):
+        rows(events[part * 40 : part * 40 + 40], schema).repartition(2).write.parquet(f"{tmp_path}/in/p{part}")
+        source = stream.file_stream(spark, f"{tmp_path}/in/*", schema, "parquet")
+        checked = rocks.check_stream(source, quotas, ["seq"])
+        stream.start(checked, lambda df: df, str(tmp_path), f"quota-state-{part}", {"availableNow": True}, write).awaitTermination()
+    got = {r.seq: r.allowed for r in spark.read.parquet(f"{tmp_path}/out/batch_id=*").collect()}
+    assert got == brute_force(events, {"t": 130, "u": 10**6})
+    used = {r.token: (r.used, r.dropped) for r in rocks.state_of(spark, f"{tmp_path}/checkpoint").collect()}
+    sizes = {t: [(b or 0, got[i]) for i, token, b in events if token == t] for t in ("t", "u")}
+    assert used == {t: (sum(b for b, ok in x if ok), sum(b for b, ok in x if not ok)) for t, x in sizes.items()}
+
+
+def test_compaction_keeps_what_readers_see(spark, rows):
+    root = shared_dir(spark, "compact-test")
+    schema = "doc_id string, index_name string, v int"
+    stream.write_batch(rows([("a", "i1", 1), ("b", "i2", 2), ("c", "i1", 3)], schema), 0, root)
+    stream.write_batch(rows([("a", "i1", 9), ("d", "i1", 4)], schema), 1, root)
+    before = {tuple(r) for r in stream.read_index(spark, root).collect()}
+    stream.compact(spark, root, 1)
+    assert {tuple(r) for r in stream.read_index(spark, root).collect()} == before == {("a", "i1", 9), ("b", "i2", 2), ("c", "i1", 3), ("d", "i1", 4)}
+    late = rows([("b", "i2", 7, True), ("e", "i1", 5, False)], schema + ", late boolean")
+    stream.write_batch(late, 2, root)
+    after = {(r.doc_id, r.v, r.late) for r in stream.read_index(spark, root).collect()}
+    assert after == {("a", 9, None), ("b", 7, True), ("c", 3, None), ("d", 4, None), ("e", 5, False)}
+    stream.compact(spark, root, 2)
+    assert {(r.doc_id, r.v, r.late) for r in stream.read_index(spark, root).collect()} == after
+
+
+def test_reading_an_index_without_repeated_ids_moves_no_documents(spark, rows):
+    root = shared_dir(spark, "narrow-test")
+    stream.write_batch(rows([(f"d{i}", "i", i) for i in range(50)], "doc_id string, index_name string, v int"), 0, root)
+    docs = stream.read_index(spark, root)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Sort" not in plan and docs.count() == 50
+    stream.write_batch(rows([("d1", "i", -1), ("d1", "i", -2)], "doc_id string, index_name string, v int"), 1, root)
+    docs = stream.read_index(spark, root)
+    plan = docs._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "Sort" not in plan
+    assert docs.count() == 50 and docs.filter("doc_id = 'd1'").first().v < 0
+
+
+def test_live_counters_add_micro_batches_up(spark, rows, tmp_path):
+    from logloom.streaming import counters
+
+    live = counters.LiveCounters()
+    spark.streams.addListener(live)
+    try:
+        for part in range(3):
+            rows([(i, i % 2 == 0) for i in range(part * 10, part * 10 + 10)], "n int, allowed boolean").coalesce(1).write.parquet(f"{tmp_path}/in/{part}")
+        source = stream.file_stream(spark, f"{tmp_path}/in/*", "n int, allowed boolean", "parquet", max_files=1)
+        seen = counters.observed(source, "seen", {"usage_drop": ~F.col("allowed")})
+        query = stream.start(seen, lambda df: df, str(tmp_path), "live-test", {"availableNow": True}, lambda df, i: df.write.parquet(f"{tmp_path}/out/{i}"))
+        query.awaitTermination()
+        for _ in range(100):
+            if live.totals.get(("live-test", "seen"), {}).get("events") == 30:
+                break
+            import time
+
+            time.sleep(0.1)
+        assert dict(live.totals[("live-test", "seen")]) == {"events": 30, "usage_drop": 15}
+    finally:
+        spark.streams.removeListener(live)
+
+
+def test_counters_of_a_batch_that_is_run_again_count_once(spark, rows, tmp_path):
+    from logloom.streaming import counters
+
+    write = counters.counting(lambda df, i: df.write.mode("overwrite").format("noop").save(), str(tmp_path), {"bad": F.col("n") < 0})
+    batch = rows([(1,), (-1,), (2,)], "n int")
+    for batch_id in (0, 0, 1):
+        write(batch, batch_id)
+    assert {r.outcome: r.events for r in counters.read_counters(spark, str(tmp_path)).collect()} == {"events": 6, "bad": 2}
