@@ -108,6 +108,34 @@ def stream_control(spark, sf_dir):
     return counts.select("*", F.lit(ran).alias("ran"), F.lit(runs).alias("runs"))
 
 
+@query("stream_limits", "SELECT event_id % 4 AS part, count(*) AS events, 1 AS batches, 4 AS all_batches FROM events GROUP BY event_id % 4")
+def stream_limits(spark, sf_dir):
+    """A limit of one file a micro-batch: each file of the table comes in a batch of its own."""
+    root = shared_dir(spark, "limits")
+    rows = table(spark, sf_dir, "events").select("event_id", (F.col("event_id") % 4).alias("part"))
+    for part in range(4):
+        rows.filter(F.col("part") == part).coalesce(1).write.parquet(f"{root}/in/{part}")
+    source = stream.file_stream(spark, f"{root}/in/*", rows.schema, "parquet", max_files=1)
+
+    def write(batch, batch_id):
+        batch.write.mode("overwrite").parquet(f"{root}/out/batch_id={batch_id}")
+
+    stream.start(source, lambda df: df, root, f"limits-{root[-12:]}", {"availableNow": True}, write).awaitTermination()
+    found = spark.read.parquet(f"{root}/out").groupBy("part").agg(F.count("*").alias("events"), F.countDistinct("batch_id").cast("int").alias("batches"))
+    return found.withColumn("all_batches", F.lit(spark.read.parquet(f"{root}/out").select("batch_id").distinct().count()))
+
+
+@query("sink_connector", "SELECT event_type AS type, count(*) AS events, CAST(sum(event_id) AS bigint) AS ids FROM events GROUP BY event_type")
+def sink_connector(spark, sf_dir):
+    """The other sink: batches go to a pluggable format with its own options, here one of the built-in file formats."""
+    root = shared_dir(spark, "connector")
+    docs = event_stream(spark, sf_dir).select("event_id", "event_type")
+    write = stream.connector_writer("json", path=f"{root}/out", compression="gzip")
+    stream.start(docs, lambda df: df, root, f"connector-{root[-12:]}", {"availableNow": True}, write).awaitTermination()
+    rows = spark.read.schema("event_id bigint, event_type string").json(f"{root}/out")
+    return rows.groupBy(F.col("event_type").alias("type")).agg(F.count("*").alias("events"), F.sum("event_id").alias("ids"))
+
+
 @query("quota_stream", _CHECK_SQL)
 def quota_stream_check(spark, sf_dir):
     """The quota check as a stream with its use kept per batch."""
@@ -118,7 +146,7 @@ def quota_stream_check(spark, sf_dir):
         F.floor("value").cast("bigint").alias("bytes"),
     )
     writer = quota_stream.quota_writer(limits(spark, sf_dir), root, ["event_id"])
-    stream.start(sized, lambda df: df, root, "quota", {"availableNow": True}, writer).awaitTermination()
+    stream.start(sized, lambda df: df, root, f"quota-{root[-12:]}", {"availableNow": True}, writer).awaitTermination()
     return spark.read.parquet(f"{root}/events/batch_id=*")
 
 
