@@ -75,21 +75,33 @@ def map_text(m: Column) -> Column:
     return F.array_join(F.array_sort(pairs), ";")
 
 
-def running_starts(lengths: Column) -> Column:
-    """Exclusive prefix sums of an int array, in one fold; NULL for an empty array.
+_BLOCK = 16
 
-    Sums gather in blocks, so that no long array is copied for each entry.
+
+def running_starts(lengths: Column, levels: int = 2) -> Column:
+    """Exclusive prefix sums of an int array.
+
+    Entries are summed up in blocks, the block sums in turn as well, so an entry
+    only adds the few before it in its own block instead of all before it.
     """
-    none, ints = F.array().cast("array<int>"), F.array().cast("array<array<int>>")
 
-    def state(at: Column, block: Column, blocks: Column) -> Column:
-        return F.struct(at.alias("at"), block.alias("block"), blocks.alias("blocks"))
+    def total(a: Column, start: Column, n: Column) -> Column:
+        return F.aggregate(F.slice(a, start, n), F.lit(0), lambda s, x: s + x)
 
-    def add(s: Column, x: Column) -> Column:
-        at, block = s["at"] + x, F.array_append(s["block"], s["at"])
-        return F.when(F.size(s["block"]) < 63, state(at, block, s["blocks"])).otherwise(state(at, none, F.array_append(s["blocks"], block)))
+    def block(i: Column) -> Column:
+        return F.shiftright(i, _BLOCK.bit_length() - 1)
 
     def starts(a: Column) -> Column:
-        return F.aggregate(a, state(F.lit(0), none, ints), add, lambda s: F.flatten(F.array_append(s["blocks"], s["block"])))
+        if levels == 0:
+            return F.transform(a, lambda _, i: total(a, F.lit(1), i))
+        sums = F.transform(
+            F.sequence(F.lit(0), block(F.size(a) - 1)), lambda b: total(a, b * _BLOCK + 1, F.lit(_BLOCK))
+        )
+        return let(
+            running_starts(sums, levels - 1),
+            lambda base: F.transform(
+                a, lambda _, i: F.get(base, block(i)) + total(a, block(i) * _BLOCK + 1, i % _BLOCK)
+            ),
+        )
 
     return let(lengths, lambda a: F.when(F.size(a) > 0, starts(a)))

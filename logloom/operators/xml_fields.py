@@ -80,8 +80,8 @@ ELSE array({_node("x.kind", "a.up", "a.names", "x.name", "x.value")}) END
 """
 # nodes gather in blocks, so that no long array is copied for each token
 _NODES = f"""
-CASE WHEN length(array_join(regexp_extract_all(TEXT, {_raw(_TOKEN)}, 0), '')) = length(TEXT) THEN
-aggregate(transform(regexp_extract_all(TEXT, {_raw(_TOKEN)}, 0), x -> {_READ}),
+get(transform(array(regexp_extract_all(TEXT, {_raw(_TOKEN)}, 0)), tokens -> CASE WHEN length(array_join(tokens, '')) = length(TEXT) THEN
+aggregate(transform(tokens, x -> {_READ}),
   named_struct('i', 1, 'up', array(0), 'names', array(''), 'bad', false, 'roots', 0, 'block', cast(array() AS array<{_NODE}>), 'blocks', cast(array() AS array<array<{_NODE}>>)),
   (a, x) -> named_struct(
     'i', a.i + 1,
@@ -95,7 +95,7 @@ aggregate(transform(regexp_extract_all(TEXT, {_raw(_TOKEN)}, 0), x -> {_READ}),
     'block', CASE WHEN size(a.block) < 64 THEN concat(a.block, {_MADE}) ELSE array() END,
     'blocks', CASE WHEN size(a.block) < 64 THEN a.blocks ELSE concat(a.blocks, array(concat(a.block, {_MADE}))) END),
   a -> CASE WHEN NOT a.bad AND a.roots = 1 AND size(a.up) = 1 THEN flatten(concat(a.blocks, array(a.block))) END)
-END
+END), 0)
 """
 
 
