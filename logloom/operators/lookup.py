@@ -3,11 +3,14 @@
 The reference side is broadcast only after its rows and bytes have been counted. A
 larger side is joined by shuffle on (key, salt): event rows draw a salt, the
 reference rows are repeated once per salt, so one hot key is spread over
-``SALTS`` tasks.
+``SALTS`` tasks. That join is always by shuffle: Spark's estimate does not see that the rows are repeated, nor how
+far text that repeats grows in memory, so left alone it would broadcast a side that does not fit the driver.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +19,7 @@ from logloom.functions.cols import field
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 << 20
 SALTS = 16
+KEYLESS_SALTS = 1024
 
 
 def measured(side: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES, *more: Column):
@@ -48,7 +52,8 @@ def left_lookup(
 ) -> DataFrame:
     """``events`` LEFT JOIN ``side`` on equal ``keys`` and an optional further condition.
 
-    ``side`` names its key columns ``r_<key>``. Every event is kept.
+    ``side`` names its key columns ``r_<key>``. Every event is kept. ``salts=1`` repeats nothing, for keys that are
+    about as many as the events.
     """
     equal = [field(k) == field(f"r_{k}") for k in keys]
     residual = [extra] if extra is not None else []
@@ -57,7 +62,9 @@ def left_lookup(
         return events.join(F.broadcast(side), equal + residual, "left").drop(*drop)
     row = F.xxhash64(*[field(c) for c, t in events.dtypes if "map<" not in t and "variant" not in t])
     # rows without key match nothing; their salt spreads them too
-    salted = events.withColumn("_salt", F.pmod(row, F.lit(salts)).cast("int"))
+    keyless = reduce(lambda a, b: a | b, [field(k).isNull() for k in keys])
+    salt = F.when(keyless, F.pmod(row, F.lit(KEYLESS_SALTS))).otherwise(F.pmod(row, F.lit(salts)))
+    salted = events.withColumn("_salt", salt.cast("int"))
     repeated = side.withColumn("r__salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     condition = equal + [field("_salt") == field("r__salt")] + residual
-    return salted.join(repeated, condition, "left").drop("_salt", "r__salt", *drop)
+    return salted.join(repeated.hint("merge"), condition, "left").drop("_salt", "r__salt", *drop)

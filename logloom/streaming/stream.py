@@ -130,9 +130,9 @@ def _bases(spark: SparkSession, root: str) -> list[int]:
 
 
 def _versions(spark: SparkSession, root: str, outcome: str | None = None, upto: int | None = None) -> DataFrame:
-    """All stored versions of documents: the newest base and the batches after it, with ``_place`` (batch, file, row)."""
+    """All stored versions of documents: the newest base and the batches after it, with ``_place`` (batch, hash of the file, row)."""
     bases = [b for b in _bases(spark, root) if upto is None or b <= upto]
-    place = F.struct(F.col("batch_id").cast("bigint").alias("batch"), F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
+    place = F.struct(F.col("batch_id").cast("bigint").alias("batch"), F.xxhash64("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
     reader = spark.read.options(basePath=root, mergeSchema=True)
     rows = reader.parquet(f"{root}/batch_id=*")
     names = [field(c) for c in rows.columns if c not in ("bucket",)]
@@ -147,13 +147,16 @@ def _versions(spark: SparkSession, root: str, outcome: str | None = None, upto:
 
 
 def _newest(spark: SparkSession, versions: DataFrame, keys: list[str]) -> DataFrame:
-    """The newest version of each document. Only ids and places are shuffled; ids that occur once are never joined on."""
-    narrow = versions.select(*[field(k) for k in keys], "_place")
+    """The newest version of each document. Only ids and places are shuffled; ids that occur once are never joined on.
+
+    Repeated ids are about as many as documents, so they are not repeated once per salt when they are joined back.
+    """
+    narrow = versions.select(*[field(k) for k in keys], "_place").dropna(subset=keys)
     repeated = narrow.groupBy(*[field(k).alias(f"r_{k}") for k in keys]).agg(F.max("_place").alias("_top"), F.count(F.lit(1)).alias("_n"))
     repeated = cut_lineage(repeated.filter("_n > 1").drop("_n"), spark, "repeated-ids")
     if repeated.limit(1).count() == 0:
         return versions.drop("_place")
-    found = left_lookup(versions, repeated, keys)
+    found = left_lookup(versions, repeated, keys, salts=1)
     return found.filter(F.col("_top").isNull() | (F.col("_top") == F.col("_place"))).drop("_top", "_place")
 
 

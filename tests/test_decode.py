@@ -72,6 +72,17 @@ def test_lookup_keeps_every_event_either_way(rows):
         assert ("strategy=broadcast" in plan) == (limit == 10)
 
 
+def test_a_side_too_large_to_broadcast_is_never_broadcast(rows):
+    """Spark takes the repeated side for a small one, as its estimate knows nothing of the salts."""
+    events = rows([(i, "hot" if i % 3 else None) for i in range(60)], "n int, k string")
+    side = rows([("hot", 1), ("cold", 2)], "r_k string, v int")
+    for salts in (16, 1):
+        out = left_lookup(events, side, ["k"], None, 0, salts)
+        assert out.count() == 60 and out.filter(F.col("v") == 1).count() == 40
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Broadcast" not in plan and "SortMergeJoin" in plan
+
+
 def test_decoders_by_configured_name(rows):
     df = rows([('{"message":"m","type":"t"}',)], "value string")
     assert decode.decode(df, "xyz-json", now=1).first().message == "m"
