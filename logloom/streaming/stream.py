@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -20,6 +21,10 @@ TRIGGER = "20 seconds"
 #: Folders of a batch and outcome in the index sink.
 INDEX_BUCKETS = 64
 
+#: Shuffled bytes that one task of the sink sorts and writes, unless the session sets its own. Compact rows take ten times as much in memory.
+WRITE_BYTES = "16mb"
+_ADVISORY = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+
 #: By topic: the last run that was started here and what it was started with.
 _STARTED: dict[str, tuple] = {}
 
@@ -87,8 +92,8 @@ def write_batch(batch: DataFrame, batch_id: int, root: str, fmt: str = "parquet"
     Writing the same batch again replaces its folder, so a replay changes
     nothing. ``index_name`` stays a column, so its text is kept as it is. Rows with ``reject_fields`` (values that do not
     fit the mapping) or a ``reject_reason`` (rows that a tagged decoder could not read) go to ``outcome=rejected`` in the
-    same pass. The rebalance hint splits a dominant index over several files and puts
-    small ones together.
+    same pass. The rebalance hint splits a dominant index over several files of :data:`WRITE_BYTES` and puts
+    small ones together, so a task sorts and a later one reads a bounded share of the batch.
     """
     bad = F.lit(False)
     if "reject_fields" in batch.columns:
@@ -98,15 +103,23 @@ def write_batch(batch: DataFrame, batch_id: int, root: str, fmt: str = "parquet"
     outcome = F.when(bad, "rejected").otherwise("ok")
     bucket = F.pmod(F.xxhash64(F.col("index_name").cast("string")), F.lit(INDEX_BUCKETS))
     keys = [F.col("bucket"), F.col("outcome")]
-    (
-        batch.withColumns({"outcome": outcome, "index_name": F.col("index_name").cast("string"), "bucket": bucket})
-        .hint("rebalance", *keys)
-        .write.mode("overwrite")
-        .option("maxRecordsPerFile", max_records)
-        .partitionBy("outcome", "bucket")
-        .format(fmt)
-        .save(f"{root}/batch_id={batch_id}")
-    )
+    rows = batch.withColumns({"outcome": outcome, "index_name": F.col("index_name").cast("string"), "bucket": bucket}).hint("rebalance", *keys)
+    writer = rows.write.mode("overwrite").option("maxRecordsPerFile", max_records).partitionBy("outcome", "bucket").format(fmt)
+    with _bounded_parts(batch.sparkSession):
+        writer.save(f"{root}/batch_id={batch_id}")
+
+
+@contextmanager
+def _bounded_parts(spark: SparkSession):
+    """Rebalanced parts of :data:`WRITE_BYTES`, in a session that does not say otherwise."""
+    if spark.conf.get(_ADVISORY, None) is not None:
+        yield
+        return
+    spark.conf.set(_ADVISORY, WRITE_BYTES)
+    try:
+        yield
+    finally:
+        spark.conf.unset(_ADVISORY)
 
 
 def connector_writer(fmt: str, **options) -> Callable[[DataFrame, int], None]:
@@ -178,7 +191,8 @@ def compact(spark: SparkSession, root: str, upto: int) -> str:
     docs = _newest(spark, _versions(spark, root, upto=upto), ["doc_id", "outcome"])
     docs = docs.withColumn("bucket", F.pmod(F.xxhash64(F.col("index_name")), F.lit(INDEX_BUCKETS)))
     target = f"{root}/base_upto={upto}"
-    docs.hint("rebalance", F.col("bucket"), F.col("outcome")).write.mode("overwrite").partitionBy("outcome", "bucket").parquet(target)
+    with _bounded_parts(spark):
+        docs.hint("rebalance", F.col("bucket"), F.col("outcome")).write.mode("overwrite").partitionBy("outcome", "bucket").parquet(target)
     return target
 
 

@@ -295,3 +295,12 @@ def test_counters_of_a_batch_that_is_run_again_count_once(spark, rows, tmp_path)
     for batch_id in (0, 0, 1):
         write(batch, batch_id)
     assert {r.outcome: r.events for r in counters.read_counters(spark, str(tmp_path)).collect()} == {"events": 6, "bad": 2}
+
+
+def test_one_large_index_is_written_by_several_tasks(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(stream, "WRITE_BYTES", "20kb")
+    docs = spark.range(0, 20_000, 1, 8).selectExpr("cast(id AS string) AS doc_id", "'all' AS index_name", "md5(cast(id AS string)) AS t")
+    stream.write_batch(docs, 0, f"{tmp_path}/sink")
+    assert len(list(tmp_path.glob("sink/batch_id=0/*/bucket=*/*.parquet"))) > 4
+    assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) is None
+    assert stream.read_index(spark, f"{tmp_path}/sink").distinct().count() == 20_000
