@@ -184,7 +184,8 @@ def stream_counters(spark, sf_dir):
     """Outcomes of a stream that is stopped after half of its files and started again, with batches that are run twice."""
     root = shared_dir(spark, "counters")
     rows = table(spark, sf_dir, "events")
-    source = stream.file_stream(spark, f"{root}/in/*", rows.schema, "parquet", max_files=1)
+    # a batch is one file, which Spark may read in one task
+    source = stream.file_stream(spark, f"{root}/in/*", rows.schema, "parquet", max_files=1, partitions=spark.sparkContext.defaultParallelism)
 
     def transform(df):
         sent = q_sources.broken_beats(lines.derived(df).withColumn("kept", F.floor("value") <= 50), keep=["kept"])

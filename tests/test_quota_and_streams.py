@@ -304,3 +304,17 @@ def test_one_large_index_is_written_by_several_tasks(spark, tmp_path, monkeypatc
     assert len(list(tmp_path.glob("sink/batch_id=0/*/bucket=*/*.parquet"))) > 4
     assert spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None) is None
     assert stream.read_index(spark, f"{tmp_path}/sink").distinct().count() == 20_000
+
+
+def test_every_batch_of_the_counted_stream_is_spread(spark, monkeypatch):
+    from logloom.catalog import q_streams
+
+    write, parts = stream.write_batch, []
+
+    def watched(batch, batch_id, root):
+        parts.append(batch._jdf.queryExecution().toRdd().getNumPartitions())
+        write(batch, batch_id, root)
+
+    monkeypatch.setattr(stream, "write_batch", watched)
+    q_streams.stream_counters(spark, "/root/testdata/sf0.001")
+    assert len(parts) == 6 and set(parts) == {spark.sparkContext.defaultParallelism}
