@@ -9,6 +9,7 @@ from logloom.catalog.lines import with_events
 from logloom.catalog.registry import query, table
 from logloom.functions import rotation
 from logloom.operators import mapping, mutate
+from logloom.session import cut_lineage
 
 # name, steps, output columns, SQL of the outputs; all over the whole of events
 _STEPS = {
@@ -303,7 +304,7 @@ def mapping_dynamic(spark, sf_dir):
 def mapping_dynamic_applied(spark, sf_dir):
     """Documents typed by the chosen templates, and an object whose fields have types of their own."""
     rows = _loose_fields(spark, sf_dir)
-    chosen = _templates(rows)
+    chosen = cut_lineage(_templates(rows), spark, "templates")
     kinds = mapping.dynamic_mapping(chosen)
     raw = [r.field for r in chosen.filter("raw").collect() if r.field != "gone"]
     at = F.col("event_id")

@@ -37,6 +37,15 @@ def nz(c: Column, default: str = "") -> Column:
     return F.coalesce(c, F.lit(default))
 
 
+def try_whole(c: Column, dtype: str = "bigint") -> Column:
+    """Whole number of a text, NULL where it is none.
+
+    A failing cast costs an exception, so a text with a character that no whole number has is not cast.
+    """
+    text = c.cast("string")
+    return F.when((text != "") & ~text.rlike(r"[!-*,./:-~]"), c.try_cast(dtype))
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Evaluate ``value`` once per row and use it several times inside ``body``."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from logloom.functions.cols import try_whole
+
 _TOKEN = re.compile(r"'[^']*'|([A-Za-z])\1*|.", re.S)
 _LOOSE = {"dd", "HH", "hh", "mm", "ss", "MM", "kk", "KK"}
 _NUMERIC = set("yuMdHhmsSkKDn")
@@ -36,9 +39,11 @@ def parse_millis(c: Column, fmt: str, tz: str = "UTC", locale: str = "en") -> Co
     ``tz`` applies when the format carries no zone of its own. A leading day
     name is dropped from format and text, because it adds no information and
     Spark's parser refuses it. ``epoch_millis`` is accepted as a format name.
+    A text that lacks a character of the format is not parsed, since a failed parse costs an exception.
     """
     if fmt == "epoch_millis":
-        return c.try_cast("bigint")
+        return try_whole(c)
+    raw = c
     tokens = [t.replace("Y", "y") if t[0] == "Y" else t for t in _tokens(fmt)]
     if tokens and tokens[0][0] == "E":
         tokens = tokens[1:]
@@ -48,6 +53,7 @@ def parse_millis(c: Column, fmt: str, tz: str = "UTC", locale: str = "en") -> Co
     if any(t[0] == "E" for t in tokens):
         raise ValueError(f"day name is only supported at the start of a format: {fmt}")
 
+    marks = _marks(tokens)
     zone_at = [i for i, t in enumerate(tokens) if t[0] in _ZONE]
     if not zone_at:
         tokens += [" ", "VV"]
@@ -61,7 +67,17 @@ def parse_millis(c: Column, fmt: str, tz: str = "UTC", locale: str = "en") -> Co
     else:
         variants = [tokens]
     parsed = [_read(c, "".join(_loosen(v)), locale) for v in variants]
-    return F.unix_millis(F.coalesce(*parsed))
+    # the first variant reads all offsets without a colon, and Z
+    parsed[1:] = [F.when(raw.rlike(r"[-+][0-9]{2}:[0-9]{2}"), p) for p in parsed[1:]]
+    millis = F.unix_millis(F.coalesce(*parsed))
+    return F.when(reduce(lambda a, b: a & b, [raw.contains(m) for m in marks]), millis) if marks else millis
+
+
+def _marks(tokens: list[str]) -> list[str]:
+    """Characters that any text of the format holds: its signs and spaces outside of quotes; none with optional sections."""
+    if any(t in "[]{}#" for t in tokens):
+        return []
+    return sorted({t for t in tokens if len(t) == 1 and not t.isalnum() and t != "'"})
 
 
 def _read(c: Column, fmt: str, locale: str) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from logloom.functions.cols import field
+from logloom.functions.cols import field, try_whole
 from logloom.functions.dates import parse_first
 from logloom.operators.geo import ip_hex
 
@@ -91,7 +91,9 @@ def typed_value(c: Column, dtype: str, kind: str, name: str) -> Column:
     if kind in ("keyword", "text", "message"):
         return c if dtype.startswith("array") else c.cast("string")
     if kind in _NUMBERS:
-        return F.trim(c).try_cast(_NUMBERS[kind]) if dtype == "string" else c.try_cast(_NUMBERS[kind])
+        if dtype == "string":
+            return F.trim(c).try_cast(_NUMBERS[kind]) if kind in ("float", "double") else try_whole(F.trim(c), _NUMBERS[kind])
+        return c.try_cast(_NUMBERS[kind])
     if kind == "date":
         if dtype.startswith("timestamp"):
             return c.cast("timestamp")
@@ -181,7 +183,7 @@ def field_evidence(entries: DataFrame, name: str = "key", value: str = "value")
     put together by :func:`merge_evidence`.
     """
     bits = _evidence(field(value)).alias("bits")
-    rows = entries.select(field(name).alias("field"), bits, F.trim(field(value)).try_cast("bigint").alias("n"))
+    rows = entries.select(field(name).alias("field"), bits, try_whole(F.trim(field(value))).alias("n"))
     return rows.groupBy("field").agg(F.bit_or("bits").alias("bits"), F.min("n").alias("low"), F.max("n").alias("high"))
 
 

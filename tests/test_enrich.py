@@ -329,3 +329,21 @@ def test_the_last_of_repeated_json_keys_wins(rows):
 
     df = rows([('{"a":1,"b":{"c":1,"c":2},"a":3}',)], "doc string")
     assert dict(df.select(json_fields.flatten(F.col("doc"), ["$"], 3).alias("m")).first().m) == {"a": "3", "c": "2"}
+
+
+def test_a_text_that_lacks_signs_of_the_format_is_not_parsed(rows):
+    """Only offsets with a colon reach the second reading, and the result is that of parsing always."""
+    from logloom.functions.dates import _marks, _tokens, parse_first
+    from logloom.operators.mapping import DATE_FORMATS
+
+    assert _marks(_tokens("dd/MMM/yyyy:HH:mm:ss Z")) == [" ", "/", ":"] and _marks(_tokens("yyyy[-MM]")) == []
+    texts = ["10/Oct/2000:13:55:36 -0700", "10/Oct/2000:13:55:36 -07:00", "Tue Oct 10 13:55:36 2000", "2000/10/10 13:55:36", "971211336000",
+             "2000-10-10T13:55:36.123Z", "2000-10-10T13:55:36.123+02:00", "2000-10-10t13:55:36.123+0200", "10/Oct/2000", "", None]
+    df = rows([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    millis = parse_first(F.col("t"), [(f,) for f in DATE_FORMATS])
+    got = [r.m for r in df.select("i", millis.alias("m")).orderBy("i").collect()]
+    zone = 7 * 3600 * 1000
+    at = 971186136000
+    assert got == [at + zone, at + zone, at, at, 971211336000, at + 123, at + 123 - 7200000, at + 123 - 7200000, None, None, None]
+    plan = df.select(millis.alias("m"))._jdf.queryExecution().optimizedPlan().toString()
+    assert "Contains(t#" in plan and "RLIKE" in plan
