@@ -108,16 +108,26 @@ def _no_variants() -> Column:
     return F.array().cast("array<variant>")
 
 
+def _held(v: Column) -> Column:
+    """What a container holds, NULL for any other value."""
+    return F.coalesce(_as_array(v), F.map_values(_as_map(v)))
+
+
 def _children(v: Column) -> Column:
-    return F.coalesce(_as_array(v), F.map_values(_as_map(v)), _no_variants())
+    return F.coalesce(_held(v), _no_variants())
 
 
 def _below(v: Column, depth: int = MAX_DEPTH) -> Column:
-    """``v`` and the containers in it, each before what it holds."""
-    if depth == 0:
-        return F.array(v)
-    inner = F.filter(_children(v), lambda c: F.schema_of_variant(c).startswith("OBJECT") | F.schema_of_variant(c).startswith("ARRAY"))
-    return F.concat(F.array(v), F.flatten(F.transform(inner, lambda c: _below(c, depth - 1))))
+    """``v`` and the containers in it, each before what it holds. Each container is opened once."""
+
+    def go(v: Column, held: Column, depth: int) -> Column:
+        if depth == 0:
+            return F.array(v)
+        inner = F.transform(held, lambda c: F.struct(c.alias("v"), _held(c).alias("held")))
+        inner = F.filter(inner, lambda e: e["held"].isNotNull())
+        return F.concat(F.array(v), F.flatten(F.transform(inner, lambda e: go(e["v"], e["held"], depth - 1))))
+
+    return let(_children(v), lambda held: go(v, held, depth))
 
 
 def _quoted(name: str) -> str:
@@ -192,8 +202,8 @@ def _reached(here: Column, kind: str, value) -> Column:
     return F.array(F.try_variant_get(here, "$" + _quoted(value), "variant"))
 
 
-def _walk(v: Column, steps: list[tuple]) -> Column:
-    """All values a path selects below ``v``, as ``array<variant>``."""
+def _plain(steps: list[tuple]) -> tuple[str, list[tuple]]:
+    """The names and indexes that ``steps`` begin with as one path, and the other steps."""
     plain = ""
     for k, (kind, value) in enumerate(steps):
         if kind == "name":
@@ -201,17 +211,25 @@ def _walk(v: Column, steps: list[tuple]) -> Column:
         elif kind == "index" and value >= 0:
             plain += f"[{value}]"
         else:
-            rest = steps[k:]
-            break
-    else:
-        rest = []
+            return plain, steps[k:]
+    return plain, []
+
+
+def _walk(v: Column, steps: list[tuple]) -> Column:
+    """All values a path selects below ``v``, as ``array<variant>``."""
+    plain, rest = _plain(steps)
     here = F.try_variant_get(v, "$" + plain, "variant") if plain else v
     if not rest:
         return F.filter(F.array(here), lambda x: x.isNotNull())
     (kind, value), rest = rest[0], rest[1:]
 
     def go(here: Column) -> Column:
-        found = F.filter(_reached(here, kind, value), lambda x: x.isNotNull())
+        found = _reached(here, kind, value)
+        path, more = _plain(rest)
+        if path and not more:
+            found = F.transform(found, lambda e: F.try_variant_get(e, "$" + path, "variant"))
+            return F.filter(found, lambda x: x.isNotNull())
+        found = F.filter(found, lambda x: x.isNotNull())
         return F.flatten(F.transform(found, lambda e: _walk(e, rest))) if rest else found
 
     return F.coalesce(let(here, go), _no_variants())
@@ -234,14 +252,17 @@ def _open(entries: Column) -> Column:
 
 def _text(v: Column) -> Column:
     """Text of a leaf; fractions print like a JVM double, containers as JSON."""
-    kind = F.schema_of_variant(v)
-    precision = F.regexp_extract(kind, r"^DECIMAL\((\d+),", 1).try_cast("int")
-    fraction = (kind == "DOUBLE") | (kind.startswith("DECIMAL") & ~(kind.endswith(",0)") & (precision > 18)))
-    return (
-        F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v))
-        .when(fraction, v.try_cast("double").cast("string"))
-        .otherwise(v.try_cast("string"))
-    )
+
+    def by_kind(kind: Column) -> Column:
+        precision = F.regexp_extract(kind, r"^DECIMAL\((\d+),", 1).try_cast("int")
+        fraction = (kind == "DOUBLE") | (kind.startswith("DECIMAL") & ~(kind.endswith(",0)") & (precision > 18)))
+        return (
+            F.when(kind.startswith("OBJECT") | kind.startswith("ARRAY"), F.to_json(v))
+            .when(fraction, v.try_cast("double").cast("string"))
+            .otherwise(v.try_cast("string"))
+        )
+
+    return let(F.schema_of_variant(v), by_kind)
 
 
 def parsed(c: Column) -> Column:

@@ -347,3 +347,11 @@ def test_a_text_that_lacks_signs_of_the_format_is_not_parsed(rows):
     assert got == [at + zone, at + zone, at, at, 971211336000, at + 123, at + 123 - 7200000, at + 123 - 7200000, None, None, None]
     plan = df.select(millis.alias("m"))._jdf.queryExecution().optimizedPlan().toString()
     assert "Contains(t#" in plan and "RLIKE" in plan
+
+
+def test_a_recursive_step_does_not_describe_what_it_passes(rows):
+    df = rows([('{"a":{"k":1},"b":[null,{"k":{"k":2}},[]],"k":null}',), ("[[[[{\"k\":5}]]]]",), ("3",)], "t string")
+    found = json_fields._walk(json_fields.parsed(F.col("t")), json_fields._tokens("$..['k']"))
+    got = df.select(F.transform(found, lambda v: F.to_json(v)).alias("x"))
+    assert [r.x for r in got.collect()] == [["null", "1", '{"k":2}', "2"], ["5"], []]
+    assert "schemaOfVariant" not in got._jdf.queryExecution().optimizedPlan().toString()
