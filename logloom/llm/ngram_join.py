@@ -175,6 +175,17 @@ def _units(rows: DataFrame, keys: list[str], check, schema: str) -> DataFrame:
     return map_rows(rows, run, schema)
 
 
+def star_edges(near: DataFrame) -> DataFrame:
+    """Edges ``a, b`` that connect what the rows (rep, center) connect.
+
+    Each rep has one edge, to its smallest center, and that center has one to each other center of its reps. So a group has about as
+    many edges as classes, not as many as classes times bands.
+    """
+    stars = saved(near.groupBy("rep").agg(F.min("center").alias("b"), F.collect_set("center").alias("centers")), "stars")
+    hubs = stars.select(F.explode("centers").alias("a"), "b").where("a != b").distinct()
+    return stars.select(F.col("rep").alias("a"), "b").unionByName(hubs)
+
+
 def near_classes(
     docs: DataFrame, text: str = "text", n: int = N, threshold: float = THRESHOLD, recall: float = RECALL, counts: bool = True
 ) -> DataFrame:
@@ -192,7 +203,7 @@ def near_classes(
     buckets = classes.select("rep", F.posexplode("bands").alias("band", "h"))
     centers = buckets.groupBy("band", "h").agg(F.min("rep").alias("center"), F.max("rep").alias("last")).where("center < last").drop("last")
     near = buckets.join(saved(centers, "centers"), ["band", "h"]).where("rep != center")
-    groups = components(near.select(F.col("rep").alias("a"), F.col("center").alias("b")))
+    groups = components(star_edges(near))
 
     members = saved(classes.join(groups.select(F.col("id").alias("rep"), F.col("label").alias("grp")), "rep").select("rep", "rep_hash", "size", "grp"), "members")
     totals = members.groupBy("grp").agg(F.greatest(F.ceil(F.count(F.lit(1)) / BLOCK_CLASSES), F.ceil(F.sum("size") / BLOCK_NGRAMS)).alias("blocks"))

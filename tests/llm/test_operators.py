@@ -2,6 +2,7 @@
 
 import hashlib
 import math
+import random
 import zlib
 from collections import Counter, defaultdict
 
@@ -606,3 +607,26 @@ def test_chat_from_turns(spark):
 
 def test_fingerprint_text_is_the_hash_of_paths():
     assert chat_format.LAYOUTS[2].fingerprints() == [hashlib.sha256(b"messages\nmessages[].content\nmessages[].role").hexdigest()]
+
+
+def test_a_group_of_near_copies_has_few_candidate_edges(spark, monkeypatch):
+    """The edges of candidates grow with the classes of a group, not with classes times bands."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    texts = []
+    for _ in range(150):
+        own = list(words)
+        for _ in range(3):
+            own[rng.randrange(300)] = f"x{rng.randrange(10**6)}"
+        texts.append(" ".join(own))
+    seen, whole = [], ngram_join.components
+
+    def watched(edges):
+        seen.append(edges.distinct().count())
+        return whole(edges)
+
+    monkeypatch.setattr(ngram_join, "components", watched)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = ngram_join.near_classes(docs, counts=False).collect()
+    assert len(got) == 150 and {r.class_id for r in got} == {0}
+    assert seen[0] < 3 * 150
