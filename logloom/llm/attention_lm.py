@@ -7,8 +7,9 @@ before it and at all. Long texts are cut into windows that overlap; each token i
 first window that holds it, with at least ``OVERLAP`` tokens of context after the first window.
 
 Word, id and pair counts cover all training texts. The weights start from a fit on windows drawn evenly from all training
-texts and are then trained on every window of every training text, in rounds whose number grows with the tokens: in a
-round each task trains on its own, then the weights are averaged and the next round starts from them.
+texts and are then trained on every window of every training text, in rounds whose number grows with the logarithm of
+the tokens: a round deals a share of all texts over all tasks, each trains on its own, then the weights are averaged and
+the next round starts from them.
 
 Frequent pairs (a bounded list) are looked up in the tasks; the counts of all other pairs come back by a join. The base score is a smoothed word unigram. Frequent words (a bounded list) are looked up in the tasks; counts of all other
 words come back by a join on word hashes.
@@ -43,11 +44,11 @@ LARGEST = np.float32(60)
 #: A pair (id after a read class) is looked up in the tasks from this share of the tokens on (at most 5,000,000); weight of the plain share.
 PAIR_SHARE, PLAIN = 2e-7, 10.0
 #: Windows scored at once.
-BATCH = 32
+BATCH = 64
 #: Windows a rate of the first fit, and rates of both fits.
 FIT_WINDOWS, RATES, REFINE_RATE, SEED = 12_000, (0.02, 0.02, 0.01, 0.004, 0.001), 3e-4, 11
-#: Tokens of the files of a group, and rounds that deal out the texts of a group.
-GROUP_TOKENS, ROUNDS = 100_000_000, 4
+#: Rounds up to so many tokens, and rounds more for each doubling of them.
+ROUND_TOKENS, ROUNDS, MORE_ROUNDS = 100_000_000, 4, 2
 #: Tokens worked on at once.
 STEP_TOKENS = 200_000
 #: Pairs counted in a task before they are put out.
@@ -56,7 +57,8 @@ KEPT_PAIRS = 1_000_000
 FREQUENT = 1e-6
 KEPT_WORDS = 1_000_000
 END = b"\n"  # no word holds it
-GROUPS = 64
+#: Sums of weights that reach the driver in a round.
+GROUPS = 16
 
 
 def held_out(doc_id: str = "doc_id") -> Column:
@@ -73,30 +75,44 @@ class Attention:
         self.scratch = np.empty((0, CLASSES), np.float32)
         self.later = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
-    def _attend(self, context: np.ndarray) -> tuple[np.ndarray, ...]:
+    def _attend(self, context: np.ndarray, lead: int = 0) -> tuple[np.ndarray, ...]:
+        """Inputs (a row a position), then by window keys, values, and from position ``lead`` on queries and unnormed attention."""
         w = self.w
-        x = w["emb"][context]
+        x = w["emb"].take(context, 0)
         x += w["pos"]
-        flat = x.reshape(-1, WIDTH)  # one large product is faster than one a window
-        q, k, v = ((flat @ m).reshape(x.shape) for m in (w["q"] * SCALE, w["k"], w["v"]))
+        x = x.reshape(-1, WIDTH)  # one large product is faster than one a window
+        qkv = (x @ self._projections()).reshape(*context.shape, 3 * WIDTH)
+        q, k, v = qkv[:, lead:, :WIDTH], qkv[:, :, WIDTH:-WIDTH], qkv[:, :, -WIDTH:]
         a = q @ k.transpose(0, 2, 1)
-        a += self.later
-        np.minimum(a, LARGEST, out=a)
+        a += self.later[lead:]
+        if a.size and a.max() > LARGEST:
+            np.minimum(a, LARGEST, out=a)
         np.exp(a, out=a)
         return x, q, k, v, a
 
-    def hidden(self, context: np.ndarray) -> np.ndarray:
-        """States (windows, WINDOW, WIDTH) of class windows."""
-        w = self.w
-        x, _, _, v, a = self._attend(context)
-        z = a @ np.concatenate([v, np.ones((*v.shape[:2], 1), v.dtype)], 2)  # the last column sums the weights
-        flat = x.reshape(-1, WIDTH)
-        flat += (z[:, :, :-1] / z[:, :, -1:]).reshape(-1, WIDTH) @ w["o"]
-        r = flat @ w["w1"]
+    @staticmethod
+    def _lead(counted: np.ndarray) -> int:
+        """Positions that no window of these has to predict at."""
+        return 0 if counted[:, :OVERLAP].any() else OVERLAP
+
+    def _projections(self) -> np.ndarray:
+        return np.concatenate([self.w["q"] * SCALE, self.w["k"], self.w["v"]], 1)
+
+    def hidden(self, context: np.ndarray, counted: np.ndarray | None = None) -> np.ndarray:
+        """States (windows, WINDOW, WIDTH) of class windows, or a row for each counted position only."""
+        w, lead = self.w, 0 if counted is None else self._lead(counted)
+        x, _, _, v, a = self._attend(context, lead)
+        z, total = (a @ v).reshape(-1, WIDTH), a.reshape(-1, WINDOW) @ np.ones(WINDOW, a.dtype)
+        if counted is not None:
+            rows = np.flatnonzero(counted[:, lead:])
+            x, z, total = x.take(np.flatnonzero(counted), 0), z.take(rows, 0), total.take(rows)
+        z /= total[:, None]
+        x += z @ w["o"]
+        r = x @ w["w1"]
         r += w["b1"]
         np.maximum(r, 0, out=r)
-        flat += r @ w["w2"]
-        return flat.reshape(x.shape)
+        x += r @ w["w2"]
+        return x.reshape(*context.shape, WIDTH) if counted is None else x
 
     def log_probs(self, states: np.ndarray, wanted: np.ndarray) -> np.ndarray:
         """Natural log of the probability of each wanted class."""
@@ -104,57 +120,96 @@ class Attention:
             self.scratch = np.empty((len(states), CLASSES), states.dtype)
         logits = np.matmul(states, self.w["out"].astype(states.dtype, copy=False), out=self.scratch[: len(states)])
         logits += self.w["bias"]
-        np.minimum(logits, LARGEST, out=logits)
+        if logits.size and logits.max() > LARGEST:
+            np.minimum(logits, LARGEST, out=logits)
         own = logits[np.arange(len(wanted)), wanted].astype(np.float64)
         return own - np.log((np.exp(logits, out=logits) @ np.ones(CLASSES, logits.dtype)).astype(np.float64))
 
     def gradient(self, context: np.ndarray, wanted: np.ndarray, counted: np.ndarray) -> dict[str, np.ndarray]:
-        w = self.w
-        x, q, k, v, a = self._attend(context)
-        a /= a.sum(2, keepdims=True)
-        z = a @ v
-        h = x + z @ w["o"]
-        r = np.maximum(h @ w["w1"] + w["b1"], 0)
-        g = h + r @ w["w2"]
-        logits = g @ w["out"] + w["bias"]
-        p = np.exp(logits - logits.max(2, keepdims=True))
-        p /= p.sum(2, keepdims=True)
-        n, t = np.indices(wanted.shape)
-        p[n, t, wanted] -= 1
-        p *= (counted / max(1, counted.sum()))[:, :, None].astype(np.float32)
-        flat = lambda y: y.reshape(-1, y.shape[-1])
-        d = {"out": flat(g).T @ flat(p), "bias": flat(p).sum(0)}
+        """Of the mean loss of the counted positions; the others are read as context only."""
+        w, lead = self.w, self._lead(counted)
+        x, q, k, v, a = self._attend(context, lead)
+        shape = a.shape[:2]
+        a /= (a.reshape(-1, WINDOW) @ np.ones(WINDOW, a.dtype)).reshape(*shape, 1)
+        rows, late = np.flatnonzero(counted), np.flatnonzero(counted[:, lead:])
+        z = (a @ v).reshape(-1, WIDTH).take(late, 0)
+        h = x.take(rows, 0)
+        h += z @ w["o"]
+        r = h @ w["w1"]
+        r += w["b1"]
+        np.maximum(r, 0, out=r)
+        g = r @ w["w2"]
+        g += h
+        p = g @ w["out"]
+        p += w["bias"]
+        if p.size and p.max() > LARGEST:
+            np.minimum(p, LARGEST, out=p)
+        np.exp(p, out=p)
+        total = p @ np.ones(CLASSES, p.dtype)
+        p[np.arange(len(rows)), wanted.ravel()[rows]] -= total
+        share = 1 / max(1, len(rows)) / total  # a factor a row, applied where rows are short
+        every = np.ones(len(rows), p.dtype)
         dg = p @ w["out"].T
-        dr = (dg @ w["w2"].T) * (r > 0)
-        d |= {"w2": flat(r).T @ flat(dg), "w1": flat(h).T @ flat(dr), "b1": flat(dr).sum(0)}
-        dh = dg + dr @ w["w1"].T
-        d["o"] = flat(z).T @ flat(dh)
-        dz = dh @ w["o"].T
-        da = dz @ v.transpose(0, 2, 1)
-        dv = a.transpose(0, 2, 1) @ dz
-        ds = a * (da - (da * a).sum(2, keepdims=True))
-        dq, dk = ds @ k * SCALE, ds.transpose(0, 2, 1) @ q
-        dx = dh.copy()
-        for name, y in (("q", dq), ("k", dk), ("v", dv)):
-            d[name] = flat(x).T @ flat(y)
-            dx += y @ w[name].T
-        d["pos"] = dx.sum(0)
+        dg *= share[:, None]
+        dr = dg @ w["w2"].T
+        dr *= r > 0
+        dh = dr @ w["w1"].T
+        dh += dg
+        d = {"out": (p.T @ (g * share[:, None])).T, "bias": share @ p, "w2": r.T @ dg, "w1": h.T @ dr, "b1": every @ dr, "o": z.T @ dh}
+        dz = np.zeros((shape[0] * shape[1], WIDTH), x.dtype)
+        dz[late] = dh @ w["o"].T
+        dz = dz.reshape(*shape, WIDTH)
+        ds = dz @ v.transpose(0, 2, 1)
+        ds *= a
+        ds -= a * (ds.reshape(-1, WINDOW) @ np.ones(WINDOW, a.dtype)).reshape(*shape, 1)
+        down = np.empty((*context.shape, 3 * WIDTH), x.dtype)
+        down[:, :lead, :WIDTH] = 0
+        np.matmul(ds, k, out=down[:, lead:, :WIDTH])
+        np.matmul(ds.transpose(0, 2, 1), q, out=down[:, :, WIDTH:-WIDTH])
+        np.matmul(a.transpose(0, 2, 1), dz, out=down[:, :, -WIDTH:])
+        down = down.reshape(-1, 3 * WIDTH)
+        d["q"], d["k"], d["v"] = np.split((down.T @ x).T, 3, 1)
+        d["q"] = d["q"] * SCALE
+        dx = down @ self._projections().T
+        dx[rows] += dh
+        d["pos"] = dx.reshape(len(context), -1).sum(0).reshape(WINDOW, WIDTH)
+        read = context.ravel().astype(np.uint16)
+        order = np.argsort(read, kind="stable")
+        read = read[order]
+        starts = np.flatnonzero(np.append(True, read[1:] != read[:-1])[: len(read)])
         d["emb"] = np.zeros_like(w["emb"])
-        np.add.at(d["emb"], context.ravel(), flat(dx))
+        if len(starts):
+            d["emb"][read[starts]] = np.add.reduceat(dx.take(order, 0), starts, 0)
         return d
 
     def train(self, context: np.ndarray, wanted: np.ndarray, counted: np.ndarray, rate: float, epochs: int, batch: int = 64, moments: tuple | None = None) -> tuple:
         """Adam on windows; returns its moments and step, from which a later call goes on."""
-        m, s, step = moments or ({n: np.zeros_like(x) for n, x in self.w.items()}, {n: np.zeros_like(x) for n, x in self.w.items()}, 0)
+        flat, at = np.concatenate([x.ravel() for x in self.w.values()]), 0
+        for n, x in self.w.items():  # the weights are views of one array, so a step is a few passes over it
+            self.w[n] = flat[at : at + x.size].reshape(x.shape)
+            at += x.size
+        m, s, step = moments or (np.zeros_like(flat), np.zeros_like(flat), 0)
+        d, t = np.empty_like(flat), np.empty_like(flat)
         rng = np.random.default_rng(SEED)
         for _ in range(epochs):
             order = rng.permutation(len(context))
             for at in range(0, len(order), batch):
                 some, step = order[at : at + batch], step + 1
-                for n, d in self.gradient(context[some], wanted[some], counted[some]).items():
-                    m[n] += 0.1 * (d - m[n])
-                    s[n] += 0.01 * (d * d - s[n])
-                    self.w[n] -= (rate * (m[n] / (1 - 0.9**step)) / (np.sqrt(s[n] / (1 - 0.99**step)) + 1e-8)).astype(np.float32)
+                found = self.gradient(context[some], wanted[some], counted[some])
+                np.concatenate([found[n].ravel() for n in self.w], out=d)
+                np.subtract(d, m, out=t)
+                t *= 0.1
+                m += t
+                d *= d
+                d -= s
+                d *= 0.01
+                s += d
+                np.multiply(s, 1 / (1 - 0.99**step), out=t)
+                np.sqrt(t, out=t)
+                t += 1e-8
+                np.divide(m, t, out=t)
+                t *= rate / (1 - 0.9**step)
+                flat -= t
         return m, s, step
 
 
@@ -200,10 +255,15 @@ class Classes:
 
     def log_share(self, before: np.ndarray, ids: np.ndarray) -> np.ndarray:
         """Natural log of each id's share of its class after a read class; a pair that is not looked up counts as unseen."""
+        return self.looked_up_share(before, ids, before * len(self.of) + ids)[0]
+
+    def looked_up_share(self, before: np.ndarray, ids: np.ndarray, key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The same, and whether each pair (its key) is looked up."""
         share = self.unseen[ids]
-        at, hit = self.looked_up(before * len(self.of) + ids)
+        at, hit = self.looked_up(key)
         share[hit] = self.logs[at[hit]]
-        return share - self.whole[before * CLASSES + self.of[ids]]
+        share -= self.whole[before * CLASSES + self.of[ids]]
+        return share, hit
 
 
 def windows(sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -229,6 +289,11 @@ def joined(ids: list[bytes], classes: Classes, end_id: int) -> tuple[np.ndarray,
     return wanted, context, sizes
 
 
+def rounds_of(tokens: int) -> int:
+    """Rounds one after the other; each is dealt over all tasks."""
+    return ROUNDS + MORE_ROUNDS * max(0, math.ceil(math.log2(tokens / ROUND_TOKENS)))
+
+
 def steps_of(sizes: list[int]):
     """Ranges of texts of about ``STEP_TOKENS`` tokens; a longer text is a range of its own."""
     at, held = 0, 0
@@ -241,27 +306,31 @@ def steps_of(sizes: list[int]):
         yield at, len(sizes)
 
 
-def other_pairs(classes: Classes, ids: list[bytes], end_id: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Pairs that are not looked up: text, key, times."""
+def other_pairs(classes: Classes, key: np.ndarray, sizes: np.ndarray, hit: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of joined texts that were not looked up: text, key, times."""
+    rest = np.flatnonzero(~hit)
+    both, times = np.unique(np.repeat(np.arange(len(sizes)), sizes)[rest] << 32 | key[rest], return_counts=True)
+    return both >> 32, both & 0xFFFFFFFF, times
+
+
+def scored_pairs(model: Attention, classes: Classes, ids: list[bytes], end_id: int) -> tuple[np.ndarray, tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Natural log probability of each text, without what its other pairs add, and those pairs."""
     wanted, context, sizes = joined(ids, classes, end_id)
+    place, scored, _ = windows(sizes)
     key = context * len(classes.of) + wanted
-    rest = np.flatnonzero(~classes.looked_up(key)[1])
-    both, times = np.unique(np.repeat(np.arange(len(ids)), sizes)[rest] << 32 | key[rest], return_counts=True)
-    return both >> 32, both & 0xFFFFFFFF, times
+    goal, (value, hit) = classes.of[wanted], classes.looked_up_share(context, wanted, key)
+    order = np.argsort(~scored[:, 0], kind="stable")  # first windows predict at all their positions
+    for at in range(0, len(place), BATCH):
+        some = order[at : at + BATCH]
+        rows, mask = place[some], scored[some]
+        tokens = rows[mask]  # each token is scored in one window
+        value[tokens] += model.log_probs(model.hidden(context[rows], mask), goal[tokens])
+    return np.add.reduceat(value, np.cumsum(sizes) - sizes), other_pairs(classes, key, sizes, hit)
 
 
 def score(model: Attention, classes: Classes, ids: list[bytes], end_id: int) -> np.ndarray:
     """Natural log probability of each text, without what its other pairs add."""
-    wanted, context, sizes = joined(ids, classes, end_id)
-    place, scored, text = windows(sizes)
-    goal, share, out = classes.of[wanted], classes.log_share(context, wanted), np.zeros(len(ids))
-    for at in range(0, len(place), BATCH):
-        rows, mask = place[at : at + BATCH], scored[at : at + BATCH]
-        states = model.hidden(context[rows])[mask]
-        tokens = rows[mask]
-        value = model.log_probs(states, goal[tokens]) + share[tokens]
-        out += np.bincount(np.broadcast_to(text[at : at + BATCH, None], mask.shape)[mask], value, len(ids))
-    return out
+    return scored_pairs(model, classes, ids, end_id)[0]
 
 
 def lowered(text: str | None) -> str:
@@ -409,12 +478,10 @@ def _fit(encoded: DataFrame, bpe: Bpe, end_id: int) -> tuple[Attention, Classes,
         if n:
             yield {"n": [n], "w": [(total / n).astype(np.float32).tobytes()]}
 
-    files = np.random.default_rng(SEED).permutation(sorted(encoded.inputFiles())).tolist()
-    groups = min(len(files), -(-tokens // GROUP_TOKENS))
-    for group, k in ((g, k) for g in range(groups) for k in range(ROUNDS)):
+    rounds = rounds_of(tokens)
+    for k in range(rounds):
         shared = encoded.sparkSession.sparkContext.broadcast(model.w)
-        some = encoded.sparkSession.read.schema(encoded.schema).parquet(*files[group::groups])
-        some = some.where("NOT held_out").where(F.pmod(F.xxhash64("uid", F.lit(SEED)), F.lit(ROUNDS)) == k).select("ids")
+        some = train.where(F.pmod(F.xxhash64("uid", F.lit(SEED)), F.lit(rounds)) == k).select("ids")
         refined = map_rows(some, refine, "n long, w binary").repartition(GROUPS)
         found = map_rows(refined, average, "n long, w binary").collect()  # one set of weights a group
         if not found:
@@ -509,8 +576,8 @@ def score_texts(docs: DataFrame, vocabulary: str | None = None, text: str = "tex
         for batch in batches:
             sizes = [len(x) // 2 + 1 for x in batch["ids"]]
             for a, b in steps_of(sizes):
-                uid, values = batch["uid"][a:b], score(model, classes, batch["ids"][a:b], end_id)
-                text, key, times = (x.tolist() for x in other_pairs(classes, batch["ids"][a:b], end_id))
+                uid, (values, others) = batch["uid"][a:b], scored_pairs(model, classes, batch["ids"][a:b], end_id)
+                text, key, times = (x.tolist() for x in others)
                 pad, tail = [None] * len(key), [None] * len(uid)
                 yield {"uid": uid + [uid[i] for i in text], "n_subwords": sizes[a:b] + pad, "value": values.tolist() + pad, "key": tail + key, "k": tail + times}
 

@@ -567,6 +567,58 @@ def test_attention_is_causal_and_its_gradient_right():
         assert abs((up - down) / (2 * eps) - d[name][at]) < 1e-4, name
 
 
+def test_gradient_leaves_out_positions_that_are_not_predicted():
+    rng = np.random.default_rng(3)
+    model = attention_lm.Attention()
+    context = rng.integers(0, 50, (3, attention_lm.WINDOW))
+    wanted = rng.integers(0, attention_lm.CLASSES, context.shape)
+    counted = rng.random(context.shape) < 0.7
+    for first in (False, True):  # windows that only go on, and a first one beside them
+        counted[:, : attention_lm.OVERLAP] = False
+        counted[1, : attention_lm.OVERLAP] = first
+        goal = np.where(counted, wanted, 10**6)  # no class: nothing may be worked out there
+        d = model.gradient(context, goal, counted)
+        assert np.allclose(model.hidden(context, counted), model.hidden(context)[counted], atol=1e-5)
+        exact = attention_lm.Attention({k: v.astype(np.float64) for k, v in model.w.items()})
+
+        def loss():
+            return -exact.log_probs(exact.hidden(context, counted), goal[counted]).mean()
+
+        for name, at in (("emb", (context[1, 2], 3)), ("k", (1, 2)), ("q", (3, 4)), ("v", (2, 5)), ("w1", (1, 1)), ("b1", (3,)), ("bias", (4,)), ("out", (2, 9)), ("pos", (1, 2))):
+            w = exact.w[name]
+            old, eps = w[at], 1e-5
+            w[at] = old + eps
+            up = loss()
+            w[at] = old - eps
+            down = loss()
+            w[at] = old
+            assert abs((up - down) / (2 * eps) - d[name][at]) < 1e-4, (name, first)
+
+
+def test_training_rounds_grow_with_the_logarithm_and_read_all_files(docs, monkeypatch):
+    per = attention_lm.ROUND_TOKENS
+    assert attention_lm.rounds_of(1) == attention_lm.rounds_of(per) == attention_lm.ROUNDS
+    assert attention_lm.rounds_of(200 * per) <= attention_lm.ROUNDS + 8 * attention_lm.MORE_ROUNDS
+    vocabulary = open(bpe.default_vocabulary(), encoding="utf-8").read()
+    rows = docs.repartition(5).selectExpr("doc_id", "text", "false AS held_out", "xxhash64(doc_id, text) AS uid")
+    encoded = attention_lm._encoded(rows, vocabulary)
+    spec = bpe.Bpe(vocabulary)
+    end_id = next(iter(spec.special.values()))
+    sizes = np.array([len(r.ids) // 2 + 1 for r in encoded.collect()])
+    monkeypatch.setattr(attention_lm, "ROUND_TOKENS", int(sizes.sum()) // 3)
+    seen, whole = [], attention_lm.map_rows
+
+    def watched(df, fn, schema):
+        if fn.__name__ == "refine":
+            seen.append(len(df.inputFiles()))
+        return whole(df, fn, schema)
+
+    monkeypatch.setattr(attention_lm, "map_rows", watched)
+    model, _, _ = attention_lm._fit(encoded, spec, end_id)
+    assert seen == [len(encoded.inputFiles())] * 8 and seen[0] > 1
+    assert model.trained == len(attention_lm.windows(sizes)[0])
+
+
 def test_windows_score_each_token_once():
     place, scored, text = attention_lm.windows(np.array([1, 32, 33, 100]))
     seen = Counter(place[scored].tolist())
